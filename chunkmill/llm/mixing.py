@@ -55,7 +55,7 @@ def share_budgets(leaves: DataFrame, path: Sequence[str], weights: Sequence[Mapp
                 "open": F.sum("weight").over(ordered.rowsBetween(0, Window.unboundedFollowing)),
             }
         ).withColumn("short", (F.col("weight") > 0) & (F.col("capacity") * F.col("open") <= F.col("used") * F.col("weight")))
-        nodes = nodes.withColumns({"rest": F.min(F.when(~F.col("short"), F.col("used"))).over(siblings), "shares": F.max(F.when(~F.col("short"), F.col("open"))).over(siblings)})
+        nodes = nodes.withColumns({"rest": F.max(F.when(~F.col("short"), F.col("used"))).over(siblings), "shares": F.max(F.when(~F.col("short"), F.col("open"))).over(siblings)})
         given = F.when(F.col("short"), F.col("capacity")).when(F.col("shares") > 0, F.expr("(rest * weight) div shares")).otherwise(F.lit(0))
         above = nodes.select(*here, given.cast("long").alias("parent_budget"))
     return leaves.join(above.withColumnRenamed("parent_budget", "leaf_budget"), list(path))

@@ -140,3 +140,43 @@ def quality_counts(text: str | None) -> tuple:
             hit[i : i + 3] = [True] * 3
     n = sum(hit)
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, n, len(w) < 50 or 100 * n > 50 * len(w)
+
+
+def share(budget: int, nodes: list[tuple[str, int, int]]) -> dict[str, int]:
+    """Whole-number shares of (name, capacity, weight) nodes, by retiring short nodes until none is."""
+    open_, out = [x for x in nodes if x[2] > 0], {n: 0 for n, _, _ in nodes}
+    while open_:
+        total = sum(w for _, _, w in open_)
+        short = [(n, c) for n, c, w in open_ if c * total <= budget * w]
+        if not short:
+            for n, _, w in open_:
+                out[n] = budget * w // total
+            break
+        # retire the shortest for its weight first: the others may then get more than they can take, too
+        n, c = min(((n, c) for n, c in short), key=lambda x: (x[1] / next(w for m, _, w in open_ if m == x[0]), x[0]))
+        out[n] = c
+        budget -= c
+        open_ = [x for x in open_ if x[0] != n]
+    return out
+
+
+def mixture(docs: list[tuple[int, tuple[str, ...], int]], weights: list[dict], budget: int, epochs: int, seed: int) -> dict[int, tuple[int, int]]:
+    """doc_id -> (leaf budget, copies) for (doc_id, path, tokens)."""
+    tokens = Counter()
+    for _, path, n in docs:
+        tokens[path] += n
+    budgets = {(): min(budget, epochs * sum(tokens.values()))}
+    for depth in range(len(weights)):
+        for parent in [p for p in list(budgets) if len(p) == depth]:
+            children = sorted({p[depth] for p in tokens if p[:depth] == parent})
+            nodes = [(c, epochs * sum(n for p, n in tokens.items() if p[: depth + 1] == (*parent, c)), weights[depth].get((c,), 1)) for c in children]
+            for c, b in share(budgets[parent], nodes).items():
+                budgets[*parent, c] = b
+    out = {}
+    for path, total in tokens.items():
+        whole, rest = divmod(budgets[path], total) if total else (0, 0)
+        upto = 0
+        for d, _, n in sorted((x for x in docs if x[1] == path), key=lambda x: hashlib.md5(f"{seed}:{whole}:{x[0]}".encode()).hexdigest()):
+            upto += n
+            out[d] = (budgets[path], whole + (rest > 0 and upto <= rest))
+    return out
