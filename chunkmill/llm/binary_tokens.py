@@ -8,6 +8,9 @@ hold, and which a lost executor leaves whole; ``write_file`` copies blocks into
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -26,8 +29,8 @@ MAGIC = b"CMB1"
 _HEAD = struct.Struct("<4sBxxxIQ")  # magic, bits, documents, ids
 #: Ids of a block, unless one document alone has more.
 BLOCK_IDS = 1 << 18
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 200_000
+#: Words, and parts of words, whose ids a worker remembers: some 200 bytes each.
+CACHE_WORDS, CACHE_PARTS = 600_000, 400_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -77,49 +80,110 @@ class Block:
         return unpack(self.packed, self.bits, self.count)
 
 
+# The parts of a tokenizer file under which a text's ids are those of its words' parts.
+_WORD_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Words of which lower-casing and normal form are plain, without apostrophes; and their parts.
+_PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """For À to ÿ: the characters that byte-level BPE writes for their UTF-8 bytes."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    of = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    return {c: "".join(of[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class WordCachedEncoder:
-    """``tokenizers`` encoding of texts, one ASCII-white-space-separated word at a time.
+    """``tokenizers`` encoding of texts that remembers words.
 
-    For a tokenizer whose pre-tokenizer never joins characters across white space, which is checked
-    once on a few joined words, the ids of a text are the ids of its words. Words recur, so most are
-    looked up. Other tokenizers encode whole texts.
+    For a tokenizer file that lower-cases and splits as ``_WORD_SPLIT`` does, no token crosses ASCII
+    white space, so the ids of a text are the ids of its words. A plain word is cut as the tokenizer
+    would cut it and its parts go to the tokenizer's model; other words (apostrophes, special tokens,
+    letters beyond Latin-1) go through the whole tokenizer. Other tokenizer files encode whole texts.
     """
 
     def __init__(self, path: str, special_as_text: bool = False) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.cache: dict[bytes, np.ndarray] = {}
-        words = ["Ab", "c'd", "12", "é", "x!", "<|endoftext|>", "́y", "s"]
-        joined = "\n ".join(words)
-        self.by_word = self.ids(joined) == list(chain.from_iterable(self.ids(w) for w in words))
-
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        steps = (said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        split = steps[0].get("pattern") == {"Regex": _WORD_SPLIT} and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+        self.by_word = said.get("normalizer") == _WORD_NORMALIZER and split and [x.get("type") for x in steps] == ["Split", "ByteLevel"] and not steps[1]["add_prefix_space"] and not said.get("post_processor")
+        self.by_word = self.by_word and all(set("<|") <= set(t["content"]) and not t["lstrip"] and not t["rstrip"] for t in said["added_tokens"])
+        self.bytes_of = _byte_characters()
+        vocabulary, suffix = self.tokenizer.get_vocab(), said["model"].get("end_of_word_suffix")
+        self.by_word = self.by_word and bool(suffix)
+        self.is_end = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.is_end[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.model = Tokenizer.from_file(path)  # what it gets is cut at blanks and goes to the merges as it is
+        self.model.normalizer, self.model.pre_tokenizer = None, pre_tokenizers.CharDelimiterSplit(" ")
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 2_000):
+            some = parts[at : at + 2_000]
+            found = self.model.encode_batch_fast([" ".join(some).translate(self.bytes_of)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.is_end[ids]) + 4).tolist()  # the merges mark the end of each part
+            self.parts.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+
+    def _learn(self, words: set[bytes]) -> None:
+        plain = {}
+        for w in words:
+            text = w.decode()
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                plain[w] = _PARTS.findall(text.lower())
+            else:
+                self.words[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        parts = set(chain.from_iterable(plain.values()))
+        new = parts.difference(self.parts)
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            self.parts.clear()
+            new = parts
+        self._learn_parts(list(new))
+        look = self.parts.__getitem__
+        for w, p in plain.items():
+            self.words[w] = look(p[0]) if len(p) == 1 else b"".join(map(look, p))
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if not self.by_word:
             for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-                yield np.array(e.ids, dtype=np.uint32)
+                yield np.array(e.ids, dtype="<u4")
             return
         split = [t.encode().split() for t in texts]
-        new = list(set(chain.from_iterable(split)) - self.cache.keys())
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list(set(chain.from_iterable(split)))
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.cache[w] = e.ids
-        look = self.cache.__getitem__
-        for words in split:
-            yield np.fromiter(chain.from_iterable(map(look, words)), dtype=np.uint32)
+        words = set(chain.from_iterable(split))
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            new = words
+        self._learn(new)
+        look = self.words.__getitem__
+        for found in split:
+            yield np.frombuffer(b"".join(map(look, found)), dtype="<u4")
+
+
+_ENCODERS: dict[tuple[str, bool], WordCachedEncoder] = {}
+
+
+def encoder_of(path: str, special_as_text: bool) -> WordCachedEncoder:
+    """One encoder, with what it remembers, for all tasks of a worker process."""
+    key = (path, special_as_text)
+    if key not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
+        _ENCODERS[key] = WordCachedEncoder(path, special_as_text)
+    return _ENCODERS[key]
 
 
 def _encode_blocks(tokenizer: str, bits: int, end_id: int, block_ids: int, special_as_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordCachedEncoder(tokenizer, special_as_text)
+        encoder = encoder_of(tokenizer, special_as_text)
+        end = np.array([end_id], dtype="<u4")
         part, number = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         names: list = []
@@ -138,7 +202,7 @@ def _encode_blocks(tokenizer: str, bits: int, end_id: int, block_ids: int, speci
                     if ids and held + len(encoded) + 1 > block_ids:
                         yield flush()
                         ids, names, held, before, number = [], [], 0, before + held, number + 1
-                    ids.append(np.append(encoded, np.uint32(end_id)))
+                    ids.append(np.append(encoded, end))
                     names.append(name)
                     held += len(encoded) + 1
         if ids:
@@ -177,14 +241,15 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the written blocks: doc_id, start (ids before it), n_tokens, ids_crc32.
 
-    A part's base is the sum of the parts before it, of which there are as many as the write had tasks;
+    A part's base is the sum of the parts before it, of which there are as many as the write had tasks
+    (two numbers for each of ``spark.sql.shuffle.partitions``, so they are broadcast);
     within its part each block knows how many ids stand before it. So blocks aren't shuffled.
     """
     blocks = spark.read.parquet(path)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("sum"))
     bases = parts.select("part", (F.sum("sum").over(Window.orderBy("part")) - F.col("sum")).alias("base"))
-    placed = blocks.join(bases, "part").select("doc_ids", "data", (F.col("base") + F.col("before")).alias("base"))
+    placed = blocks.join(F.broadcast(bases), "part").select("doc_ids", "data", (F.col("base") + F.col("before")).alias("base"))
     return placed.mapInArrow(_digest_rows, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
