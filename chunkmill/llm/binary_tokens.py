@@ -30,7 +30,7 @@ _HEAD = struct.Struct("<4sBxxxIQ")  # magic, bits, documents, ids
 #: Ids of a block, unless one document alone has more.
 BLOCK_IDS = 1 << 18
 #: Words, and parts of words, whose ids a worker remembers: some 200 bytes each.
-CACHE_WORDS, CACHE_PARTS = 600_000, 400_000
+CACHE_WORDS, CACHE_PARTS = 1_200_000, 600_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -83,9 +83,11 @@ class Block:
 # The parts of a tokenizer file under which a text's ids are those of its words' parts.
 _WORD_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: Words of which lower-casing and normal form are plain, without apostrophes; and their parts.
-_PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: What words have whose lower-casing, normal form or cuts are not plain; and the parts of plain ones.
+_OTHER = re.compile("[^\n!-&(-~À-ÖØ-öø-ÿ]")
+_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|\n|[^\na-zß-öø-ÿ0-9]+")
+#: Stands for the end of a word among parts; no id has this value.
+_BREAK = b"\xff\xff\xff\xff"
 
 
 def _byte_characters() -> dict[int, str]:
@@ -133,36 +135,40 @@ class WordCachedEncoder:
             raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.is_end[ids]) + 4).tolist()  # the merges mark the end of each part
             self.parts.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
-    def _learn(self, words: set[bytes]) -> None:
-        plain = {}
-        for w in words:
-            text = w.decode()
-            if _PLAIN.fullmatch(text) and "<|" not in text:
-                plain[w] = _PARTS.findall(text.lower())
-            else:
-                self.words[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        parts = set(chain.from_iterable(plain.values()))
+    def _learn(self, words: list[bytes]) -> None:
+        joined = b"\n".join(words).decode()
+        if _OTHER.search(joined) or "<|" in joined:
+            odd = [w for w in words if _OTHER.search(t := w.decode()) or "<|" in t]
+            for w in odd:
+                self.words[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+            words = list(set(words).difference(odd))
+            joined = b"\n".join(words).decode()
+        if not words:
+            return
+        cut = _PARTS.findall(joined.lower())
+        parts = set(cut)
         new = parts.difference(self.parts)
         if len(self.parts) + len(new) > CACHE_PARTS:
             self.parts.clear()
             new = parts
-        self._learn_parts(list(new))
-        look = self.parts.__getitem__
-        for w, p in plain.items():
-            self.words[w] = look(p[0]) if len(p) == 1 else b"".join(map(look, p))
+        self._learn_parts(list(new - {"\n"}))
+        self.parts["\n"] = _BREAK
+        raw = b"".join(map(self.parts.__getitem__, cut))
+        ends = (4 * np.flatnonzero(np.frombuffer(raw, dtype="<u4") == 0xFFFFFFFF)).tolist()
+        self.words.update(zip(words, [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], [*ends, len(raw)], strict=True)], strict=True))
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if not self.by_word:
-            for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
+            for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False):
                 yield np.array(e.ids, dtype="<u4")
             return
-        split = [t.encode().split() for t in texts]
+        split = [t.split() for t in texts]
         words = set(chain.from_iterable(split))
         new = words.difference(self.words)
         if len(self.words) + len(new) > CACHE_WORDS:
             self.words.clear()
             new = words
-        self._learn(new)
+        self._learn(list(new))
         look = self.words.__getitem__
         for found in split:
             yield np.frombuffer(b"".join(map(look, found)), dtype="<u4")
@@ -198,7 +204,7 @@ def _encode_blocks(tokenizer: str, bits: int, end_id: int, block_ids: int, speci
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for rows in slices(batch):
-                for name, encoded in zip(rows.column("doc_id").to_pylist(), encoder.encode(rows.column("text").to_pylist()), strict=True):
+                for name, encoded in zip(rows.column("doc_id").to_pylist(), encoder.encode(rows.column("text").cast(pa.binary()).to_pylist()), strict=True):
                     if ids and held + len(encoded) + 1 > block_ids:
                         yield flush()
                         ids, names, held, before, number = [], [], 0, before + held, number + 1
