@@ -154,12 +154,17 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
     """
     base = keyed(docs, id_col, text_col)
     id_type = base.schema["doc_id"].dataType.simpleString()
-    key = f"doc_id {id_type}, body long"
-    anchors = base.where(F.col("doc_id").isNotNull()).mapInArrow(_anchor_rows(window), f"{key}, anchor long")
+    key = f"doc_id {id_type} not null, body long not null"  # not null: no filter is inferred that would tell equal exchanges apart
+    anchors = base.where(F.col("doc_id").isNotNull()).mapInArrow(_anchor_rows(window), f"{key}, anchor long not null")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
     wanted = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id", "body").agg(F.collect_set("anchor").alias("anchors"))
 
-    runs = base.join(wanted, ["doc_id", "body"]).mapInArrow(_run_rows(window), f"{key}, anchor long, content long, at int, windows array<long>")
+    def with_texts(rows: DataFrame, how: str) -> DataFrame:
+        rows = rows.withColumnsRenamed({"doc_id": "r_id", "body": "r_body"})
+        return base.join(rows, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("body") == F.col("r_body")), how).drop("r_id", "r_body")
+
+    fields = "anchor long not null, content long not null, at int not null, windows array<long> not null"
+    runs = with_texts(wanted, "inner").mapInArrow(_run_rows(window), f"{key}, {fields}")
     kinds = runs.groupBy("anchor", "content").agg(F.min("doc_id").alias("low"), F.first("windows").alias("windows"))
     single = kinds.select("anchor", "content", "low", F.posexplode("windows").alias("offset", "hash"))
     least = single.groupBy("anchor", "hash").agg(F.min("low").alias("least"), F.max("low").alias("most")).where("least < most").select("anchor", "hash", "least")
@@ -172,4 +177,4 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
         .groupBy("doc_id", "body")
         .agg(F.collect_list(F.struct("at", "n", F.expr("if(doc_id > low, null, offsets)").alias("offsets"))).alias("hits"))
     )
-    return base.join(hits, ["doc_id", "body"], "left").mapInArrow(_cut_rows(window), f"doc_id {id_type}, text string, n_words long, n_removed long")
+    return with_texts(hits, "left").mapInArrow(_cut_rows(window), f"doc_id {id_type}, text string, n_words long, n_removed long")
