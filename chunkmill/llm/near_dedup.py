@@ -217,7 +217,9 @@ def _prefix_pairs(large: DataFrame, texts: DataFrame, size: int, numerator: int,
     """All pairs of ``large`` that can be similar and lie in different components, by an exact prefix filter.
 
     Of a set of n shingles, rarest first, one of the first n - ceil(t * n) + 1 is shared with every set
-    of similarity t. Rarity is counted among ``large``, so shingles that all of them share come last.
+    of similarity t. Rarity is counted among ``large``, so shingles that all of them share come last. The
+    first shingle that two sets share bounds their overlap by what is left behind it in either, so a
+    pair is made only where that is enough.
     """
     kept = large.join(texts.select(F.col("doc_id").alias("rep"), F.col("body").alias("rep_body"), "text"), ["rep", "rep_body"])
     id_type = texts.schema["doc_id"].dataType.simpleString()
@@ -225,8 +227,11 @@ def _prefix_pairs(large: DataFrame, texts: DataFrame, size: int, numerator: int,
     rarity = shingles.groupBy("shingle").agg(F.count("*").alias("df"))
     prefix = F.col("n_shingles") - F.ceil(F.col("n_shingles") * numerator / denominator) + 1
     ordered = shingles.join(rarity, "shingle").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
-    first = ordered.join(large, "rep").select("rep", "rep_body", "n_shingles", "component", F.explode(F.slice("s", F.lit(1), prefix.cast("int"))).alias("s")).where("s.df > 1").select("rep", "rep_body", "n_shingles", "component", F.col("s.shingle").alias("shingle"))
-    a = first.select("shingle", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    b = first.select("shingle", F.col("rep").alias("b"), F.col("rep_body").alias("b_body"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
+    first = ordered.join(large, "rep").select("rep", "rep_body", "n_shingles", "component", F.posexplode(F.slice("s", F.lit(1), prefix.cast("int"))).alias("place", "s")).where("s.df > 1")
+    first = first.select("rep", "rep_body", "n_shingles", "component", F.col("s.shingle").alias("shingle"), (F.col("n_shingles") - F.col("place")).alias("left"))
+    a = first.select("shingle", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"), F.col("left").alias("left_a"))
+    b = first.select("shingle", F.col("rep").alias("b"), F.col("rep_body").alias("b_body"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"), F.col("left").alias("left_b"))
+    # overlap / (n_a + n_b - overlap) >= t  <=>  overlap * (1 + t) >= t * (n_a + n_b)
+    enough = F.least("left_a", "left_b") * (numerator + denominator) >= (F.col("n_a") + F.col("n_b")) * numerator
     fits = F.least("n_a", "n_b") * denominator >= F.greatest("n_a", "n_b") * numerator
-    return a.join(b, "shingle").where("a < b and c_a <> c_b").where(fits).select("a", "a_body", "b", "b_body").distinct()
+    return a.join(b, "shingle").where("a < b and c_a <> c_b").where(fits & enough).select("a", "a_body", "b", "b_body").distinct()
