@@ -25,8 +25,8 @@ from .textkernels import LOWER_WORDS, U64, Words, mix, ngram_hashes, sequence_ha
 
 BINS, BAND = 128, 4
 BANDS = BINS // BAND
-#: Cross-component pairs of one bucket beyond which its members go through the prefix filter.
-BUCKET_PAIRS = 20_000
+#: Cross-component pairs of one bucket beyond which its members go through the prefix filter, which costs a row per shingle.
+BUCKET_PAIRS = 200
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
