@@ -118,12 +118,12 @@ def _prefix_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
-def components(edges: DataFrame, limit: int = 60) -> DataFrame:
+def components(edges: DataFrame, limit: int = 10_000) -> DataFrame:
     """(id, component): the least id that each end of an edge (a, b) reaches.
 
-    Labels start as the least neighbour and are halved along paths every round (label of my label), so
-    rounds grow with the logarithm of a component's diameter. Edges lose the hubs: each round an edge
-    joins the two ends' labels, and edges within one label are gone. Every round is cut.
+    A label hangs on its least smaller neighbour, then on that one's; an edge then joins the two ends'
+    labels, and edges within one label are gone. Every round is cut. Stars take a few rounds; a chain of
+    ascending ids loses only two of its links in a round, so rounds can grow with a component's diameter.
     """
     id_type = edges.schema["a"].dataType
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
