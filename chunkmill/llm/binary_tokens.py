@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import keyed
-from .textkernels import slices
+from .textkernels import KEPT, slices
 
 MAGIC = b"CMB1"
 _HEAD = struct.Struct("<4sBxxxIQ")  # magic, bits, documents, ids
@@ -174,16 +174,13 @@ class WordCachedEncoder:
             yield np.frombuffer(b"".join(map(look, found)), dtype="<u4")
 
 
-_ENCODERS: dict[tuple[str, bool], WordCachedEncoder] = {}
-
-
 def encoder_of(path: str, special_as_text: bool) -> WordCachedEncoder:
-    """One encoder, with what it remembers, for all tasks of a worker process."""
-    key = (path, special_as_text)
-    if key not in _ENCODERS:
+    """One encoder, with what it remembers, for all tasks of a worker process until another operator's task."""
+    key = ("encoder", path, special_as_text)
+    if key not in KEPT:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
-        _ENCODERS[key] = WordCachedEncoder(path, special_as_text)
-    return _ENCODERS[key]
+        KEPT[key] = WordCachedEncoder(path, special_as_text)
+    return KEPT[key]
 
 
 def _encode_blocks(tokenizer: str, bits: int, end_id: int, block_ids: int, special_as_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -74,6 +74,10 @@ class _Powers:
 
 _BYTES, _WORDS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
 
+#: What an operator without these kernels keeps in a worker process between its tasks. Workers serve one
+#: stage after another, so the first text of another operator frees it.
+KEPT: dict = {}
+
 
 @dataclass
 class Words:
@@ -106,6 +110,7 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def words_of(texts: pa.Array, table: tuple[np.ndarray, np.ndarray]) -> Words:
     """Words of every text, with a 64-bit hash of each word's bytes."""
+    KEPT.clear()
     data, offsets = _bytes_of(texts)
     is_word, mapped = table
     inside = is_word[data]
