@@ -51,6 +51,20 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
 
 
+#: Parts that the rows of a group are dealt to when they are joined with the group's one row.
+SPREAD = 32
+
+
+def salted(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` with a column ``_salt`` from the hash of ``by``, so that a hot group is ``SPREAD`` join keys."""
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int"))
+
+
+def per_salt(groups: DataFrame) -> DataFrame:
+    """A table of one row per group, repeated for every ``_salt``."""
+    return groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, body, text): only what the operators need, null texts empty.
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, stage
+from .common import cut, keyed, per_salt, salted, stage
 from .textkernels import _BYTES, RAW_WORDS, U64, _bytes_of, mix, ngram_hashes, slices, window_starts, words_of
 
 SYMBOLS = "#*$%&|<>"
@@ -150,7 +150,8 @@ def quality_verdicts(docs: DataFrame, *, min_words: int = 50, max_repeat: tuple[
 
     Scale: texts are read once; the staged table of statistics has no text. The estimates rest on all
     rows: quantiles are sums of bin counts and moments are sums, both partial before their shuffle, so a
-    source with a third of all rows is one row per task. Estimates are a row per group.
+    source with a third of all rows is one row per task. Estimates are a row per group; rows meet them on
+    the group and a salt, so a hot group's rows are dealt to many tasks.
 
     Edge cases: null texts have no words and fail. Null languages and sources are groups like others.
     Rows that repeat are judged alike. Other columns are ignored; an empty table gives an empty result.
@@ -172,15 +173,15 @@ def quality_verdicts(docs: DataFrame, *, min_words: int = 50, max_repeat: tuple[
     langs = count.where("name is null").groupBy("lang").agg(F.sum("n").alias("n_lang"))
     langs = langs.withColumn("by_lang", F.when(F.col("n_lang") >= MIN_ROWS, F.concat_ws("\x01", F.lit("2"), "lang")).otherwise(F.lit("3")))
     groups = cut(count.join(langs, "lang", "left").select("lang", "source", F.coalesce("name", "by_lang").alias("group")))
-    rows = rows.join(groups, ["lang", "source"]).select("doc_id", "body", "group", *FEATURES)
+    rows = salted(rows, "doc_id", "body").join(per_salt(groups), ["lang", "source", "_salt"]).select("doc_id", "body", "group", "_salt", *FEATURES)
     enough = rows.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_ROWS).select("group")
 
     d = len(FEATURES)
     means, factors = [f"m{i + 1}" for i in range(d)], {(i, j): f"l{i + 1}{j + 1}" for i in range(d) for j in range(i + 1)}
     # start: medians and median absolute deviations of each statistic
-    flat = rows.select("group", F.explode(F.create_map(*[x for f in FEATURES for x in (F.lit(f), F.col(f))])).alias("feature", "value"))
+    flat = rows.select("group", "_salt", F.explode(F.create_map(*[x for f in FEATURES for x in (F.lit(f), F.col(f))])).alias("feature", "value"))
     medians = cut(_quantile(flat, ["group", "feature"], F.col("value"), 0.5).withColumnRenamed("q", "median"))
-    spread = _quantile(flat.join(medians, ["group", "feature"]), ["group", "feature"], F.abs(F.col("value") - F.col("median")), 0.5)
+    spread = _quantile(flat.join(per_salt(medians), ["group", "feature", "_salt"]), ["group", "feature"], F.abs(F.col("value") - F.col("median")), 0.5)
     start = medians.join(spread, ["group", "feature"]).groupBy("group").pivot("feature", list(FEATURES)).agg(F.first("median").alias("m"), F.first("q").alias("q"))
     first = [F.col(f"{f}_m").alias(f"m{i + 1}") for i, f in enumerate(FEATURES)]
     for i in range(d):
@@ -192,12 +193,12 @@ def quality_verdicts(docs: DataFrame, *, min_words: int = 50, max_repeat: tuple[
     inner = chi2_quantile(SUPPORT, d)
     scale = SUPPORT / chi2_cdf(inner, d + 2)  # what the scatter of the inner rows lacks under normality
     for _ in range(STEPS):
-        placed = rows.join(estimate, "group").withColumn("place", F.log1p(_distance(means, factors)))
+        placed = rows.join(per_salt(estimate), ["group", "_salt"]).withColumn("place", F.log1p(_distance(means, factors)))
         bound = _quantile(placed, ["group"], F.col("place"), SUPPORT)
-        near = placed.join(bound, "group").where(F.floor(F.least("place", F.lit(1e6)) * _GRID) / _GRID <= F.col("q"))
+        near = placed.join(per_salt(bound), ["group", "_salt"]).where(F.floor(F.least("place", F.lit(1e6)) * _GRID) / _GRID <= F.col("q"))
         estimate = cut(_estimate(near.select("group", *FEATURES), scale))
     limit = chi2_quantile(1 - tail, d)
-    far = rows.join(estimate.join(enough, "group"), "group").select("doc_id", "body", _distance(means, factors).alias("distance"))
+    far = rows.join(per_salt(estimate.join(enough, "group")), ["group", "_salt"]).select("doc_id", "body", _distance(means, factors).alias("distance"))
     far = far.groupBy(F.col("doc_id").alias("d_id"), F.col("body").alias("d_body")).agg(F.max("distance").alias("distance"))
     out = stats.join(far, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("body") == F.col("d_body")), "left")
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
