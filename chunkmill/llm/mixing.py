@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stage
+from .common import WORD, per_salt, salted, stage
 
 #: Parts of an epoch whose token sums are added up before the one part at the cut is sorted.
 TICKET_DIGITS = 3
@@ -82,8 +82,8 @@ def mix_sources(
     Tokens are words between ASCII white space. Epoch e of a leaf is ordered by md5("seed:e:doc_id").
 
     Scale: texts are read once; sizes go to a staged table. An epoch is cut without sorting it: token
-    sums over 4,096 ranges of the md5 give the range at the cut, and only its rows are sorted. So a leaf
-    with a third of all rows is no single task.
+    sums over 4,096 ranges of the md5 give the range at the cut, and only its rows are sorted. Rows
+    meet their leaf's budget on the leaf and a salt. So a leaf with a third of all rows is no single task.
 
     Edge cases: null path values count as "". A weight of 0 gives a node nothing, and leaves without
     tokens get nothing. Rows that repeat a doc_id are rows of their own; ties in md5 are taken by doc_id
@@ -102,7 +102,7 @@ def mix_sources(
     budgets = stage(budgets, "budgets")  # a row for each leaf
 
     ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    drawn = sizes.join(budgets, levels).withColumn("ticket", ticket).withColumn("range", F.substring("ticket", 1, TICKET_DIGITS))
+    drawn = salted(sizes, "doc_id", "body").join(per_salt(budgets), [*levels, "_salt"]).drop("_salt").withColumn("ticket", ticket).withColumn("range", F.substring("ticket", 1, TICKET_DIGITS))
     ranges = drawn.groupBy(*levels, "range", "rest").agg(F.sum("n_tokens").alias("range_tokens"))
     upto = Window.partitionBy(*levels).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(*levels, "range", "range_tokens", F.coalesce(F.sum("range_tokens").over(upto), F.lit(0)).alias("before"))
