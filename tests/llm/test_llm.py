@@ -7,6 +7,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ import brute
 import corpus_pipeline
 from oracle import SF, same
 
-from chunkmill.llm import binary_tokens, chat, decontaminate, line_dedup, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup
+from chunkmill.llm import binary_tokens, chat, decontaminate, line_dedup, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, textkernels
 from chunkmill.llm.oracle import ORACLE_SQL
 from chunkmill.llm.queries import QUERIES, mix_path, tokenizer_path
 
@@ -152,6 +153,13 @@ def test_encoder_is_the_tokenizer():
         assert list(next(fast.encode([text.encode()]))) == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_makes_room_for_other_operators():
+    first = binary_tokens.encoder_of(tokenizer_path(), False)
+    assert binary_tokens.encoder_of(tokenizer_path(), False) is first
+    textkernels.words_of(pa.array(["a b"]), textkernels.RAW_WORDS)
+    assert not textkernels.KEPT
+
+
 def test_chat_edges(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 1, "assistant", "yo"), (1, 2, None, None), (2, 0, "system", "only"), (3, 70, "user", "late")]
     out = {(r["conv_id"], r["part"], r["perspective"]): r for r in chat.rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
