@@ -170,6 +170,28 @@ def test_chat_edges(spark):
     assert row["rendered"][slice(*span)] == "yo<|end|>"
 
 
+def test_long_dialogue_is_one_rendering(spark):
+    """Pieces of a dialogue of many parts, put together, against the whole; a null id and a hot dialogue of several blocks among them."""
+    names = ["Ann", "bo", "système"]
+    said = {c: [(t, names[(t + c) % 2] if t != 70 else names[2], f"é{t} " * (t % 4)) for t in range(1, n)] for c, n in ((1, 66), (2, 9000), (3, 60))}
+    said[None] = [(t, "Ann" if t < 64 else "bo", f"n{t}") for t in range(1, 130, 3)]
+    said = {c: [(0, "system", f"rules {c}"), *turns] for c, turns in said.items()}
+    df = spark.createDataFrame([(c, *turn) for c, turns in said.items() for turn in turns], "conv_id long, turn long, role string, text string").repartition(5)
+    got = {}
+    for r in sorted(chat.rotate_perspectives(df).collect(), key=lambda r: r["part"]):
+        got.setdefault((r["conv_id"], r["perspective"]), []).append(r)
+    expected = {}
+    for c, turns in said.items():
+        for view in {r for _, r, _ in turns} - {"system"}:
+            text, mask = "", []
+            for _, role, words in turns:
+                text += {view: "<|assistant|>", "system": "<|system|>"}.get(role, f"<|user:{role}|>") + "\n"
+                mask += [f"{len(text)}:{len(text) + len(words) + 7}"] if role == view else []
+                text += f"{words}<|end|>\n"
+            expected[c, view] = (text, ",".join(mask), len(turns), len(mask), sorted({t // 64 for t, _, _ in turns}))
+    assert expected == {k: ("".join(r["rendered"] for r in rows), ",".join(r["mask"] for r in rows if r["mask"]), sum(r["n_turns"] for r in rows), sum(r["n_masked"] for r in rows), [r["part"] for r in rows]) for k, rows in got.items()}
+
+
 def test_quality_counts(docs, cases):
     out = quality_rules.quality_verdicts(docs)
     assert by_id(out, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed") == {d: brute.quality_counts(t) for d, t in cases}
