@@ -1,7 +1,8 @@
 """PII: bootstrapped contextual extraction of emails, IP addresses, card and phone numbers.
 
 Native. Patterns of fixed form find the base spans, which seed the method. Every mention (a word with a
-digit or "@") is an instance; the two words before it are a lexical pattern. Instances and patterns make
+digit or "@", or a run of number words with single spaces) is an instance; the two words before it are a
+lexical pattern. A base span is one instance, however many words it has. Instances and patterns make
 a bipartite graph. In each round a pattern of a kind scores the mean confidence of its distinct
 instances, an instance the best score of its patterns, and instances over the threshold whose shape
 could be of the kind join the seeds. What joined beyond the base are identifiers that no fixed form knew.
@@ -25,8 +26,14 @@ FORMS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _SPACE = r"\x20\x09-\x0D"
-#: A word with a digit or "@".
-MENTION = rf"(?<![^{_SPACE}])(?=[^{_SPACE}0-9@]*+[0-9@])[^{_SPACE}]++"
+_TAIL = rf"[^{_SPACE}0-9A-Za-z@]*+"
+_ENDS = rf"(?={_TAIL}(?:[{_SPACE}]|\z))"
+# a word of a spaced phone or card number; what looks like an IP address stays a word of its own
+_NUMBER = rf"(?![0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{2,3}}(?![0-9]))[0-9][0-9().-]*+{_ENDS}"
+#: A run of number words, or else a word with a digit or "@".
+MENTION = rf"(?<![^{_SPACE}])(?:[^{_SPACE}0-9A-Za-z@+(]*+[+(]*+{_NUMBER}(?:\x20[(]*+{_NUMBER})++{_TAIL}|(?=[^{_SPACE}0-9@]*+[0-9@])[^{_SPACE}]++)"
+# the longest start of a run that ends with a word and has digits for the kind
+_RUNS = {"card": rf"^(?:[0-9][\x20-]*+){{11,18}}[0-9]{_ENDS}", "phone": rf"^[+(]*+(?:[0-9][().\x20-]*+){{6,14}}[0-9]\)*+{_ENDS}"}
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -34,7 +41,7 @@ def _valid(kind: str, match: Column) -> Column:
         return F.lit(True)
     if kind == "ip":
         return F.forall(F.split(match, r"\."), lambda p: F.char_length(F.ltrim(p, F.lit("0"))) < 4) & F.forall(F.split(match, r"\."), lambda p: F.coalesce(F.ltrim(p, F.lit("0")).try_cast("int"), F.lit(0)) <= 255)
-    digits = F.regexp_replace(match, "[^0-9]", "")
+    digits = _digits(match)
     if kind == "phone":
         return F.char_length(digits).between(8, 15)
     doubled = F.transform(F.split(F.reverse(digits), ""), lambda d, i: F.when(i % 2 == 1, d.try_cast("int") * 2 - F.when(d.try_cast("int") > 4, 9).otherwise(0)).otherwise(d.try_cast("int")))
@@ -42,15 +49,21 @@ def _valid(kind: str, match: Column) -> Column:
     return F.when(F.char_length(digits).between(16, 19), luhn).otherwise(F.lit(False))
 
 
-def _shape(kind: str, core: Column) -> Column:
-    """Whether a mention found by context could be of the kind."""
-    digits = F.char_length(F.regexp_replace(core, "[^0-9]", ""))
-    return {
+def _digits(match: Column) -> Column:
+    return F.regexp_replace(match, "[^0-9]", "")
+
+
+def _candidate(kind: str, core: Column) -> Column:
+    """What of a mention found by context could be of the kind: all of a word, the start of a run, or null."""
+    digits = F.char_length(_digits(core))
+    word = {
         "email": core.rlike("^[^@]+@[^@]+$"),
         "ip": core.rlike(r"^[0-9]{1,3}(?:[.:][0-9]{1,3}){2,3}$") | core.rlike("^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}$"),
         "card": core.rlike("^[0-9-]+$") & digits.between(12, 19),
         "phone": core.rlike(r"^[0-9().+-]+$") & digits.between(7, 15),
     }[kind]
+    run = F.nullif(F.regexp_extract(core, _RUNS[kind], 0), F.lit("")) if kind in _RUNS else F.lit(None).cast("string")
+    return F.when(core.contains(" "), run).when(word, core)
 
 
 def _matches(base: DataFrame, what: str, form: str) -> DataFrame:
@@ -71,10 +84,14 @@ def _matches(base: DataFrame, what: str, form: str) -> DataFrame:
 
 
 def base_spans(base: DataFrame) -> DataFrame:
-    """(doc_id, body, kind, start, end) of the fixed forms that pass their kind's test."""
+    """(doc_id, body, kind, start, end, instance) of the fixed forms that pass their kind's test.
+
+    ``instance`` is the match, of cards and phones its digits.
+    """
     out = None
     for kind in KINDS:
-        spans = _matches(base, kind, FORMS[kind]).where(_valid(kind, F.col("match"))).select("doc_id", "body", "kind", "start", "end")
+        spans = _matches(base, kind, FORMS[kind]).where(_valid(kind, F.col("match")))
+        spans = spans.select("doc_id", "body", "kind", "start", "end", (_digits(F.col("match")) if kind in _RUNS else F.col("match")).alias("instance"))
         out = spans if out is None else out.unionByName(spans)
     return out
 
@@ -82,7 +99,9 @@ def base_spans(base: DataFrame) -> DataFrame:
 def find_personal_data(docs: DataFrame, *, rounds: int = 3, threshold: float = 0.9, min_seeds: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, body, kind, start, end, base): one row per span, ``base`` false for those that the method adds.
 
-    Positions are code points, end exclusive. A pattern counts from ``min_seeds`` distinct seeds of a
+    Positions are code points, end exclusive. An added card or phone is the longest start of a run of number
+    words that has digits for its kind, as the fixed forms are greedy, too. A mention without a word between
+    it and the last mention has no pattern. A pattern counts from ``min_seeds`` distinct seeds of a
     kind on and an instance joins a kind at ``threshold``.
 
     Scale: what leaves a task is a row per match; texts are never shuffled. Mentions and spans are staged,
@@ -101,32 +120,36 @@ def find_personal_data(docs: DataFrame, *, rounds: int = 3, threshold: float = 0
     last = lambda n: F.regexp_extract("gap", rf"([^{_SPACE}]+)(?:[{_SPACE}]+[^{_SPACE}]+){{{n}}}[{_SPACE}]*$", 1)
     words = words.select(
         "doc_id", "body", (F.col("start") + lead).alias("start"), (F.col("start") + lead + F.char_length(core)).alias("end"), core.alias("core"),
-        F.lower(F.concat_ws(" ", last(1), last(0))).alias("pattern"),
-    ).where("core <> '' and pattern <> ''")
+        (F.col("start") + F.char_length(F.regexp_extract("match", "^[^ ]*", 0))).alias("first_end"), F.lower(F.concat_ws(" ", last(1), last(0))).alias("pattern"),
+    ).where("core <> '' and trim(pattern) <> ''")
+    ways = {k: _candidate(k, F.col("core")) for k in KINDS}
+    digits = F.when(ways["ip"].isNull(), F.coalesce(_digits(ways["card"]), _digits(ways["phone"])))
+    words = words.withColumns({"instance": F.coalesce(digits, "core"), "kinds": F.filter(F.array(*[F.struct(F.lit(k).alias("kind"), F.char_length(c).alias("length")) for k, c in ways.items()]), lambda k: k["length"].isNotNull())})
     mentions = stage(words, "mentions")
 
     same = (F.col("m.doc_id").eqNullSafe(F.col("s.doc_id"))) & (F.col("m.body") == F.col("s.body"))
     meets = same & (F.col("m.start") < F.col("s.end")) & (F.col("m.end") > F.col("s.start"))
     met = mentions.alias("m").join(fixed.alias("s"), meets)
-    known = met.where("s.start >= m.start").select(F.col("m.pattern"), F.col("m.core"), F.col("s.kind")).distinct()
-    free = mentions.alias("m").join(fixed.alias("s"), meets, "left_anti")
-    shapes = F.filter(F.array(*[F.when(_shape(k, F.col("core")), F.lit(k)) for k in KINDS]), lambda k: k.isNotNull())
-    loose = stage(free.withColumn("kinds", shapes), "loose")
+    # a span is an instance where it starts; the words that it goes on to are none
+    met = stage(met.where("s.start >= m.start").select("m.pattern", F.when(F.col("s.start") < F.col("m.first_end"), F.col("s.kind")).alias("kind"), F.when(F.col("s.start") < F.col("m.first_end"), F.col("s.instance")).otherwise(F.col("m.instance")).alias("instance")).distinct(), "met")
+    known = met.where("kind is not null").select("pattern", "instance", "kind")
+    loose = stage(mentions.alias("m").join(fixed.alias("s"), meets, "left_anti"), "loose")
 
     # distinct instances of each pattern, seeds or not: the denominator of its score
-    edges = stage(met.select("m.pattern", "m.core").union(loose.select("pattern", "core")).distinct(), "edges")
+    edges = stage(met.select("pattern", "instance").union(loose.select("pattern", "instance")).distinct(), "edges")
     degree = edges.groupBy("pattern").agg(F.count("*").alias("degree"))
-    open_edges = loose.select("pattern", "core", F.explode("kinds").alias("kind")).distinct()
+    open_edges = loose.select("pattern", "instance", F.explode("kinds.kind").alias("kind")).distinct()
     seeds = known.withColumn("confidence", F.lit(1.0))
     for _ in range(rounds):
         scores = seeds.groupBy("pattern", "kind").agg(F.sum("confidence").alias("sum"), F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds)
         scores = scores.join(degree, "pattern").select("pattern", "kind", (F.col("sum") / F.col("degree")).alias("score"))
-        best = open_edges.join(scores, ["pattern", "kind"]).groupBy("core", "kind").agg(F.max("score").alias("confidence")).where(F.col("confidence") >= threshold)
+        best = open_edges.join(scores, ["pattern", "kind"]).groupBy("instance", "kind").agg(F.max("score").alias("confidence")).where(F.col("confidence") >= threshold)
         joined = stage(best, "joined")
-        seeds = known.withColumn("confidence", F.lit(1.0)).unionByName(open_edges.join(joined, ["core", "kind"]).select("pattern", "core", "kind", "confidence"))
+        seeds = known.withColumn("confidence", F.lit(1.0)).unionByName(open_edges.join(joined, ["instance", "kind"]).select("pattern", "instance", "kind", "confidence"))
     columns = ["doc_id", "body", "kind", "start", "end"]
-    added = loose.withColumn("kind", F.explode("kinds")).join(joined.select("core", "kind"), ["core", "kind"], "left_semi").select(*columns).distinct()
-    return fixed.withColumn("base", F.lit(True)).unionByName(added.withColumn("base", F.lit(False)))
+    added = loose.select("doc_id", "body", "start", "instance", F.explode("kinds").alias("way")).select("doc_id", "body", "way.kind", "start", (F.col("start") + F.col("way.length")).alias("end"), "instance")
+    added = added.join(joined.select("instance", "kind"), ["instance", "kind"], "left_semi").select(*columns).distinct()
+    return fixed.select(*columns, F.lit(True).alias("base")).unionByName(added.withColumn("base", F.lit(False)))
 
 
 def spans_by_document(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

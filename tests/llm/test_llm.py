@@ -111,6 +111,23 @@ def test_pii_finds_what_the_fixed_forms_miss(spark):
     assert out[13] == (0, "") and out[14] == (0, "")
 
 
+def test_pii_of_several_words_is_one_instance(spark):
+    """Spaced phones with one country code and spaced cards with one prefix seed their contexts; unseen forms join them whole."""
+    cards = [c for c in (f"4111 1111 22{i // 10}{i % 10} 0{j}00" for i in range(60) for j in range(10)) if brute.pii_base(c)]
+    texts = [f"You can call me at +1 ({200 + i}) 555-{3000 + i} today" for i in range(40)] + [f"My card number is {c}, thanks" for c in cards[:40]]
+    new = {"phone": ["(743) 555-9999", "743 555 1234", "743-555-8888"], "card": ["3782 822463 10005"]}
+    at = len(texts)
+    texts += [f"You can call me at {p} today" for p in new["phone"]] + [f"My card number is {c}, thanks" for c in new["card"]]
+    texts += ["It took 743 555 1111 steps", "Table 12 7 9 of 1999 2000"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = by_id(pii.spans_by_document(docs, pii.find_personal_data(docs)), "base_spans", "spans")
+    assert {d: out[d][1] for d in range(at)} == {d: brute.spans_text(brute.pii_base(texts[d])) for d in range(at)} == {d: out[d][0] for d in range(at)}
+    for d, (kind, found) in enumerate([(k, x) for k in new for x in new[k]], at):
+        start = texts[d].index(found)
+        assert out[d] == ("", f"{kind}:{start}:{start + len(found)}")
+    assert out[len(texts) - 2] == out[len(texts) - 1] == ("", "")
+
+
 @pytest.mark.parametrize("limit", [200, 0])
 def test_near_duplicates(docs, cases, limit):
     out = near_dedup.near_duplicates(docs, bucket_pairs=limit)
