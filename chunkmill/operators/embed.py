@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
+from itertools import islice
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,8 +70,6 @@ def embed_chunks(chunks: DataFrame, provider: EmbeddingProvider, batch: int = BA
 
 def batch_ids(order: Column, partition: Column | None = None, size: int = BATCH) -> Column:
     """0-based batch of each row when rows are taken ``size`` at a time in order."""
-    from pyspark.sql import Window
-
     window = Window.partitionBy(partition).orderBy(order) if partition is not None else Window.orderBy(order)
     return F.floor((F.row_number().over(window) - 1) / size)
 
@@ -83,16 +82,23 @@ def cosine(a: Column, b: Column) -> Column:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", max_queries: int = 10_000) -> DataFrame:
     """(query_id, id, similarity, rank): exact cosine top-k of each query against all rows but itself.
 
-    Queries are counted; up to ``max_queries`` they are sent to every task, and each task keeps its own k
-    best of each query before the shuffle, so rows moved are tasks times queries times k. More queries
-    are an error: run them in blocks.
+    Queries are dealt to blocks of at most ``max_queries``, and the driver holds one block at a time. A block
+    is sent to every task, and each task keeps its own k best of each query before the shuffle, so rows moved
+    are tasks times queries times k. The vectors are read once for each block.
     """
-    if queries.count() > max_queries:
-        raise ValueError(f"more than {max_queries} queries; run them in blocks")
     q = queries.select(F.col(id_col).alias("query_id"), F.col(vector_col).cast("array<float>").alias("q"))
-    table = q.collect()  # bounded by the count
-    ids = [r["query_id"] for r in table]
-    matrix = np.array([r["q"] for r in table], dtype=np.float64).reshape(len(table), -1)
+    rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
+    dealt = q.repartition(max(1, -(-queries.count() // max_queries))).toLocalIterator()
+    found = None
+    while (block := list(islice(dealt, max_queries))) or found is None:
+        best = rows.mapInArrow(_best_rows([r["query_id"] for r in block], [r["q"] for r in block], k), "query_id long, id long, similarity double")
+        found = best if found is None else found.union(best)
+    window = Window.partitionBy("query_id").orderBy(F.round("similarity", 9).desc(), "id")
+    return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+
+
+def _best_rows(ids: list[int], vectors: list[list[float]], k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    matrix = np.array(vectors, dtype=np.float64).reshape(len(ids), -1 if ids else 0)
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,9 +115,4 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
                 top = np.flatnonzero((scores >= kth) & np.isfinite(scores))
                 yield pa.RecordBatch.from_arrays([pa.array([ids[i]] * len(top), pa.int64()), pa.array(have[top], pa.int64()), pa.array(scores[top])], ["query_id", "id", "similarity"])
 
-    from pyspark.sql import Window
-
-    rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
-    found = rows.mapInArrow(best, "query_id long, id long, similarity double")
-    window = Window.partitionBy("query_id").orderBy(F.round("similarity", 9).desc(), "id")
-    return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    return best

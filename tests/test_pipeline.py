@@ -1,12 +1,13 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from chunkmill.cli import main
 from chunkmill.config import Settings
 from chunkmill.operators.chunking import Limits, chunk_units
-from chunkmill.operators.embed import HashEmbedding
+from chunkmill.operators.embed import HashEmbedding, nearest
 from chunkmill.plans import pipeline
 from chunkmill.sources.legal_xml import parse_documents, parse_units
 from chunkmill.sources.store import ChunkStore, read_jsonl, write_jsonl
@@ -162,3 +163,16 @@ def test_enrichers(spark):
     assert registry.remove("document_info") and not registry.remove("document_info")
     row = registry.enrich(spark.createDataFrame([("a-b", "see lov/2005-05-20-28")], "chunk_id string, text string")).first()
     assert row["depth_level"] == 9 and row["outgoing_refs"] == ["lov/2005-05-20-28"] and registry.names()[-1] == "last"
+
+
+def test_nearest_in_blocks_of_queries(spark):
+    """More queries than a block holds give what one block gives, which is the plain top-k; no queries give nothing."""
+    made = np.random.default_rng(3).normal(size=(60, 5)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)], "vec_id long, embedding array<float>").repartition(3)
+    unit = made.astype(np.float64) / np.linalg.norm(made.astype(np.float64), axis=1, keepdims=True)
+    scores = unit @ unit.T
+    expected = {(i, int(j), n) for i in range(0, 60, 3) for n, j in enumerate([j for j in np.argsort(-scores[i], kind="stable") if j != i][:4], 1)}
+    for size in (7, 10_000):
+        found = nearest(vectors, vectors.where("vec_id % 3 = 0"), 4, max_queries=size)
+        assert {(r["query_id"], r["id"], r["rank"]) for r in found.collect()} == expected and found.count() == len(expected)
+    assert nearest(vectors, vectors.limit(0), 4).count() == 0
