@@ -94,10 +94,10 @@ def _confirm_rows(size: int, numerator: int, denominator: int) -> Callable[[Iter
         for batch in batches:
             keep = np.zeros(len(batch), dtype=bool)
             left, right = batch.column("text_a"), batch.column("text_b")
-            ids, known, have = batch.column("a").to_pylist(), None, None
+            texts, known, have = list(zip(batch.column("a").to_pylist(), batch.column("a_body").to_pylist(), strict=True)), None, None
             for i in range(len(batch)):
-                if have is None or ids[i] != known:
-                    known, have = ids[i], shingle_sets(words_of(left.slice(i, 1), LOWER_WORDS), size)[1]
+                if have is None or texts[i] != known:
+                    known, have = texts[i], shingle_sets(words_of(left.slice(i, 1), LOWER_WORDS), size)[1]
                 other = shingle_sets(words_of(right.slice(i, 1), LOWER_WORDS), size)[1]
                 both = len(have) + len(other) - len(np.unique(np.concatenate([have, other])))
                 keep[i] = denominator * both >= numerator * (len(have) + len(other) - both) and both > 0
@@ -113,7 +113,7 @@ def _prefix_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             for part in slices(batch):
                 doc, hashed = shingle_sets(words_of(part.column("text"), LOWER_WORDS), size)
                 rows = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([part.column("rep").take(rows), pa.array(signed(hashed))], ["rep", "shingle"])
+                yield pa.RecordBatch.from_arrays([part.column("rep").take(rows), part.column("rep_body").take(rows), pa.array(signed(hashed))], ["rep", "rep_body", "shingle"])
 
     return run
 
@@ -179,14 +179,18 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, similarity: tuple[int, in
         """Of pairs (a, a_body, b, b_body), the links (a, b)."""
         a = texts.select(F.col("doc_id").alias("a"), F.col("body").alias("a_body"), F.col("text").alias("text_a"))
         b = texts.select(F.col("doc_id").alias("b"), F.col("body").alias("b_body"), F.col("text").alias("text_b"))
-        both = pairs.join(b, ["b", "b_body"]).join(a, ["a", "a_body"]).select("a", "text_a", "b", "text_b")
+        both = pairs.join(b, ["b", "b_body"]).join(a, ["a", "a_body"]).select("a", "a_body", "text_a", "b", "text_b")
         return cut(both.mapInArrow(_confirm_rows(size, numerator, denominator), f"a {id_type}, b {id_type}"))
 
     center = crowded.where("rep = center").select("band", "bucket", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a")).distinct()
     star = crowded.select("band", "bucket", F.col("rep").alias("b"), F.col("rep_body").alias("b_body"), F.col("n_shingles").alias("n_b"))
     star = star.join(center, ["band", "bucket"]).where("a <> b or a_body <> b_body").where(fits).select("a", "a_body", "b", "b_body").distinct()
     links = confirmed(star)
-    # rows of one doc_id with different sets are one document, as links go
+    # rows of one doc_id with different sets are one document, as links go: it meets the documents that stand for them
+    repeated = cut(real.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if not repeated.isEmpty():
+        own = real.select("doc_id", *whole).join(repeated, "doc_id", "left_semi").distinct().join(sets.select(*whole, "rep"), whole)
+        links = cut(links.union(own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()))
     labels = components(links)
 
     where_now = crowded.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "bucket", "rep", "rep_body", "n_shingles", F.coalesce("component", "rep").alias("component"))
@@ -223,11 +227,11 @@ def _prefix_pairs(large: DataFrame, texts: DataFrame, size: int, numerator: int,
     """
     kept = large.join(texts.select(F.col("doc_id").alias("rep"), F.col("body").alias("rep_body"), "text"), ["rep", "rep_body"])
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    shingles = stage(kept.select("rep", "text").mapInArrow(_prefix_rows(size), f"rep {id_type}, shingle long"), "shingles")
+    shingles = stage(kept.select("rep", "rep_body", "text").mapInArrow(_prefix_rows(size), f"rep {id_type}, rep_body long, shingle long"), "shingles")
     rarity = shingles.groupBy("shingle").agg(F.count("*").alias("df"))
     prefix = F.col("n_shingles") - F.ceil(F.col("n_shingles") * numerator / denominator) + 1
-    ordered = shingles.join(rarity, "shingle").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
-    first = ordered.join(large, "rep").select("rep", "rep_body", "n_shingles", "component", F.posexplode(F.slice("s", F.lit(1), prefix.cast("int"))).alias("place", "s")).where("s.df > 1")
+    ordered = shingles.join(rarity, "shingle").groupBy("rep", "rep_body").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    first = ordered.join(large, ["rep", "rep_body"]).select("rep", "rep_body", "n_shingles", "component", F.posexplode(F.slice("s", F.lit(1), prefix.cast("int"))).alias("place", "s")).where("s.df > 1")
     first = first.select("rep", "rep_body", "n_shingles", "component", F.col("s.shingle").alias("shingle"), (F.col("n_shingles") - F.col("place")).alias("left"))
     a = first.select("shingle", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"), F.col("left").alias("left_a"))
     b = first.select("shingle", F.col("rep").alias("b"), F.col("rep_body").alias("b_body"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"), F.col("left").alias("left_b"))

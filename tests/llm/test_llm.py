@@ -134,6 +134,31 @@ def test_near_duplicates(docs, cases, limit):
     assert by_id(out, "n_shingles", "component_id") == {d: x[:2] for d, x in brute.near_duplicates(cases).items()}
 
 
+@pytest.mark.parametrize("limit", [200, 0])
+def test_near_duplicates_of_repeated_ids(spark, limit):
+    """Each text of a doc_id has its own set and links; the doc_id joins what its texts are linked with."""
+    own = random.Random(5)
+    bases = [[f"w{own.randrange(300)}" for _ in range(120)] for _ in range(12)]
+    rows = []
+    for i in range(96):
+        words = list(bases[i % 12])
+        for _ in range(own.choice([0, 1, 2, 3, 4])):
+            words[own.randrange(len(words))] = own.choice(VOCABULARY)
+        rows.append((i % 12 if i < 24 and i % 3 == 0 else 1000 - i, " ".join(words)))
+    rows += [(0, rows[1][1]), (2, rows[3][1] + " x"), (2, rows[14][1]), (7, "a short one"), (7, rows[8][1]), (990, rows[40][1])]
+    alone = brute.near_duplicates(list(enumerate(t for _, t in rows)))
+    expected = {d: d for d, _ in rows}
+    for _ in rows:  # the least doc_id reached over links and over rows of one doc_id
+        least = {}
+        for i, (d, _) in enumerate(rows):
+            least[alone[i][1]] = min(least.get(alone[i][1], d), expected[d])
+        for i, (d, _) in enumerate(rows):
+            expected[d] = min(expected[d], least[alone[i][1]])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = near_dedup.near_duplicates(docs, bucket_pairs=limit).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, out)) == sorted((d, alone[i][0], expected[d]) for i, (d, _) in enumerate(rows))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 12)] + [(100, 101), (101, 102), (102, 100)] + [(50 + i, 50) for i in range(1, 9)]
     rows = near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()
