@@ -27,8 +27,9 @@ TAIL = 1e-6
 FEATURES: dict[str, tuple[str, float]] = {
     "f1": ("ln(word_chars / n_words)", 0.1),
     "f2": ("ln(1 + 100D * n_symbols / n_words)", 0.6),
-    "f3": ("ln(1 + 100D * n_dup_lines / n_lines)", 1.0),
-    "f4": ("ln(1 + 100D * n_repeat_words / n_words)", 1.0),
+    # shares as they are: a logarithm ends so early that not even the largest share could pass the limit
+    "f3": ("double(n_dup_lines) / n_lines", 0.15),
+    "f4": ("double(n_repeat_words) / n_words", 0.08),
 }
 _GRID = 64  # bins of a unit when quantiles are taken
 

@@ -246,6 +246,18 @@ def test_quality_outliers(spark):
     assert [d for d, (kept,) in by_id(quality_rules.quality_verdicts(docs), "kept").items() if not kept] == [200]
 
 
+def test_quality_outliers_by_repeats_alone(spark):
+    """Mostly duplicate lines, or nearly half of the words repeated, reject a text that is typical otherwise; a few do not."""
+    own = random.Random(11)
+    plain = lambda n: " ".join(f"{own.choice('abcdef')}{own.randrange(900)}word" for _ in range(n))
+    again = plain(4)
+    odd = ["\n".join([plain(400), *["a12word"] * 40]), " ".join([plain(102), *[again] * 24])]
+    few = ["\n".join([*["a12word"] * 2, *[plain(6) for _ in range(20)]]), " ".join([plain(100), *[again] * 3])]
+    docs = spark.createDataFrame([(d, t, "en", "s") for d, t in enumerate([plain(80) for _ in range(200)] + odd + few)], "doc_id long, text string, lang string, source string")
+    out = by_id(quality_rules.quality_verdicts(docs), "kept", "base_failed")
+    assert sorted(d for d, (kept, _) in out.items() if not kept) == [200, 201] and not any(failed for _, failed in out.values())
+
+
 def test_classifier(spark):
     good = [(i, passage(60)) for i in range(150)]
     bad = [(1000 + i, passage(30).replace(" ", "$$$ ")) for i in range(100)]
