@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +41,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are staged inside are removed at the end, when what was made of them has been written."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage(df: DataFrame, kind: str) -> DataFrame:
-    """``df`` written as Parquet to a new table in the shared folder and read again (columns prune, unlike ``cut``)."""
+    """``df`` written as Parquet to a new table in the shared folder and read again (columns prune, unlike ``cut``).
+
+    The table stays until the ``scratch`` around it ends; without one, until the folder is cleaned.
+    """
     path = f"{shared_dir(df.sparkSession)}/{kind}-{uuid.uuid4().hex}"
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -51,7 +73,8 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
 
 
-#: Parts that the rows of a group are dealt to when they are joined with the group's one row.
+#: Parts that the rows of a group are dealt to when they are joined with the group's one row, from a staged table:
+#: both sides of the join are plain shuffles, so Spark splits parts that are still too large.
 SPREAD = 32
 
 

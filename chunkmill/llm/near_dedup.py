@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, keyed, stage
-from .textkernels import LOWER_WORDS, U64, Words, mix, ngram_hashes, sequence_hashes, signed, slices, window_starts, words_of
+from .textkernels import LOWER_WORDS, U64, Words, mix, ngram_hashes, sequence_hashes, signed, slices, tidy, window_starts, words_of
 
 BINS, BAND = 128, 4
 BANDS = BINS // BAND
 #: Cross-component pairs of one bucket beyond which its members go through the prefix filter, which costs a row per shingle.
 BUCKET_PAIRS = 200
+#: Rows that a component has of one shingle beyond which they aren't joined on the shingle alone. Neither number changes results.
+CROWD = 16
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,27 +120,34 @@ def _prefix_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
-def components(edges: DataFrame, limit: int = 10_000) -> DataFrame:
+def components(edges: DataFrame, limit: int = 200) -> DataFrame:
     """(id, component): the least id that each end of an edge (a, b) reaches.
 
-    A label hangs on its least smaller neighbour, then on that one's; an edge then joins the two ends'
-    labels, and edges within one label are gone. Every round is cut. Stars take a few rounds; a chain of
-    ascending ids loses only two of its links in a round, so rounds can grow with a component's diameter.
+    Contraction by random priorities: every label hangs on the neighbour of least priority, if that is less
+    than its own, then on that one's; an edge joins the two ends' labels, and edges within one label are
+    gone. A fixed share of the labels goes in a round whatever the graph's shape, as priorities are drawn
+    anew every second round (a star is done in two of one draw), so rounds grow with the logarithm of the
+    labels, chains included. Every round is cut.
     """
-    id_type = edges.schema["a"].dataType
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    labels = cut(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().withColumn("component", F.col("id").cast(id_type)))
-    for _ in range(limit):
+    labels = cut(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().withColumn("component", F.col("id")))
+    for number in range(limit):
         if edges.isEmpty():
-            return labels
-        hook = edges.groupBy("a").agg(F.min("b").alias("to"))  # every larger label hangs on its least smaller one
+            break
+        place = lambda c, seed=number // 2: F.xxhash64(F.lit(seed), c)
+        ends = edges.select("a", F.col("b").alias("to")).union(edges.select(F.col("b").alias("a"), F.col("a").alias("to")))
+        ends = ends.where(place(F.col("to")) < place(F.col("a")))
+        hook = cut(ends.groupBy("a").agg(F.min(F.struct(place(F.col("to")).alias("place"), F.col("to"))).alias("least")).select("a", F.col("least.to").alias("to")))
         jumped = hook.join(hook.select(F.col("a").alias("to"), F.col("to").alias("next")), "to", "left").select("a", F.coalesce("next", "to").alias("to"))
         jumped = cut(jumped)
         labels = cut(labels.join(jumped.withColumnRenamed("a", "component"), "component", "left").select("id", F.coalesce("to", "component").alias("component")))
         moved = edges.join(jumped, "a", "left").select("b", F.coalesce("to", "a").alias("x"))
         moved = moved.join(jumped.select(F.col("a").alias("b"), F.col("to").alias("y")), "b", "left").select("x", F.coalesce("y", "b").alias("y"))
         edges = cut(moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).where("a <> b").distinct())
-    raise RuntimeError(f"no fixed point in {limit} rounds")
+    else:
+        raise RuntimeError(f"no fixed point in {limit} rounds")
+    least = cut(labels.groupBy("component").agg(F.min("id").alias("least")))
+    return cut(labels.join(least, "component").select("id", F.col("least").alias("component")))
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, similarity: tuple[int, int] = (75, 100), bucket_pairs: int = BUCKET_PAIRS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,72 +155,76 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, similarity: tuple[int, in
 
     Two documents are linked if their sets of distinct ``size``-word shingles (words between ASCII white
     space, A-Z lower-cased; fewer words are one shingle) have a Jaccard similarity of at least
-    ``similarity``. A pair at 0.75 shares no band with probability 5e-6; what shares one is decided on
-    the full sets.
+    ``similarity``. A pair shares a band by chance alone: README.md has the recall by set size, measured.
+    What shares one is decided on the full sets.
 
-    Scale: texts are read once for fingerprints, which are staged, and shuffled again only for pairs.
-    Shuffled besides are 32 band rows per distinct set. Buckets give one pair per member, and pairs
-    across components only.
+    Scale: texts are read once for fingerprints, which are staged, and shuffled once more, of which those
+    whose set shares a bucket with another are staged. Shuffled besides are 32 band rows per distinct set.
+    Buckets give one pair per member, and pairs across components only. Each join on a bucket, a set or a
+    centre has staged tables or rows not yet aggregated on both sides, so Spark splits the partitions of
+    hot ones. Components take rounds in the logarithm of the linked documents.
 
     Edge cases: documents without words or with a null text have no shingles and are linked with
     nothing. Rows that repeat a doc_id are one document if their texts agree, else the doc_id's rows are
-    linked through it. Rows without doc_id take no part and are their own component (null). Other columns are
-    ignored; an empty table gives an empty result.
+    linked through it. Rows without doc_id take no part and are their own component (null). A very long text
+    is hashed block by block; what is held of it is some 50 bytes a word. Other columns are ignored; an
+    empty table gives an empty result.
     """
     base = keyed(docs, id_col, text_col)
     id_type = base.schema["doc_id"].dataType.simpleString()
-    prints = stage(base.mapInArrow(_fingerprint_rows(size), f"doc_id {id_type}, body long, n_shingles long, set1 long, set2 long, bands array<long>"), "prints")
+    prints = stage(base.mapInArrow(tidy(_fingerprint_rows(size)), f"doc_id {id_type}, body long, n_shingles long, set1 long, set2 long, bands array<long>"), "prints")
     real = prints.where("n_shingles > 0 and doc_id is not null")
     whole = ["n_shingles", "set1", "set2"]
     # a set's least document stands for it; its text is known by (rep, rep_body)
-    sets = real.groupBy(*whole).agg(F.min(F.struct("doc_id", "body", "bands")).alias("least"))
-    sets = sets.select(*whole, F.col("least.doc_id").alias("rep"), F.col("least.body").alias("rep_body"), F.col("least.bands").alias("bands"))
-    member = sets.select("rep", "rep_body", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
-    stars = member.groupBy("band", "bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("most")).where("center < most").select("band", "bucket", "center")
-    crowded = stage(member.join(stars, ["band", "bucket"]), "members")  # members of buckets with two or more
+    sets = real.groupBy(*whole).agg(F.min(F.struct("doc_id", "body")).alias("least"))
+    sets = stage(sets.select(*whole, F.col("least.doc_id").alias("rep"), F.col("least.body").alias("rep_body")), "sets")
+    own = (F.col("doc_id") == F.col("rep")) & (F.col("body") == F.col("rep_body"))
+    banded = stage(real.select("doc_id", "body", "bands").join(sets.select("rep", "rep_body", "n_shingles"), own).dropDuplicates(["rep", "rep_body"]).select("rep", "rep_body", "n_shingles", "bands"), "bands")
+    member = banded.select("rep", "rep_body", "n_shingles", F.explode("bands").alias("bucket"))  # a bucket's hash holds its band
+    stars = stage(member.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("most")).where("center < most").select("bucket", "center"), "stars")
+    crowded = stage(member.join(stars, "bucket"), "members")  # members of buckets with two or more
 
     numerator, denominator = similarity
-    sizes = sets.select("rep", "rep_body", "n_shingles")
     fits = F.least("n_a", "n_b") * denominator >= F.greatest("n_a", "n_b") * numerator
-    texts = base.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "body"])
+    met = crowded.select(F.col("rep").alias("doc_id"), F.col("rep_body").alias("body")).distinct()
+    texts = stage(base.join(met, ["doc_id", "body"]).dropDuplicates(["doc_id", "body"]), "texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Of pairs (a, a_body, b, b_body), the links (a, b)."""
         a = texts.select(F.col("doc_id").alias("a"), F.col("body").alias("a_body"), F.col("text").alias("text_a"))
         b = texts.select(F.col("doc_id").alias("b"), F.col("body").alias("b_body"), F.col("text").alias("text_b"))
         both = pairs.join(b, ["b", "b_body"]).join(a, ["a", "a_body"]).select("a", "a_body", "text_a", "b", "text_b")
-        return cut(both.mapInArrow(_confirm_rows(size, numerator, denominator), f"a {id_type}, b {id_type}"))
+        return cut(both.mapInArrow(tidy(_confirm_rows(size, numerator, denominator)), f"a {id_type}, b {id_type}"))
 
-    center = crowded.where("rep = center").select("band", "bucket", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a")).distinct()
-    star = crowded.select("band", "bucket", F.col("rep").alias("b"), F.col("rep_body").alias("b_body"), F.col("n_shingles").alias("n_b"))
-    star = star.join(center, ["band", "bucket"]).where("a <> b or a_body <> b_body").where(fits).select("a", "a_body", "b", "b_body").distinct()
+    center = crowded.where("rep = center").select("bucket", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a"))
+    star = crowded.select("bucket", F.col("rep").alias("b"), F.col("rep_body").alias("b_body"), F.col("n_shingles").alias("n_b"))
+    star = star.join(center, "bucket").where("a <> b or a_body <> b_body").where(fits).select("a", "a_body", "b", "b_body")
+    star = stage(star.distinct(), "pairs")
     links = confirmed(star)
     # rows of one doc_id with different sets are one document, as links go: it meets the documents that stand for them
     repeated = cut(real.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
     if not repeated.isEmpty():
-        own = real.select("doc_id", *whole).join(repeated, "doc_id", "left_semi").distinct().join(sets.select(*whole, "rep"), whole)
-        links = cut(links.union(own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()))
+        named = real.select("doc_id", *whole).join(repeated, "doc_id", "left_semi").distinct().join(sets.select(*whole, "rep"), whole)
+        links = cut(links.union(named.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()))
     labels = components(links)
 
-    where_now = crowded.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "bucket", "rep", "rep_body", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    kinds = where_now.groupBy("band", "bucket", "component").agg(F.count("*").alias("n"))
-    mixed = kinds.groupBy("band", "bucket").agg(F.count("*").alias("kinds"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("kinds > 1")
-    mixed = mixed.withColumn("pairs", ((F.col("all") * F.col("all") - F.col("squares")) / 2).cast("long"))
-    rest = stage(where_now.join(mixed.select("band", "bucket", "pairs"), ["band", "bucket"]), "rest")
-    a = rest.where(F.col("pairs") <= bucket_pairs).select("band", "bucket", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    b = a.select("band", "bucket", F.col("a").alias("b"), F.col("a_body").alias("b_body"), F.col("n_a").alias("n_b"), F.col("c_a").alias("c_b"))
-    cross = a.join(b, ["band", "bucket"]).where("a < b and c_a <> c_b").where(fits).select("a", "a_body", "b", "b_body")
+    where_now = crowded.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "rep_body", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    kinds = where_now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = kinds.groupBy("bucket").agg(F.count("*").alias("kinds"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("kinds > 1")
+    mixed = stage(mixed.select("bucket", ((F.col("all") * F.col("all") - F.col("squares")) / 2).cast("long").alias("pairs")), "mixed")
+    rest = stage(where_now.join(mixed, "bucket"), "rest")
+    side = lambda x, rows: rows.select("bucket", F.col("rep").alias(x), F.col("rep_body").alias(f"{x}_body"), F.col("n_shingles").alias(f"n_{x}"), F.col("component").alias(f"c_{x}"))
+    few = rest.where(F.col("pairs") <= bucket_pairs)
+    cross = side("a", few).join(side("b", few), "bucket").where("a < b and c_a <> c_b").where(fits).select("a", "a_body", "b", "b_body")
     large = rest.where(F.col("pairs") > bucket_pairs).select("rep", "rep_body", "n_shingles", "component").distinct()
     if not large.isEmpty():
-        cross = cross.union(_prefix_pairs(large, texts, size, numerator, denominator))
+        cross = cross.union(_prefix_pairs(stage(large, "large"), texts, size, numerator, denominator))
     cross = cross.distinct().join(star, ["a", "a_body", "b", "b_body"], "left_anti")
     more = confirmed(cross)
     if not more.isEmpty():
         labels = components(links.union(more))
 
-    ends = labels.withColumnRenamed("id", "rep")
-    group = sizes.join(ends, "rep", "left").select(*[F.col(c) for c in ("rep", "rep_body", "n_shingles")], F.coalesce("component", "rep").alias("component_id"))
-    named = sets.select(*whole, "rep", "rep_body").join(group, ["rep", "rep_body", "n_shingles"]).select(*whole, "component_id")
+    named = sets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(*whole, F.coalesce("component", "rep").alias("component_id"))
     out = prints.select("doc_id", "body", *whole).join(named, whole, "left")
     empty = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     return out.select("doc_id", "body", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -220,22 +233,33 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, similarity: tuple[int, in
 def _prefix_pairs(large: DataFrame, texts: DataFrame, size: int, numerator: int, denominator: int) -> DataFrame:
     """All pairs of ``large`` that can be similar and lie in different components, by an exact prefix filter.
 
-    Of a set of n shingles, rarest first, one of the first n - ceil(t * n) + 1 is shared with every set
-    of similarity t. Rarity is counted among ``large``, so shingles that all of them share come last. The
-    first shingle that two sets share bounds their overlap by what is left behind it in either, so a
-    pair is made only where that is enough.
+    Rarity is counted among ``large``, so shingles that all of them share come last. With its shingles
+    rarest first, a set of n meets every set of similarity t that is no smaller on one of the first
+    n - ceil(2t / (1 + t) * n) + 1 of its own and of the first n - ceil(t * n) + 1 of the other's. The first
+    shingle that two sets share also bounds their overlap by what is left behind it in either. The rows
+    that a component has of a shingle beyond ``CROWD`` meet other components' only, so a large group of
+    near copies isn't compared with itself.
     """
     kept = large.join(texts.select(F.col("doc_id").alias("rep"), F.col("body").alias("rep_body"), "text"), ["rep", "rep_body"])
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    shingles = stage(kept.select("rep", "rep_body", "text").mapInArrow(_prefix_rows(size), f"rep {id_type}, rep_body long, shingle long"), "shingles")
-    rarity = shingles.groupBy("shingle").agg(F.count("*").alias("df"))
-    prefix = F.col("n_shingles") - F.ceil(F.col("n_shingles") * numerator / denominator) + 1
+    shingles = stage(kept.select("rep", "rep_body", "text").mapInArrow(tidy(_prefix_rows(size)), f"rep {id_type}, rep_body long, shingle long"), "shingles")
+    rarity = stage(shingles.groupBy("shingle").agg(F.count("*").alias("df")), "rarity")
     ordered = shingles.join(rarity, "shingle").groupBy("rep", "rep_body").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
-    first = ordered.join(large, ["rep", "rep_body"]).select("rep", "rep_body", "n_shingles", "component", F.posexplode(F.slice("s", F.lit(1), prefix.cast("int"))).alias("place", "s")).where("s.df > 1")
-    first = first.select("rep", "rep_body", "n_shingles", "component", F.col("s.shingle").alias("shingle"), (F.col("n_shingles") - F.col("place")).alias("left"))
-    a = first.select("shingle", F.col("rep").alias("a"), F.col("rep_body").alias("a_body"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"), F.col("left").alias("left_a"))
-    b = first.select("shingle", F.col("rep").alias("b"), F.col("rep_body").alias("b_body"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"), F.col("left").alias("left_b"))
+    n = F.col("n_shingles")
+    probed, indexed = n - F.ceil(n * numerator / denominator) + 1, n - F.ceil(n * (2 * numerator) / (numerator + denominator)) + 1
+    first = ordered.join(large, ["rep", "rep_body"]).select("rep", "rep_body", "n_shingles", "component", F.posexplode(F.slice("s", F.lit(1), probed.cast("int"))).alias("place", "s")).where("s.df > 1")
+    first = stage(first.select("rep", "rep_body", "n_shingles", "component", F.col("s.shingle").alias("shingle"), (n - F.col("place")).alias("left"), (F.col("place") < indexed).alias("indexed")), "prefixes")
+    crowds = stage(first.groupBy("shingle", "component").agg(F.count("*").alias("rows")), "crowds")
+    large_ones = crowds.where(F.col("rows") > CROWD).select("shingle", "component")
+    side = lambda x, rows: rows.select("shingle", F.col("component").alias(f"c_{x}"), F.col("rep").alias(x), F.col("rep_body").alias(f"{x}_body"), F.col("n_shingles").alias(f"n_{x}"), F.col("left").alias(f"left_{x}"), F.col("indexed").alias(f"indexed_{x}"))
     # overlap / (n_a + n_b - overlap) >= t  <=>  overlap * (1 + t) >= t * (n_a + n_b)
     enough = F.least("left_a", "left_b") * (numerator + denominator) >= (F.col("n_a") + F.col("n_b")) * numerator
     fits = F.least("n_a", "n_b") * denominator >= F.greatest("n_a", "n_b") * numerator
-    return a.join(b, "shingle").where("a < b and c_a <> c_b").where(fits & enough).select("a", "a_body", "b", "b_body").distinct()
+    fits = fits & enough & F.when(F.struct("n_a", "a") < F.struct("n_b", "b"), F.col("indexed_a")).otherwise(F.col("indexed_b"))
+    scattered = first.join(large_ones, ["shingle", "component"], "left_anti")
+    pairs = side("a", scattered).join(side("b", scattered), "shingle").where("a < b and c_a <> c_b").where(fits)
+    sides = large_ones.withColumnRenamed("component", "c_a").join(crowds.withColumnRenamed("component", "c_b"), "shingle").where((F.col("c_a") != F.col("c_b")) & ((F.col("rows") <= CROWD) | (F.col("c_a") < F.col("c_b")))).select("shingle", "c_a", "c_b")
+    pairs = pairs.unionByName(sides.join(side("b", first), ["shingle", "c_b"]).join(side("a", first), ["shingle", "c_a"]).where("a <> b").where(fits).select(pairs.columns))
+    swap = F.col("a") > F.col("b")
+    ends = {"a": ("a", "b"), "a_body": ("a_body", "b_body"), "b": ("b", "a"), "b_body": ("b_body", "a_body")}
+    return pairs.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(name) for name, (x, y) in ends.items()]).distinct()

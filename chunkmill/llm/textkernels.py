@@ -7,7 +7,7 @@ differences of a second prefix sum.  Nothing loops over words in Python.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +16,9 @@ import pyarrow as pa
 U64 = np.uint64
 #: Text bytes handled at a time: bounds the memory of a worker whatever the Arrow batch size is.
 SLICE_BYTES = 1 << 20
+#: Bytes of a slice, or of one long text, whose words are found at a time. What a word needs, some 50 bytes, is held for
+#: all words of a slice; what a byte needs, as many, is held for a block.
+BLOCK_BYTES = 1 << 18
 
 _BYTE_BASE = U64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _WORD_BASE = U64(0xD6E8FEB86659FD93)
@@ -61,6 +64,9 @@ class _Powers:
         self.base, self.inverse = base, U64(pow(int(base), -1, 1 << 64))
         self.up = self.down = np.ones(1, dtype=U64)
 
+    def shrink(self) -> None:
+        self.up = self.down = np.ones(1, dtype=U64)
+
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             n = max(n, 1 << 16)
@@ -108,24 +114,48 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def _blocks(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of bytes that cut no word: a block ends at the start of a text or behind a separator."""
+    low, size = 0, len(data)
+    while low < size:
+        high = min(low + BLOCK_BYTES, size)
+        if high < size:
+            text = int(offsets[np.searchsorted(offsets, high, side="right") - 1])
+            gaps = np.flatnonzero(~is_word[data[low:high]])
+            ends = [x for x in (text, low + int(gaps[-1]) + 1 if len(gaps) else low) if x > low]
+            while not ends:  # a word longer than a block: on to where it or its text ends
+                further = min(high + BLOCK_BYTES, size)
+                gaps = np.flatnonzero(~is_word[data[high:further]])
+                text = int(offsets[np.searchsorted(offsets, high, side="right")])
+                ends = [min([x for x in (text, high + int(gaps[0]) + 1 if len(gaps) else size) if x <= further], default=0)]
+                ends, high = [x for x in ends if x > low], further
+            high = max(ends)
+        yield low, high
+        low = high
+
+
 def words_of(texts: pa.Array, table: tuple[np.ndarray, np.ndarray]) -> Words:
     """Words of every text, with a 64-bit hash of each word's bytes."""
     KEPT.clear()
     data, offsets = _bytes_of(texts)
     is_word, mapped = table
-    inside = is_word[data]
-    begins, ends = inside.copy(), inside.copy()
-    if len(data):
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64))]
+    for low, high in _blocks(data, offsets, is_word):
+        block = data[low:high]
+        inside = is_word[block]
+        begins, ends = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         ends[:-1] &= ~inside[1:]
-        full = offsets[1:] > offsets[:-1]
-        begins[offsets[:-1][full]] = inside[offsets[:-1][full]]
-        ends[offsets[1:][full] - 1] = inside[offsets[1:][full] - 1]
-    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _BYTES.upto(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum((mapped[data].astype(U64) + U64(1)) * up[: len(data)], out=total[1:])
-    hashed = mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+        cuts = offsets[np.searchsorted(offsets, low, side="right") : np.searchsorted(offsets, high, side="left")] - low  # texts that begin within
+        begins[cuts] = inside[cuts]
+        ends[cuts - 1] = inside[cuts - 1]
+        start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        up, down = _BYTES.upto(len(block) + 1)
+        total = np.zeros(len(block) + 1, dtype=U64)
+        np.cumsum((mapped[block].astype(U64) + U64(1)) * up[: len(block)], out=total[1:])
+        hashed = mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+        found.append((start + low, end + low, hashed))
+    start, end, hashed = (np.concatenate(x) for x in zip(*found, strict=True))
     first = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     return Words(data, start, end, doc, first, hashed)
@@ -179,6 +209,23 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         at = to
 
 
+Kernel = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(kernel: Kernel) -> Kernel:
+    """``kernel``, which at the end of a task gives back what it grew: worker processes stay, and wait beside later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from kernel(batches)
+        finally:
+            _BYTES.shrink()
+            _WORDS.shrink()
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark's long."""
     return h.view(np.int64)
