@@ -1,11 +1,13 @@
-"""PII: bootstrapped contextual extraction of emails, IP addresses, card and phone numbers.
-
-Native. Patterns of fixed form find the base spans, which seed the method. Every mention (a word with a
-digit or "@", or a run of number words with single spaces) is an instance; the two words before it are a
-lexical pattern. A base span is one instance, however many words it has. Instances and patterns make
-a bipartite graph. In each round a pattern of a kind scores the mean confidence of its distinct
-instances, an instance the best score of its patterns, and instances over the threshold whose shape
-could be of the kind join the seeds. What joined beyond the base are identifiers that no fixed form knew.
+"""PII: bootstrapped contextual extraction of emails, IP addresses, card and phone numbers, and secrets.
+
+Native. A mention is a run of number characters, a word with "@", or a long run of letters and digits.
+Patterns of fixed form find the base spans within mentions, which seed the method; for secrets, which
+have no fixed form, mentions behind a seed name ("token =") do. A mention's lexical patterns are the two
+words before it, and the one before or after it together with the mention's shape (runs of digits and of
+letters generalised). Instances and patterns make a bipartite graph. In each round a pattern of a kind
+scores the mean confidence of its distinct instances, an instance the best score of its patterns, and
+instances over the threshold whose form could be of the kind join the seeds, until none joins. What
+joined beyond the base are identifiers that no fixed form knew.
 """
 
 from __future__ import annotations
@@ -16,24 +18,26 @@ from pyspark.sql import functions as F
 from .common import keyed, stage
 
 KINDS = ("email", "ip", "card", "phone")
+#: What only the method finds.
+SECRET = "secret"
+_LOCAL, _S = "[A-Za-z0-9._%+-]", r"\x20\x09-\x0D"
 # Fixed forms. Possessive groups keep Java's matcher iterative on long texts, and the first alternative
 # (at the end of the last match, or not within a run) keeps it linear; neither changes what is matched.
-_LOCAL = "[A-Za-z0-9._%+-]"
 FORMS = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_SPACE = r"\x20\x09-\x0D"
-_TAIL = rf"[^{_SPACE}0-9A-Za-z@]*+"
-_ENDS = rf"(?={_TAIL}(?:[{_SPACE}]|\z))"
-# a word of a spaced phone or card number; what looks like an IP address stays a word of its own
-_NUMBER = rf"(?![0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{2,3}}(?![0-9]))[0-9][0-9().-]*+{_ENDS}"
-#: A run of number words, or else a word with a digit or "@".
-MENTION = rf"(?<![^{_SPACE}])(?:[^{_SPACE}0-9A-Za-z@+(]*+[+(]*+{_NUMBER}(?:\x20[(]*+{_NUMBER})++{_TAIL}|(?=[^{_SPACE}0-9@]*+[0-9@])[^{_SPACE}]++)"
-# the longest start of a run that ends with a word and has digits for the kind
-_RUNS = {"card": rf"^(?:[0-9][\x20-]*+){{11,18}}[0-9]{_ENDS}", "phone": rf"^[+(]*+(?:[0-9][().\x20-]*+){{6,14}}[0-9]\)*+{_ENDS}"}
+#: Mentions: the form of the whole run, a cheap test that a text has one, and the kinds whose matches lie within.
+#: A match of a fixed form never leaves its run, so forms are looked for in runs, not in texts.
+RUNS: dict[str, tuple[str, str, tuple[str, ...]]] = {
+    "number": (r"[+(0-9][0-9+().\x20-]*+", "[0-9]", ("ip", "card", "phone")),
+    "mail": (rf"(?<![^{_S}])[^{_S}@]*+@[^{_S}]*+", "@", ("email",)),
+    "long": (r"(?<![0-9A-Za-z+/_-])[0-9A-Za-z+/_-]{20,}+", "[0-9A-Za-z+/_-]{20}", ()),
+}
+#: Names behind which a long run is a seed of the secrets, in the one or two words before it.
+SEED_NAMES = "token|secret|passw|api.?key|credential"
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -53,120 +57,168 @@ def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
 
-def _candidate(kind: str, core: Column) -> Column:
-    """What of a mention found by context could be of the kind: all of a word, the start of a run, or null."""
-    digits = F.char_length(_digits(core))
-    word = {
-        "email": core.rlike("^[^@]+@[^@]+$"),
-        "ip": core.rlike(r"^[0-9]{1,3}(?:[.:][0-9]{1,3}){2,3}$") | core.rlike("^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}$"),
-        "card": core.rlike("^[0-9-]+$") & digits.between(12, 19),
-        "phone": core.rlike(r"^[0-9().+-]+$") & digits.between(7, 15),
-    }[kind]
-    run = F.nullif(F.regexp_extract(core, _RUNS[kind], 0), F.lit("")) if kind in _RUNS else F.lit(None).cast("string")
-    return F.when(core.contains(" "), run).when(word, core)
-
-
-def _matches(base: DataFrame, what: str, form: str) -> DataFrame:
-    """(doc_id, body, what, i, start, end, match, gap, next): every match with the text before and after.
+def _placed(rows: DataFrame, by: list[str], text: Column, form: str, *keep: str) -> DataFrame:
+    """``rows`` by match of ``form`` in ``text``: by, keep, i, at (code points before it), match, gap, next (the text on either side).
 
     Spark's matchers give no positions: a match starts after all gaps and matches before it. The sum is a
-    window over the matches of one document, which spills.
+    window over the matches of one document, which spills. Rows that repeat ``by`` are taken once.
     """
-    found = base.select("doc_id", "body", "text", F.regexp_extract_all("text", F.lit(form), F.lit(0)).alias("found")).where(F.size("found") > 0)
-    pieces = found.select("doc_id", "body", "found", F.split("text", form, -1).alias("gaps"))
-    rows = pieces.select("doc_id", "body", F.posexplode(F.arrays_zip("found", F.slice("gaps", F.lit(1), F.size("found")).alias("gap"), F.slice("gaps", F.lit(2), F.size("found")).alias("next"))).alias("i", "m"))
-    # only the ends of long gaps matter beyond their length
-    rows = rows.select("doc_id", "body", "i", F.col("m.found").alias("match"), F.char_length("m.gap").alias("ahead"), F.right("m.gap", F.lit(200)).alias("gap"), F.left("m.next", F.lit(200)).alias("next"))
-    rows = rows.dropDuplicates(["doc_id", "body", "i"])
-    upto = Window.partitionBy("doc_id", "body").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("ahead") + F.char_length("match")).over(upto)
-    return rows.select("doc_id", "body", F.lit(what).alias("kind"), "i", (end - F.char_length("match")).alias("start"), end.alias("end"), "match", "gap", "next")
+    found = rows.select(*by, *keep, text.alias("_text")).select(*by, *keep, "_text", F.regexp_extract_all("_text", F.lit(form), F.lit(0)).alias("found")).where(F.size("found") > 0)
+    pieces = found.select(*by, *keep, "found", F.split("_text", form, -1).alias("gaps"))
+    zipped = F.arrays_zip("found", F.slice("gaps", F.lit(1), F.size("found")).alias("gap"), F.slice("gaps", F.lit(2), F.size("found")).alias("next"))
+    rows = pieces.select(*by, *keep, F.posexplode(zipped).alias("i", "m")).select(*by, *keep, "i", F.col("m.found").alias("match"), F.col("m.gap").alias("gap"), F.col("m.next").alias("next"))
+    return rows.withColumn("length", F.char_length("gap") + F.char_length("match"))
 
 
-def base_spans(base: DataFrame) -> DataFrame:
-    """(doc_id, body, kind, start, end, instance) of the fixed forms that pass their kind's test.
+def _starts(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` of ``_placed`` with ``at``, once for each match."""
+    upto = Window.partitionBy(*by).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.dropDuplicates([*by, "i"]).withColumn("at", F.sum("length").over(upto) - F.char_length("match")).drop("length")
 
-    ``instance`` is the match, of cards and phones its digits.
+
+def _around(rows: DataFrame) -> DataFrame:
+    """Gaps as context: ``ahead`` (what is glued on before), w1 and w2 (the last words before that), ``after`` (the next word).
+
+    Words are read from the gap's end by reversing it, so that a gap of any length is one linear step.
     """
+    rows = rows.withColumn("next", F.when(F.endswith("match", F.lit(" ")), F.concat(F.lit(" "), "next")).otherwise(F.col("next")))
+    back = F.reverse("gap")
+    word = lambda n: F.reverse(F.regexp_extract(back, rf"^[^{_S}]*+(?:[{_S}]++([^{_S}]++))?+(?:[{_S}]++([^{_S}]++))?+", n))
+    rows = rows.withColumns({"ahead": F.reverse(F.regexp_extract(back, rf"^[^{_S}]*+", 0)), "w1": word(1), "w2": word(2), "after": F.regexp_extract("next", rf"^[^{_S}]*+[{_S}]++([^{_S}]++)", 1), "tail": F.regexp_extract("next", rf"^[^{_S}]*+", 0)})
+    return rows.drop("gap", "next")
+
+
+def _mentions(base: DataFrame) -> DataFrame:
+    """(doc_id, body, run, i, at, match, ahead, w1, w2, after, tail) of all runs."""
     out = None
-    for kind in KINDS:
-        spans = _matches(base, kind, FORMS[kind]).where(_valid(kind, F.col("match")))
-        spans = spans.select("doc_id", "body", "kind", "start", "end", (_digits(F.col("match")) if kind in _RUNS else F.col("match")).alias("instance"))
-        out = spans if out is None else out.unionByName(spans)
-    return out
+    for run, (form, test, _) in RUNS.items():
+        some = base.where(F.col("text").contains(test) if len(test) == 1 else F.col("text").rlike(test))
+        rows = _around(_placed(some, ["doc_id", "body"], F.col("text"), form)).withColumn("run", F.lit(run))
+        out = rows if out is None else out.unionByName(rows)
+    return _starts(out, ["doc_id", "body", "run"])
 
 
-def find_personal_data(docs: DataFrame, *, rounds: int = 3, threshold: float = 0.9, min_seeds: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _base_matches(mentions: DataFrame) -> DataFrame:
+    """(doc_id, body, run, i, kind, start, end, first, last, instance): matches of the fixed forms that pass their kind's test.
+
+    ``first`` and ``last`` say that nothing but marks stands between the match and that end of its run.
+    ``instance`` is the match, of cards and phones its digits.
+    """
+    out, own = None, ["doc_id", "body", "run", "run_i", "run_at"]
+    rows = mentions.select("doc_id", "body", "run", F.col("i").alias("run_i"), F.col("at").alias("run_at"), "match")
+    for run, (_, _, kinds) in RUNS.items():
+        for kind in kinds:
+            found = _placed(rows.where(F.col("run") == run), own, F.col("match"), FORMS[kind]).withColumns({"kind": F.lit(kind), "lead": ~F.col("gap").rlike("[0-9A-Za-z]"), "trail": ~F.col("next").rlike("[0-9A-Za-z]")}).drop("gap", "next")
+            found = found.withColumn("ok", _valid(kind, F.col("match")))
+            out = found if out is None else out.unionByName(found)
+    out = _starts(out, [*own, "kind"]).where("ok")
+    start = F.col("run_at") + F.col("at")
+    instance = F.when(F.col("kind").isin("card", "phone"), _digits(F.col("match"))).otherwise(F.lower("match"))
+    return out.select("doc_id", "body", "run", F.col("run_i").alias("i"), "kind", start.alias("start"), (start + F.char_length("match")).alias("end"), (F.col("lead") & (F.col("i") == 0)).alias("first"), F.col("trail").alias("last"), instance.alias("instance"))
+
+
+def _candidates(mentions: DataFrame) -> DataFrame:
+    """Mentions without a base span, as they could be found: the run without marks at its ends, and the kinds that it could be."""
+    loose = mentions.where("not (ahead rlike '[0-9A-Za-z]$') and not (run <> 'mail' and tail rlike '^[0-9A-Za-z@]')")
+    core = F.regexp_extract("match", r"[0-9A-Za-z+(].*?(?=[^0-9A-Za-z)]*+$)", 0)
+    lead = F.char_length(F.regexp_extract("match", "^[^0-9A-Za-z+(]*+", 0))
+    rows = loose.withColumns({"core": core, "start": F.col("at") + lead}).where("core <> ''").withColumn("end", F.col("start") + F.char_length("core"))
+    digits = F.char_length(_digits(F.col("core")))
+    could = {
+        "email": (F.col("run") == "mail") & F.col("core").rlike("^[^@]+@[^@]+$"),
+        "ip": F.col("core").rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){2,3}$"),
+        "card": F.col("core").rlike(r"^[0-9]+(?:[\x20-][0-9]+)*+$") & digits.between(12, 19),
+        "phone": F.col("core").rlike(r"^[+(]*+[0-9][0-9().\x20-]*+$") & digits.between(7, 15) & ~F.col("core").rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}"),
+        SECRET: (F.col("run") == "long") & F.col("core").rlike("[0-9]") & F.col("core").rlike("[A-Za-z]"),
+    }
+    instance = F.when(F.col("run") == "number", F.when(could["ip"], F.col("core")).otherwise(_digits(F.col("core")))).when(F.col("run") == "mail", F.lower("core")).otherwise(F.col("core"))
+    kinds = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in could.items()]), lambda k: k.isNotNull())
+    return rows.withColumns({"instance": instance, "kinds": kinds})
+
+
+def _patterns(before: Column, behind: Column) -> Column:
+    """The lexical patterns of a mention, where ``before`` and ``behind`` say that its words stand next to it."""
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("surface", "[0-9]++", "9"), "[a-z]++", "a"), "[A-Z]++", "A")
+    glued = F.col("ahead").rlike("[0-9A-Za-z]")  # name="...: what is glued on is the word before
+    w1, w2 = F.lower(F.when(glued, F.col("ahead")).otherwise(F.col("w1"))), F.lower(F.when(glued, F.col("w1")).otherwise(F.col("w2")))
+    made = [
+        F.when(before & (w1 != ""), F.concat_ws("|", F.lit("2"), w2, w1)),
+        F.when(before & (w1 != ""), F.concat_ws("|", F.lit("L"), w1, shape)),
+        F.when(behind & (F.col("after") != ""), F.concat_ws("|", F.lit("R"), shape, F.lower("after"))),
+    ]
+    return F.filter(F.array(*made), lambda p: p.isNotNull())
+
+
+def find_personal_data(docs: DataFrame, *, threshold: float = 0.9, min_seeds: int = 5, max_rounds: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, body, kind, start, end, base): one row per span, ``base`` false for those that the method adds.
 
-    Positions are code points, end exclusive. An added card or phone is the longest start of a run of number
-    words that has digits for its kind, as the fixed forms are greedy, too. A mention without a word between
-    it and the last mention has no pattern. A pattern counts from ``min_seeds`` distinct seeds of a
-    kind on and an instance joins a kind at ``threshold``.
+    Positions are code points, end exclusive. An added span is a mention without marks at its ends. A
+    pattern counts from ``min_seeds`` distinct seeds of a kind on and an instance joins a kind at
+    ``threshold``. Rounds go on until no instance joins; seeds never leave, so that ends.
 
-    Scale: what leaves a task is a row per match; texts are never shuffled. Mentions and spans are staged,
-    and a round joins and sums rows of the graph, partially first, so a context that a third of all
-    mentions share is one row per task. Scores are joined on the pattern, where AQE can split it.
+    Scale: a text is tested for each sort of mention and cut at mentions only; what leaves a task is a row
+    per mention, which the window over a document's mentions places. A base span is found within its
+    mention, so spans and mentions are never joined by position. Mentions, edges and seeds are staged, and
+    a round joins and sums rows of the graph, partially first, so a context that a third of all mentions
+    share is one row per task; scores join staged rows on the pattern, whose hot keys Spark splits.
 
-    Edge cases: null and empty texts have no spans. Repeated rows share theirs. A row without doc_id has
-    its spans under a null doc_id. Other columns are ignored; an empty table gives an empty result.
+    Edge cases: null and empty texts have no spans. Repeated rows share theirs, rows that repeat a doc_id
+    with another text have their own. A row without doc_id has its spans under a null doc_id. A very long
+    text is one group of mentions, in order, which spills; contexts are read whole, however far back the
+    words lie. Other columns are ignored; an empty table gives an empty result.
     """
     base = keyed(docs, id_col, text_col)
-    fixed = stage(base_spans(base), "spans")
-    words = _matches(base, "mention", MENTION)
-    # the mention without punctuation around it
-    core = F.regexp_extract("match", "[0-9A-Za-z+(].*?(?=[^0-9A-Za-z)]*+$)", 0)
-    lead = F.char_length(F.regexp_extract("match", "^[^0-9A-Za-z+(]*+", 0))
-    last = lambda n: F.regexp_extract("gap", rf"([^{_SPACE}]+)(?:[{_SPACE}]+[^{_SPACE}]+){{{n}}}[{_SPACE}]*$", 1)
-    words = words.select(
-        "doc_id", "body", (F.col("start") + lead).alias("start"), (F.col("start") + lead + F.char_length(core)).alias("end"), core.alias("core"),
-        (F.col("start") + F.char_length(F.regexp_extract("match", "^[^ ]*", 0))).alias("first_end"), F.lower(F.concat_ws(" ", last(1), last(0))).alias("pattern"),
-    ).where("core <> '' and trim(pattern) <> ''")
-    ways = {k: _candidate(k, F.col("core")) for k in KINDS}
-    digits = F.when(ways["ip"].isNull(), F.coalesce(_digits(ways["card"]), _digits(ways["phone"])))
-    words = words.withColumns({"instance": F.coalesce(digits, "core"), "kinds": F.filter(F.array(*[F.struct(F.lit(k).alias("kind"), F.char_length(c).alias("length")) for k, c in ways.items()]), lambda k: k["length"].isNotNull())})
-    mentions = stage(words, "mentions")
-
-    same = (F.col("m.doc_id").eqNullSafe(F.col("s.doc_id"))) & (F.col("m.body") == F.col("s.body"))
-    meets = same & (F.col("m.start") < F.col("s.end")) & (F.col("m.end") > F.col("s.start"))
-    met = mentions.alias("m").join(fixed.alias("s"), meets)
-    # a span is an instance where it starts; the words that it goes on to are none
-    met = stage(met.where("s.start >= m.start").select("m.pattern", F.when(F.col("s.start") < F.col("m.first_end"), F.col("s.kind")).alias("kind"), F.when(F.col("s.start") < F.col("m.first_end"), F.col("s.instance")).otherwise(F.col("m.instance")).alias("instance")).distinct(), "met")
-    known = met.where("kind is not null").select("pattern", "instance", "kind")
-    loose = stage(mentions.alias("m").join(fixed.alias("s"), meets, "left_anti"), "loose")
-
+    mentions = stage(_mentions(base), "mentions")
+    fixed = stage(_base_matches(mentions), "spans")
+    own = ["doc_id", "body", "run", "i"]
+    match = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.body") == F.col(f"{b}.body")) & (F.col(f"{a}.run") == F.col(f"{b}.run")) & (F.col(f"{a}.i") == F.col(f"{b}.i"))
+
+    context = ["ahead", "w1", "w2", "after"]
+    seeded = mentions.alias("m").join(fixed.alias("s"), match("m", "s")).select(*[F.col(f"m.{c}") for c in context], F.substring(F.col("m.match"), (F.col("s.start") - F.col("m.at") + 1).cast("int"), (F.col("s.end") - F.col("s.start")).cast("int")).alias("surface"), "s.kind", "s.instance", "s.first", "s.last")
+    known = seeded.select(F.explode(_patterns(F.col("first"), F.col("last"))).alias("pattern"), "instance", "kind")
+    loose = _candidates(mentions.alias("m").join(fixed.alias("s"), match("m", "s"), "left_anti"))
+    loose = loose.withColumn("surface", F.col("core"))
+    names = F.concat_ws(" ", "w2", "w1", "ahead").rlike(f"(?i)(?:{SEED_NAMES})") & F.array_contains("kinds", SECRET)
+    loose = stage(loose.select(*own, "start", "end", "instance", "kinds", names.alias("named"), _patterns(F.lit(True), F.lit(True)).alias("patterns")), "loose")
+
+    known = stage(known.unionByName(loose.where("named").select(F.explode("patterns").alias("pattern"), "instance", F.lit(SECRET).alias("kind"))).distinct(), "known")
+    around = loose.select(F.explode("patterns").alias("pattern"), "instance", "kinds")
     # distinct instances of each pattern, seeds or not: the denominator of its score
-    edges = stage(met.select("pattern", "instance").union(loose.select("pattern", "instance")).distinct(), "edges")
-    degree = edges.groupBy("pattern").agg(F.count("*").alias("degree"))
-    open_edges = loose.select("pattern", "instance", F.explode("kinds.kind").alias("kind")).distinct()
-    seeds = known.withColumn("confidence", F.lit(1.0))
-    for _ in range(rounds):
-        scores = seeds.groupBy("pattern", "kind").agg(F.sum("confidence").alias("sum"), F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds)
-        scores = scores.join(degree, "pattern").select("pattern", "kind", (F.col("sum") / F.col("degree")).alias("score"))
-        best = open_edges.join(scores, ["pattern", "kind"]).groupBy("instance", "kind").agg(F.max("score").alias("confidence")).where(F.col("confidence") >= threshold)
-        joined = stage(best, "joined")
+    degree = stage(known.select("pattern", "instance").union(around.select("pattern", "instance")).distinct().groupBy("pattern").agg(F.count("*").alias("degree")), "degree")
+    open_edges = stage(around.select("pattern", "instance", F.explode("kinds").alias("kind")).distinct(), "edges")
+    joined, count = open_edges.limit(0).select("instance", "kind", F.lit(0.0).alias("confidence")), 0
+    for _ in range(max_rounds):
         seeds = known.withColumn("confidence", F.lit(1.0)).unionByName(open_edges.join(joined, ["instance", "kind"]).select("pattern", "instance", "kind", "confidence"))
+        seeds = seeds.groupBy("pattern", "instance", "kind").agg(F.max("confidence").alias("confidence"))
+        scores = seeds.groupBy("pattern", "kind").agg(F.sum("confidence").alias("sum"), F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds)
+        scores = scores.join(degree, "pattern").select("pattern", "kind", (F.col("sum") / F.col("degree")).alias("score")).where(F.col("score") >= threshold)
+        joined = stage(open_edges.join(scores, ["pattern", "kind"]).groupBy("instance", "kind").agg(F.max("score").alias("confidence")), "joined")
+        now = joined.count()
+        if now == count:
+            break
+        count = now
     columns = ["doc_id", "body", "kind", "start", "end"]
-    added = loose.select("doc_id", "body", "start", "instance", F.explode("kinds").alias("way")).select("doc_id", "body", "way.kind", "start", (F.col("start") + F.col("way.length")).alias("end"), "instance")
-    added = added.join(joined.select("instance", "kind"), ["instance", "kind"], "left_semi").select(*columns).distinct()
-    return fixed.select(*columns, F.lit(True).alias("base")).unionByName(added.withColumn("base", F.lit(False)))
+    named = loose.where("named").select("doc_id", "body", F.lit(SECRET).alias("kind"), "start", "end")
+    added = loose.select("doc_id", "body", F.explode("kinds").alias("kind"), "start", "end", "instance").join(joined.select("instance", "kind"), ["instance", "kind"], "left_semi")
+    return fixed.select(*columns, F.lit(True).alias("base")).unionByName(added.select(*columns).union(named).distinct().withColumn("base", F.lit(False)))
 
 
 def spans_by_document(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, a count of base spans by kind, ``base_spans`` and ``spans`` as text.
+    """One row per input row: doc_id, a count of base spans by kind, ``base_spans``, ``spans``, ``n_secret``, ``secret_spans``, ``n_found``.
 
-    Spans are kind:start:end by kind as ``KINDS`` lists them, then start, comma-joined. They are gathered
-    by document.
+    Spans are kind:start:end by kind as ``KINDS`` lists them, then start, comma-joined. Secrets are in a
+    column of their own; ``n_found`` counts all. Spans are gathered by document.
     """
-    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    order = F.array_position(F.array(*map(F.lit, (*KINDS, SECRET))), F.col("kind"))
     item = F.struct(order.alias("o"), F.col("start"), F.col("end"), F.col("kind"), F.col("base"))
-    lists = spans.groupBy(F.col("doc_id").alias("s_id"), F.col("body").alias("s_body")).agg(F.array_sort(F.collect_list(item)).alias("all"))
-    lists = lists.select("s_id", "s_body", "all", F.filter("all", lambda s: s["base"]).alias("own"))
+    lists = spans.groupBy(F.col("doc_id").alias("s_id"), F.col("body").alias("s_body")).agg(F.array_sort(F.collect_list(item)).alias("found"))
+    lists = lists.select("s_id", "s_body", F.size("found").alias("n_found"), F.filter("found", lambda s: s["kind"] != SECRET).alias("all"), F.filter("found", lambda s: s["kind"] == SECRET).alias("secrets"), F.filter("found", lambda s: s["base"]).alias("own"))
     text = lambda c: F.coalesce(F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","), F.lit(""))
     count = lambda kind: F.coalesce(F.size(F.filter("own", lambda s: s["kind"] == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
+    some = lambda c, name: F.coalesce(c, F.lit(0)).cast("long").alias(name)
     return (
         keyed(docs, id_col, text_col)
         .select("doc_id", "body")
         .join(lists, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("body") == F.col("s_body")), "left")
-        .select("doc_id", *[count(k) for k in KINDS], text("own").alias("base_spans"), text("all").alias("spans"))
+        .select("doc_id", *[count(k) for k in KINDS], text("own").alias("base_spans"), text("all").alias("spans"), some(F.size("secrets"), "n_secret"), text("secrets").alias("secret_spans"), some(F.col("n_found"), "n_found"))
     )

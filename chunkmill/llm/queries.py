@@ -53,7 +53,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = pii.spans_by_document(docs, pii.find_personal_data(docs))
-    return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], sha256(F.col("base_spans")).alias("base_sha256"), "spans")
+    return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], sha256(F.col("base_spans")).alias("base_sha256"), "spans", "n_secret", "secret_spans", "n_found")
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
