@@ -57,8 +57,8 @@ def rotate_perspectives(turns: DataFrame, *, window_turns: int = WINDOW_TURNS, s
 
     Edge cases: exact repeats of a turn count once; turns with equal numbers are ordered by role, then
     text. A null role is a speaker named "", a null text is empty, a null turn counts as 0, a null
-    conv_id is a dialogue of its own. A dialogue with system turns only has no rendering. Other columns
-    are ignored; an empty table gives an empty result.
+    conv_id is a dialogue of its own. A dialogue with system turns only has no rendering. A very long text
+    is one turn of one piece. Other columns are ignored; an empty table gives an empty result.
     """
     plain = turns.select(
         F.struct(F.col(id_col).alias("id")).alias("conv"),  # never null, so that a null id joins like others

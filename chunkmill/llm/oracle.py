@@ -84,11 +84,10 @@ SELECT doc_id, domain, lang, source, n_tokens, leaf_tokens, leaf_budget, epochs
 
 OP9 = """
 WITH turns AS (SELECT DISTINCT conv_id, coalesce(turn, 0) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-parts AS (SELECT *, floor(turn / 64.0)::BIGINT AS part FROM turns),
-views AS (SELECT DISTINCT conv_id, part, role AS perspective FROM parts WHERE role <> 'system'),
-said AS (SELECT *, role = perspective AS own, CASE WHEN role = perspective THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user:' || role || '|>' END || chr(10) AS head
-         FROM views JOIN parts USING (conv_id, part)),
-placed AS (SELECT *, coalesce(sum(length(head) + length(text) + 8) OVER (PARTITION BY conv_id, part, perspective ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start FROM said)
+views AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
+said AS (SELECT *, floor(turn / 64.0)::BIGINT AS part, role = perspective AS own, CASE WHEN role = perspective THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user:' || role || '|>' END || chr(10) AS head
+         FROM views JOIN turns USING (conv_id)),
+placed AS (SELECT *, coalesce(sum(length(head) + length(text) + 8) OVER (PARTITION BY conv_id, perspective ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start FROM said)
 SELECT conv_id, part, perspective, count(*) AS n_turns, count(*) FILTER (own) AS n_masked,
        string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered,
        coalesce(string_agg(start::BIGINT || ':' || (start + length(text) + 7)::BIGINT, ',' ORDER BY turn, role, text) FILTER (own), '') AS mask
