@@ -22,7 +22,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     move = sub.add_parser("migrate")
     move.add_argument("--source", required=True)
     move.add_argument("--target", required=True)
-    for command in (move, sub.add_parser("status"), sub.add_parser("validate")):
+    move.add_argument("--source-path")
+    move.add_argument("--target-path")
+    check = sub.add_parser("validate")
+    check.add_argument("--storage", dest="layout", choices=("store", "jsonl", "flat"), default="store")
+    for command in (move, sub.add_parser("status"), check):
         command.add_argument("--data-dir", default="./data")
     args = vars(parser.parse_args(argv))
     command = args.pop("command")

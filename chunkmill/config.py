@@ -28,8 +28,8 @@ class Settings:
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "dataset_filter", self.dataset_filter.strip())
-        if self.storage not in {"flat", "jsonl"}:
-            raise ValueError(f"storage is flat or jsonl, not {self.storage!r}")
+        if self.storage not in {"flat", "jsonl", "store"}:
+            raise ValueError(f"storage is flat, jsonl or store, not {self.storage!r}")
         if not self.dataset_filter:
             raise ValueError("dataset_filter is blank")
         if self.api_key and (not self.api_key.startswith("sk-") or len(self.api_key) < 20):
@@ -38,6 +38,11 @@ class Settings:
             if not low <= getattr(self, name) <= high:
                 raise ValueError(f"{name} is from {low} to {high}, not {getattr(self, name)}")
 
+    @property
+    def store_layout(self) -> str:
+        """The layout that a run writes: flat rows are kept as a log of versions."""
+        return "jsonl" if self.storage == "jsonl" else "store"
+
     @classmethod
     def load(cls, overrides: Mapping[str, object] | None = None, env: Mapping[str, str] | None = None, env_file: str = ".env") -> Settings:
         """Names are taken without regard to case and unknown ones are ignored; None overrides nothing."""

@@ -16,15 +16,24 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(TOKEN))
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value computed once, where naming it twice or inside a lambda would compute it each time."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def hard_split(text: Column, size: int) -> Column:
     """The tokens in groups of ``size``, each joined by blanks: a split that heeds nothing but length."""
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    starts = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens), F.lit(size))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(size)), " "))
+
+    def groups(tokens: Column) -> Column:
+        starts = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens), F.lit(size))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(size)), " "))
+
+    return let(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), groups)
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    # white space at the end is looked for from the end, so that long runs within cost no more than others
+    return F.reverse(F.regexp_replace(F.reverse(F.regexp_replace(text, r"(?U)^\s+", "")), r"(?U)^\s+", ""))
 
 
 def sentences(text: Column) -> Column:

@@ -194,8 +194,8 @@ def _encode_blocks(tokenizer: str, bits: int, end_id: int, block_ids: int, speci
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([before], pa.int64()), pa.array([held], pa.int64()), pa.array([names], pa.list_(kind)), pa.array([make_block(ids, bits)], pa.binary())],
-                ["part", "block", "before", "n_ids", "doc_ids", "data"],
+                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([before], pa.int64()), pa.array([held], pa.int64()), pa.array([names], pa.list_(kind)), *[pa.array([pick((n for n in names if n is not None), default=None)], kind) for pick in (min, max)], pa.array([make_block(ids, bits)], pa.binary())],
+                ["part", "block", "before", "n_ids", "doc_ids", "first_id", "last_id", "data"],
             )
 
         for batch in batches:
@@ -221,14 +221,14 @@ def write_token_blocks(docs: DataFrame, path: str, *, tokenizer: str, vocabulary
     packs it block by block, and holds one block at a time.
 
     Edge cases: null texts are empty and have the end id alone. Rows without doc_id come first; rows
-    that repeat a doc_id are ordered by the hash of their text and all written. Other columns are
-    ignored; an empty table gives no blocks.
+    that repeat a doc_id are ordered by the hash of their text and all written. A very long text is a
+    block of its own. Other columns are ignored; an empty table gives no blocks.
     """
     base = keyed(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = base.repartitionByRange(parts, "doc_id", "body").sortWithinPartitions("doc_id", "body").select("doc_id", "text")
-    ordered.mapInArrow(_encode_blocks(tokenizer, bits_for(vocabulary), end_id, block_ids, special_as_text), f"part int, block int, before long, n_ids long, doc_ids array<{kind}>, data binary").write.parquet(path)
+    ordered.mapInArrow(_encode_blocks(tokenizer, bits_for(vocabulary), end_id, block_ids, special_as_text), f"part int, block int, before long, n_ids long, doc_ids array<{kind}>, first_id {kind}, last_id {kind}, data binary").write.parquet(path)
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,11 +256,26 @@ def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
     return placed.mapInArrow(_digest_rows, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
+def read_document(spark: SparkSession, path: str, doc_id: object) -> list[np.ndarray]:
+    """The ids of each row of ``doc_id``. Blocks are in ascending ids, so the limits that each states leave one or two to be read."""
+    found = spark.read.parquet(path).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("part", "block").select("doc_ids", "data")
+    return [Block(r["data"])[i] for r in found.toLocalIterator() for i, name in enumerate(r["doc_ids"]) if name == doc_id]
+
+
 def write_file(blocks: DataFrame, path: str) -> None:
-    """Copies blocks in order to one file on the driver's disk, with ``path``.idx holding each block's place (u64)."""
-    places, at = [0], 0
-    with open(path, "wb") as out:
-        for row in blocks.orderBy("part", "block").select("data").toLocalIterator():
-            at += out.write(row["data"])
-            places.append(at)
-    np.array(places, dtype="<u8").tofile(f"{path}.idx")
+    """Copies blocks in order to one file of any store that Spark writes, with ``path``.idx holding each block's place (u64).
+
+    One file has one writer: the blocks pass through the driver, a partition at a time.
+    """
+    spark = blocks.sparkSession
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs, index, at = to.getFileSystem(spark._jsc.hadoopConfiguration()), [0], 0
+    out = fs.create(to, True)
+    for row in blocks.orderBy("part", "block").select("data").toLocalIterator():
+        out.write(row["data"])
+        at += len(row["data"])
+        index.append(at)
+    out.close()
+    places = fs.create(to.suffix(".idx"), True)
+    places.write(bytearray(np.array(index, dtype="<u8").tobytes()))
+    places.close()

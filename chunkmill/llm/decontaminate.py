@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import keyed
-from .textkernels import ALNUM_WORDS, Words, sequence_hashes, signed, slices, words_of
+from .textkernels import ALNUM_WORDS, Words, sequence_hashes, signed, slices, tidy, words_of
 
 SHINGLE = 3
-#: Windows up to which the benchmark side is sent to every executor: 100,000 rows of 40 bytes.
-MAX_BROADCAST_WINDOWS = 100_000
+#: Rows (a window's shingle each) up to which the benchmark side is sent to every executor: 40 MB at 40 bytes each.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def _windows_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,37 +185,38 @@ def _verify_rows(sizes: tuple[int, ...]) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 13, max_broadcast_windows: int = MAX_BROADCAST_WINDOWS, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 13, max_broadcast_rows: int = MAX_BROADCAST_ROWS, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document row: doc_id, body, n_words, n_hit, items (sorted item_ids, as strings).
 
     Words are runs of digits, letters and non-ASCII characters with A-Z lower-cased. A document word
     within an occurrence of an item's window of ``window`` words is a hit; an item of fewer words, but
     not none, is one window.
 
-    Scale: while the benchmark has at most ``max_broadcast_windows`` window rows (counted first) its
-    prefixes go to the executors with the tasks and documents are neither shuffled nor joined: one scan
-    counts shingles, one probes. Beyond that, shingles are counted and joined by shuffles, and
-    documents meet their candidate windows in a join by doc_id; ``found`` items are then joined too.
+    Scale: while the benchmark has at most ``max_broadcast_rows`` rows of a window and shingle (counted
+    first) its prefixes go to the executors with the tasks and documents are neither shuffled nor joined:
+    one scan counts shingles, one probes. Beyond that, shingles are counted and joined by shuffles, and
+    documents meet their candidate windows in a join by doc_id; ``found`` items are then joined too. Both
+    ways give the same rows.
 
     Edge cases: null and empty texts have no words; an item without words has no windows; repeated items
-    and rows each count for themselves; a null item_id names no item but its windows still hit. Other
-    columns are ignored; an empty benchmark hits nothing.
+    and rows each count for themselves, null and repeated doc_ids too; a null item_id names no item but its
+    windows still hit. A very long text is hashed block by block; what is held of it is some 50 bytes a
+    word. Other columns are ignored; an empty benchmark hits nothing.
     """
     base = keyed(docs, id_col, text_col)
     id_type = base.schema["doc_id"].dataType.simpleString()
     texts = items.select(F.col(item_id_col).cast("string").alias("item_id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
-    rows = texts.mapInArrow(_item_rows(window), "item_id string, window long, words int, shingle long, offset int")
+    rows = texts.mapInArrow(tidy(_item_rows(window)), "item_id string, window long, words int, shingle long, offset int")
     result = f"doc_id {id_type}, body long, n_words long, n_hit long, found array<%s>"
     size = rows.agg(F.count("*").alias("n"), F.collect_set(F.least("words", F.lit(SHINGLE))).alias("sizes")).first()
     sizes = tuple(sorted(size["sizes"])) or (SHINGLE,)  # at most SHINGLE values
-    small = size["n"] <= max_broadcast_windows * window
+    small = size["n"] <= max_broadcast_rows
 
     if small:
-        vocabulary = np.array([r[0] for r in rows.select("shingle").distinct().collect()], dtype=np.int64)  # bounded by the count above
-        vocabulary.sort()
-        counts = base.select("text").mapInArrow(_count_rows(vocabulary, sizes), "shingle long, n long")
+        vocabulary = np.sort(rows.select("shingle").distinct().toArrow().column("shingle").to_numpy())  # bounded by the count above
+        counts = base.select("text").mapInArrow(tidy(_count_rows(vocabulary, sizes)), "shingle long, n long")
     else:
-        counts = base.select("text").mapInArrow(_count_rows(None, sizes), "shingle long, n long")
+        counts = base.select("text").mapInArrow(tidy(_count_rows(None, sizes)), "shingle long, n long")
     rarity = counts.groupBy("shingle").agg(F.sum("n").alias("n")).join(rows.select("shingle").distinct(), "shingle", "right").select("shingle", F.coalesce("n", F.lit(0)).alias("n"))
     prefixes = (
         rows.dropDuplicates(["window", "words", "offset"])
@@ -225,22 +226,23 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 13, max_br
         .select("window", "words", "rarest.shingle", "rarest.offset")
     )
     if small:
-        known = prefixes.collect()
-        column = lambda name: np.array([r[name] for r in known], dtype=np.int64)
-        of: dict[int, list[str]] = {r["window"]: [] for r in known}
-        for r in rows.select("window", "item_id").where("item_id is not null").distinct().collect():
-            of[r["window"]].append(r["item_id"])
+        known = prefixes.toArrow()
+        column = lambda name: known.column(name).to_numpy().astype(np.int64)
+        of: dict[int, list[str]] = {w: [] for w in column("window").tolist()}
+        named = rows.select("window", "item_id").where("item_id is not null").distinct().toArrow()
+        for w, item in zip(named.column("window").to_pylist(), named.column("item_id").to_pylist(), strict=True):
+            of[w].append(item)
         probe = _Probe(column("shingle"), column("offset"), column("words"), column("window"))
-        return base.mapInArrow(_probe_rows(probe, sizes, of), result % "string").withColumnRenamed("found", "items")
+        return base.mapInArrow(tidy(_probe_rows(probe, sizes, of)), result % "string").withColumnRenamed("found", "items")
 
     candidates = (
-        base.mapInArrow(_position_rows(sizes), f"doc_id {id_type}, body long, shingle long")
+        base.mapInArrow(tidy(_position_rows(sizes)), f"doc_id {id_type}, body long, shingle long")
         .join(prefixes, "shingle")
         .groupBy(F.col("doc_id").alias("c_id"), F.col("body").alias("c_body"))
         .agg(F.collect_set(F.struct("shingle", "offset", "words", "window")).alias("candidates"))
     )
     same = lambda a, b, c, d: F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
-    checked = base.join(candidates, same("doc_id", "c_id", "body", "c_body"), "left").select("doc_id", "body", "text", "candidates").mapInArrow(_verify_rows(sizes), result % "long")
+    checked = base.join(candidates, same("doc_id", "c_id", "body", "c_body"), "left").select("doc_id", "body", "text", "candidates").mapInArrow(tidy(_verify_rows(sizes)), result % "long")
     names = (
         checked.select(F.col("doc_id").alias("c_id"), F.col("body").alias("c_body"), F.explode("found").alias("window"))
         .distinct()

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, keyed, lower_ascii
+from .common import ASCII_SPACE, keyed, lower_ascii, stage
 
 
 def _long_lines(base: DataFrame, min_chars: int) -> DataFrame:
@@ -31,12 +31,14 @@ def drop_repeated_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int =
 
     Scale: the text moves once, to meet its dropped positions; what is counted and joined is hashes.
     Counting is partial before its shuffle, so a line that a third of all documents hold is one row
-    per map task, and the join back onto lines is a sort-merge join that AQE can split.
+    per map task. The repeated keys are staged, so that both sides of the join back onto lines are
+    plain shuffles and Spark splits the partition of a hot line.
 
     Edge cases: a null or empty text is one empty line. Repeated rows of a doc_id count as one
     document; each loses the lines of its own text. A row without doc_id isn't counted as a document
-    and never keeps a repeated line. Other columns are ignored, whatever their names; an empty table
-    gives an empty result.
+    and never keeps a repeated line. A very long text is one row of lines, as large as itself; only the
+    hashes of its lines leave it. Other columns are ignored, whatever their names; an empty table gives
+    an empty result.
     """
     base = keyed(docs, id_col, text_col)
     lines = _long_lines(base, min_chars)
@@ -46,6 +48,7 @@ def drop_repeated_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int =
         .where(F.col("n_docs") >= min_docs)
         .select("k1", "k2", "keeper")
     )
+    repeated = stage(repeated, "repeated")
     dropped = (
         lines.join(repeated, ["k1", "k2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))

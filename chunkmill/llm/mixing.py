@@ -87,8 +87,8 @@ def mix_sources(
 
     Edge cases: null path values count as "". A weight of 0 gives a node nothing, and leaves without
     tokens get nothing. Rows that repeat a doc_id are rows of their own; ties in md5 are taken by doc_id
-    and text hash. Null texts have no tokens. Other columns are ignored; an empty table gives an empty
-    result.
+    and text hash. Null texts have no tokens; of a very long text, words are counted in place. Other
+    columns are ignored; an empty table gives an empty result.
     """
     levels = list(path)
     names = [F.coalesce(e.cast("string"), F.lit("")).alias(n) for n, e in path.items()]

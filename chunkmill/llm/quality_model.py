@@ -172,11 +172,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality
 
     The bound is on what the driver collects: a row of numbers for each. ``labels`` holds only rows that
     may be learnt from. Null labels and labels other than 0 and 1 are left out; a label without a
-    document is ignored.
+    document is ignored, of a doc_id that repeats with other texts one text counts.
     """
     some = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("y"))
     some = some.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(max_train).select(F.col(id_col).alias("doc_id"), "y")
-    rows = with_features(keyed(docs, id_col, text_col).join(some, "doc_id")).orderBy("doc_id", "body").select("y", "features.*").limit(2 * max_train).collect()
+    found = with_features(keyed(docs, id_col, text_col).join(some, "doc_id")).select("doc_id", F.struct("body", "y", "features").alias("row"))
+    found = found.groupBy("doc_id").agg(F.min("row").alias("row"))  # one text of a doc_id that repeats, so max_train rows at most
+    rows = found.orderBy("doc_id").select("row.y", "row.features.*").collect()
     if not rows:
         return fit_rules(np.zeros((0, len(FEATURES))), np.zeros(0))
     table = np.array([tuple(r) for r in rows], dtype=np.float64)
@@ -186,7 +188,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality
 def score_quality(docs: DataFrame, model: RuleEnsemble, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, score (0 to 1, higher: label 1 likelier).
 
-    A scan with built-in functions: no shuffle, no state. Null texts are scored as empty ones. Other
-    columns are ignored; an empty table gives an empty result.
+    A scan with built-in functions: no shuffle, no state. Null texts are scored as empty ones; null and
+    repeated doc_ids are rows like others. A very long text is split once into words and once into lines,
+    rows as large as itself. Other columns are ignored; an empty table gives an empty result.
     """
     return with_features(keyed(docs, id_col, text_col)).select("doc_id", model.score().alias("score"))

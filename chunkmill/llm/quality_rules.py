@@ -2,7 +2,8 @@
 
 Statistics of every text are counted in Arrow batches. The rest is DataFrame functions: minimum
 covariance determinant (MCD) estimates of transformed statistic vectors for each language and source, by
-concentration steps over all rows, and a limit on the Mahalanobis distance.
+concentration steps over all rows from two starts until the determinants stop falling, and a limit on
+the Mahalanobis distance.
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, keyed, per_salt, salted, stage
-from .textkernels import _BYTES, RAW_WORDS, U64, _bytes_of, mix, ngram_hashes, slices, window_starts, words_of
+from .textkernels import _BYTES, RAW_WORDS, U64, _bytes_of, mix, ngram_hashes, slices, tidy, window_starts, words_of
 
 SYMBOLS = "#*$%&|<>"
-#: Share of a group's rows that an MCD estimate rests on, concentration steps, and rows that a group needs.
-SUPPORT, STEPS, MIN_ROWS = 0.75, 3, 50
+#: Share of a group's rows that an MCD estimate rests on, and concentration steps at most.
+SUPPORT, MAX_STEPS = 0.75, 30
+#: Steps end when no logarithm of a determinant falls by more. Subsets are cut at grid points, so it never settles fully.
+SETTLED = 1e-3
+#: Rows that the estimate of what is around a group (its language, then all) counts for in the group's own.
+PRIOR_ROWS = 50
 #: The limit: the chi-squared quantile that one in a million regular rows exceeds.
 TAIL = 1e-6
 #: Transformed statistics, and the least standard deviation of each: what differs by less is no outlier.
@@ -107,37 +112,99 @@ def _quantile(rows: DataFrame, by: list[str], value: Column, p: float) -> DataFr
     return bins.where(F.col("sum") >= F.col("all") * p).groupBy(*by).agg((F.min("bin") / _GRID).alias("q"))
 
 
-def _distance(means: list[str], factors: dict[tuple[int, int], str]) -> Column:
+_DIM = len(FEATURES)
+_NAMES, _FLOORS = list(FEATURES), [floor for _, floor in FEATURES.values()]
+_MEANS = [f"m{i}" for i in range(_DIM)]
+_PAIRS = [(i, j) for i in range(_DIM) for j in range(i + 1)]
+_SCATTER = {(i, j): f"s{i}{j}" for i, j in _PAIRS}
+_FACTOR = {(i, j): f"l{i}{j}" for i, j in _PAIRS}
+
+
+def _factored(estimate: DataFrame) -> DataFrame:
+    """``estimate`` (means, scatter) with the scatter's Cholesky factor and the logarithm of its determinant."""
+    for i, j in _PAIRS:
+        value = F.col(_SCATTER[i, j])
+        for k in range(j):
+            value = value - F.col(_FACTOR[i, k]) * F.col(_FACTOR[j, k])
+        # the floor on the diagonal keeps the factor real and says what difference is none
+        value = F.sqrt(F.greatest(value, F.lit(_FLOORS[i] ** 2))) if i == j else value / F.col(_FACTOR[j, j])
+        estimate = estimate.withColumn(_FACTOR[i, j], value)
+    return estimate.withColumn("log_det", sum((2 * F.ln(_FACTOR[i, i]) for i in range(_DIM)), F.lit(0.0)))
+
+
+def _distance() -> Column:
     """Squared Mahalanobis distance, by forward substitution with the Cholesky factor's columns."""
     solved: list[Column] = []
-    for i, mean in enumerate(means):
-        y = F.col(f"f{i + 1}") - F.col(mean)
+    for i in range(_DIM):
+        y = F.col(_NAMES[i]) - F.col(_MEANS[i])
         for j in range(i):
-            y = y - F.col(factors[i, j]) * solved[j]
-        solved.append(y / F.col(factors[i, i]))
+            y = y - F.col(_FACTOR[i, j]) * solved[j]
+        solved.append(y / F.col(_FACTOR[i, i]))
     total = solved[0] * solved[0]
     for y in solved[1:]:
         total = total + y * y
     return total
 
 
-def _estimate(rows: DataFrame, scale: float) -> DataFrame:
-    """(group, m1.., l11..): mean and Cholesky factor of the scatter of ``rows``, per group."""
-    d = len(FEATURES)
-    names = list(FEATURES)
-    floors = [FEATURES[f][1] for f in names]
-    moments = [F.avg(f).alias(f"m{i + 1}") for i, f in enumerate(names)]
-    moments += [F.covar_pop(names[i], names[j]).alias(f"s{i + 1}{j + 1}") for i in range(d) for j in range(i + 1)]
-    out = rows.groupBy("group").agg(*moments)
-    for i in range(d):
-        for j in range(i + 1):
-            value = F.col(f"s{i + 1}{j + 1}") * scale
-            for k in range(j):
-                value = value - F.col(f"l{i + 1}{k + 1}") * F.col(f"l{j + 1}{k + 1}")
-            # the floor on the diagonal keeps the factor real and says what difference is none
-            value = F.sqrt(F.greatest(value, F.lit(0.0)) + floors[i] ** 2) if i == j else value / F.col(f"l{j + 1}{j + 1}")
-            out = out.withColumn(f"l{i + 1}{j + 1}", value)
-    return out.select("group", *[f"m{i + 1}" for i in range(d)], *[f"l{i + 1}{j + 1}" for i in range(d) for j in range(i + 1)])
+def _concentrate(placed: DataFrame, by: list[str], scale: float) -> DataFrame:
+    """One step: the estimate of each group's ``SUPPORT`` nearest rows by ``place``."""
+    bound = cut(_quantile(placed, by, F.col("place"), SUPPORT))
+    near = placed.join(per_salt(bound), [*by, "_salt"]).where(F.floor(F.least("place", F.lit(1e6)) * _GRID) / _GRID <= F.col("q"))
+    moments = [F.avg(f).alias(m) for f, m in zip(_NAMES, _MEANS, strict=True)]
+    moments += [(F.covar_pop(_NAMES[i], _NAMES[j]) * scale).alias(_SCATTER[i, j]) for i, j in _PAIRS]
+    return cut(_factored(near.groupBy(*by).agg(F.count("*").alias("rows"), *moments)))
+
+
+def mcd_estimates(rows: DataFrame) -> DataFrame:
+    """(lang, source, means, scatter, factor) for every group of ``rows`` (lang, source, _salt, statistics).
+
+    MCD estimates are made for each language and source, for each language, and for all rows. From two
+    starts (sums and maxima of the statistics' squared robust deviations), concentration steps go on until
+    determinants stop falling; the start of the least determinant stays. A group's estimate is then
+    mixed with that of its language, which is mixed with that of all rows, as ``PRIOR_ROWS`` rows of it
+    would; what their means differ by widens the scatter. So a group of one row is judged, too, and
+    there is no size at which anything changes.
+    """
+    by = ["level", "lang", "source"]
+    levels = F.array(*[F.struct(F.lit(n).alias("level"), a.alias("lang"), b.alias("source")) for n, a, b in ((1, F.col("lang"), F.col("source")), (2, F.col("lang"), F.lit("")), (3, F.lit(""), F.lit("")))])
+    salted_by = [*by, "_salt"]
+    rows = rows.select(F.explode(levels).alias("g"), "_salt", *_NAMES).select("g.*", "_salt", *_NAMES)
+    flat = rows.select(*salted_by, F.posexplode(F.array(*_NAMES)).alias("feature", "value"))
+    medians = cut(_quantile(flat, [*by, "feature"], F.col("value"), 0.5).withColumnRenamed("q", "median"))
+    spread = cut(_quantile(flat.join(per_salt(medians), [*salted_by, "feature"]), [*by, "feature"], F.abs(F.col("value") - F.col("median")), 0.5))
+    start = medians.join(spread, [*by, "feature"]).groupBy(*by).pivot("feature", list(range(_DIM))).agg(F.first("median").alias("m"), F.first("q").alias("q"))
+    start = cut(start)
+    apart = [((F.col(f) - F.col(f"{i}_m")) / F.greatest(F.col(f"{i}_q") * 1.4826, F.lit(_FLOORS[i]))) ** 2 for i, f in enumerate(_NAMES)]
+    total = apart[0]
+    for x in apart[1:]:
+        total = total + x
+    starts = F.array(F.struct(F.lit(0).alias("start"), F.log1p(total).alias("place")), F.struct(F.lit(1).alias("start"), F.log1p(F.greatest(*apart)).alias("place")))
+    begun = rows.join(per_salt(start), salted_by).select(*salted_by, *_NAMES, F.explode(starts).alias("s")).select(*salted_by, *_NAMES, "s.*")
+
+    scale = SUPPORT / chi2_cdf(chi2_quantile(SUPPORT, _DIM), _DIM + 2)  # what the scatter of the inner rows lacks under normality
+    estimate = _concentrate(begun, [*by, "start"], scale)
+    for _ in range(MAX_STEPS):
+        placed = rows.join(per_salt(estimate), salted_by).select(*salted_by, "start", *_NAMES, F.log1p(_distance()).alias("place"))
+        after = _concentrate(placed, [*by, "start"], scale)
+        fell = estimate.join(after.select(*by, "start", F.col("log_det").alias("now")), [*by, "start"]).agg(F.max(F.col("log_det") - F.col("now"))).first()[0]
+        estimate = after
+        if fell is None or fell <= SETTLED:
+            break
+    fields = ["rows", *_MEANS, *_SCATTER.values()]
+    best = cut(estimate.groupBy(*by).agg(F.min(F.struct("log_det", "start", *fields)).alias("e")).select(*by, *[F.col(f"e.{f}").alias(f) for f in fields]))
+
+    def mixed(own: DataFrame, around: DataFrame, on: list[str]) -> DataFrame:
+        outer = around.select(*on, *[F.col(f).alias(f"o_{f}") for f in fields])
+        both = (own.join(outer, on) if on else own.crossJoin(F.broadcast(outer))).withColumn("w", F.col("rows") / (F.col("rows") + PRIOR_ROWS))  # without keys, ``around`` is one row
+        w, v = F.col("w"), 1 - F.col("w")
+        means = [(w * F.col(m) + v * F.col(f"o_{m}")).alias(m) for m in _MEANS]
+        apart = [F.col(m) - F.col(f"o_{m}") for m in _MEANS]
+        scatter = [(w * F.col(s) + v * F.col(f"o_{s}") + w * v * apart[i] * apart[j]).alias(s) for (i, j), s in _SCATTER.items()]
+        return both.select("lang", "source", "rows", *means, *scatter)
+
+    level = lambda n: best.where(F.col("level") == n).drop("level")
+    languages = mixed(level(2), level(3), [])
+    return cut(_factored(mixed(level(1), languages, ["lang"])))
 
 
 def quality_verdicts(docs: DataFrame, *, min_words: int = 50, max_repeat: tuple[int, int] = (50, 100), tail: float = TAIL, by: tuple[str, str] = ("lang", "source"), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,16 +213,17 @@ def quality_verdicts(docs: DataFrame, *, min_words: int = 50, max_repeat: tuple[
     ``base_failed`` is the plain limits: under ``min_words`` words, or more than ``max_repeat`` of the
     words in 3-word windows that the text has twice or more. Of the rest, a text is rejected if its
     squared Mahalanobis distance to the MCD estimate of its language and source exceeds the chi-squared
-    quantile of ``tail``. Groups with under ``MIN_ROWS`` such rows are pooled by language, then over
-    all; a pool that is still smaller rejects nothing.
+    quantile of ``tail``; ``mcd_estimates`` says how groups of any size get theirs.
 
     Scale: texts are read once; the staged table of statistics has no text. The estimates rest on all
     rows: quantiles are sums of bin counts and moments are sums, both partial before their shuffle, so a
-    source with a third of all rows is one row per task. Estimates are a row per group; rows meet them on
-    the group and a salt, so a hot group's rows are dealt to many tasks.
+    source with a third of all rows is one row per task. Estimates are a row per group, cut before rows
+    meet them; while sums follow, rows meet them on a salt, too, so that these are partial as well.
 
     Edge cases: null texts have no words and fail. Null languages and sources are groups like others.
-    Rows that repeat are judged alike. Other columns are ignored; an empty table gives an empty result.
+    Rows that repeat, and rows that repeat a doc_id, are judged each by its own text; a null doc_id is
+    one like others. A very long text is hashed block by block; what is held of it is some 50 bytes a
+    word. Other columns are ignored; an empty table gives an empty result.
     """
     base = keyed(docs.select(F.col(id_col), F.col(text_col)), id_col, text_col)
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by)
@@ -163,44 +231,12 @@ def quality_verdicts(docs: DataFrame, *, min_words: int = 50, max_repeat: tuple[
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     columns = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("body"), lang.alias("lang"), source.alias("source"), text.alias("text"))
     counts = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
-    stats = columns.mapInArrow(_count_rows, f"doc_id {id_type}, body long, lang string, source string, {counts}")
+    stats = columns.mapInArrow(tidy(_count_rows), f"doc_id {id_type}, body long, lang string, source string, {counts}")
     part, whole = max_repeat
     failed = (F.col("n_words") < min_words) | (whole * F.col("n_repeat_words") > part * F.col("n_words"))
-    stats = stage(stats.withColumn("base_failed", failed), "stats")
-
-    rows = stats.where("not base_failed and n_words > 0").withColumns({f: F.expr(e) for f, (e, _) in FEATURES.items()})
-    count = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    count = count.withColumn("name", F.when(F.col("n") >= MIN_ROWS, F.concat_ws("\x01", F.lit("1"), "lang", "source")))
-    langs = count.where("name is null").groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    langs = langs.withColumn("by_lang", F.when(F.col("n_lang") >= MIN_ROWS, F.concat_ws("\x01", F.lit("2"), "lang")).otherwise(F.lit("3")))
-    groups = cut(count.join(langs, "lang", "left").select("lang", "source", F.coalesce("name", "by_lang").alias("group")))
-    rows = salted(rows, "doc_id", "body").join(per_salt(groups), ["lang", "source", "_salt"]).select("doc_id", "body", "group", "_salt", *FEATURES)
-    enough = rows.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_ROWS).select("group")
-
-    d = len(FEATURES)
-    means, factors = [f"m{i + 1}" for i in range(d)], {(i, j): f"l{i + 1}{j + 1}" for i in range(d) for j in range(i + 1)}
-    # start: medians and median absolute deviations of each statistic
-    flat = rows.select("group", "_salt", F.explode(F.create_map(*[x for f in FEATURES for x in (F.lit(f), F.col(f))])).alias("feature", "value"))
-    medians = cut(_quantile(flat, ["group", "feature"], F.col("value"), 0.5).withColumnRenamed("q", "median"))
-    spread = _quantile(flat.join(per_salt(medians), ["group", "feature", "_salt"]), ["group", "feature"], F.abs(F.col("value") - F.col("median")), 0.5)
-    start = medians.join(spread, ["group", "feature"]).groupBy("group").pivot("feature", list(FEATURES)).agg(F.first("median").alias("m"), F.first("q").alias("q"))
-    first = [F.col(f"{f}_m").alias(f"m{i + 1}") for i, f in enumerate(FEATURES)]
-    for i in range(d):
-        for j in range(i + 1):
-            own = F.sqrt((F.col(f"f{i + 1}_q") * 1.4826) ** 2 + FEATURES[f"f{i + 1}"][1] ** 2)
-            first.append((own if i == j else F.lit(0.0)).alias(f"l{i + 1}{j + 1}"))
-    estimate = cut(start.select("group", *first))
-
-    inner = chi2_quantile(SUPPORT, d)
-    scale = SUPPORT / chi2_cdf(inner, d + 2)  # what the scatter of the inner rows lacks under normality
-    for _ in range(STEPS):
-        placed = rows.join(per_salt(estimate), ["group", "_salt"]).withColumn("place", F.log1p(_distance(means, factors)))
-        bound = _quantile(placed, ["group"], F.col("place"), SUPPORT)
-        near = placed.join(per_salt(bound), ["group", "_salt"]).where(F.floor(F.least("place", F.lit(1e6)) * _GRID) / _GRID <= F.col("q"))
-        estimate = cut(_estimate(near.select("group", *FEATURES), scale))
-    limit = chi2_quantile(1 - tail, d)
-    far = rows.join(per_salt(estimate.join(enough, "group")), ["group", "_salt"]).select("doc_id", "body", _distance(means, factors).alias("distance"))
-    far = far.groupBy(F.col("doc_id").alias("d_id"), F.col("body").alias("d_body")).agg(F.max("distance").alias("distance"))
-    out = stats.join(far, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("body") == F.col("d_body")), "left")
-    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
+    judged = ~F.col("base_failed") & (F.col("n_words") > 0)
+    stats = stage(stats.withColumn("base_failed", failed), "stats").withColumns({f: F.when(judged, F.expr(e)) for f, (e, _) in FEATURES.items()})
+    estimates = mcd_estimates(salted(stats.where(judged), "doc_id", "body").select("lang", "source", "_salt", *_NAMES)).drop("rows")
+    out = stats.join(estimates, ["lang", "source"], "left").withColumn("distance", F.when(judged, _distance()))
+    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi2_quantile(1 - tail, _DIM))
     return out.select("doc_id", "body", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))

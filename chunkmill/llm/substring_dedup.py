@@ -1,7 +1,7 @@
 """Substring dedup: passages of 50 words or more that an earlier document also holds are removed.
 
 Rabin-Karp hashes of every window are counted in Spark. So that the shuffle isn't a row per word, each
-window first names an anchor, the least hash of the 16-word sequences in it. The anchor depends on the
+window first names an anchor, the least hash of the 12-word sequences in it. The anchor depends on the
 window's words alone, so equal windows have equal anchors, and a window whose anchor occurs in one
 document only has a count of one without being counted. Consecutive windows of one anchor travel as
 one row, equal rows of many copies are collapsed before their windows are told apart, and what is found
@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed
-from .textkernels import RAW_WORDS, Words, mix, ngram_hashes, signed, slices, sliding_min, window_starts, words_of
+from .common import keyed, stage
+from .textkernels import RAW_WORDS, Words, mix, ngram_hashes, signed, slices, sliding_min, tidy, window_starts, words_of
 
 #: Words of the sequences among which a window takes its anchor.
-ANCHOR_WORDS = 16
+ANCHOR_WORDS = 12
 #: Windows in one row at most; only periodic texts reach it.
 RUN_WINDOWS = 64
 
@@ -97,6 +97,19 @@ def _run_rows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def _covered(hits: pa.StructArray, length: int, window: int) -> np.ndarray:
+    """Mask of the words of one text under its hits."""
+    at, n, offsets = (hits.field(f) for f in ("at", "n", "offsets"))
+    at, n, whole = at.to_numpy(), n.to_numpy(), offsets.is_null().to_numpy(zero_copy_only=False)
+    each = offsets.value_lengths().fill_null(0).to_numpy()
+    starts = np.concatenate([at[whole], np.repeat(at, each) + offsets.flatten().to_numpy()])
+    ends = np.concatenate([at[whole] + n[whole] + window - 1, np.repeat(at, each) + offsets.flatten().to_numpy() + window])
+    depth = np.zeros(length + 1, dtype=np.int64)
+    np.add.at(depth, starts, 1)
+    np.add.at(depth, ends, -1)
+    return np.cumsum(depth[:-1]) > 0
+
+
 def _cut_rows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Removes the words under the windows that ``hits`` lists, (at, n windows, offsets or null for all)."""
 
@@ -107,28 +120,17 @@ def _cut_rows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 lengths = words.count
                 removed = np.zeros(len(part), dtype=np.int64)
                 out = []
-                texts, hits = part.column("text"), part.column("hits")
-                data = words.data.tobytes()
+                hits = part.column("hits")
                 for i in range(len(part)):
                     first, last = words.first[i], words.first[i + 1]
-                    keep = range(first, last)
-                    found = hits[i].as_py()
-                    if found:
-                        depth = np.zeros(lengths[i] + 1, dtype=np.int64)
-                        for hit in found:
-                            if hit["offsets"] is None:
-                                depth[hit["at"]] += 1
-                                depth[hit["at"] + hit["n"] + window - 1] -= 1
-                            else:
-                                for o in hit["offsets"]:
-                                    depth[hit["at"] + o] += 1
-                                    depth[hit["at"] + o + window] -= 1
-                        gone = np.cumsum(depth[:-1]) > 0
+                    gone = np.zeros(lengths[i], dtype=bool)
+                    if hits[i].is_valid:
+                        gone = _covered(hits[i].values, int(lengths[i]), window)
                         removed[i] = gone.sum()
-                        keep = (np.flatnonzero(~gone) + first).tolist()
-                        out.append(b" ".join([data[words.start[w] : words.end[w]] for w in keep]))
-                    else:
-                        out.append(b" ".join(texts[i].as_py().encode().split()))
+                    # runs of kept words, each a range of the text's bytes
+                    edges = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]]).astype(np.int8)))
+                    ranges = zip(words.start[first + edges[::2]].tolist(), words.end[first + edges[1::2] - 1].tolist(), strict=True)
+                    out.append(b" ".join(word for a, b in ranges for word in words.data[a:b].tobytes().split()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(out, pa.binary()).cast(pa.string()), pa.array(lengths.astype(np.int64)), pa.array(removed)],
                     ["doc_id", "text", "n_words", "n_removed"],
@@ -143,20 +145,23 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
     A word goes if it lies in a window of ``window`` words of its text that also starts in a document
     with a smaller doc_id. Windows are judged on the input, not on what is left.
 
-    Scale: shuffled are one (anchor, doc_id) row per about 18 words, the window hashes of shared anchors
+    Scale: shuffled are one (anchor, doc_id) row per about 20 words, the window hashes of shared anchors
     only, and the text once by doc_id (both joins read the same exchange). Counts are partial before
-    their shuffles; equal runs of copies collapse to one before they are exploded. Windows are equal if
-    their 64-bit hashes and the 64-bit hashes of their anchors are.
+    their shuffles; equal runs of copies collapse to one before they are exploded. Shared anchors and what
+    was judged of runs are staged, so that their joins back are of plain shuffles, whose hot keys Spark
+    splits. Windows are equal if their 64-bit hashes and the 64-bit hashes of their anchors are.
 
     Edge cases: null, empty and short texts lose nothing. A row without doc_id is neither smaller nor
-    larger than others and loses nothing. Rows of one doc_id don't repeat each other. Other columns are
-    ignored; an empty table gives an empty result.
+    larger than others and loses nothing. Rows of one doc_id don't repeat each other. A very long text is
+    hashed block by block; what is held of it is some 50 bytes a word. Other columns are ignored; an empty
+    table gives an empty result.
     """
     base = keyed(docs, id_col, text_col)
     id_type = base.schema["doc_id"].dataType.simpleString()
     key = f"doc_id {id_type} not null, body long not null"  # not null: no filter is inferred that would tell equal exchanges apart
-    anchors = base.where(F.col("doc_id").isNotNull()).mapInArrow(_anchor_rows(window), f"{key}, anchor long not null")
+    anchors = base.where(F.col("doc_id").isNotNull()).mapInArrow(tidy(_anchor_rows(window)), f"{key}, anchor long not null")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
+    shared = stage(shared, "shared")
     wanted = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id", "body").agg(F.collect_set("anchor").alias("anchors"))
 
     def with_texts(rows: DataFrame, how: str) -> DataFrame:
@@ -164,12 +169,13 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
         return base.join(rows, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("body") == F.col("r_body")), how).drop("r_id", "r_body")
 
     fields = "anchor long not null, content long not null, at int not null, windows array<long> not null"
-    runs = with_texts(wanted, "inner").mapInArrow(_run_rows(window), f"{key}, {fields}")
+    runs = with_texts(wanted, "inner").mapInArrow(tidy(_run_rows(window)), f"{key}, {fields}")
     kinds = runs.groupBy("anchor", "content").agg(F.min("doc_id").alias("low"), F.first("windows").alias("windows"))
     single = kinds.select("anchor", "content", "low", F.posexplode("windows").alias("offset", "hash"))
     least = single.groupBy("anchor", "hash").agg(F.min("low").alias("least"), F.max("low").alias("most")).where("least < most").select("anchor", "hash", "least")
     earlier = single.join(least, ["anchor", "hash"]).where("least < low").groupBy("anchor", "content").agg(F.collect_set("offset").alias("offsets"))
     judged = kinds.select("anchor", "content", "low", F.size("windows").alias("n")).join(earlier, ["anchor", "content"], "left")
+    judged = stage(judged, "judged")
     hits = (
         runs.select("doc_id", "body", "anchor", "content", "at")
         .join(judged, ["anchor", "content"])
@@ -177,4 +183,4 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
         .groupBy("doc_id", "body")
         .agg(F.collect_list(F.struct("at", "n", F.expr("if(doc_id > low, null, offsets)").alias("offsets"))).alias("hits"))
     )
-    return with_texts(hits, "left").mapInArrow(_cut_rows(window), f"doc_id {id_type}, text string, n_words long, n_removed long")
+    return with_texts(hits, "left").mapInArrow(tidy(_cut_rows(window)), f"doc_id {id_type}, text string, n_words long, n_removed long")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TokenCounter, first_truthy, sentences, token_count
+from ..functions.text import TokenCounter, first_truthy, let, sentences, token_count
 from .folds import joined, merge_groups, sentence_windows, target_groups
 
 _PLACE = ("paragraph_ref", "paragraph_title", "section_heading", "document_title", "chapter_path", "address", "url", "cross_refs", "ledd_number")
@@ -23,11 +23,19 @@ class Limits:
 
 def _windows(text: Column, limits: Limits, count: TokenCounter) -> Column:
     """A large unit without lists as overlapping sentence windows: array<struct<text, tokens, n>>."""
-    parts = sentences(text)
-    tokens = F.transform(parts, lambda s: count(s).cast("int"))
-    bounds = sentence_windows(tokens, limits.target, limits.overlap_ratio)
-    total = lambda g: F.aggregate(F.slice(tokens, g["start"] + 1, g["end"] - g["start"]), F.lit(0).cast("long"), lambda a, t: a + t)
-    return F.transform(bounds, lambda g, i: F.struct(joined(parts, g, " ").alias("text"), total(g).alias("tokens"), (i + 1).alias("n")))
+
+    def cut(x: Column) -> Column:
+        total = lambda g: F.aggregate(F.slice(x["tokens"], g["start"] + 1, g["end"] - g["start"]), F.lit(0).cast("long"), lambda a, t: a + t)
+        return F.transform(x["bounds"], lambda g, i: F.struct(joined(x["parts"], g, " ").alias("text"), total(g).alias("tokens"), (i + 1).alias("n")))
+
+    # sentences, their counts and the windows' bounds are computed once each: the struct is bound before it is cut
+    counted = F.col("_counted")
+    bounds = sentence_windows(counted["tokens"], limits.target, limits.overlap_ratio)
+    return let(F.struct(counted["parts"].alias("parts"), counted["tokens"].alias("tokens"), bounds.alias("bounds")), cut)
+
+
+def _sentence_counts(text: Column, count: TokenCounter) -> Column:
+    return let(sentences(text), lambda parts: F.struct(parts.alias("parts"), F.transform(parts, lambda s: count(s).cast("int")).alias("tokens")))
 
 
 def _numbered(parts: Column, limits: Limits, count: TokenCounter, renumber: bool) -> Column:
@@ -43,7 +51,8 @@ def unit_pieces(units: DataFrame, limits: Limits, count: TokenCounter = token_co
     fits = counted.where(F.col("tokens") <= limits.maximum).withColumn("piece", F.struct(F.col("text"), F.col("tokens"), F.lit(None).cast("int").alias("n")))
     large = counted.where(F.col("tokens") > limits.maximum)
     listed = large.where("tier = 1 and parts is not null").withColumn("piece", F.explode(_numbered(F.col("parts"), limits, count, renumber=False)))
-    windowed = large.where("tier = 1 and parts is null").withColumn("piece", F.explode(_windows(F.col("text"), limits, count)))
+    windowed = large.where("tier = 1 and parts is null").withColumn("_counted", _sentence_counts(F.col("text"), count))
+    windowed = windowed.withColumn("piece", F.explode(_windows(F.col("text"), limits, count))).drop("_counted")
     simple = large.where("tier = 3").withColumn("piece", F.explode(_numbered(sentences(F.col("text")), limits, count, renumber=True)))
     own = F.coalesce("unit_id", F.concat("paragraph_ref", F.lit("-ledd"), "ledd_number"))
     base = F.concat("paragraph_ref", F.lit("-ledd"), F.col("ledd_number").cast("string"))
@@ -63,13 +72,20 @@ def section_groups(units: DataFrame, limits: Limits, count: TokenCounter = token
     rows = units.where("tier = 2 and error is null").withColumn("tokens", count(F.col("text")).cast("long"))
     fields = ["seq", "unit_id", "text", "tokens", *_PLACE]
     lists = rows.groupBy("document_id", "section").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("u"))
-    groups = lists.withColumn("g", F.explode(target_groups(F.transform("u", lambda u: u["tokens"]), limits.target))).withColumn("first", F.get("u", F.col("g.start")))
-    heading = F.coalesce(F.try_element_at("first.chapter_path", F.lit(-1)), F.lit("")) if compat else F.col("first.section_heading")
-    place = [heading.alias(c) if c == "section_heading" else F.col(f"first.{c}").alias(c) for c in _PLACE]
-    return groups.select(
-        "document_id", F.lit(2).alias("tier"), F.col("first.seq").alias("seq"), F.lit(0).alias("sub"),
-        F.concat(F.lit("section-"), F.coalesce("first.unit_id", F.lit("unknown"))).alias("chunk_id"),
-        joined(F.transform("u", lambda u: u["text"]), F.col("g"), "\n\n").alias("text"), F.col("g.tokens").alias("tokens"), *place,
+
+    def chunk(u: Column, g: Column) -> Column:
+        first = F.get(u, g["start"])
+        heading = F.coalesce(F.try_element_at(first["chapter_path"], F.lit(-1)), F.lit("")) if compat else first["section_heading"]
+        place = [(heading if c == "section_heading" else first[c]).alias(c) for c in _PLACE]
+        texts = F.transform(F.slice(u, g["start"] + 1, g["end"] - g["start"]), lambda x: x["text"])
+        return F.struct(first["seq"].alias("seq"), first["unit_id"].alias("unit_id"), F.array_join(texts, "\n\n").alias("text"), g["tokens"].alias("tokens"), *place)
+
+    # chunks are made inside the row: exploding groups beside the units would copy all units for each group
+    groups = lists.withColumn("g", target_groups(F.transform("u", lambda u: u["tokens"]), limits.target))
+    chunks = groups.select("document_id", F.explode(F.transform("g", lambda g: chunk(F.col("u"), g))).alias("c"))
+    return chunks.select(
+        "document_id", F.lit(2).alias("tier"), F.col("c.seq").alias("seq"), F.lit(0).alias("sub"),
+        F.concat(F.lit("section-"), F.coalesce("c.unit_id", F.lit("unknown"))).alias("chunk_id"), F.col("c.text").alias("text"), F.col("c.tokens").alias("tokens"), *[F.col(f"c.{c}").alias(c) for c in _PLACE],
     )
 
 
@@ -79,15 +95,19 @@ def merge_pieces(pieces: DataFrame, limits: Limits) -> DataFrame:
     lists = pieces.groupBy("document_id", "tier").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("p"))
     # the lowest tier wins; tiers of a document meet where they were grouped
     lists = lists.groupBy("document_id").agg(F.min_by("p", "tier").alias("p"), F.min("tier").alias("tier"))
-    groups = lists.select("document_id", "tier", "p", F.posexplode(merge_groups(F.transform("p", lambda p: p["tokens"]), limits.minimum, limits.maximum)).alias("position", "g"))
-    groups = groups.withColumn("members", F.slice("p", F.col("g.start") + 1, F.col("g.end") - F.col("g.start"))).withColumn("first", F.get("members", F.lit(0)))
-    ids = F.transform("members", lambda m: m["chunk_id"])
-    return groups.select(
-        "document_id", "tier", "position", F.col("first.chunk_id").alias("chunk_id"),
-        joined(F.transform("p", lambda p: p["text"]), F.col("g"), "\n\n").alias("text"), F.col("g.tokens").cast("int").alias("token_count"),
-        F.when(F.size("members") > 1, F.slice(ids, 2, F.size("members") - 1)).alias("merged_with"), F.col("g.merged_count").alias("merged_count"),
-        *[F.col(f"first.{c}").alias(c) for c in _PLACE],
-        F.array_distinct(F.flatten(F.transform("members", lambda m: F.coalesce(m["cross_refs"], F.array().cast("array<string>"))))).alias("all_cross_refs"),
+
+    def chunk(p: Column, g: Column) -> Column:
+        return let(F.slice(p, g["start"] + 1, g["end"] - g["start"]), lambda members: F.struct(
+            F.get(members, F.lit(0)).alias("first"), F.array_join(F.transform(members, lambda m: m["text"]), "\n\n").alias("text"), g["tokens"].alias("tokens"), g["merged_count"].alias("merged_count"),
+            F.when(F.size(members) > 1, F.transform(F.slice(members, 2, F.size(members) - 1), lambda m: m["chunk_id"])).alias("merged_with"),
+            F.array_distinct(F.flatten(F.transform(members, lambda m: F.coalesce(m["cross_refs"], F.array().cast("array<string>"))))).alias("all_cross_refs"),
+        ))
+
+    groups = lists.withColumn("g", merge_groups(F.transform("p", lambda p: p["tokens"]), limits.minimum, limits.maximum))
+    chunks = groups.select("document_id", "tier", F.posexplode(F.transform("g", lambda g: chunk(F.col("p"), g))).alias("position", "c"))
+    return chunks.select(
+        "document_id", "tier", "position", F.col("c.first.chunk_id").alias("chunk_id"), F.col("c.text").alias("text"), F.col("c.tokens").cast("int").alias("token_count"),
+        F.col("c.merged_with").alias("merged_with"), F.col("c.merged_count").alias("merged_count"), *[F.col(f"c.first.{c}").alias(c) for c in _PLACE], F.col("c.all_cross_refs").alias("all_cross_refs"),
     )
 
 

@@ -48,24 +48,53 @@ class HashEmbedding:
         return f"local-hash-{self.dimensions}"
 
 
-def embed_chunks(chunks: DataFrame, provider: EmbeddingProvider, batch: int = BATCH, keep_refs: bool = True) -> DataFrame:
-    """Chunks with embedding, model and time (one for each batch). A wrong number of vectors is an error."""
+def _vectors(provider: EmbeddingProvider, documents: list[str], texts: list[str]) -> tuple[list[list[float] | None], list[str | None]]:
+    """Vectors and errors of a batch. Where a batch of several documents fails, each is tried alone: its failure is its own."""
+    try:
+        found = provider.embed_batch(texts)
+        if len(found) != len(texts):
+            raise ValueError(f"{len(texts)} texts, {len(found)} vectors")
+        return list(found), [None] * len(texts)
+    except Exception as error:  # noqa: BLE001  whatever a provider raises is the documents' outcome
+        if len(set(documents)) == 1:
+            return [None] * len(texts), [f"embedding failed: {type(error).__name__}: {error}"] * len(texts)
+    vectors: list[list[float] | None] = [None] * len(texts)
+    errors: list[str | None] = [None] * len(texts)
+    for name in dict.fromkeys(documents):
+        at = [i for i, d in enumerate(documents) if d == name]
+        for i, v, e in zip(at, *_vectors(provider, [name] * len(at), [texts[i] for i in at]), strict=True):
+            vectors[i], errors[i] = v, e
+    return vectors, errors
+
+
+def embed_chunks(chunks: DataFrame, provider: EmbeddingProvider, batch: int = BATCH, keep_refs: bool = True, errors: bool = False) -> DataFrame:
+    """Chunks with embedding, model and time (one for each batch).
+
+    A provider that fails, or gives a wrong number of vectors, fails the run; with ``errors`` its failure
+    is a column ``error`` of the chunks of that document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for at in range(0, len(rows), batch):
                 part = rows.slice(at, batch)
                 texts = [t or "" for t in part.column("content").to_pylist()]
-                vectors = provider.embed_batch(texts)
-                if len(vectors) != len(texts):
+                failed: list[str | None] = [None] * len(texts)
+                if errors:
+                    vectors, failed = _vectors(provider, part.column("document_id").to_pylist(), texts)
+                elif len(vectors := provider.embed_batch(texts)) != len(texts):
                     raise ValueError(f"{len(texts)} texts, {len(vectors)} vectors")
                 now = datetime.now(UTC).isoformat()
                 added = [pa.array(vectors, pa.list_(pa.float32())), pa.array([provider.model_name()] * len(part)), pa.array([now] * len(part))]
-                yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*part.schema.names, "embedding", "embedding_model", "embedded_at"])
+                names = [*part.schema.names, "embedding", "embedding_model", "embedded_at"]
+                if errors:
+                    added, names = [*added, pa.array(failed, pa.string())], [*names, "error"]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names=names)
 
     given = [f for f in ENRICHED.names if f not in ("embedding", "embedding_model", "embedded_at")]
     refs = F.col("cross_refs") if keep_refs else F.array().cast("array<string>")
-    return chunks.select(*[refs.alias(c) if c == "cross_refs" else F.col(c) for c in given]).mapInArrow(run, T.StructType([ENRICHED[n] for n in ENRICHED.names]))
+    schema = T.StructType([ENRICHED[n] for n in ENRICHED.names] + [T.StructField("error", T.StringType())] * errors)
+    return chunks.select(*[refs.alias(c) if c == "cross_refs" else F.col(c) for c in given]).mapInArrow(run, schema)
 
 
 def batch_ids(order: Column, partition: Column | None = None, size: int = BATCH) -> Column:
@@ -80,39 +109,53 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", max_queries: int = 10_000) -> DataFrame:
-    """(query_id, id, similarity, rank): exact cosine top-k of each query against all rows but itself.
+    """(query_id, id, similarity, rank): exact cosine top-k of each query against all rows but itself, similarities to nine places.
 
     Queries are dealt to blocks of at most ``max_queries``, and the driver holds one block at a time. A block
-    is sent to every task, and each task keeps its own k best of each query before the shuffle, so rows moved
-    are tasks times queries times k. The vectors are read once for each block.
+    is sent to every task, and each task keeps its own k best of each query over all its batches, so rows
+    moved are tasks times queries times k (and ties of the k-th). The vectors are read once for each block.
     """
-    q = queries.select(F.col(id_col).alias("query_id"), F.col(vector_col).cast("array<float>").alias("q"))
+    q = queries.select(F.col(id_col).alias("query_id"), F.col(vector_col).cast("array<float>").alias("q")).where(F.col("q").isNotNull())
     rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
     dealt = q.repartition(max(1, -(-queries.count() // max_queries))).toLocalIterator()
     found = None
     while (block := list(islice(dealt, max_queries))) or found is None:
         best = rows.mapInArrow(_best_rows([r["query_id"] for r in block], [r["q"] for r in block], k), "query_id long, id long, similarity double")
         found = best if found is None else found.union(best)
-    window = Window.partitionBy("query_id").orderBy(F.round("similarity", 9).desc(), "id")
+    window = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "id")
     return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
 def _best_rows(ids: list[int], vectors: list[list[float]], k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     matrix = np.array(vectors, dtype=np.float64).reshape(len(ids), -1 if ids else 0)
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+    names = np.array(ids, dtype=np.int64)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [(np.zeros(0, np.int64), np.zeros(0)) for _ in ids]
         for batch in batches:
-            have = batch.column("id").to_numpy()
-            rows = np.array(batch.column("v").to_pylist(), dtype=np.float64).reshape(len(batch), -1)
-            if not len(rows) or not len(ids):
+            if not len(batch) or not len(ids):
                 continue
+            have = batch.column("id").to_numpy()
+            rows = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), -1)
             rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
-            for i, scores in enumerate(matrix @ rows.T):
-                scores[have == ids[i]] = -np.inf
+            scores = np.round(matrix @ rows.T, 9)  # ranked as they are given, so that ties are ties everywhere
+            scores[names[:, None] == have[None, :]] = -np.inf
+            for i, score in enumerate(scores):
+                old_ids, old = kept[i]
+                if len(old) >= k:
+                    some = np.flatnonzero(score >= old.min())
+                    score, new = score[some], have[some]
+                else:
+                    new = have
+                score, new = np.concatenate([old, score]), np.concatenate([old_ids, new])
                 # rows as good as the k-th, ties included: the final rank decides between them
-                kth = np.partition(scores, -k)[-k] if len(scores) > k else -np.inf
-                top = np.flatnonzero((scores >= kth) & np.isfinite(scores))
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i]] * len(top), pa.int64()), pa.array(have[top], pa.int64()), pa.array(scores[top])], ["query_id", "id", "similarity"])
+                kth = np.partition(score, -k)[-k] if len(score) > k else -np.inf
+                top = np.flatnonzero((score >= kth) & np.isfinite(score))
+                if len(top) > 4 * k:  # of many ties, the least ids can still be among the first k
+                    top = top[np.lexsort((new[top], -score[top]))[:k]]
+                kept[i] = (new[top], score[top])
+        for i, (found, score) in enumerate(kept):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), ids[i], dtype=np.int64)), pa.array(found, pa.int64()), pa.array(score)], ["query_id", "id", "similarity"])
 
     return best

@@ -7,7 +7,7 @@ function that sees token counts only, while texts stay in the JVM.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -103,8 +103,18 @@ def window_bounds(tokens: list[int], target: int, overlap_ratio: float) -> list[
 def sentence_windows(tokens: Column, target: int, overlap_ratio: float) -> Column:
     """F3 as array<struct<start, end>> over a document's sentence token counts."""
 
-    @F.pandas_udf("array<struct<start: int, end: int>>")
-    def windows(counts: pd.Series) -> pd.Series:
-        return counts.map(lambda c: [{"start": a, "end": b} for a, b in window_bounds(c.tolist(), target, overlap_ratio)] if c is not None else None)
+    @F.arrow_udf("array<struct<start: int, end: int>>")
+    def windows(counts: pa.Array) -> pa.Array:
+        flat, lengths = counts.flatten().to_numpy(zero_copy_only=False).tolist(), counts.value_lengths().fill_null(0).to_pylist()
+        starts, ends, sizes, at = [], [], [0], 0
+        for n in lengths:
+            bounds = window_bounds(flat[at : at + n], target, overlap_ratio)
+            starts += [a for a, _ in bounds]
+            ends += [b for _, b in bounds]
+            sizes.append(len(starts))
+            at += n
+        found = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["start", "end"])
+        offsets = pa.array([None if missing else x for x, missing in zip(sizes, [*counts.is_null().to_pylist(), False], strict=True)], pa.int32())
+        return pa.ListArray.from_arrays(offsets, found)
 
     return windows(tokens)

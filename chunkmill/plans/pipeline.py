@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from typing import Protocol
@@ -10,38 +13,83 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.text import TokenCounter, token_count
 from ..operators import state as states
 from ..operators.chunking import Limits, chunk_rows, chunk_units
 from ..operators.embed import EmbeddingProvider, HashEmbedding, embed_chunks
 from ..schema import STATE
 from ..sources import manifest as manifests
 from ..sources.legal_xml import parse_documents
-from ..sources.store import ChunkStore, flat_metadata, from_flat, read_jsonl, write_jsonl
+from ..sources.store import LAYOUTS, open_store, remove
 
 
 class Progress(Protocol):
     """What a run reports, on the driver."""
 
-    def stage(self, name: str) -> None: ...
+    def start(self, stage: str) -> None: ...
+
+    def end(self, stage: str) -> None: ...
 
     def counts(self, **values: int) -> None: ...
 
+    def succeeded(self, doc_id: str, chunks: int) -> None: ...
+
+    def failed(self, doc_id: str, error: str) -> None: ...
+
+    def warning(self, message: str) -> None: ...
+
+    def summary(self, result: Result) -> None: ...
+
+    #: Documents that are reported one by one, in each direction; counts hold for all.
+    documents: int
+
 
 class Silent:
-    def stage(self, name: str) -> None:
+    documents = 0
+
+    def start(self, stage: str) -> None:
+        pass
+
+    def end(self, stage: str) -> None:
         pass
 
     def counts(self, **values: int) -> None:
         pass
 
+    def succeeded(self, doc_id: str, chunks: int) -> None:
+        pass
+
+    def failed(self, doc_id: str, error: str) -> None:
+        pass
+
+    def warning(self, message: str) -> None:
+        pass
+
+    def summary(self, result: Result) -> None:
+        pass
+
 
 class Printed(Silent):
-    def stage(self, name: str) -> None:
-        print(f"== {name}")
+    documents = 20
+
+    def start(self, stage: str) -> None:
+        print(f"== {stage}")
 
     def counts(self, **values: int) -> None:
         print("   " + ", ".join(f"{k}: {v}" for k, v in values.items()))
 
+    def succeeded(self, doc_id: str, chunks: int) -> None:
+        print(f"   {doc_id}: {chunks} chunks")
+
+    def failed(self, doc_id: str, error: str) -> None:
+        print(f"   {doc_id} failed: {error}")
+
+    def warning(self, message: str) -> None:
+        print(f"   {message}")
+
+    def summary(self, result: Result) -> None:
+        print(f"== processed {result.processed}, failed {result.failed}, removed {result.removed}")
+
 
 @dataclass(frozen=True)
 class Result:
@@ -66,86 +114,144 @@ def write_state(state: DataFrame, path: str) -> None:
     state.write.parquet(f"{path}/s{datetime.now(UTC):%Y%m%dT%H%M%S%f}")
 
 
-def process(spark: SparkSession, settings: Settings, provider: EmbeddingProvider | None = None, progress: Progress | None = None, compat: bool = False) -> Result:
-    """Brings the store up to date with the manifest. One batch: chunks, outcomes and state are written once.
+#: Changed files up to which they are read by name; beyond that the folder is read and joined.
+NAMED_FILES = 10_000
+
 
-    A document that fails to parse is an outcome row; it leaves no chunks. Missing files fail too, and keep
-    what was stored of them.
+def _contents(spark: SparkSession, root: str, todo: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, content) of the files of ``todo`` that are there, and (doc_id, error) of those that aren't.
+
+    The folder is listed without contents, which the scan of a path alone doesn't read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/extracted")
+    # paths are compared below the data folder: their beginnings differ by file system
+    tail = F.regexp_extract("path", r"/extracted/(.*)$", 1)
+    wanted = todo.select("doc_id", "path", tail.alias("tail"))
+    listed = files.select(tail.alias("tail"), F.col("path").alias("real"))
+    missing = wanted.join(listed, "tail", "left_anti").select("doc_id", F.concat(F.lit("File not found: "), "path").alias("error"))
+    if count <= NAMED_FILES:
+        names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["real"]) for r in wanted.join(listed, "tail").select("real").collect()]  # at most so many
+        if not names:
+            return spark.createDataFrame([], "doc_id string, content binary"), missing
+        files = spark.read.format("binaryFile").load(names)
+    return wanted.join(files.select(tail.alias("tail"), "content"), "tail").select("doc_id", "content"), missing
+
+
+def process(
+    spark: SparkSession,
+    settings: Settings,
+    provider: EmbeddingProvider | None = None,
+    progress: Progress | None = None,
+    compat: bool = False,
+    sync: Callable[[str, bool], None] | None = None,
+    count_tokens: TokenCounter = token_count,
+) -> Result:
+    """Brings the store up to date with the manifest, in one batch and one commit to the store.
+
+    ``sync`` is called first with the dataset filter and whether the run is forced, to bring files and
+    manifest up to date. Every chunk is embedded once. A document that is missing, fails to parse or to
+    embed is an outcome of its own: what was stored of it goes, others aren't touched. (A missing file
+    keeps what was stored.) New rows and deletions are one version of the store, and the state is written
+    after it, so a run that breaks off leaves what was there, and the next one does its work again.
     """
     progress, provider = progress or Silent(), provider or HashEmbedding(settings.embedding_dimensions)
     root = settings.data_dir.rstrip("/")
+    progress.start("sync")
+    if sync is not None:
+        sync(settings.dataset_filter, settings.force)
     if not manifests.exists(spark, f"{root}/state.json"):
         raise RuntimeError(f"no manifest: {root}/state.json")
-    store, state_path = ChunkStore(spark, f"{root}/store"), f"{root}/state"
+    store, state_path = open_store(spark, root, settings.store_layout), f"{root}/state"
+    store.read().limit(1).count()  # a store that can't be read fails the run before anything is done
     manifest = manifests.read_manifest(spark, root)
     state = read_state(spark, state_path)
+    progress.counts(**manifests.sync_statistics(manifest).first().asDict())
+    progress.end("sync")
 
-    progress.stage("identify")
+    progress.start("identify")
     todo = states.identify(manifest, state, settings.force, settings.limit, compat).cache()
-    count = todo.count()
-    progress.counts(changed=count)
-    removed = manifests.removed_files(manifest)
-
-    processed = failed = 0
-    if count:
-        progress.stage("parse, chunk, embed")
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/extracted")
-        # paths are compared below the data folder: their beginnings differ by file system
-        tail = F.regexp_extract("path", r"/extracted/(.*)$", 1)
-        found = todo.withColumn("tail", tail).join(files.select(tail.alias("tail"), "content"), "tail", "left")
-        units = parse_documents(found.where("content is not null").select(F.col("doc_id").alias("document_id"), "content")).cache()
-        limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)
-        chunks = chunk_rows(chunk_units(units, limits, compat=compat), todo, compat)
-        errors = units.where("error is not null").select(F.col("document_id").alias("doc_id"), "error")
-        missing = found.where("content is null").select("doc_id", F.concat(F.lit("File not found: "), "path").alias("error"))
-        now = datetime.now(UTC).isoformat()
-        outcomes = todo.join(errors.unionByName(missing), "doc_id", "left").select("doc_id", "hash", "error", F.lit(now).alias("at")).cache()
-        # what is replaced goes first, documents that became empty or failed included
-        gone = outcomes.join(missing.select("doc_id"), "doc_id", "left_anti").select(F.col("doc_id").alias("document_id"))
-        if not compat:
-            store.delete_documents(gone)
+    kept = [todo]
+    staged = f"{root}/staging/{uuid.uuid4().hex}"
+    try:
+        count = todo.count()
+        progress.counts(changed=count)
+        progress.end("identify")
+        removed = manifests.removed_files(manifest)
+        gone = removed.select(F.col("doc_id").alias("document_id"))
+        had = store.read().join(gone, "document_id", "left_semi").select("document_id").distinct().count()
+        processed = failed = 0
+        if count:
+            progress.start("parse, chunk, embed")
+            contents, missing = _contents(spark, root, todo, count)
+            units = parse_documents(contents.withColumnRenamed("doc_id", "document_id")).cache()
+            kept.append(units)
+            limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)
+            chunks = chunk_rows(chunk_units(units, limits, count_tokens, compat), todo, compat)
+            embed_chunks(chunks, provider, settings.batch_size, keep_refs=not compat, errors=True).write.parquet(staged)
+            embedded = spark.read.parquet(staged)
+            errors = units.where("error is not null").select(F.col("document_id").alias("doc_id"), "error").unionByName(missing)
+            errors = errors.unionByName(embedded.where("error is not null").groupBy(F.col("document_id").alias("doc_id")).agg(F.min("error").alias("error")))
+            now = datetime.now(UTC).isoformat()
+            outcomes = todo.join(errors, "doc_id", "left").select("doc_id", "hash", "error", F.lit(now).alias("at")).cache()
+            kept.append(outcomes)
+            rows = embedded.join(outcomes.where("error is not null").select(F.col("doc_id").alias("document_id")), "document_id", "left_anti").drop("error")
+            # what is replaced goes with the commit, documents that became empty or failed included
+            replaced = outcomes.where("error is not null") if compat else outcomes
+            replaced = replaced.join(missing.select("doc_id"), "doc_id", "left_anti").select(F.col("doc_id").alias("document_id"))
+            store.replace(rows, replaced.union(gone), "chunk_id" if compat else "document_id")
+            state = states.merge_outcomes(state, outcomes, compat)
+            sums = outcomes.agg(F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("bad")).first()
+            processed, failed = sums["ok"], sums["bad"]
+            _report(progress, outcomes, rows)
+            progress.counts(processed=processed, failed=failed)
+            progress.end("parse, chunk, embed")
+        elif had:
+            store.replace(None, gone)
+
+        progress.start("clean up")
+        state = states.remove_documents(state, removed)
+        write_state(state, state_path)
+        progress.counts(removed=had)
+        progress.end("clean up")
+    finally:
+        for df in kept:
+            df.unpersist()
+        remove(spark, staged)
+    result = Result(processed, failed, had)
+    progress.summary(result)
+    return result
+
+
+def _report(progress: Progress, outcomes: DataFrame, rows: DataFrame) -> None:
+    """The first documents of either outcome, as many as ``progress`` takes."""
+    if not progress.documents:
+        return
+    for r in outcomes.where("error is not null").orderBy("doc_id").limit(progress.documents).collect():
+        progress.failed(r["doc_id"], r["error"])
+    counts = rows.groupBy(F.col("document_id").alias("doc_id")).agg(F.count("*").alias("n"))
+    for r in outcomes.where("error is null").join(counts, "doc_id", "left").orderBy("doc_id").limit(progress.documents).collect():
+        if r["n"]:
+            progress.succeeded(r["doc_id"], r["n"])
         else:
-            store.delete_documents(errors.select(F.col("doc_id").alias("document_id")))
-        store.upsert(embed_chunks(chunks, provider, settings.batch_size, keep_refs=not compat), "chunk_id" if compat else "document_id")
-        state = states.merge_outcomes(state, outcomes, compat)
-        sums = outcomes.agg(F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("bad")).first()
-        processed, failed = sums["ok"], sums["bad"]
-        progress.counts(processed=processed, failed=failed)
-
-    progress.stage("clean up")
-    gone = removed.select(F.col("doc_id").alias("document_id"))
-    had = store.read().join(gone, "document_id", "left_semi").select("document_id").distinct().count()
-    store.delete_documents(gone)
-    state = states.remove_documents(state, removed)
-    write_state(state, state_path)
-    progress.counts(removed=had)
-    return Result(processed, failed, had)
-
-
-def migrate(spark: SparkSession, source: str, target: str, data_dir: str) -> int:
-    """Copies all chunks between layouts: ``jsonl`` (by hash), ``flat`` (a Parquet table) and ``store``; how many."""
-    root = data_dir.rstrip("/")
-    if source == target or {source, target} - {"jsonl", "flat", "store"}:
-        raise ValueError("source and target are two of jsonl, flat, store")
-    if source == "jsonl":
-        rows = read_jsonl(spark, f"{root}/jsonl_chunks")
-    elif source == "flat":
-        rows = from_flat(spark.read.parquet(f"{root}/flat"))
-    else:
-        rows = ChunkStore(spark, f"{root}/store").read()
-    if target == "jsonl":
-        write_jsonl(rows, f"{root}/jsonl_chunks")
-    elif target == "flat":
-        flat_metadata(rows).write.mode("overwrite").parquet(f"{root}/flat")
-    else:
-        ChunkStore(spark, f"{root}/store").upsert(rows, "chunk_id")
+            progress.warning(f"{r['doc_id']} has no chunks")
+
+
+def migrate(spark: SparkSession, source: str, target: str, data_dir: str, source_path: str | None = None, target_path: str | None = None) -> int:
+    """Copies all chunks between layouts, ``jsonl`` (by hash), ``flat`` (a Parquet table) and ``store``; how many.
+
+    Rows of the target with other ids stay, rows with equal ids are replaced.
+    """
+    if source == target or {source, target} - set(LAYOUTS):
+        raise ValueError(f"source and target are two of {', '.join(LAYOUTS)}")
+    rows = open_store(spark, data_dir, source, source_path).read()
+    open_store(spark, data_dir, target, target_path).upsert(rows, "chunk_id")
     return rows.count()
 
 
-def validate(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
+def validate(spark: SparkSession, data_dir: str, layout: str = "store") -> tuple[DataFrame, DataFrame]:
     """(report of one row, differences) between state and store."""
     root = data_dir.rstrip("/")
-    state, ids = read_state(spark, f"{root}/state"), ChunkStore(spark, f"{root}/store").document_ids()
+    state, ids = read_state(spark, f"{root}/state"), open_store(spark, root, layout).document_ids()
     return states.validation_report(state, ids), states.differences(state, ids)
 
 

@@ -70,11 +70,8 @@ FROM placed JOIN units USING (doc, pos) GROUP BY doc, gid
 
 def _chunks(lists: DataFrame, groups: Column) -> DataFrame:
     """(doc, chunk, n_units, merged_count, tokens, content_sha) of rows with ``units`` and ``tokens``."""
-    rows = lists.select("doc", "units", F.posexplode(groups).alias("chunk", "g"))
-    return rows.select(
-        "doc", F.col("chunk").cast("long").alias("chunk"), (F.col("g.end") - F.col("g.start")).cast("long").alias("n_units"),
-        F.col("g.merged_count").cast("long").alias("merged_count"), F.col("g.tokens").cast("long").alias("tokens"), sha(folds.joined(F.col("units"), F.col("g"), "\n\n")).alias("content_sha"),
-    )
+    made = F.transform("groups", lambda g: F.struct((g["end"] - g["start"]).cast("long").alias("n_units"), g["merged_count"].cast("long").alias("merged_count"), g["tokens"].cast("long").alias("tokens"), sha(folds.joined(F.col("units"), g, "\n\n")).alias("content_sha")))
+    return lists.withColumn("groups", groups).select("doc", F.posexplode(made).alias("chunk", "c")).select("doc", F.col("chunk").cast("long").alias("chunk"), "c.*")
 
 
 def line_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,9 +125,10 @@ FROM r JOIN q USING (doc) WHERE j > i
 def sentence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), text.sentences(F.col("text")).alias("s"))
     docs = docs.withColumn("tokens", F.transform("s", lambda x: text.token_count(x).cast("int")))
-    rows = docs.withColumn("w", folds.sentence_windows(F.col("tokens"), 100, 0.2)).select("doc", "s", "tokens", F.posexplode("w").alias("n", "g"))
-    total = F.aggregate(F.slice("tokens", F.col("g.start") + 1, F.col("g.end") - F.col("g.start")), F.lit(0).cast("long"), lambda a, t: a + t)
-    return rows.select("doc", (F.col("n") + 1).cast("long").alias("part"), F.col("g.start").cast("long").alias("first"), F.col("g.end").cast("long").alias("stop"), total.alias("tokens"), sha(folds.joined(F.col("s"), F.col("g"), " ")).alias("content_sha"))
+    total = lambda g: F.aggregate(F.slice("tokens", g["start"] + 1, g["end"] - g["start"]), F.lit(0).cast("long"), lambda a, t: a + t)
+    made = F.transform("w", lambda g: F.struct(g["start"].cast("long").alias("first"), g["end"].cast("long").alias("stop"), total(g).alias("tokens"), sha(folds.joined(F.col("s"), g, " ")).alias("content_sha")))
+    rows = docs.withColumn("w", folds.sentence_windows(F.col("tokens"), 100, 0.2)).select("doc", F.posexplode(made).alias("n", "c"))
+    return rows.select("doc", (F.col("n") + 1).cast("long").alias("part"), "c.*")
 
 
 @query(f"SELECT doc_id, len(s)::BIGINT AS n_sentences, sha256(array_to_string(s, chr(10))) AS sentences_sha FROM (SELECT doc_id, {_SENTENCES} AS s FROM documents)")

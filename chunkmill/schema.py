@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "array<string>": T.ArrayType(T.StringType()), "array<float>": T.ArrayType(T.FloatType())}
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "boolean": T.BooleanType(), "array<string>": T.ArrayType(T.StringType()), "array<float>": T.ArrayType(T.FloatType())}
 
 
 def _struct(columns: str) -> T.StructType:
@@ -15,7 +15,7 @@ def _struct(columns: str) -> T.StructType:
 
 #: The upstream manifest: data sets, their files, and each file's status and hash.
 MANIFEST_JSON = T.StructType().add("raw_datasets", T.MapType(T.StringType(), T.StructType().add("files", T.MapType(T.StringType(), _struct("status string, sha256 string")))))
-MANIFEST = _struct("position int, doc_id string, dataset string, relative_path string, path string, status string, hash string")
+MANIFEST = _struct("position long, doc_id string, dataset string, relative_path string, path string, status string, hash string")
 STATE = _struct("doc_id string, status string, hash string, error string, at string")
 
 #: What chunkers keep of a unit's place in its document.

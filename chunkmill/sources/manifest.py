@@ -25,7 +25,7 @@ def read_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
     files = sets.select("set_position", "archive", F.posexplode("content.files").alias("file_position", "relative_path", "file"))
     dataset = plain_dataset(F.col("archive"))
     return files.select(
-        (F.col("set_position") * 1_000_000 + F.col("file_position")).cast("int").alias("position"),
+        (F.col("set_position").cast("long") * 2**32 + F.col("file_position")).alias("position"),
         stem(F.col("relative_path")).alias("doc_id"), dataset.alias("dataset"), "relative_path",
         F.concat(F.lit(f"{data_dir.rstrip('/')}/extracted/"), dataset, F.lit("/"), "relative_path").alias("path"),
         F.col("file.status").alias("status"), F.coalesce("file.sha256", F.lit("")).alias("hash"),

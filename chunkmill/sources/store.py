@@ -1,21 +1,77 @@
 """The store of enriched chunks: a log of committed versions on plain Parquet, and the JSONL layout.
 
-A version holds new rows and the keys whose older rows it replaces or deletes. It counts once its commit
-marker is written, the last thing done, so readers see a version whole or not at all, and a write costs
-what it brings, not what is there. ``compact`` folds the log into one version.
+A version holds new rows and the keys whose older rows it replaces or deletes. Its number is claimed by
+creating a file that must not be there, so two writers never share one. It counts once its commit marker
+is created, the last thing done, so readers see a version whole or not at all, and a write costs what it
+brings, not what is there. What a version holds stands in the marker's name: a listing is all that a
+reader needs before its scan. ``compact`` folds the log into one version, on its own after
+``COMPACT_AFTER`` of them.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
+from typing import Protocol
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import ENRICHED, REQUIRED
 from .manifest import exists
 
-_ROWS, _KEYS, _DONE = "rows", "keys", "done"
+_ROWS, _KEYS, _CLAIM = "rows", "keys", "claim"
+#: A marker: rows or not, document keys or not, chunk keys or not, and the version up to which it holds all, or 0.
+_MARK = re.compile(r"done-r([01])-d([01])-c([01])-w([0-9]+)")
+#: Versions beyond the last whole one after which a write compacts the log.
+COMPACT_AFTER = 32
+
+
+class Store(Protocol):
+    """Where chunks are kept: one commit replaces and deletes."""
+
+    def read(self) -> DataFrame: ...
+
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int: ...
+
+    def upsert(self, chunks: DataFrame, by: str = "document_id") -> None: ...
+
+    def delete_documents(self, documents: DataFrame) -> int: ...
+
+
+class _Reads:
+    """What can be asked of any store that can be read."""
+
+    def by_hash(self, source_hash: str) -> DataFrame:
+        return self.read().where(F.col("source_hash") == source_hash)
+
+    def by_document(self, document_id: str) -> DataFrame:
+        return self.read().where(F.col("document_id") == document_id)
+
+    def hashes(self) -> DataFrame:
+        return self.read().select("source_hash").distinct()
+
+    def document_ids(self) -> DataFrame:
+        return self.read().select("document_id").distinct()
+
+    def count(self) -> int:
+        return self.read().count()
+
+    def page(self, limit: int, offset: int) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit`` by chunk_id."""
+        return self.read().orderBy("chunk_id").offset(offset).limit(limit)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
 
 
 def complete(rows: DataFrame) -> DataFrame:
@@ -36,18 +92,23 @@ def complete(rows: DataFrame) -> DataFrame:
 
 
 def flat_metadata(rows: DataFrame) -> DataFrame:
-    """The 13 flat fields of a chunk, and its id, text and vector: references joined by commas, the file's path rebuilt."""
+    """The 13 flat fields of a chunk, and its id, text and vector: references joined by commas, the file's path rebuilt.
+
+    References that hold commas themselves don't survive that; ``cross_refs_list`` keeps them apart.
+    """
     path = F.when(F.col("dataset_name") != "", F.concat(F.lit("data/extracted/"), "dataset_name", F.lit("/"), "document_id", F.lit(".xml"))).otherwise("")
     return rows.select(
         "chunk_id", "document_id", "dataset_name", "content", "token_count", "section_heading", "absolute_address", "split_reason",
         F.coalesce("parent_chunk_id", F.lit("")).alias("parent_chunk_id"), "source_hash", F.array_join("cross_refs", ",").alias("cross_refs"),
-        "embedding_model", "embedded_at", path.alias("file_path"), "embedding",
+        "embedding_model", "embedded_at", path.alias("file_path"), "embedding", F.col("cross_refs").alias("cross_refs_list"),
     )
 
 
 def from_flat(rows: DataFrame) -> DataFrame:
-    """Flat rows back to chunk rows: references cut at commas, trimmed, blanks dropped; counts cast where they can be."""
+    """Flat rows back to chunk rows: references as listed, or else cut at commas, trimmed, blanks dropped; counts cast where they can be."""
     refs = F.filter(F.transform(F.split(F.coalesce("cross_refs", F.lit("")), ","), lambda x: F.trim(x)), lambda r: r != "")
+    if "cross_refs_list" in rows.columns:
+        refs = F.coalesce("cross_refs_list", refs)
     return complete(rows.withColumns({"cross_refs": refs, "token_count": F.coalesce(F.col("token_count").cast("string").try_cast("int"), F.lit(0)), "parent_chunk_id": F.nullif("parent_chunk_id", F.lit(""))}))
 
 
@@ -64,96 +125,239 @@ def upserted(existing: DataFrame, new: DataFrame, key: tuple[str, ...] = ("chunk
 
 
 @dataclass(frozen=True)
-class ChunkStore:
+class ChunkStore(_Reads):
     spark: SparkSession
     path: str
 
-    def _versions(self) -> list[int]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _marks(self) -> dict[int, tuple[bool, bool, bool, int]]:
+        """version -> (has rows, has document keys, has chunk keys, whole up to), by one listing."""
+        fs, root = _file_system(self.spark, self.path)
+        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/done-*")) if fs.exists(root) else []
+        marks = {}
+        for status in found or []:
+            at = status.getPath()
+            if (m := _MARK.fullmatch(at.getName())) and at.getParent().getName()[1:].isdigit():
+                marks[int(at.getParent().getName()[1:])] = (m[1] == "1", m[2] == "1", m[3] == "1", int(m[4]))
+        return dict(sorted(marks.items()))
+
+    def version(self) -> int:
+        """The last committed version, 0 if there is none."""
+        return max(self._marks(), default=0)
+
+    def _claim(self) -> int:
+        """A number of its own for a new version, above all that are there or in the making."""
+        fs, root = _file_system(self.spark, self.path)
         names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-        return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and exists(self.spark, f"{self.path}/{n}/{_DONE}/_SUCCESS"))
-
-    def _write(self, rows: DataFrame | None, keys: DataFrame | None, whole: bool = False) -> int:
-        version = max(self._versions(), default=0) + 1
-        at = f"{self.path}/v{version}"
-        if rows is not None:
-            rows.write.mode("overwrite").parquet(f"{at}/{_ROWS}")
-        if keys is not None:
-            keys.distinct().write.mode("overwrite").parquet(f"{at}/{_KEYS}")
-        self.spark.createDataFrame([(version, whole, rows is not None, keys is not None)], "version int, whole boolean, has_rows boolean, has_keys boolean").coalesce(1).write.mode("overwrite").parquet(f"{at}/{_DONE}")
-        return version
+        version = max((int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()), default=0) + 1
+        while True:
+            try:
+                fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/{_CLAIM}"), False).close()
+                return version
+            except Py4JJavaError as error:
+                if "AlreadyExists" not in str(error.java_exception):
+                    raise
+                version += 1
+
+    def _commit(self, version: int, rows: bool, by_document: bool, by_chunk: bool, whole: int = 0) -> None:
+        fs, at = _file_system(self.spark, f"{self.path}/v{version}/done-r{rows:d}-d{by_document:d}-c{by_chunk:d}-w{whole}")
+        fs.create(at, False).close()
 
     def read(self, version: int | None = None) -> DataFrame:
         """All chunks as of a version, the last by default."""
-        versions = [v for v in self._versions() if version is None or v <= version]
-        marks = [self.spark.read.parquet(f"{self.path}/v{v}/{_DONE}").first() for v in versions]
-        first = max((i for i, m in enumerate(marks) if m["whole"]), default=0)
-        rows = self.spark.createDataFrame([], ENRICHED).withColumn("_version", F.lit(0))
-        keys = None
-        for m in marks[first:]:
-            at = f"{self.path}/v{m['version']}"
-            if m["has_rows"]:
-                rows = rows.unionByName(self.spark.read.schema(ENRICHED).parquet(f"{at}/{_ROWS}").withColumn("_version", F.lit(m["version"])))
-            if m["has_keys"]:
-                some = self.spark.read.schema("document_id string, chunk_id string").parquet(f"{at}/{_KEYS}").withColumn("_until", F.lit(m["version"]))
-                keys = some if keys is None else keys.unionByName(some)
-        if keys is None:
-            return rows.drop("_version")
-        for name in ("document_id", "chunk_id"):
-            gone = keys.where(F.col(name).isNotNull()).groupBy(name).agg(F.max("_until").alias("_until"))
-            rows = rows.join(gone, name, "left").where("_until is null or _version >= _until").drop("_until")
+        marks = {v: m for v, m in self._marks().items() if version is None or v <= version}
+        last = max((v for v, m in marks.items() if m[3]), key=lambda v: marks[v][3], default=0)
+        since = marks[last][3] if last else 0
+        live = {v: m for v, m in marks.items() if v == last or (v > since and not m[3])}
+        number = lambda part: F.regexp_extract(F.col("_metadata.file_path"), rf"/v([0-9]+)/{part}/[^/]*$", 1).cast("int")
+        kept = [f"{self.path}/v{v}/{_ROWS}" for v, m in live.items() if m[0]]
+        if not kept:
+            return self.spark.createDataFrame([], ENRICHED)
+        rows = self.spark.read.schema(ENRICHED).parquet(*kept).select("*", number(_ROWS).alias("_version"))
+        rows = rows.withColumn("_version", F.when(F.col("_version") == last, since).otherwise(F.col("_version")))
+        for name, place in (("document_id", 1), ("chunk_id", 2)):
+            holding = [f"{self.path}/v{v}/{_KEYS}" for v, m in live.items() if m[place]]
+            if holding:
+                keys = self.spark.read.schema("document_id string, chunk_id string").parquet(*holding).where(F.col(name).isNotNull())
+                gone = keys.select(name, number(_KEYS).alias("_until")).groupBy(name).agg(F.max("_until").alias("_until"))
+                rows = rows.join(gone, name, "left").where("_until is null or _version >= _until").drop("_until")
         return rows.select(*ENRICHED.names)
 
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
+        """One commit: stores ``rows`` and drops all else of their keys and of ``documents`` (document_id); the version, or 0 if nothing changes.
+
+        ``rows`` are computed once, when they are written; their keys are read from what was written.
+        """
+        version = self._claim()
+        at, none = f"{self.path}/v{version}", F.lit(None).cast("string")
+        keys = documents.select("document_id").where("document_id <> ''").select("document_id", none.alias("chunk_id"))
+        has_rows = False
+        if rows is not None:
+            rows = complete(rows)
+            if by == "chunk_id":
+                rows = upserted(self.spark.createDataFrame([], ENRICHED), rows)
+            rows.write.parquet(f"{at}/{_ROWS}")
+            written = self.spark.read.schema(ENRICHED).parquet(f"{at}/{_ROWS}")
+            keys = keys.unionByName(written.select(*[(F.col(n) if n == by else none).alias(n) for n in ("document_id", "chunk_id")]))
+            has_rows = not written.isEmpty()
+        keys.distinct().write.parquet(f"{at}/{_KEYS}")
+        written = self.spark.read.schema("document_id string, chunk_id string").parquet(f"{at}/{_KEYS}").agg(F.count("document_id"), F.count("chunk_id")).first()
+        if not (has_rows or any(written)):
+            remove(self.spark, at)
+            return 0
+        self._commit(version, has_rows, written[0] > 0, written[1] > 0)
+        marks = self._marks()
+        if sum(v > max((m[3] for m in marks.values()), default=0) for v in marks) > COMPACT_AFTER:
+            self.compact()
+        return version
+
     def upsert(self, chunks: DataFrame, by: str = "document_id") -> None:
         """Stores chunks. By document, all that was there of these documents goes; by chunk_id, only equal ids."""
-        rows = complete(chunks)
-        if rows.isEmpty():
-            return
-        if by == "chunk_id":
-            rows = upserted(self.spark.createDataFrame([], ENRICHED), rows)
-        none = F.lit(None).cast("string")
-        keys = rows.select(*[(F.col(n) if n == by else none).alias(n) for n in ("document_id", "chunk_id")])
-        self._write(rows, keys)
+        self.replace(chunks, self.spark.createDataFrame([], "document_id string"), by)
 
     def delete_documents(self, documents: DataFrame) -> int:
         """Deletes all chunks of the documents listed by document_id; how many there were. Blank ids delete nothing."""
         listed = documents.select("document_id").where("document_id <> ''").distinct()
         count = self.read().join(listed, "document_id", "left_semi").count()
         if count:
-            self._write(None, listed.withColumn("chunk_id", F.lit(None).cast("string")))
+            self.replace(None, listed)
         return count
 
     def compact(self) -> None:
-        self._write(self.read(), None, whole=True)
+        """Writes all that is there as one version. What others commit meanwhile stays in force, as later than what it holds."""
+        upto = self.version()
+        if upto:
+            version = self._claim()
+            self.read(upto).write.parquet(f"{self.path}/v{version}/{_ROWS}")
+            self._commit(version, True, False, False, whole=upto)
+
+
+@dataclass(frozen=True)
+class JsonlStore(_Reads):
+    """Chunks as JSON lines in a folder for each source hash (``unknown`` where it is empty).
+
+    A write merges the folders that it touches: what stays and what is new goes to a staged table first,
+    then replaces the folders; folders that are left empty go. Others aren't read.
+    """
+
+    spark: SparkSession
+    path: str
+
+    def read(self) -> DataFrame:
+        return read_jsonl(self.spark, self.path)
 
     def by_hash(self, source_hash: str) -> DataFrame:
-        return self.read().where(F.col("source_hash") == source_hash)
+        """Reads that hash's folder only."""
+        folder = f"{self.path}/hash={source_hash or 'unknown'}"
+        return read_jsonl(self.spark, folder).where(F.col("source_hash") == source_hash)
+
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
+        staged = f"{self.path}.staged-{uuid.uuid4().hex}"
+        try:
+            new = None
+            keys = documents.select("document_id").where("document_id <> ''")
+            have = self.read().withColumn("hash", _folder())
+            if rows is not None:
+                new = complete(rows)
+                if by == "chunk_id":
+                    new = upserted(self.spark.createDataFrame([], ENRICHED), new, ("source_hash", "chunk_id"))
+                new.withColumn("hash", _folder()).write.parquet(f"{staged}/new")
+                new = self.spark.read.parquet(f"{staged}/new")
+                if by == "document_id":
+                    keys = keys.union(new.select("document_id"))
+            gone = have.join(keys.distinct(), "document_id", "left_semi").select("hash", "chunk_id", "document_id")
+            if new is not None and by == "chunk_id":
+                gone = gone.union(have.join(new.select("hash", "chunk_id"), ["hash", "chunk_id"], "left_semi").select("hash", "chunk_id", "document_id"))
+            gone.distinct().write.parquet(f"{staged}/gone")
+            gone = self.spark.read.parquet(f"{staged}/gone")
+            touched = gone.select("hash") if new is None else gone.select("hash").union(new.select("hash"))
+            touched = touched.distinct()
+            kept = have.join(touched, "hash", "left_semi").join(gone, ["hash", "chunk_id", "document_id"], "left_anti")
+            (kept if new is None else kept.unionByName(new)).write.parquet(f"{staged}/merged")
+            merged = self.spark.read.parquet(f"{staged}/merged")
+            _write_folders(merged, self.path)
+            changed = 0
+            for r in touched.join(merged.select("hash").distinct(), "hash", "left_anti").toLocalIterator():
+                remove(self.spark, f"{self.path}/hash={r['hash']}")
+                changed += 1
+            return int(changed > 0 or not merged.isEmpty())
+        finally:
+            remove(self.spark, staged)
+
+    def upsert(self, chunks: DataFrame, by: str = "chunk_id") -> None:
+        self.replace(chunks, self.spark.createDataFrame([], "document_id string"), by)
 
-    def by_document(self, document_id: str) -> DataFrame:
-        return self.read().where(F.col("document_id") == document_id)
+    def delete_documents(self, documents: DataFrame) -> int:
+        listed = documents.select("document_id").where("document_id <> ''").distinct()
+        count = self.read().join(listed, "document_id", "left_semi").count()
+        if count:
+            self.replace(None, listed)
+        return count
 
-    def hashes(self) -> DataFrame:
-        return self.read().select("source_hash").distinct()
+    def raw_count(self) -> int:
+        return raw_line_count(self.spark, self.path)
 
-    def document_ids(self) -> DataFrame:
-        return self.read().select("document_id").distinct()
 
-    def count(self) -> int:
-        return self.read().count()
+@dataclass(frozen=True)
+class FlatTable(_Reads):
+    """Chunks in their flat form, as one Parquet table that a write replaces by renaming."""
 
-    def page(self, limit: int, offset: int) -> DataFrame:
-        """Rows ``offset`` to ``offset + limit`` by chunk_id."""
-        return self.read().orderBy("chunk_id").offset(offset).limit(limit)
+    spark: SparkSession
+    path: str
+
+    def read(self) -> DataFrame:
+        return from_flat(self.spark.read.parquet(self.path)) if exists(self.spark, self.path) else self.spark.createDataFrame([], ENRICHED)
+
+    def _swap(self, rows: DataFrame) -> None:
+        new, old = (f"{self.path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+        flat_metadata(rows).write.parquet(new)
+        fs, at = _file_system(self.spark, self.path)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        if fs.exists(at):
+            fs.rename(at, path(old))
+        fs.rename(path(new), at)
+        remove(self.spark, old)
+
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
+        have = without(self.read(), documents.where("document_id <> ''"), "document_id")
+        if rows is not None:
+            rows = complete(rows)
+            have = upserted(have, rows) if by == "chunk_id" else without(have, rows, by).unionByName(rows)
+        self._swap(have)
+        return 1
+
+    def upsert(self, chunks: DataFrame, by: str = "chunk_id") -> None:
+        self.replace(chunks, self.spark.createDataFrame([], "document_id string"), by)
+
+    def delete_documents(self, documents: DataFrame) -> int:
+        count = self.read().join(documents.where("document_id <> ''").select("document_id").distinct(), "document_id", "left_semi").count()
+        if count:
+            self.replace(None, documents)
+        return count
+
+
+#: The layouts by name, and the folder of each below the data folder.
+LAYOUTS = {"store": (ChunkStore, "store"), "jsonl": (JsonlStore, "jsonl_chunks"), "flat": (FlatTable, "flat")}
+
+
+def open_store(spark: SparkSession, data_dir: str, layout: str, path: str | None = None) -> ChunkStore | JsonlStore | FlatTable:
+    if layout not in LAYOUTS:
+        raise ValueError(f"a layout is one of {', '.join(LAYOUTS)}, not {layout!r}")
+    kind, folder = LAYOUTS[layout]
+    return kind(spark, path or f"{data_dir.rstrip('/')}/{folder}")
+
+
+def _folder() -> Column:
+    return F.when(F.col("source_hash") == "", "unknown").otherwise(F.col("source_hash"))
+
+
+def _write_folders(rows: DataFrame, path: str) -> None:
+    """Folders of the rows' hashes are replaced, others stay. Rows are balanced by size, so a hash with very many is several files."""
+    rows.hint("rebalance", F.col("hash")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false").partitionBy("hash").json(path)
 
 
 def write_jsonl(rows: DataFrame, path: str) -> None:
     """One folder of JSON lines per source hash (``unknown`` where it is empty); only folders of ``rows`` are replaced."""
-    key = F.when(F.col("source_hash") == "", "unknown").otherwise(F.col("source_hash"))
-    (
-        rows.withColumn("hash", key).repartition("hash").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false").partitionBy("hash").json(path)
-    )
+    _write_folders(rows.withColumn("hash", _folder()), path)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -86,6 +86,78 @@ def pii_base(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+def pii_method(docs: list[tuple[int, str | None]], threshold: float = 0.9, min_seeds: int = 5) -> dict[int, list[tuple[str, int, int]]]:
+    """doc_id -> what the bootstrapped method adds: mentions, a graph of patterns and instances, rounds to the fixed point."""
+    runs = {"number": r"[+(0-9][0-9+().\x20-]*", "mail": rf"(?<![^{SPACE}])[^{SPACE}@]*@[^{SPACE}]*", "long": r"(?<![0-9A-Za-z+/_-])[0-9A-Za-z+/_-]{20,}"}
+    within = {"number": ("ip", "card", "phone"), "mail": ("email",), "long": ()}
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    known, edges, loose, found = set(), set(), [], defaultdict(list)
+    for d, text in docs:
+        text = text or ""
+        base = pii_base(text)
+        for run, form in runs.items():
+            end = 0
+            for m in re.finditer(form, text):
+                gap, end, at = text[end : m.start()], m.end(), m.start()
+                ahead = re.search(rf"[^{SPACE}]*\Z", gap)[0]
+                before = [*[""] * 2, *gap[: len(gap) - len(ahead)].lower().split(None)][-2:]
+                if re.search("[0-9A-Za-z]", ahead):
+                    before = [before[1], ahead.lower()]
+                follow = re.compile(form).search(text, m.end())
+                rest = text[m.end() - m[0].endswith(" ") : follow.start() if follow else len(text)]
+                tail = re.match(rf"[^{SPACE}]*", rest)[0]
+                after = next(iter(rest[len(tail) :].split()), "").lower()
+
+                def patterns(surface: str, first: bool, last: bool, before=before, after=after) -> list[str]:
+                    shape = re.sub("[A-Z]+", "A", re.sub("[a-z]+", "a", re.sub("[0-9]+", "9", surface)))
+                    return [f"2|{before[0]}|{before[1]}", f"L|{before[1]}|{shape}"] * (first and before[1] != "") + [f"R|{shape}|{after}"] * (last and after != "")
+
+                own = [(k, a, b) for k, a, b in base if k in within[run] and at <= a and b <= m.end()]
+                for k, a, b in own:
+                    one = digits(text[a:b]) if k in ("card", "phone") else text[a:b].lower()
+                    known |= {(p, one, k) for p in patterns(text[a:b], not re.search("[0-9A-Za-z]", text[at:a]), not re.search("[0-9A-Za-z]", text[b : m.end()]))}
+                core = re.search(r"[0-9A-Za-z+(].*?(?=[^0-9A-Za-z)]*\Z)", m[0], re.S)
+                if own or not core or re.search("[0-9A-Za-z]\\Z", ahead) or run != "mail" and re.match("[0-9A-Za-z@]", tail):
+                    continue
+                c, n = core[0], len(digits(core[0]))
+                ip = bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){2,3}", c))
+                could = {
+                    "email": run == "mail" and re.fullmatch("[^@]+@[^@]+", c), "ip": ip, "card": re.fullmatch(r"[0-9]+([\x20-][0-9]+)*", c) and 12 <= n <= 19,
+                    "phone": re.fullmatch(r"[+(]*[0-9][0-9().\x20-]*", c) and 7 <= n <= 15 and not re.match(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", c), "secret": run == "long" and re.search("[0-9]", c) and re.search("[A-Za-z]", c),
+                }
+                kinds = [k for k, yes in could.items() if yes]
+                one = (c if ip else digits(c)) if run == "number" else c.lower() if run == "mail" else c
+                around = patterns(c, True, True)
+                edges |= {(p, one, k) for p in around for k in [*kinds, None]}
+                span = (at + core.start(), at + core.end())
+                if "secret" in kinds and re.search("(?i)token|secret|passw|api.?key|credential", " ".join([*gap[: len(gap) - len(ahead)].split()[-2:], ahead])):
+                    known |= {(p, one, "secret") for p in around}
+                    found[d].append(("secret", *span))
+                loose += [(d, k, *span, one) for k in kinds]
+    degree = Counter(p for p, _ in {(p, i) for p, i, _ in known | edges})
+    joined: dict[tuple[str, str], float] = {}
+    while True:
+        trust = {e: 1.0 for e in known}
+        for p, i, k in edges:
+            if (i, k) in joined:
+                trust[p, i, k] = max(trust.get((p, i, k), 0), joined[i, k])
+        by = defaultdict(list)
+        for (p, _, k), c in trust.items():
+            by[p, k].append(c)
+        score = {x: sum(c) / degree[x[0]] for x, c in by.items() if len(c) >= min_seeds}
+        new: dict[tuple[str, str], float] = {}
+        for p, i, k in edges:
+            if k is not None and score.get((p, k), 0) >= threshold:
+                new[i, k] = max(new.get((i, k), 0), score[p, k])
+        if len(new) == len(joined):
+            break
+        joined = new
+    for d, k, a, b, i in loose:
+        if (i, k) in joined:
+            found[d].append((k, a, b))
+    return {d: sorted(set(found[d]), key=lambda x: (["email", "ip", "card", "phone", "secret"].index(x[0]), x[1])) for d, _ in docs}
+
+
 def spans_text(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
@@ -142,6 +214,59 @@ def quality_counts(text: str | None) -> tuple:
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, n, len(w) < 50 or 100 * n > 50 * len(w)
 
 
+def robust_distances(groups: list[tuple[str, str]], x, floors: list[float], support: float, scale: float, prior: int, settled: float, grid: int = 64):
+    """Squared distances of the rows of ``x`` to the mixed MCD estimate of their (lang, source), in numpy."""
+    import numpy as np
+
+    def quantile(values, p):
+        bins = np.sort(np.floor(np.minimum(values, 1e6) * grid))
+        return bins[next(i for i in range(len(bins)) if np.sum(bins <= bins[i]) >= len(bins) * p)] / grid
+
+    def factor(s):
+        low = np.zeros_like(s)
+        for i in range(len(s)):
+            for j in range(i + 1):
+                v = s[i, j] - low[i, :j] @ low[j, :j]
+                low[i, j] = max(v, floors[i] ** 2) ** 0.5 if i == j else v / low[j, j]
+        return low
+
+    def distance(rows, m, s):
+        return (np.linalg.solve(factor(s), (rows - m).T) ** 2).sum(axis=0)
+
+    def step(rows, place):
+        near = rows[np.floor(np.minimum(place, 1e6) * grid) / grid <= quantile(place, support)]
+        m = near.mean(axis=0)
+        s = (near - m).T @ (near - m) / len(near) * scale
+        return len(near), m, s, 2 * np.log(np.diag(factor(s))).sum()
+
+    levels = {k: x[[i for i, g in enumerate(groups) if k in (g, (g[0],), ())]] for k in {*groups, *((a,) for a, _ in groups), ()}}
+    state = {}
+    for k, rows in levels.items():
+        median = np.array([quantile(c, 0.5) for c in rows.T])
+        mad = np.array([quantile(abs(c - m), 0.5) for c, m in zip(rows.T, median, strict=True)])
+        z = ((rows - median) / np.maximum(mad * 1.4826, floors)) ** 2
+        state[k] = [step(rows, np.log1p(z.sum(axis=1))), step(rows, np.log1p(z.max(axis=1)))]
+    while True:  # all groups step together, until none falls
+        after = {k: [step(levels[k], np.log1p(distance(levels[k], m, s))) for _, m, s, _ in both] for k, both in state.items()}
+        fell = max(a[3] - b[3] for k in state for a, b in zip(state[k], after[k], strict=True))
+        state = after
+        if fell <= settled:
+            break
+    best = {k: min(both, key=lambda e: e[3]) for k, both in state.items()}
+
+    def mixed(own, outer):
+        (n, m, s, _), (mo, so) = own, outer
+        w = n / (n + prior)
+        return w * m + (1 - w) * mo, w * s + (1 - w) * so + w * (1 - w) * np.outer(m - mo, m - mo)
+
+    out = np.empty(len(x))
+    for k in set(groups):
+        m, s = mixed(best[k], mixed(best[k[:1]], best[()][1:3]))
+        at = [i for i, g in enumerate(groups) if g == k]
+        out[at] = distance(x[at], m, s)
+    return out
+
+
 def share(budget: int, nodes: list[tuple[str, int, int]]) -> dict[str, int]:
     """Whole-number shares of (name, capacity, weight) nodes, by retiring short nodes until none is."""
     open_, out = [x for x in nodes if x[2] > 0], {n: 0 for n, _, _ in nodes}

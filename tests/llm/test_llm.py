@@ -75,7 +75,7 @@ def test_decontamination(spark, docs, cases, limit):
     """Both ways: prefixes sent to the tasks, and joined by shuffles."""
     words = cases[5][1].split()
     items = [(1, " ".join(words[10:40])), (2, "one TWO"), (3, None), (4, ""), (10, passage(13)), (5, "w1"), (2, "one two"), (6, " ".join(words[20:45]))]
-    out = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), max_broadcast_windows=limit)
+    out = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), max_broadcast_rows=limit)
     out = out.select("doc_id", "n_words", "n_hit", F.size("items").alias("n"), F.sha2(F.array_join("items", ","), 256).alias("sha"), decontaminate.contaminated().alias("bad"))
     assert by_id(out, "n_words", "n_hit", "n", "sha", "bad") == brute.decontaminate(cases, items)
 
@@ -111,6 +111,27 @@ def test_pii_finds_what_the_fixed_forms_miss(spark):
     assert out[13] == (0, "") and out[14] == (0, "")
 
 
+def test_pii_method_against_a_plain_version(spark):
+    """Rounds that build on one another, secrets, contexts far back, long words, rows that repeat, null ids and clashing columns."""
+    own = random.Random(9)
+    texts = [f"Reach us under mailbox u{i}@site{i}.org any time" for i in range(40)]
+    texts += [f"Reach us under mailbox v{i}@host{i} or write" for i in range(12)] + [f"please contact v{i}@host{i} soon" for i in range(12)] + ["please contact w@other soon", "please contact you soon w@else"]
+    texts += [f'set token = "{own.randrange(16**40):040x}" here' for _ in range(8)] + [f"set value: {own.randrange(16**30):030x} here" for _ in range(3)] + [f'x api_key="{own.randrange(16**24):024x}", y']
+    texts += [f"{'w' * 300} {'v' * 250}   10.1.{i}.7 up" for i in range(12)] + [f"{'w' * 300} {'v' * 250} 10.{i}.300 up" for i in range(4)] + [f"host 10.0.0.{i} 10.0.1.{i} 10.2.3.4 down" for i in range(6)]
+    texts += [f"call +47 22 33 44 {i:02d} now" for i in range(12)] + ["call 22 33 44 99 now", "card 4111 1111 1111 1111 or abc4111111111111111", "12 " * 400, "é (555) 1234567 ü", None, ""]
+    rows = [(i, t, 1, "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind long, body string").repartition(3)
+    out = by_id(pii.spans_by_document(docs, pii.find_personal_data(docs, threshold=0.7)), "spans", "secret_spans", "n_found")
+    added = brute.pii_method(list(enumerate(texts)), 0.7)
+    assert sum(map(len, added.values())) > 25 and {k for x in added.values() for k, _, _ in x} == {"email", "ip", "phone", "secret"}
+    for d, t in enumerate(texts):
+        spans = sorted(brute.pii_base(t) + [x for x in added[d] if x[0] != "secret"], key=lambda x: (pii.KINDS.index(x[0]), x[1]))
+        assert out[d] == (brute.spans_text(spans), brute.spans_text([x for x in added[d] if x[0] == "secret"]), len(brute.pii_base(t)) + len(added[d])), t
+    again = spark.createDataFrame([(1, "a@b.c"), (1, "a@b.c"), (1, "no"), (None, "1.2.3.4"), (None, None)], "doc_id long, text string")
+    got = pii.spans_by_document(again, pii.find_personal_data(again)).select("doc_id", "spans").collect()
+    assert sorted((r[0] or 0, r[1]) for r in got) == [(0, ""), (0, "ip:0:7"), (1, ""), (1, "email:0:5"), (1, "email:0:5")]
+
+
 def test_pii_of_several_words_is_one_instance(spark):
     """Spaced phones with one country code and spaced cards with one prefix seed their contexts; unseen forms join them whole."""
     cards = [c for c in (f"4111 1111 22{i // 10}{i % 10} 0{j}00" for i in range(60) for j in range(10)) if brute.pii_base(c)]
@@ -128,8 +149,9 @@ def test_pii_of_several_words_is_one_instance(spark):
     assert out[len(texts) - 2] == out[len(texts) - 1] == ("", "")
 
 
-@pytest.mark.parametrize("limit", [200, 0])
-def test_near_duplicates(docs, cases, limit):
+@pytest.mark.parametrize(("limit", "crowd"), [(200, 16), (0, 16), (0, 1)])
+def test_near_duplicates(docs, cases, limit, crowd, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
     out = near_dedup.near_duplicates(docs, bucket_pairs=limit)
     assert by_id(out, "n_shingles", "component_id") == {d: x[:2] for d, x in brute.near_duplicates(cases).items()}
 
@@ -160,9 +182,19 @@ def test_near_duplicates_of_repeated_ids(spark, limit):
 
 
 def test_components(spark):
-    edges = [(i, i + 1) for i in range(0, 12)] + [(100, 101), (101, 102), (102, 100)] + [(50 + i, 50) for i in range(1, 9)]
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (102, 100)] + [(50 + i, 50) for i in range(1, 9)]
     rows = near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()
-    assert {r["id"]: r["component"] for r in rows} == {i: 0 for i in range(13)} | {i: 100 for i in (100, 101, 102)} | {50 + i: 50 for i in range(9)}
+    assert {r["id"]: r["component"] for r in rows} == {i: 0 for i in range(41)} | {i: 100 for i in (100, 101, 102)} | {50 + i: 50 for i in range(9)}
+
+
+def test_components_take_few_rounds(spark):
+    """A chain of 1,000 links, in ascending ids and not, within rounds of a logarithm; a star of any centre within a few."""
+    for step, limit in ((1, 14), (389, 14)):
+        edges = [(i * step % 1009, (i + 1) * step % 1009) for i in range(1001)]
+        rows = near_dedup.components(spark.createDataFrame(edges, "a long, b long").coalesce(1), limit=limit).collect()
+        assert len(rows) == 1002 and {r["component"] for r in rows} == {min(min(e) for e in edges)}
+    star = [(700, i) for i in range(600)] + [(900, 901)]
+    assert {r["component"] for r in near_dedup.components(spark.createDataFrame(star, "a long, b long"), limit=4).collect()} == {0, 900}
 
 
 def test_tokens(docs, cases, spark, tmp_path):
@@ -171,6 +203,9 @@ def test_tokens(docs, cases, spark, tmp_path):
     path = str(tmp_path / "t")
     binary_tokens.write_token_blocks(docs, path, tokenizer=tokenizer_path(), vocabulary=49_408, end_id=1, block_ids=500)
     assert by_id(binary_tokens.read_token_digests(spark, path), "start", "n_tokens", "ids_crc32") == brute.token_digests(cases, Tokenizer.from_file(tokenizer_path()))
+    expected = Tokenizer.from_file(tokenizer_path()).encode(cases[12][1], add_special_tokens=False).ids
+    (found,) = binary_tokens.read_document(spark, path, 12)
+    assert list(found) == [*expected, 1] and binary_tokens.read_document(spark, path, -5) == []
     binary_tokens.write_file(spark.read.parquet(path), str(tmp_path / "flat"))
     places = np.fromfile(tmp_path / "flat.idx", dtype="<u8").astype(int)
     data = (tmp_path / "flat").read_bytes()
@@ -246,6 +281,34 @@ def test_quality_outliers(spark):
     assert [d for d, (kept,) in by_id(quality_rules.quality_verdicts(docs), "kept").items() if not kept] == [200]
 
 
+def test_quality_distances_against_a_plain_version(spark):
+    """Groups of 1 to 150 rows in three languages, a null one among them; clean rows stay, repeats and null ids are judged by their text."""
+    own = random.Random(2)
+    rows = []
+    for lang, source, n in (("en", "a", 150), ("en", "b", 60), ("en", "c", 7), ("de", "a", 40), (None, "z", 1), ("de", None, 3)):
+        for _ in range(n):
+            words = [own.choice("abcdefgh") * own.randint(2, 9 + 3 * (lang == "de")) + str(own.randrange(500)) for _ in range(own.randint(50, 160))]
+            words += own.choices(words, k=3) * own.choice([0, 0, 0, 1, 3]) + ["##"] * own.choice([0, 0, 1, 5, 40])
+            rows.append((len(rows), "\n".join(" ".join(words[i : i + 12]) for i in range(0, len(words), 12)), lang, source))
+    rows += [(None, rows[3][1], "en", "a"), (5, rows[5][1], "en", "a"), (5, rows[9][1], "en", "b"), (9000, None, "en", "a"), (9001, "few words", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = {}
+    for r in quality_rules.quality_verdicts(docs).select("*").collect():
+        got.setdefault((r["doc_id"], r["n_words"], r["word_chars"]), []).append((r["distance"], r["kept"]))
+    judged, x = [], []
+    for d, text, lang, source in rows:
+        n, chars, symbols, dup, repeated, failed = brute.quality_counts(text)
+        if not failed:
+            judged.append((d, n, chars, lang or "", source or ""))
+            x.append([np.log(chars / n), np.log(1 + 100 * symbols / n), dup / (text.count("\n") + 1), repeated / n])
+    scale = quality_rules.SUPPORT / quality_rules.chi2_cdf(quality_rules.chi2_quantile(quality_rules.SUPPORT, 4), 6)
+    want = brute.robust_distances([g[3:] for g in judged], np.array(x), quality_rules._FLOORS, quality_rules.SUPPORT, scale, quality_rules.PRIOR_ROWS, quality_rules.SETTLED)
+    limit = quality_rules.chi2_quantile(1 - quality_rules.TAIL, 4)
+    for g, expected in zip(judged, want, strict=True):
+        assert any(abs(d - expected) <= 1e-6 * (1 + expected) and kept == (d <= limit) for d, kept in got[g[:3]]), (g, expected, got[g[:3]])
+    assert 0 < sum(w > limit for w in want) < len(want) / 4 and got[9000, 0, 0] == [(None, False)] and sum(map(len, got.values())) == len(rows)
+
+
 def test_quality_outliers_by_repeats_alone(spark):
     """Mostly duplicate lines, or nearly half of the words repeated, reject a text that is typical otherwise; a few do not."""
     own = random.Random(11)
