@@ -104,8 +104,12 @@ def mix_sources(
     ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     drawn = salted(sizes, "doc_id", "body").join(per_salt(budgets), [*levels, "_salt"]).drop("_salt").withColumn("ticket", ticket).withColumn("range", F.substring("ticket", 1, TICKET_DIGITS))
     ranges = drawn.groupBy(*levels, "range", "rest").agg(F.sum("n_tokens").alias("range_tokens"))
-    upto = Window.partitionBy(*levels).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(*levels, "range", "range_tokens", F.coalesce(F.sum("range_tokens").over(upto), F.lit(0)).alias("before"))
+    # sums ahead of a range: of the ranges that share all but its last two digits, and of those before these
+    ranges = ranges.withColumn("block", F.substring("range", 1, TICKET_DIGITS - 2))
+    ahead = lambda order, *by: F.coalesce(F.sum("range_tokens").over(Window.partitionBy(*levels, *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = ranges.groupBy(*levels, "block").agg(F.sum("range_tokens").alias("range_tokens")).select(*levels, "block", ahead("block").alias("earlier"))
+    ranges = ranges.select(*levels, "range", "block", "range_tokens", ahead("range", "block").alias("within")).join(blocks, [*levels, "block"])
+    ranges = ranges.select(*levels, "range", "range_tokens", (F.col("earlier") + F.col("within")).alias("before"))
     placed = drawn.join(ranges, [*levels, "range"]).withColumn("place", F.when(F.col("before") + F.col("range_tokens") <= F.col("rest"), 1).when(F.col("before") <= F.col("rest"), 0).otherwise(-1))
     columns = ["doc_id", "body", *levels, "n_tokens", "leaf_tokens", "leaf_budget", "epochs", "rest"]
     clear = placed.where("place <> 0").select(*columns, (F.col("place") > 0).alias("drawn"))
