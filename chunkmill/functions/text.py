@@ -21,6 +21,12 @@ def let(value: Column, of: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
+def count_each(texts: Column, count: TokenCounter, kind: str) -> Column:
+    """The counts of an array's texts. A counter that is no expression (a UDF can't stand in a lambda) has a method ``each`` for them."""
+    each = getattr(count, "each", None)
+    return (each(texts) if each else F.transform(texts, count)).cast(f"array<{kind}>")
+
+
 def hard_split(text: Column, size: int) -> Column:
     """The tokens in groups of ``size``, each joined by blanks: a split that heeds nothing but length."""
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TokenCounter, first_truthy, let, sentences, token_count
+from ..functions.text import TokenCounter, count_each, first_truthy, let, sentences, token_count
 from .folds import joined, merge_groups, sentence_windows, target_groups
 
 _PLACE = ("paragraph_ref", "paragraph_title", "section_heading", "document_title", "chapter_path", "address", "url", "cross_refs", "ledd_number")
@@ -34,15 +34,19 @@ def _windows(text: Column, limits: Limits, count: TokenCounter) -> Column:
     return let(F.struct(counted["parts"].alias("parts"), counted["tokens"].alias("tokens"), bounds.alias("bounds")), cut)
 
 
-def _sentence_counts(text: Column, count: TokenCounter) -> Column:
-    return let(sentences(text), lambda parts: F.struct(parts.alias("parts"), F.transform(parts, lambda s: count(s).cast("int")).alias("tokens")))
+def _sentence_counts(parts: Column, count: TokenCounter) -> Column:
+    return F.struct(parts.alias("parts"), count_each(parts, count, "int").alias("tokens"))
 
 
 def _numbered(parts: Column, limits: Limits, count: TokenCounter, renumber: bool) -> Column:
     """Parts within the maximum, larger ones dropped; numbered before or after the drop."""
-    all_ = F.transform(parts, lambda p, i: F.struct(p.alias("text"), count(p).cast("long").alias("tokens"), (i + 1).alias("n")))
-    kept = F.filter(all_, lambda p: p["tokens"] <= limits.maximum)
-    return F.transform(kept, lambda p, i: F.struct(p["text"].alias("text"), p["tokens"].alias("tokens"), (i + 1).alias("n"))) if renumber else kept
+
+    def numbered(x: Column) -> Column:
+        all_ = F.transform(x["parts"], lambda p, i: F.struct(p.alias("text"), F.get(x["tokens"], i).alias("tokens"), (i + 1).alias("n")))
+        kept = F.filter(all_, lambda p: p["tokens"] <= limits.maximum)
+        return F.transform(kept, lambda p, i: F.struct(p["text"].alias("text"), p["tokens"].alias("tokens"), (i + 1).alias("n"))) if renumber else kept
+
+    return let(F.struct(parts.alias("parts"), count_each(parts, count, "long").alias("tokens")), numbered)
 
 
 def unit_pieces(units: DataFrame, limits: Limits, count: TokenCounter = token_count) -> DataFrame:
@@ -51,9 +55,10 @@ def unit_pieces(units: DataFrame, limits: Limits, count: TokenCounter = token_co
     fits = counted.where(F.col("tokens") <= limits.maximum).withColumn("piece", F.struct(F.col("text"), F.col("tokens"), F.lit(None).cast("int").alias("n")))
     large = counted.where(F.col("tokens") > limits.maximum)
     listed = large.where("tier = 1 and parts is not null").withColumn("piece", F.explode(_numbered(F.col("parts"), limits, count, renumber=False)))
-    windowed = large.where("tier = 1 and parts is null").withColumn("_counted", _sentence_counts(F.col("text"), count))
-    windowed = windowed.withColumn("piece", F.explode(_windows(F.col("text"), limits, count))).drop("_counted")
-    simple = large.where("tier = 3").withColumn("piece", F.explode(_numbered(sentences(F.col("text")), limits, count, renumber=True)))
+    windowed = large.where("tier = 1 and parts is null").withColumn("_parts", sentences(F.col("text"))).withColumn("_counted", _sentence_counts(F.col("_parts"), count))
+    windowed = windowed.withColumn("piece", F.explode(_windows(F.col("text"), limits, count))).drop("_counted", "_parts")
+    simple = large.where("tier = 3").withColumn("_parts", sentences(F.col("text")))
+    simple = simple.withColumn("piece", F.explode(_numbered(F.col("_parts"), limits, count, renumber=True))).drop("_parts")
     own = F.coalesce("unit_id", F.concat("paragraph_ref", F.lit("-ledd"), "ledd_number"))
     base = F.concat("paragraph_ref", F.lit("-ledd"), F.col("ledd_number").cast("string"))
     number = F.col("piece.n").cast("string")
@@ -68,7 +73,7 @@ def unit_pieces(units: DataFrame, limits: Limits, count: TokenCounter = token_co
 
 
 def section_groups(units: DataFrame, limits: Limits, count: TokenCounter = token_count, compat: bool = False) -> DataFrame:
-    """Tier 2: the units of each section grouped to the target size. ``compat`` takes the heading of the section around."""
+    """Tier 2: the units of each section grouped to the target size. ``compat`` takes the heading of the section around, and a group's first unit's references alone."""
     rows = units.where("tier = 2 and error is null").withColumn("tokens", count(F.col("text")).cast("long"))
     fields = ["seq", "unit_id", "text", "tokens", *_PLACE]
     lists = rows.groupBy("document_id", "section").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("u"))
@@ -76,8 +81,11 @@ def section_groups(units: DataFrame, limits: Limits, count: TokenCounter = token
     def chunk(u: Column, g: Column) -> Column:
         first = F.get(u, g["start"])
         heading = F.coalesce(F.try_element_at(first["chapter_path"], F.lit(-1)), F.lit("")) if compat else first["section_heading"]
-        place = [(heading if c == "section_heading" else first[c]).alias(c) for c in _PLACE]
-        texts = F.transform(F.slice(u, g["start"] + 1, g["end"] - g["start"]), lambda x: x["text"])
+        members = F.slice(u, g["start"] + 1, g["end"] - g["start"])
+        refs = F.array_distinct(F.flatten(F.transform(members, lambda x: F.coalesce(x["cross_refs"], F.array().cast("array<string>")))))
+        own = {"section_heading": heading} | ({} if compat else {"cross_refs": refs})
+        place = [own.get(c, first[c]).alias(c) for c in _PLACE]
+        texts = F.transform(members, lambda x: x["text"])
         return F.struct(first["seq"].alias("seq"), first["unit_id"].alias("unit_id"), F.array_join(texts, "\n\n").alias("text"), g["tokens"].alias("tokens"), *place)
 
     # chunks are made inside the row: exploding groups beside the units would copy all units for each group

@@ -137,6 +137,13 @@ def _contents(spark: SparkSession, root: str, todo: DataFrame, count: int) -> tu
     return wanted.join(files.select(tail.alias("tail"), "content"), "tail").select("doc_id", "content"), missing
 
 
+def _packed(files: DataFrame, todo: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``_contents``, from a table (path, content). Rows that repeat a path are one file."""
+    wanted, files = todo.select("doc_id", "path"), files.select("path", F.col("content").cast("binary").alias("content"))
+    missing = wanted.join(files, "path", "left_anti").select("doc_id", F.concat(F.lit("File not found: "), "path").alias("error"))
+    return wanted.join(files.dropDuplicates(["path"]), "path").select("doc_id", "content"), missing
+
+
 def process(
     spark: SparkSession,
     settings: Settings,
@@ -145,6 +152,7 @@ def process(
     compat: bool = False,
     sync: Callable[[str, bool], None] | None = None,
     count_tokens: TokenCounter = token_count,
+    corpus: tuple[DataFrame, DataFrame] | None = None,
 ) -> Result:
     """Brings the store up to date with the manifest, in one batch and one commit to the store.
 
@@ -153,17 +161,20 @@ def process(
     embed is an outcome of its own: what was stored of it goes, others aren't touched. (A missing file
     keeps what was stored.) New rows and deletions are one version of the store, and the state is written
     after it, so a run that breaks off leaves what was there, and the next one does its work again.
+
+    ``corpus`` is (manifest, files as (path, content)): large collections are better kept as a few tables
+    than as many small files. Without it both are read below ``settings.data_dir``.
     """
     progress, provider = progress or Silent(), provider or HashEmbedding(settings.embedding_dimensions)
     root = settings.data_dir.rstrip("/")
     progress.start("sync")
     if sync is not None:
         sync(settings.dataset_filter, settings.force)
-    if not manifests.exists(spark, f"{root}/state.json"):
+    if corpus is None and not manifests.exists(spark, f"{root}/state.json"):
         raise RuntimeError(f"no manifest: {root}/state.json")
     store, state_path = open_store(spark, root, settings.store_layout), f"{root}/state"
     store.read().limit(1).count()  # a store that can't be read fails the run before anything is done
-    manifest = manifests.read_manifest(spark, root)
+    manifest = manifests.read_manifest(spark, root) if corpus is None else corpus[0]
     state = read_state(spark, state_path)
     progress.counts(**manifests.sync_statistics(manifest).first().asDict())
     progress.end("sync")
@@ -182,7 +193,7 @@ def process(
         processed = failed = 0
         if count:
             progress.start("parse, chunk, embed")
-            contents, missing = _contents(spark, root, todo, count)
+            contents, missing = _contents(spark, root, todo, count) if corpus is None else _packed(corpus[1], todo)
             units = parse_documents(contents.withColumnRenamed("doc_id", "document_id")).cache()
             kept.append(units)
             limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)

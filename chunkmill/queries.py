@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import enrich, text
 from .operators import embed, folds, state
+from .plans import pipeline
 from .sources import html, manifest, store
 from .streaming import ingest
 
@@ -50,7 +51,8 @@ _TURNS = f"""units AS (SELECT conv_id AS doc, text AS unit, row_number() OVER (P
 _SENTENCES = r"list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda s: trim(s, ' ' || chr(9) || chr(10) || chr(13))), lambda s: s <> '')"
 
 
-def _merge_sql(units: str, low: int, high: int) -> str:
+def merge_ctes(units: str, low: int, high: int) -> str:
+    """F1 in SQL over ``units`` (doc, pos, t, ...): ``placed`` has each unit's chunk (gid), ``late`` marks the one that joined at the end."""
     return f"""
 WITH RECURSIVE {units},
 r AS (
@@ -62,7 +64,11 @@ r AS (
         FROM r JOIN units u ON u.doc = r.doc AND u.pos = r.pos + 1)),
 tail AS (SELECT doc, max(pos) AS pos FROM r GROUP BY doc),
 joins AS (SELECT doc, pos FROM r JOIN tail USING (doc, pos) WHERE n = 1 AND total < {low} AND nxt > 0 AND last + total <= {high}),
-placed AS (SELECT r.doc, r.pos, CASE WHEN j.doc IS NULL THEN gid ELSE gid - 1 END AS gid, j.doc IS NOT NULL AS late FROM r LEFT JOIN joins j ON j.doc = r.doc AND j.pos = r.pos WHERE r.gid >= 0)
+placed AS (SELECT r.doc, r.pos, CASE WHEN j.doc IS NULL THEN gid ELSE gid - 1 END AS gid, j.doc IS NOT NULL AS late FROM r LEFT JOIN joins j ON j.doc = r.doc AND j.pos = r.pos WHERE r.gid >= 0)"""
+
+
+def _merge_sql(units: str, low: int, high: int) -> str:
+    return f"""{merge_ctes(units, low, high)}
 SELECT doc, gid AS chunk, count(*) AS n_units, nullif(count(*) FILTER (NOT late), 1) AS merged_count, sum(t)::BIGINT AS tokens, sha256(string_agg(unit, chr(10) || chr(10) ORDER BY pos)) AS content_sha
 FROM placed JOIN units USING (doc, pos) GROUP BY doc, gid
 """
@@ -198,6 +204,13 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.complete(rows)
 
 
+def _filled(spark: SparkSession, rows: DataFrame, layout: str = "store") -> store.ChunkStore | store.JsonlStore | store.FlatTable:
+    """A new store that holds ``rows``."""
+    kept = store.open_store(spark, store.scratch_path(spark, "queries"), layout)
+    kept.upsert(rows)
+    return kept
+
+
 _STORED = """stored AS (SELECT 'c' || vec_id AS chunk_id, 'doc' || label AS document_id, CASE WHEN label % 2 = 0 THEN 'laws' ELSE '' END AS dataset_name, 'text ' || vec_id AS content,
   (vec_id % 50)::INT AS token_count, 'h' || (label // 2) AS source_hash, CASE WHEN vec_id % 3 = 0 THEN 'lov/' || vec_id || ',lov/x' ELSE '' END AS refs FROM embeddings)"""
 
@@ -220,33 +233,73 @@ def upsert_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     have = stored(spark, sf_dir)
     changed = have.where("token_count % 5 = 0").withColumns({"content": F.concat(F.lit("new "), "content"), "token_count": F.col("token_count") + 1})
     added = have.where("token_count % 7 = 0").withColumn("chunk_id", F.concat(F.lit("n"), "chunk_id"))
-    return store.upserted(have, changed.unionByName(added)).select("chunk_id", "document_id", "content", "token_count")
+    kept = _filled(spark, have)
+    kept.upsert(changed.unionByName(added), by="chunk_id")
+    return kept.read().select("chunk_id", "document_id", "content", "token_count")
 
 
 @query(f"WITH {_STORED} SELECT chunk_id, document_id FROM stored WHERE document_id NOT IN ('doc1', 'doc3')")
 def delete_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = spark.range(1).select(F.explode(F.array(F.lit("doc1"), F.lit("doc3"))).alias("document_id"))
-    return store.without(stored(spark, sf_dir), gone, "document_id").select("chunk_id", "document_id")
+    kept = _filled(spark, stored(spark, sf_dir))
+    kept.delete_documents(gone)
+    return kept.read().select("chunk_id", "document_id")
 
 
 @query(f"WITH {_STORED} SELECT count(*) AS chunks, count(DISTINCT document_id) AS documents, count(DISTINCT source_hash) AS hashes FROM stored")
 def store_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir).agg(F.count("*").alias("chunks"), F.count_distinct("document_id").alias("documents"), F.count_distinct("source_hash").alias("hashes"))
+    return _filled(spark, stored(spark, sf_dir)).read().agg(F.count("*").alias("chunks"), F.count_distinct("document_id").alias("documents"), F.count_distinct("source_hash").alias("hashes"))
 
 
 @query(f"WITH {_STORED} SELECT DISTINCT document_id FROM stored")
 def distinct_document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir).select("document_id").distinct()
+    return _filled(spark, stored(spark, sf_dir)).document_ids()
 
 
 @query(f"WITH {_STORED} SELECT chunk_id, document_id FROM stored WHERE source_hash = 'h1'")
 def chunks_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir).where("source_hash = 'h1'").select("chunk_id", "document_id")
+    return _filled(spark, stored(spark, sf_dir), "jsonl").by_hash("h1").select("chunk_id", "document_id")
 
 
 @query(f"WITH {_STORED} SELECT chunk_id, source_hash FROM stored WHERE document_id = 'doc2'")
 def chunks_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir).where("document_id = 'doc2'").select("chunk_id", "source_hash")
+    return _filled(spark, stored(spark, sf_dir)).by_document("doc2").select("chunk_id", "source_hash")
+
+
+@query(f"""WITH {_STORED}, new AS (SELECT chunk_id, document_id, 'new ' || content AS content, source_hash FROM stored WHERE token_count % 5 = 0
+  UNION ALL SELECT 'n' || chunk_id, document_id, content, 'h9' FROM stored WHERE token_count % 7 = 0)
+SELECT chunk_id, document_id, content, source_hash FROM (SELECT chunk_id, document_id, content, source_hash FROM stored WHERE chunk_id NOT IN (SELECT chunk_id FROM new) UNION ALL SELECT * FROM new) WHERE document_id <> 'doc4'""")
+def jsonl_upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    have = stored(spark, sf_dir)
+    changed = have.where("token_count % 5 = 0").withColumn("content", F.concat(F.lit("new "), "content"))
+    added = have.where("token_count % 7 = 0").withColumns({"chunk_id": F.concat(F.lit("n"), "chunk_id"), "source_hash": F.lit("h9")})
+    kept = _filled(spark, have, "jsonl")
+    kept.upsert(changed.unionByName(added), by="chunk_id")
+    kept.delete_documents(spark.range(1).select(F.lit("doc4").alias("document_id")))
+    return kept.read().select("chunk_id", "document_id", "content", "source_hash")
+
+
+@query(f"WITH {_STORED} SELECT DISTINCT source_hash FROM stored")
+def distinct_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filled(spark, stored(spark, sf_dir)).hashes()
+
+
+@query(f"WITH {_STORED} SELECT chunk_id, document_id FROM stored ORDER BY chunk_id LIMIT 40 OFFSET 20")
+def store_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filled(spark, stored(spark, sf_dir)).page(40, 20).select("chunk_id", "document_id")
+
+
+@query(f"""WITH {_STORED} SELECT chunk_id, document_id, dataset_name, content, token_count, source_hash, refs AS cross_refs FROM stored WHERE token_count % 2 = 1
+  UNION ALL SELECT chunk_id, document_id, dataset_name, 'old', token_count, source_hash, refs FROM stored WHERE token_count % 2 = 0""")
+def migrate_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with half of the chunks go to a flat table that holds all; what comes of it goes on to the store."""
+    root, have = store.scratch_path(spark, "queries"), stored(spark, sf_dir)
+    store.open_store(spark, root, "flat").upsert(have.withColumn("content", F.lit("old")))
+    store.open_store(spark, root, "jsonl").upsert(have.where("token_count % 2 = 1"))
+    pipeline.migrate(spark, "jsonl", "flat", root)
+    pipeline.migrate(spark, "flat", "store", root)
+    rows = store.open_store(spark, root, "store").read()
+    return rows.select("chunk_id", "document_id", "dataset_name", "content", "token_count", "source_hash", F.array_join("cross_refs", ",").alias("cross_refs"))
 
 
 # -- manifest and state ---------------------------------------------------------------------------------

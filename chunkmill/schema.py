@@ -25,6 +25,8 @@ PLACE = (
 )
 #: Units in document order, for each tier: what folds and splits run on. ``parts`` is null without a list.
 UNITS = _struct(f"document_id string, tier int, section int, seq int, unit_id string, ledd_number int, {PLACE}, text string, parts array<string>, error string")
+#: Units with what enrichers read besides; a copy of the header for each, so it is kept on demand only.
+MARKED_UNITS = T.StructType([*UNITS.fields, *_struct("header string, markup string, hrefs array<string>").fields])
 _CHUNK = (
     "chunk_id string, document_id string, dataset_name string, content string, token_count int, section_heading string, absolute_address string, "
     "split_reason string, parent_chunk_id string, source_hash string, cross_refs array<string>"

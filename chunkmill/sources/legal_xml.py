@@ -6,7 +6,7 @@ A parser failure is a row with ``error``, never a failed task.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import stem
-from ..schema import UNITS
+from ..schema import MARKED_UNITS, UNITS
 
 # Fixed values of the document format.
 _ARTICLE, _UNIT, _SECTION, _BODY = "legalArticle", "legalP", "section", "documentBody"
@@ -69,15 +69,20 @@ def _heading(section: ElementTree.Element) -> str:
     return next((_text(h) for tag in ("h2", "h3", "h4") for h in section.iter(tag)), "")
 
 
-def parse_units(document_id: str, content: bytes) -> list[dict]:
-    """Unit rows of all three tiers of one document; one row with ``error`` if it isn't well-formed."""
-    blank = {f.name: None for f in UNITS} | {"document_id": document_id}
+def parse_units(document_id: str, content: bytes, markup: bool = False) -> list[dict]:
+    """Unit rows of all three tiers of one document; one row with ``error`` if it isn't well-formed.
+
+    With ``markup`` they carry what enrichers read: the document's header, the unit's markup and its links.
+    """
+    blank = {f.name: None for f in (MARKED_UNITS if markup else UNITS)} | {"document_id": document_id}
     try:
         root = ElementTree.fromstring(content)
     except ElementTree.ParseError as error:
         return [blank | {"error": f"not well-formed: {error}"}]
     parent = {c: p for p in root.iter() for c in p}
     title = next((_text(h) for h in root.iter("h1")), "")
+    if markup:
+        blank["header"] = next((ElementTree.tostring(h, encoding="unicode") for h in root.iter("header")), None)
 
     def context(e: ElementTree.Element) -> dict:
         path, at = [], parent.get(e)
@@ -89,7 +94,9 @@ def parse_units(document_id: str, content: bytes) -> list[dict]:
 
     def place(e: ElementTree.Element) -> dict:
         url = next((v for k, v in e.attrib.items() if _URL.fullmatch(k)), "")
-        return {"address": e.get(_ADDRESS, ""), "url": url, "cross_refs": [a.get("href") for a in e.iter("a") if a.get("href") is not None]}
+        links = [a.get("href") for a in e.iter("a") if a.get("href") is not None]
+        more = {"hrefs": links, "markup": ElementTree.tostring(e, encoding="unicode")} if markup else {}
+        return {"address": e.get(_ADDRESS, ""), "url": url, "cross_refs": links} | more
 
     rows: list[dict] = []
     add = lambda **x: rows.append(blank | {"seq": len(rows)} | x)
@@ -113,12 +120,15 @@ def parse_units(document_id: str, content: bytes) -> list[dict]:
     return rows
 
 
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = to_arrow_schema(UNITS)
-    for batch in batches:
-        for document_id, content in zip(batch.column("document_id").to_pylist(), batch.column("content").to_pylist(), strict=True):
-            if rows := parse_units(document_id, content or b""):
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+def _parse_batches(markup: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(MARKED_UNITS if markup else UNITS)
+        for batch in batches:
+            for document_id, content in zip(batch.column("document_id").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                if rows := parse_units(document_id, content or b"", markup):
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return run
 
 
 def read_files(spark: SparkSession, root: str) -> DataFrame:
@@ -127,6 +137,6 @@ def read_files(spark: SparkSession, root: str) -> DataFrame:
     return found.select(stem(F.col("path")).alias("document_id"), "path", "content")
 
 
-def parse_documents(documents: DataFrame) -> DataFrame:
-    """Unit rows of (document_id, content)."""
-    return documents.select("document_id", F.col("content").cast("binary").alias("content")).mapInArrow(_parse_batches, UNITS)
+def parse_documents(documents: DataFrame, markup: bool = False) -> DataFrame:
+    """Unit rows of (document_id, content); with ``markup`` in the columns that enrichers read, too."""
+    return documents.select("document_id", F.col("content").cast("binary").alias("content")).mapInArrow(_parse_batches(markup), MARKED_UNITS if markup else UNITS)

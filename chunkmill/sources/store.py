@@ -11,6 +11,7 @@ reader needs before its scan. ``compact`` folds the log into one version, on its
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 from dataclasses import dataclass
 from typing import Protocol
@@ -74,6 +75,16 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new folder's path where ``spark.checkpoint.dir`` of the session is; without one, on a single machine only, a local one."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="chunkmill-")
+    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def complete(rows: DataFrame) -> DataFrame:
     """Valid rows in the store's columns: required values there, the others defaulted."""
     defaults = {"dataset_name": "", "section_heading": "", "absolute_address": "", "source_hash": "", "split_reason": "none"}

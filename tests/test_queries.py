@@ -1,4 +1,5 @@
 import pytest
+import chunkmill.document_queries  # noqa: F401  adds its queries to the catalogue
 from chunkmill.queries import ORACLE_SQL, QUERIES
 from oracle import SF, same
 
