@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chunkmill.cli import main
 from chunkmill.config import Settings
+from chunkmill.functions.tokens import Vocabulary
 from chunkmill.operators.chunking import Limits, chunk_units
 from chunkmill.operators.embed import HashEmbedding, nearest
 from chunkmill.plans import pipeline
@@ -176,3 +177,76 @@ def test_nearest_in_blocks_of_queries(spark):
         found = nearest(vectors, vectors.where("vec_id % 3 = 0"), 4, max_queries=size)
         assert {(r["query_id"], r["id"], r["rank"]) for r in found.collect()} == expected and found.count() == len(expected)
     assert nearest(vectors, vectors.limit(0), 4).count() == 0
+
+
+def flaky(path):
+    """A provider that fails on texts with a word, and counts what it is given in a file; local, so that it is shipped by value."""
+
+    class Flaky:
+        def embed_batch(self, texts):
+            if any("poison" in t for t in texts):
+                raise RuntimeError("refused")
+            with open(path, "a") as f:
+                f.write("x" * len(texts))
+            return [[1.0, 0.0]] * len(texts)
+
+        def model_name(self):
+            return "flaky"
+
+    return Flaky()
+
+
+def corpus(spark, texts: dict[str, str]):
+    rows = [(i, d, "laws", f"{d}.xml", f"extracted/laws/{d}.xml", "added", f"h{hash(t)}") for i, (d, t) in enumerate(texts.items())]
+    manifest = spark.createDataFrame(rows, "position long, doc_id string, dataset string, relative_path string, path string, status string, hash string")
+    files = [(f"extracted/laws/{d}.xml", law(*[UNIT.format(f"{d}u{i}", i, " ".join(["word"] * 80) + f" {t}") for i in range(3)])) for d, t in texts.items() if t is not None]
+    return manifest, spark.createDataFrame(files, "path string, content string")
+
+
+@pytest.mark.parametrize("storage", ["store", "jsonl"])
+def test_failures_are_documents_own(spark, tmp_path, storage):
+    settings = Settings(data_dir=str(tmp_path / "d"), storage=storage, chunk_min_tokens=60)
+    provider = flaky(str(tmp_path / "calls"))
+    calls = lambda: len((tmp_path / "calls").read_text())
+    store = pipeline.open_store(spark, settings.data_dir, settings.store_layout)
+    result = pipeline.process(spark, settings, provider, corpus=corpus(spark, {"a": "one", "b": "poison", "c": "three", "d": None}))
+    assert (result.processed, result.failed) == (2, 2)
+    assert {r["document_id"] for r in store.document_ids().collect()} == {"a", "c"} and calls() == store.count() == 6  # every chunk once
+    state = {r["doc_id"]: (r["status"], r["error"]) for r in pipeline.read_state(spark, f"{settings.data_dir}/state").collect()}
+    assert state["a"] == ("processed", None) and state["b"][0] == "failed" and "refused" in state["b"][1] and "not found" in state["d"][1]
+    # the next run tries what failed again, and nothing else
+    result = pipeline.process(spark, settings, provider, corpus=corpus(spark, {"a": "one", "b": "two", "c": "three", "d": None}))
+    assert (result.processed, result.failed) == (1, 1) and calls() == store.count() == 9
+
+
+def test_a_run_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    settings = Settings(data_dir=str(tmp_path / "d"), storage="store", force=True)
+    given = corpus(spark, {"a": "one", "b": "two"})
+    pipeline.process(spark, settings, flaky(str(tmp_path / "calls")), corpus=given)
+    store = ChunkStore(spark, f"{settings.data_dir}/store")
+    had, state = sorted(store.read().collect()), sorted(pipeline.read_state(spark, f"{settings.data_dir}/state").collect())
+    monkeypatch.setattr(ChunkStore, "_commit", lambda *a, **k: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        pipeline.process(spark, settings, flaky(str(tmp_path / "calls")), corpus=given)
+    assert sorted(store.read().collect()) == had and sorted(pipeline.read_state(spark, f"{settings.data_dir}/state").collect()) == state
+
+
+def test_vocabulary(spark, tmp_path):
+    import public_tokenizers
+    import tiktoken  # noqa: F401
+
+    words = Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = ["", "The law applies to all.", "Å være § 3-1", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", words(F.col("t")).alias("n"), words.encode(F.col("t")).alias("ids"), words.split(F.col("t"), 3).alias("parts"))
+    for r in rows.select("*", words.decode(F.col("ids")).alias("back")).collect():
+        if r["t"] is None:
+            assert r["n"] is None and r["parts"] is None and r["back"] is None
+        else:
+            assert r["n"] == len(r["ids"]) and r["back"] == r["t"] and len(r["parts"]) == -(-r["n"] // 3) and ("§" in r["t"] or "".join(r["parts"]) == r["t"])
+    # as the counter of a run: tokens that words aren't, in whole units, windows of sentences and list items
+    sentence = "Unquestionably antidisestablishmentarianism. " * 30
+    for unit in (sentence, "<ol>" + f"<li>{sentence[:90]}</li>" * 20 + "</ol>"):
+        content = law(UNIT.format("u1", 1, unit))
+        units = parse_documents(spark.createDataFrame([("d", content)], "document_id string, content string"))
+        chunks = chunk_units(units, Limits(60, 100, 50), words).select("text", "token_count").collect()
+        assert chunks and sum(r["token_count"] for r in chunks) > 2 * sum(len(r["text"].split()) for r in chunks)
