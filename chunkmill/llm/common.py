@@ -44,6 +44,11 @@ def cut(df: DataFrame) -> DataFrame:
 _SCOPES: list[list[str]] = []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables that are staged inside are removed at the end, when what was made of them has been written."""
@@ -52,8 +57,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _SCOPES.pop():
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            remove(spark, path)
 
 
 def stage(df: DataFrame, kind: str) -> DataFrame:

@@ -357,6 +357,79 @@ def test_null_and_repeated_ids(spark):
     assert line_dedup.drop_repeated_lines(docs).count() == 5
 
 
+CLASHES = {c: F.lit("x") for c in ("body", "row", "id", "copies", "v_id", "v_body", "_salt", "lines", "gone", "features", "_counts", "hits", "said", "view", "words", "place", "kept", "n_words", "bucket", "ticket", "range")}
+
+
+def numbered(letter: str, n: int) -> str:
+    return " ".join(f"{letter}{i}" for i in range(n))
+
+
+def odd_rows(spark):
+    """Null and repeated ids, ties, null, empty and very long texts, and columns with names that operators use."""
+    long = " ".join(f"w{i % 4001}x{i // 7}" for i in range(60_000))
+    texts = [(None, numbered("m", 70)), (1, long), (1, long), (1, numbered("k", 60)), (2, long + " end"), (3, ""), (4, None), (None, None), (5, "mail a@b.cd now")]
+    rows = spark.createDataFrame([(i, t, "en", f"src{(i or 0) % 2}") for i, t in texts], "doc_id long, text string, lang string, source string")
+    return rows.withColumns(CLASHES)
+
+
+def test_odd_rows(spark):
+    docs = odd_rows(spark)
+    items = spark.createDataFrame([(1, numbered("k", 60)), (None, "mail a b cd"), (2, None)], "item_id long, text string")
+    ids = sorted(r["doc_id"] or 0 for r in docs.select("doc_id").collect())
+    of = lambda df, *c: sorted(tuple(r[x] or 0 for x in ("doc_id", *c)) for r in df.collect())
+    # op1, op2, op6: nothing is over the thresholds but the long text of 1, which 2 begins with
+    assert [d for d, n in of(line_dedup.drop_repeated_lines(docs), "n_dropped") if n == 0] == ids
+    assert [r for r in of(substring_dedup.remove_repeated_passages(docs), "n_words", "n_removed") if r[2]] == [(2, 60_001, 60_000)]
+    groups = of(near_dedup.near_duplicates(docs), "component_id")
+    assert groups == [(0, 0), (0, 0), (1, 1), (1, 1), (1, 1), (2, 1), (3, 3), (4, 4), (5, 5)]
+    # op3: a null item names nothing, its window hits
+    hits = of(decontaminate.decontaminate(docs, items), "n_hit", "items")
+    assert [(d, n) for d, n, _ in hits if n] == [(1, 60), (5, 4)] and [i for *_, i in hits if i] == [["1"]]
+    # op4: equal rows tie and are drawn alike or one after the other; nothing is lost
+    mixed = mixing.mix_sources(docs, path=mix_path(), weights=({}, {}, {}), budget_share=(1, 1), max_epochs=1)
+    assert [d for d, *_ in of(mixed, "n_tokens")] == ids and {r["copies"] for r in mixed.where("n_tokens > 0").collect()} == {1}
+    # op5: rows that repeat have spans each
+    found = of(pii.spans_by_document(docs, pii.find_personal_data(docs)), "n_email", "base_spans")
+    assert [d for d, *_ in found] == ids and [x for x in found if x[1]] == [(5, 1, "email:5:11")]
+    # op7 and op10
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (9, 0)], "doc_id long, quality int")
+    model = quality_model.fit_quality(docs, labels)
+    assert [d for d, s in of(quality_model.score_quality(docs, model), "score") if 0 <= s <= 1] == ids
+    verdicts = of(quality_rules.quality_verdicts(docs), "n_words", "base_failed")
+    assert [d for d, *_ in verdicts] == ids and [n for d, n, bad in verdicts if not bad] == [70, 60, 60_000, 60_000, 60_001]
+
+
+def test_odd_rows_of_tokens_and_dialogues(spark, tmp_path):
+    docs = odd_rows(spark)
+    from tokenizers import Tokenizer
+
+    known = Tokenizer.from_file(tokenizer_path())
+    encode = lambda t: known.encode(t, add_special_tokens=False).ids
+    for n, rows in enumerate((docs, docs.limit(0))):
+        binary_tokens.write_token_blocks(rows, f"{tmp_path}/{n}", tokenizer=tokenizer_path(), vocabulary=49_408, end_id=1)
+        got = binary_tokens.read_token_digests(spark, f"{tmp_path}/{n}").collect()
+        want = sorted(((r["doc_id"], len(encode(r["text"] or "")) + 1) for r in rows.collect()), key=str)
+        assert sorted(((r["doc_id"], r["n_tokens"]) for r in got), key=str) == want
+        starts = sorted((r["start"], r["n_tokens"]) for r in got)
+        assert [s for s, _ in starts] == [sum(k for _, k in starts[:i]) for i in range(len(starts))]
+    turns = spark.createDataFrame([(1, 0, "ann", "x" * 200_000), (1, 0, "ann", "x" * 200_000), (1, 1, None, None), (None, None, "bob", "")], "conv_id long, turn int, role string, text string").withColumns(CLASHES)
+    views = {(r["conv_id"], r["perspective"]): r for r in chat.rotate_perspectives(turns).collect()}
+    assert set(views) == {(1, "ann"), (1, ""), (None, "bob")}
+    assert views[1, "ann"]["n_turns"] == 2 and len(views[1, "ann"]["rendered"]) > 200_000
+    assert chat.rotate_perspectives(turns.limit(0)).count() == 0
+
+
+def test_stages_of_odd_rows(spark):
+    docs = odd_rows(spark)
+    for rows in (docs, docs.limit(0)):
+        for name, step in corpus_pipeline.STAGES[:4]:
+            out = step(spark, rows, SF)
+            assert out.columns == docs.columns, name
+            left = out.collect()
+            assert len(left) <= 3 * rows.count() and all(r["body"] == "x" and r["copies"] == "x" for r in left), name
+        assert corpus_pipeline.STAGES[4][1](spark, rows, SF).count() == rows.count()
+
+
 def test_pipeline(spark):
     kept = spark.read.parquet(f"{SF}/documents.parquet")
     expected = {r["doc_id"]: r["text"] for r in kept.collect()}
