@@ -357,7 +357,7 @@ def test_null_and_repeated_ids(spark):
     assert line_dedup.drop_repeated_lines(docs).count() == 5
 
 
-CLASHES = {c: F.lit("x") for c in ("body", "row", "id", "copies", "v_id", "v_body", "_salt", "lines", "gone", "features", "_counts", "hits", "said", "view", "words", "place", "kept", "n_words", "bucket", "ticket", "range")}
+CLASHES = ("body", "row", "id", "copies", "v_id", "v_body", "_salt", "lines", "gone", "features", "_counts", "hits", "said", "view", "words", "place", "kept", "n_words", "bucket", "ticket", "range")
 
 
 def numbered(letter: str, n: int) -> str:
@@ -369,7 +369,7 @@ def odd_rows(spark):
     long = " ".join(f"w{i % 4001}x{i // 7}" for i in range(60_000))
     texts = [(None, numbered("m", 70)), (1, long), (1, long), (1, numbered("k", 60)), (2, long + " end"), (3, ""), (4, None), (None, None), (5, "mail a@b.cd now")]
     rows = spark.createDataFrame([(i, t, "en", f"src{(i or 0) % 2}") for i, t in texts], "doc_id long, text string, lang string, source string")
-    return rows.withColumns(CLASHES)
+    return rows.withColumns({c: F.lit("x") for c in CLASHES})
 
 
 def test_odd_rows(spark):
@@ -412,7 +412,7 @@ def test_odd_rows_of_tokens_and_dialogues(spark, tmp_path):
         assert sorted(((r["doc_id"], r["n_tokens"]) for r in got), key=str) == want
         starts = sorted((r["start"], r["n_tokens"]) for r in got)
         assert [s for s, _ in starts] == [sum(k for _, k in starts[:i]) for i in range(len(starts))]
-    turns = spark.createDataFrame([(1, 0, "ann", "x" * 200_000), (1, 0, "ann", "x" * 200_000), (1, 1, None, None), (None, None, "bob", "")], "conv_id long, turn int, role string, text string").withColumns(CLASHES)
+    turns = spark.createDataFrame([(1, 0, "ann", "x" * 200_000), (1, 0, "ann", "x" * 200_000), (1, 1, None, None), (None, None, "bob", "")], "conv_id long, turn int, role string, text string").withColumns({c: F.lit("x") for c in CLASHES})
     views = {(r["conv_id"], r["perspective"]): r for r in chat.rotate_perspectives(turns).collect()}
     assert set(views) == {(1, "ann"), (1, ""), (None, "bob")}
     assert views[1, "ann"]["n_turns"] == 2 and len(views[1, "ann"]["rendered"]) > 200_000
