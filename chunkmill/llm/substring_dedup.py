@@ -4,8 +4,9 @@ Rabin-Karp hashes of every window are counted in Spark. So that the shuffle isn'
 window first names an anchor, the least hash of the 12-word sequences in it. The anchor depends on the
 window's words alone, so equal windows have equal anchors, and a window whose anchor occurs in one
 document only has a count of one without being counted. Consecutive windows of one anchor travel as
-one row, equal rows of many copies are collapsed before their windows are told apart, and what is found
-repeated merges into maximal intervals of words, which are removed.
+one row. Where all rows of an anchor are equal, as in exact copies, they are counted as wholes; where
+they differ, equal ones are collapsed before their windows are told apart. What is found repeated
+merges into maximal intervals of words, which are removed.
 """
 
 from __future__ import annotations
@@ -43,55 +44,73 @@ def _anchored(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return starts, anchors, runs
 
 
+def _window_hashes(words: Words, starts: np.ndarray, window: int) -> np.ndarray:
+    return ngram_hashes(words.hash, window)[starts] if len(starts) else np.zeros(0, np.uint64)
+
+
+def _contents(hashes: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """One number for each run's windows in order; ``runs`` are the indices at which runs begin."""
+    if not len(runs):
+        return np.zeros(0, np.int64)
+    lengths = np.diff(np.append(runs, len(hashes)))
+    offset = np.arange(len(hashes)) - np.repeat(runs, lengths)
+    return signed(np.add.reduceat(mix(hashes + offset.astype(np.uint64)), runs))
+
+
 def _anchor_rows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(doc_id, body, anchor, content): the distinct kinds of runs that each document has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 words = words_of(part.column("text"), RAW_WORDS)
                 starts, anchors, runs = _anchored(words, window)
-                doc, anchor = words.doc[starts[runs]], signed(anchors[runs])
-                order = np.lexsort((anchor, doc))
-                doc, anchor = doc[order], anchor[order]
+                doc, anchor, content = words.doc[starts[runs]], signed(anchors[runs]), _contents(_window_hashes(words, starts, window), runs)
+                order = np.lexsort((content, anchor, doc))
+                doc, anchor, content = doc[order], anchor[order], content[order]
                 new = np.ones(len(doc), dtype=bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
+                new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
                 rows = pa.array(doc[new])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(rows), part.column("body").take(rows), pa.array(anchor[new])], ["doc_id", "body", "anchor"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(rows), part.column("body").take(rows), pa.array(anchor[new]), pa.array(content[new])], ["doc_id", "body", "anchor", "content"])
 
     return run
 
 
 def _run_rows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of the runs whose anchors the row's ``anchors`` lists, with the hashes of their windows."""
+    """Rows of the runs whose anchors the row's ``anchors`` lists; those that ``several`` lists with the hashes of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 words = words_of(part.column("text"), RAW_WORDS)
                 starts, anchors, runs = _anchored(words, window)
-                listed = part.column("anchors")
-                wanted = listed.flatten().to_numpy()
-                wanted_doc = np.repeat(np.arange(len(part)), listed.value_lengths().to_numpy())
                 doc, anchor = words.doc[starts[runs]], signed(anchors[runs])
                 # a pair (document, anchor) as one number: two different pairs of one slice would have to collide
                 pair = lambda d, a: mix(a.astype(np.int64).view(np.uint64) + mix(d.astype(np.uint64) + np.uint64(1)))
-                take = np.flatnonzero(np.isin(pair(doc, anchor), pair(wanted_doc, wanted)))
-                to = np.append(runs, len(starts))
-                lengths = to[take + 1] - to[take]
-                hashes = signed(ngram_hashes(words.hash, window)[starts]) if len(starts) else np.zeros(0, np.int64)
-                bounds = np.concatenate([[0], np.cumsum(lengths)])
-                flat = hashes[np.arange(bounds[-1]) - np.repeat(bounds[:-1], lengths) + np.repeat(runs[take], lengths)] if len(take) else hashes[:0]
-                content = signed(np.add.reduceat(mix(flat.view(np.uint64) + np.arange(len(flat), dtype=np.uint64) - np.repeat(bounds[:-1], lengths).astype(np.uint64)), bounds[:-1])) if len(take) else hashes[:0]
+                pairs = pair(doc, anchor)
+
+                def listed(name: str, part: pa.RecordBatch = part, pairs: np.ndarray = pairs, pair: Callable = pair) -> np.ndarray:
+                    lists = part.column(name)
+                    return np.isin(pairs, pair(np.repeat(np.arange(len(part)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()))
+
+                hashes = _window_hashes(words, starts, window)
+                content, lengths = _contents(hashes, runs), np.diff(np.append(runs, len(starts)))
+                take, told = np.flatnonzero(listed("anchors")), listed("several")
+                each = np.where(told, lengths, 0)[take]
+                bounds = np.concatenate([[0], np.cumsum(each)])
+                flat = signed(hashes[np.arange(bounds[-1]) - np.repeat(bounds[:-1], each) + np.repeat(runs[take], each)])
                 rows = pa.array(doc[take])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(rows),
                         part.column("body").take(rows),
                         pa.array(anchor[take]),
-                        pa.array(content, pa.int64()),
+                        pa.array(content[take]),
                         pa.array((starts[runs[take]] - words.first[doc[take]]).astype(np.int32)),
+                        pa.array(lengths[take].astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat)),
                     ],
-                    ["doc_id", "body", "anchor", "content", "at", "windows"],
+                    ["doc_id", "body", "anchor", "content", "at", "n", "windows"],
                 )
 
     return run
@@ -146,7 +165,7 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
     with a smaller doc_id. Windows are judged on the input, not on what is left.
 
     Scale: shuffled are one (anchor, doc_id) row per about 20 words, the window hashes of shared anchors
-    only, and the text once by doc_id (both joins read the same exchange). Counts are partial before
+    whose runs differ, and the text twice by doc_id (for its runs, and for what is cut of it). Counts are partial before
     their shuffles; equal runs of copies collapse to one before they are exploded. Shared anchors and what
     was judged of runs are staged, so that their joins back are of plain shuffles, whose hot keys Spark
     splits. Windows are equal if their 64-bit hashes and the 64-bit hashes of their anchors are.
@@ -159,22 +178,23 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
     base = keyed(docs, id_col, text_col)
     id_type = base.schema["doc_id"].dataType.simpleString()
     key = f"doc_id {id_type} not null, body long not null"  # not null: no filter is inferred that would tell equal exchanges apart
-    anchors = base.where(F.col("doc_id").isNotNull()).mapInArrow(tidy(_anchor_rows(window)), f"{key}, anchor long not null")
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
+    anchors = base.where(F.col("doc_id").isNotNull()).mapInArrow(tidy(_anchor_rows(window)), f"{key}, anchor long not null, content long not null")
+    ends = [f(c).alias(f"{n}_{c}") for c in ("doc_id", "content") for f, n in ((F.min, "low"), (F.max, "high"))]
+    shared = anchors.groupBy("anchor").agg(*ends).where("low_doc_id < high_doc_id").select("anchor", F.expr("low_content < high_content").alias("differ"))
     shared = stage(shared, "shared")
-    wanted = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id", "body").agg(F.collect_set("anchor").alias("anchors"))
+    wanted = anchors.join(shared, "anchor").groupBy("doc_id", "body").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("differ"), F.col("anchor"))).alias("several"))
 
     def with_texts(rows: DataFrame, how: str) -> DataFrame:
         rows = rows.withColumnsRenamed({"doc_id": "r_id", "body": "r_body"})
         return base.join(rows, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("body") == F.col("r_body")), how).drop("r_id", "r_body")
 
-    fields = "anchor long not null, content long not null, at int not null, windows array<long> not null"
+    fields = "anchor long not null, content long not null, at int not null, n int not null, windows array<long> not null"
     runs = with_texts(wanted, "inner").mapInArrow(tidy(_run_rows(window)), f"{key}, {fields}")
-    kinds = runs.groupBy("anchor", "content").agg(F.min("doc_id").alias("low"), F.first("windows").alias("windows"))
+    kinds = runs.groupBy("anchor", "content").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("windows").alias("windows"))
     single = kinds.select("anchor", "content", "low", F.posexplode("windows").alias("offset", "hash"))
     least = single.groupBy("anchor", "hash").agg(F.min("low").alias("least"), F.max("low").alias("most")).where("least < most").select("anchor", "hash", "least")
     earlier = single.join(least, ["anchor", "hash"]).where("least < low").groupBy("anchor", "content").agg(F.collect_set("offset").alias("offsets"))
-    judged = kinds.select("anchor", "content", "low", F.size("windows").alias("n")).join(earlier, ["anchor", "content"], "left")
+    judged = kinds.select("anchor", "content", "low", "n").join(earlier, ["anchor", "content"], "left")
     judged = stage(judged, "judged")
     hits = (
         runs.select("doc_id", "body", "anchor", "content", "at")
