@@ -17,6 +17,8 @@ from .common import ASCII_SPACE, WORD, keyed
 
 #: Labelled rows that a model is fitted on at most, the first by md5 of their doc_id.
 MAX_TRAIN = 20_000
+#: Ids of labelled rows that are sent to every executor at most; more meet the texts by a shuffle.
+MAX_BROADCAST = 100_000
 
 #: Statistics of a text, as SQL over n_chars, n_words, n_lines and the texts' pieces.
 FEATURES = {
@@ -176,6 +178,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality
     """
     some = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("y"))
     some = some.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(max_train).select(F.col(id_col).alias("doc_id"), "y")
+    if max_train <= MAX_BROADCAST:
+        some = F.broadcast(some)  # max_train ids at most, so that no text is shuffled to meet them
     found = with_features(keyed(docs, id_col, text_col).join(some, "doc_id")).select("doc_id", F.struct("body", "y", "features").alias("row"))
     found = found.groupBy("doc_id").agg(F.min("row").alias("row"))  # one text of a doc_id that repeats, so max_train rows at most
     rows = found.orderBy("doc_id").select("row.y", "row.features.*").collect()
