@@ -321,7 +321,7 @@ def test_quality_outliers_by_repeats_alone(spark):
     assert sorted(d for d, (kept, _) in out.items() if not kept) == [200, 201] and not any(failed for _, failed in out.values())
 
 
-def test_classifier(spark):
+def test_classifier(spark, monkeypatch):
     good = [(i, passage(60)) for i in range(150)]
     bad = [(1000 + i, passage(30).replace(" ", "$$$ ")) for i in range(100)]
     docs = spark.createDataFrame([*good, *bad, (5000, None), (5001, "")], "doc_id long, text string")
@@ -329,6 +329,9 @@ def test_classifier(spark):
     scores = by_id(quality_model.score_quality(docs, quality_model.fit_quality(docs, labels)), "score")
     held = [(d, s) for d, (s,) in scores.items() if d % 3 == 0 and d < 5000]
     assert np.mean([(s >= 0.5) == (d < 1000) for d, s in held]) > 0.98 and all(0 <= s <= 1 for (s,) in scores.values())
+    model = quality_model.fit_quality(docs, labels)
+    monkeypatch.setattr(quality_model, "MAX_BROADCAST", 0)
+    assert quality_model.fit_quality(docs, labels) == model
     none = by_id(quality_model.score_quality(docs, quality_model.fit_quality(docs, labels.limit(0))), "score")
     assert set(none.values()) == {(0.5,)}
 
