@@ -166,9 +166,9 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
 
     Scale: shuffled are one (anchor, doc_id) row per about 20 words, the window hashes of shared anchors
     whose runs differ, and the text twice by doc_id (for its runs, and for what is cut of it). Counts are partial before
-    their shuffles; equal runs of copies collapse to one before they are exploded. Shared anchors and what
-    was judged of runs are staged, so that their joins back are of plain shuffles, whose hot keys Spark
-    splits. Windows are equal if their 64-bit hashes and the 64-bit hashes of their anchors are.
+    their shuffles; equal runs of copies collapse to one before they are exploded. Shared anchors,
+    what documents have of them and what was judged of runs are staged, so that none is computed twice and
+    their joins back are of plain shuffles, whose hot keys Spark splits. Windows are equal if their 64-bit hashes and the 64-bit hashes of their anchors are.
 
     Edge cases: null, empty and short texts lose nothing. A row without doc_id is neither smaller nor
     larger than others and loses nothing. Rows of one doc_id don't repeat each other. A very long text is
@@ -183,6 +183,7 @@ def remove_repeated_passages(docs: DataFrame, *, window: int = 50, id_col: str =
     shared = anchors.groupBy("anchor").agg(*ends).where("low_doc_id < high_doc_id").select("anchor", F.expr("low_content < high_content").alias("differ"))
     shared = stage(shared, "shared")
     wanted = anchors.join(shared, "anchor").groupBy("doc_id", "body").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("differ"), F.col("anchor"))).alias("several"))
+    wanted = stage(wanted, "wanted")  # read twice
 
     def with_texts(rows: DataFrame, how: str) -> DataFrame:
         rows = rows.withColumnsRenamed({"doc_id": "r_id", "body": "r_body"})
