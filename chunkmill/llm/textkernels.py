@@ -229,3 +229,19 @@ def tidy(kernel: Kernel) -> Kernel:
 def signed(h: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark's long."""
     return h.view(np.int64)
+
+
+def joined_words(words: Words, mapped: np.ndarray, gap: int = 1, block: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets): every word followed by ``gap`` spaces; word ``i`` is ``bytes[offsets[i] : offsets[i + 1] - gap]``."""
+    offsets = np.concatenate([[0], np.cumsum(words.end - words.start + gap)])
+    out = np.full(offsets[-1], 32, dtype=np.uint8)
+    for low in range(0, len(words.start), block):  # what a byte needs is held for a block of words
+        start, size = words.start[low : low + block], words.end[low : low + block] - words.start[low : low + block]
+        out[inside(offsets[low : low + len(size)], size)] = mapped[words.data[inside(start, size)]]
+    return out, offsets
+
+
+def inside(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of the ranges that begin at ``start`` and hold ``size``, one range after another."""
+    ahead = np.cumsum(size) - size
+    return np.repeat(start - ahead, size) + np.arange(int(size.sum()))

@@ -305,3 +305,77 @@ def mixture(docs: list[tuple[int, tuple[str, ...], int]], weights: list[dict], b
             upto += n
             out[d] = (budgets[path], whole + (rest > 0 and upto <= rest))
     return out
+
+
+def planted_periods(doc_id: int | None, text: str | None) -> list[str]:
+    found = words(text)
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(found)
+    if h % 10 or not n:
+        return found
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [found[i] if i < a else found[a + (i - a) % p] for i in range(n)]
+
+
+def periodic_runs(found: list[str], times: int = 4, least: int = 6) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, by trying every period at every word."""
+    runs: dict[tuple[int, int], int] = {}
+    for q in range(1, len(found) // times + 1):
+        i = 0
+        while i + q < len(found):
+            j = i
+            while j + q < len(found) and found[j] == found[j + q]:
+                j += 1
+            if j + q - i >= max(least, times * q):
+                runs.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted(((s, e - s, q) for (s, e), q in runs.items()), key=lambda r: (r[0], r[2]))
+
+
+def run_digests(found: list[str]) -> tuple:
+    runs = periodic_runs(found)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = max(runs, key=lambda r: (r[1], -r[0], -r[2])) if runs else (None, None, None)
+    milli = 1000 * best[1] // best[2] if runs else None
+    return len(runs), *best, milli, sha("".join(f"{s},{length},{q}\n" for s, length, q in runs)), sha(" ".join(w for i, w in enumerate(found) if i not in gone))
+
+
+def planted_words(docs: list[tuple[int, str | None]]) -> list[str]:
+    out = []
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc_id}:{low}".encode())
+            out.append(low[: h % len(low)] + low[h % len(low) + 1 :] if h % 199 == 0 else low)
+    return out
+
+
+def spelling_variants(occurrences: list[str], min_length: int = 6, min_count: int = 5, ratio: int = 5) -> dict[str, tuple]:
+    """word: (n, n_near, form, form_n, root), near words by what is left when a code point is taken out."""
+    count = {w: n for w, n in Counter(occurrences).items() if len(w) >= min_length and n >= min_count}
+    holes: dict[tuple, set] = defaultdict(set)
+    for w in count:
+        for k in range(len(w)):
+            holes[w[:k], w[k + 1 :]].add(w)  # one code point replaced
+    near: dict[str, set] = {w: set() for w in count}
+    for some in holes.values():
+        for w in some:
+            near[w] |= some - {w}
+    for w in count:
+        for k in range(len(w)):
+            shorter = w[:k] + w[k + 1 :]
+            if shorter in count:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    form = {}
+    for w, some in near.items():
+        best = min(some, key=lambda x: (-count[x], x), default=None)
+        form[w] = best if best is not None and count[best] >= ratio * count[w] else None
+
+    def root(w: str) -> str:
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (n, len(near[w]), form[w], count[form[w]] if form[w] else None, root(w)) for w, n in count.items()}
