@@ -2,12 +2,13 @@
 
 Native. A mention is a run of number characters, a word with "@", or a long run of letters and digits.
 Patterns of fixed form find the base spans within mentions, which seed the method; for secrets, which
-have no fixed form, mentions behind a seed name ("token =") do. A mention's lexical patterns are the two
+have no fixed form, mentions behind a seed name ("token =") do. A seed name only seeds: no mention is found but
+by a pattern's score. A mention's lexical patterns are the two
 words before it, and the one before or after it together with the mention's shape (runs of digits and of
 letters generalised). Instances and patterns make a bipartite graph. In each round a pattern of a kind
 scores the mean confidence of its distinct instances, an instance the best score of its patterns, and
 instances over the threshold whose form could be of the kind join the seeds, until none joins. What
-joined beyond the base are identifiers that no fixed form knew.
+joined are identifiers that no fixed form knew.
 """
 
 from __future__ import annotations
@@ -154,7 +155,8 @@ def find_personal_data(docs: DataFrame, *, threshold: float = 0.9, min_seeds: in
 
     Positions are code points, end exclusive. An added span is a mention without marks at its ends. A
     pattern counts from ``min_seeds`` distinct seeds of a kind on and an instance joins a kind at
-    ``threshold``. Rounds go on until no instance joins; seeds never leave, so that ends.
+    ``threshold``. Rounds go on until no instance joins; seeds never leave, so that ends; ``max_rounds`` rounds without
+an end are an error.
 
     Scale: a text is tested for each sort of mention and cut at mentions only; what leaves a task is a row
     per mention, which the window over a document's mentions places. A base span is found within its
@@ -187,7 +189,9 @@ def find_personal_data(docs: DataFrame, *, threshold: float = 0.9, min_seeds: in
     degree = stage(known.select("pattern", "instance").union(around.select("pattern", "instance")).distinct().groupBy("pattern").agg(F.count("*").alias("degree")), "degree")
     open_edges = stage(around.select("pattern", "instance", F.explode("kinds").alias("kind")).distinct(), "edges")
     joined, count = open_edges.limit(0).select("instance", "kind", F.lit(0.0).alias("confidence")), 0
-    for _ in range(max_rounds):
+    for step in range(max_rounds + 1):
+        if step == max_rounds:
+            raise RuntimeError(f"instances still joined after {max_rounds} rounds: raise max_rounds")
         seeds = known.withColumn("confidence", F.lit(1.0)).unionByName(open_edges.join(joined, ["instance", "kind"]).select("pattern", "instance", "kind", "confidence"))
         seeds = seeds.groupBy("pattern", "instance", "kind").agg(F.max("confidence").alias("confidence"))
         scores = seeds.groupBy("pattern", "kind").agg(F.sum("confidence").alias("sum"), F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds)
@@ -198,21 +202,20 @@ def find_personal_data(docs: DataFrame, *, threshold: float = 0.9, min_seeds: in
             break
         count = now
     columns = ["doc_id", "body", "kind", "start", "end"]
-    named = loose.where("named").select("doc_id", "body", F.lit(SECRET).alias("kind"), "start", "end")
     added = loose.select("doc_id", "body", F.explode("kinds").alias("kind"), "start", "end", "instance").join(joined.select("instance", "kind"), ["instance", "kind"], "left_semi")
-    return fixed.select(*columns, F.lit(True).alias("base")).unionByName(added.select(*columns).union(named).distinct().withColumn("base", F.lit(False)))
+    return fixed.select(*columns, F.lit(True).alias("base")).unionByName(added.select(*columns).distinct().withColumn("base", F.lit(False)))
 
 
 def spans_by_document(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, a count of base spans by kind, ``base_spans``, ``spans``, ``n_secret``, ``secret_spans``, ``n_found``.
 
-    Spans are kind:start:end by kind as ``KINDS`` lists them, then start, comma-joined. Secrets are in a
-    column of their own; ``n_found`` counts all. Spans are gathered by document.
+    Spans are kind:start:end by kind as ``KINDS`` lists them and secrets last, then start, comma-joined. ``spans`` has
+    all, ``secret_spans`` the secrets alone; ``n_found`` counts all. Spans are gathered by document.
     """
     order = F.array_position(F.array(*map(F.lit, (*KINDS, SECRET))), F.col("kind"))
     item = F.struct(order.alias("o"), F.col("start"), F.col("end"), F.col("kind"), F.col("base"))
     lists = spans.groupBy(F.col("doc_id").alias("s_id"), F.col("body").alias("s_body")).agg(F.array_sort(F.collect_list(item)).alias("found"))
-    lists = lists.select("s_id", "s_body", F.size("found").alias("n_found"), F.filter("found", lambda s: s["kind"] != SECRET).alias("all"), F.filter("found", lambda s: s["kind"] == SECRET).alias("secrets"), F.filter("found", lambda s: s["base"]).alias("own"))
+    lists = lists.select("s_id", "s_body", F.size("found").alias("n_found"), F.col("found").alias("all"), F.filter("found", lambda s: s["kind"] == SECRET).alias("secrets"), F.filter("found", lambda s: s["base"]).alias("own"))
     text = lambda c: F.coalesce(F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","), F.lit(""))
     count = lambda kind: F.coalesce(F.size(F.filter("own", lambda s: s["kind"] == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
     some = lambda c, name: F.coalesce(c, F.lit(0)).cast("long").alias(name)

@@ -20,8 +20,8 @@ from .common import cut, keyed, per_salt, salted, stage
 from .textkernels import _BYTES, RAW_WORDS, U64, _bytes_of, mix, ngram_hashes, slices, tidy, window_starts, words_of
 
 SYMBOLS = "#*$%&|<>"
-#: Share of a group's rows that an MCD estimate rests on, and concentration steps at most.
-SUPPORT, MAX_STEPS = 0.75, 30
+#: Share of a group's rows that an MCD estimate rests on, and concentration steps beyond which not to settle is an error.
+SUPPORT, MAX_STEPS = 0.75, 500
 #: Steps end when no logarithm of a determinant falls by more. Subsets are cut at grid points, so it never settles fully.
 SETTLED = 1e-3
 #: Rows that the estimate of what is around a group (its language, then all) counts for in the group's own.
@@ -190,6 +190,8 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
         estimate = after
         if fell is None or fell <= SETTLED:
             break
+    else:
+        raise RuntimeError(f"determinants still fell after {MAX_STEPS} concentration steps")
     fields = ["rows", *_MEANS, *_SCATTER.values()]
     best = cut(estimate.groupBy(*by).agg(F.min(F.struct("log_det", "start", *fields)).alias("e")).select(*by, *[F.col(f"e.{f}").alias(f) for f in fields]))
 

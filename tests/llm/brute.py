@@ -132,7 +132,6 @@ def pii_method(docs: list[tuple[int, str | None]], threshold: float = 0.9, min_s
                 span = (at + core.start(), at + core.end())
                 if "secret" in kinds and re.search("(?i)token|secret|passw|api.?key|credential", " ".join([*gap[: len(gap) - len(ahead)].split()[-2:], ahead])):
                     known |= {(p, one, "secret") for p in around}
-                    found[d].append(("secret", *span))
                 loose += [(d, k, *span, one) for k in kinds]
     degree = Counter(p for p, _ in {(p, i) for p, i, _ in known | edges})
     joined: dict[tuple[str, str], float] = {}

@@ -125,13 +125,33 @@ def test_pii_method_against_a_plain_version(spark):
     added = brute.pii_method(list(enumerate(texts)), 0.7)
     assert sum(map(len, added.values())) > 25 and {k for x in added.values() for k, _, _ in x} == {"email", "ip", "phone", "secret"}
     for d, t in enumerate(texts):
-        spans = sorted(brute.pii_base(t) + [x for x in added[d] if x[0] != "secret"], key=lambda x: (pii.KINDS.index(x[0]), x[1]))
+        spans = sorted(brute.pii_base(t) + added[d], key=lambda x: ((*pii.KINDS, pii.SECRET).index(x[0]), x[1]))
         assert out[d] == (brute.spans_text(spans), brute.spans_text([x for x in added[d] if x[0] == "secret"]), len(brute.pii_base(t)) + len(added[d])), t
     again = spark.createDataFrame([(1, "a@b.c"), (1, "a@b.c"), (1, "no"), (None, "1.2.3.4"), (None, None)], "doc_id long, text string")
     got = pii.spans_by_document(again, pii.find_personal_data(again)).select("doc_id", "spans").collect()
     assert sorted((r[0] or 0, r[1]) for r in got) == [(0, ""), (0, "ip:0:7"), (1, ""), (1, "email:0:5"), (1, "email:0:5")]
 
 
+def test_pii_seed_names_only_seed(spark, monkeypatch):
+    """What is added passes a pattern's score: nothing is with the graph off, nor without seeds; a context learnt from seeds finds others."""
+    own = random.Random(4)
+    key = lambda: f"KEY{own.randrange(10**20):020d}"
+    texts = [f"set access token = {key()} now" for _ in range(12)] + [f"so secret: {key()} now" for _ in range(2)]
+    texts += [f"the deploy id = {key()} now" for _ in range(3)] + [f"commit {own.randrange(16**40):040x} of it" for _ in range(9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = lambda **x: {d for d, (n,) in by_id(pii.spans_by_document(docs, pii.find_personal_data(docs, **x)), "n_secret").items() if n}
+    # twelve seeds share "token =" and, with two more, the shape before "now"; the three behind "id =" have the latter
+    assert found(threshold=0.8) == set(range(17)) and found() == set(range(12)) and found(threshold=2.0) == set()
+    monkeypatch.setattr(pii, "SEED_NAMES", "no such name")
+    assert found(threshold=0.8) == set()
+
+
+def test_pii_rounds_without_an_end_are_an_error(spark):
+    docs = spark.createDataFrame([(i, f"Mail contact address: u{i}@site{i}.org now") for i in range(9)] + [(10, "Mail contact address: odd@host now")], "doc_id long, text string")
+    with pytest.raises(RuntimeError):
+        pii.find_personal_data(docs, max_rounds=1)
+
+
 def test_pii_of_several_words_is_one_instance(spark):
     """Spaced phones with one country code and spaced cards with one prefix seed their contexts; unseen forms join them whole."""
     cards = [c for c in (f"4111 1111 22{i // 10}{i % 10} 0{j}00" for i in range(60) for j in range(10)) if brute.pii_base(c)]
