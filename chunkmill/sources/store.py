@@ -5,13 +5,18 @@ creating a file that must not be there, so two writers never share one. It count
 is created, the last thing done, so readers see a version whole or not at all, and a write costs what it
 brings, not what is there. What a version holds stands in the marker's name: a listing is all that a
 reader needs before its scan. ``compact`` folds the log into one version, on its own after
-``COMPACT_AFTER`` of them.
+``COMPACT_AFTER`` of them; ``vacuum`` removes what was folded.
+
+Rows lie in files by document, and each version has an index of its files: the range of their keys and
+blocked Bloom filters. A lookup by document or by hash tests the index and opens the files that can
+hold the key.
 """
 
 from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 from dataclasses import dataclass
 from typing import Protocol
@@ -23,13 +28,47 @@ from pyspark.sql import functions as F
 from ..schema import ENRICHED, REQUIRED
 from .manifest import exists
 
-_ROWS, _KEYS, _CLAIM = "rows", "keys", "claim"
+_ROWS, _KEYS, _CLAIM, _INDEX = "rows", "keys", "claim", "index"
+#: Columns that lookups go by.
+INDEXED = ("document_id", "source_hash")
+#: A Bloom filter is blocks of so many bits (what one bitmap of Spark holds), for so many keys each on average, of so many bits.
+_BLOCK_BITS, _BLOCK_KEYS, _KEY_BITS = 32_768, 2_500, 6
 #: A marker: rows or not, document keys or not, chunk keys or not, and the version up to which it holds all, or 0.
 _MARK = re.compile(r"done-r([01])-d([01])-c([01])-w([0-9]+)")
 #: Versions beyond the last whole one after which a write compacts the log.
 COMPACT_AFTER = 32
 
 
+def file_index(rows: DataFrame) -> DataFrame:
+    """(file, column, low, high, blocks, block, bits): for each file of ``rows`` and indexed column the range of its keys, and its filter blocks.
+
+    Sizes and bits are partial aggregates; what moves is a row per file and distinct key, and a bitmap per block.
+    """
+    placed = rows.select(F.col("_metadata.file_path").alias("file"), F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("key")) for c in INDEXED])).alias("e"))
+    keys = placed.select("file", "e.*").where(F.col("key").isNotNull()).distinct()
+    ranges = keys.groupBy("file", "column").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.ceil(F.count("*") / _BLOCK_KEYS).cast("int").alias("blocks"))
+    marked = keys.join(ranges, ["file", "column"]).select("file", "column", _block_of(F.col("key"), F.col("blocks")).alias("block"), F.explode(F.array(*_bits_of(F.col("key")))).alias("bit"))
+    return marked.groupBy("file", "column", "block").agg(F.bitmap_construct_agg("bit").alias("bits")).join(ranges, ["file", "column"])
+
+
+def _block_of(key: Column, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(key), blocks).cast("int")
+
+
+def _bits_of(key: Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(n)), F.lit(_BLOCK_BITS)).cast("long") for n in range(1, _KEY_BITS + 1)]
+
+
+def can_hold(column: str, value: str) -> Column:
+    """Whether a row of a file index says that its file can hold ``value``."""
+    key = F.lit(value)
+    found = (F.col("column") == column) & (F.col("low") <= key) & (F.col("high") >= key) & (F.col("block") == _block_of(key, F.col("blocks")))
+    for bit in _bits_of(key):
+        byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+        found = found & (F.getbit(byte, bit % 8) == 1)
+    return found
+
+
 class Store(Protocol):
     """Where chunks are kept: one commit replaces and deletes."""
 
@@ -173,17 +212,26 @@ class ChunkStore(_Reads):
         fs, at = _file_system(self.spark, f"{self.path}/v{version}/done-r{rows:d}-d{by_document:d}-c{by_chunk:d}-w{whole}")
         fs.create(at, False).close()
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """All chunks as of a version, the last by default."""
+    def _live(self, version: int | None = None) -> tuple[int, int, dict[int, tuple[bool, bool, bool, int]]]:
+        """The last whole version, the version up to which it holds all, and the marks of all that count."""
         marks = {v: m for v, m in self._marks().items() if version is None or v <= version}
         last = max((v for v, m in marks.items() if m[3]), key=lambda v: marks[v][3], default=0)
         since = marks[last][3] if last else 0
-        live = {v: m for v, m in marks.items() if v == last or (v > since and not m[3])}
+        return last, since, {v: m for v, m in marks.items() if v == last or (v > since and not m[3])}
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """All chunks as of a version, the last by default."""
+        last, since, live = self._live(version)
+        return self._rows(last, since, live, [f"{self.path}/v{v}/{_ROWS}" for v, m in live.items() if m[0]])
+
+    def _rows(self, last: int, since: int, live: dict[int, tuple[bool, bool, bool, int]], kept: list[str], only: Column | None = None) -> DataFrame:
+        """The rows of the folders or files ``kept`` that later versions left; ``only`` limits the rows first."""
         number = lambda part: F.regexp_extract(F.col("_metadata.file_path"), rf"/v([0-9]+)/{part}/[^/]*$", 1).cast("int")
-        kept = [f"{self.path}/v{v}/{_ROWS}" for v, m in live.items() if m[0]]
         if not kept:
             return self.spark.createDataFrame([], ENRICHED)
         rows = self.spark.read.schema(ENRICHED).parquet(*kept).select("*", number(_ROWS).alias("_version"))
+        if only is not None:
+            rows = rows.where(only)
         rows = rows.withColumn("_version", F.when(F.col("_version") == last, since).otherwise(F.col("_version")))
         for name, place in (("document_id", 1), ("chunk_id", 2)):
             holding = [f"{self.path}/v{v}/{_KEYS}" for v, m in live.items() if m[place]]
@@ -193,6 +241,38 @@ class ChunkStore(_Reads):
                 rows = rows.join(gone, name, "left").where("_until is null or _version >= _until").drop("_until")
         return rows.select(*ENRICHED.names)
 
+    def files_for(self, column: str, value: str, live: dict[int, tuple[bool, bool, bool, int]] | None = None) -> list[str]:
+        """Files that can hold ``value`` in an indexed column; folders of versions that have no index, whole."""
+        fs, _ = _file_system(self.spark, self.path)
+        live = self._live()[2] if live is None else live
+        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/{_INDEX}/_SUCCESS")) or []
+        indexed = {int(s.getPath().getParent().getParent().getName()[1:]) for s in found}
+        holding = [v for v, m in live.items() if m[0]]
+        whole = [f"{self.path}/v{v}/{_ROWS}" for v in holding if v not in indexed]
+        tested = [f"{self.path}/v{v}/{_INDEX}" for v in holding if v in indexed]
+        if not tested:
+            return whole
+        return whole + [r["file"] for r in self.spark.read.parquet(*tested).where(can_hold(column, value)).select("file").collect()]  # files of one key
+
+    def _lookup(self, column: str, value: str) -> DataFrame:
+        last, since, live = self._live()
+        return self._rows(last, since, live, self.files_for(column, value, live), F.col(column) == value)
+
+    def by_document(self, document_id: str) -> DataFrame:
+        """Opens only files that can hold the document."""
+        return self._lookup("document_id", document_id)
+
+    def by_hash(self, source_hash: str) -> DataFrame:
+        """Opens only files that can hold the hash."""
+        return self._lookup("source_hash", source_hash)
+
+    def _write_rows(self, rows: DataFrame, at: str) -> DataFrame:
+        """Writes rows, in order of document_id in their files, and the files' index; what was written."""
+        rows.sortWithinPartitions("document_id").write.parquet(f"{at}/{_ROWS}")
+        written = self.spark.read.schema(ENRICHED).parquet(f"{at}/{_ROWS}")
+        file_index(written).write.parquet(f"{at}/{_INDEX}")
+        return written
+
     def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
         """One commit: stores ``rows`` and drops all else of their keys and of ``documents`` (document_id); the version, or 0 if nothing changes.
 
@@ -206,8 +286,8 @@ class ChunkStore(_Reads):
             rows = complete(rows)
             if by == "chunk_id":
                 rows = upserted(self.spark.createDataFrame([], ENRICHED), rows)
-            rows.write.parquet(f"{at}/{_ROWS}")
-            written = self.spark.read.schema(ENRICHED).parquet(f"{at}/{_ROWS}")
+            # by document, and balanced by size: a document with very many chunks is several files
+            written = self._write_rows(rows.hint("rebalance", F.col("document_id")), at)
             keys = keys.unionByName(written.select(*[(F.col(n) if n == by else none).alias(n) for n in ("document_id", "chunk_id")]))
             has_rows = not written.isEmpty()
         keys.distinct().write.parquet(f"{at}/{_KEYS}")
@@ -238,9 +318,39 @@ class ChunkStore(_Reads):
         upto = self.version()
         if upto:
             version = self._claim()
-            self.read(upto).write.parquet(f"{self.path}/v{version}/{_ROWS}")
+            self._write_rows(self.read(upto).repartitionByRange("document_id"), f"{self.path}/v{version}")
             self._commit(version, True, False, False, whole=upto)
 
+    def vacuum(self, older_than: float = 7 * 24 * 3600.0) -> int:
+        """Removes versions that a compaction folded, and writes that broke off, ``older_than`` seconds ago; how many.
+
+        The last whole version and all after it stay, so every read that begins now is served. A reader that
+        is still on an older version after that time loses its files.
+        """
+        fs, root = _file_system(self.spark, self.path)
+        if not fs.exists(root):
+            return 0
+        last, since, live = self._live()
+        marks, now = self._marks(), int(time.time() * 1000)
+        removed = 0
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if not (name[:1] == "v" and name[1:].isdigit()) or int(name[1:]) in live:
+                continue
+            # a version that isn't committed may be in the making, a folded one has been superseded for as long as the whole one is there
+            superseded = int(name[1:]) in marks and int(name[1:]) <= max(since, last)
+            age = now - (self._committed(last) if superseded else status.getModificationTime())
+            if (superseded or int(name[1:]) not in marks) and age >= older_than * 1000:
+                fs.delete(status.getPath(), True)
+                removed += 1
+        return removed
+
+    def _committed(self, version: int) -> int:
+        """When a version was committed, in milliseconds."""
+        fs, _ = _file_system(self.spark, self.path)
+        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/done-*"))
+        return max(s.getModificationTime() for s in found)
+
 
 @dataclass(frozen=True)
 class JsonlStore(_Reads):
