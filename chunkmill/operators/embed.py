@@ -19,6 +19,8 @@ from ..schema import ENRICHED
 
 #: Texts of one call to a provider.
 BATCH = 100
+#: Similarities that a task holds at a time.
+_SCORES = 1 << 22
 
 
 class EmbeddingProvider(Protocol):
@@ -131,10 +133,12 @@ def _best_rows(ids: list[int], vectors: list[list[float]], k: int) -> Callable[[
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
     names = np.array(ids, dtype=np.int64)
 
+    step = max(1, _SCORES // max(len(ids), 1))
+
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [(np.zeros(0, np.int64), np.zeros(0)) for _ in ids]
-        for batch in batches:
-            if not len(batch) or not len(ids):
+        for batch in (whole.slice(at, step) for whole in batches for at in range(0, len(whole), step)):
+            if not len(ids):
                 continue
             have = batch.column("id").to_numpy()
             rows = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), -1)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import enrich, text
-from .operators import embed, folds, state
+from .operators import embed, folds, state, vector_index
 from .plans import pipeline
 from .sources import html, manifest, store
 from .streaming import ingest
@@ -517,6 +517,26 @@ def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "id", F.col("rank").cast("long").alias("rank"), F.round("similarity", 6).alias("similarity"))
 
 
+def _vector_index(spark: SparkSession, sf_dir: str) -> tuple[vector_index.VectorIndex, DataFrame, DataFrame]:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_index.VectorIndex.build(vectors, store.scratch_path(spark, "vectors"), 64), vectors, vectors.where("vec_id % 100 = 0")
+
+
+@query(ORACLE_SQL["cosine_topk"])
+def vector_index_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact way through the index: all cells probed."""
+    index, _, queries = _vector_index(spark, sf_dir)
+    found = index.search(queries, 10, len(index.centres()))
+    return found.select("query_id", "id", F.col("rank").cast("long").alias("rank"), F.round("similarity", 6).alias("similarity"))
+
+
+@query(None)
+def vector_index_probed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many cells as give a recall of 0.95 on a sample of the queries."""
+    index, _, queries = _vector_index(spark, sf_dir)
+    return index.search(queries, 10, index.probes_for(queries, 10, 0.95))
+
+
 @query("SELECT user_id, ts, event_type AS status FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.latest_status(table(spark, sf_dir, "events"))
