@@ -15,7 +15,7 @@ from .functions import enrich, text
 from .operators import embed, folds, state, vector_index
 from .plans import pipeline
 from .sources import html, manifest, store
-from .streaming import ingest
+from .streaming import changes, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -542,6 +542,22 @@ def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.latest_status(table(spark, sf_dir, "events"))
 
 
+@query("""
+WITH last AS (SELECT user_id::VARCHAR AS doc_id, event_type AS hash, event_type = 'error' AS gone, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, (event_type = 'error') DESC, event_type DESC) AS n FROM events)
+SELECT doc_id, hash FROM last WHERE n = 1 AND NOT gone
+""")
+def change_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as documents and their events as what the manifest says of them, through the stateful stream."""
+    source = table(spark, sf_dir, "events")
+    root = store.scratch_path(spark, "changes")
+    kind = F.col("event_type")
+    # a stream reads folders: the table is copied, so that it may be a file or a folder in any file system
+    source.select(F.col("user_id").cast("string").alias("doc_id"), F.when(kind == "error", "removed").otherwise(kind).alias("status"), kind.alias("hash"), F.col("ts").cast("timestamp").alias("at")).write.parquet(f"{root}/events")
+    given = spark.readStream.schema(changes.EVENT).option("maxFilesPerTrigger", 8).parquet(f"{root}/events")
+    changes.write_changes(changes.changes(given, late=None), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return changes.after_changes(changes.read_changes(spark, f"{root}/out"))
+
+
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.windowed_counts(table(spark, sf_dir, "events"))
