@@ -29,6 +29,8 @@ MAGIC = b"CMB1"
 _HEAD = struct.Struct("<4sBxxxIQ")  # magic, bits, documents, ids
 #: Ids of a block, unless one document alone has more.
 BLOCK_IDS = 1 << 18
+#: Text bytes of a range of doc_ids that one task sorts and encodes, on average at most.
+RANGE_BYTES = 128 << 20
 #: Words, and parts of words, whose ids a worker remembers: some 200 bytes each.
 CACHE_WORDS, CACHE_PARTS = 1_200_000, 600_000
 
@@ -217,8 +219,9 @@ def _encode_blocks(tokenizer: str, bits: int, end_id: int, block_ids: int, speci
 def write_token_blocks(docs: DataFrame, path: str, *, tokenizer: str, vocabulary: int, end_id: int, block_ids: int = BLOCK_IDS, special_as_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes every text's ids and an end id, in ascending doc_id order, as blocks to the table ``path``.
 
-    Scale: texts are dealt by ranges of doc_id, one shuffle; each task sorts its range, encodes and
-    packs it block by block, and holds one block at a time.
+    Scale: texts are dealt by ranges of doc_id, one shuffle, to as many ranges as ``RANGE_BYTES`` of text need
+    (``spark.sql.shuffle.partitions`` at least); each task sorts its range, encodes and packs it block by
+    block, and holds one block at a time.
 
     Edge cases: null texts are empty and have the end id alone. Rows without doc_id come first; rows
     that repeat a doc_id are ordered by the hash of their text and all written. A very long text is a
@@ -226,7 +229,8 @@ def write_token_blocks(docs: DataFrame, path: str, *, tokenizer: str, vocabulary
     """
     base = keyed(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     ordered = base.repartitionByRange(parts, "doc_id", "body").sortWithinPartitions("doc_id", "body").select("doc_id", "text")
     ordered.mapInArrow(_encode_blocks(tokenizer, bits_for(vocabulary), end_id, block_ids, special_as_text), f"part int, block int, before long, n_ids long, doc_ids array<{kind}>, first_id {kind}, last_id {kind}, data binary").write.parquet(path)
 
@@ -245,7 +249,7 @@ def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the written blocks: doc_id, start (ids before it), n_tokens, ids_crc32.
 
     A part's base is the sum of the parts before it, of which there are as many as the write had tasks
-    (two numbers for each of ``spark.sql.shuffle.partitions``, so they are broadcast);
+    (two numbers for each 128 MB of text, some 16 MB at 100 TB, so they are broadcast);
     within its part each block knows how many ids stand before it. So blocks aren't shuffled.
     """
     blocks = spark.read.parquet(path)

@@ -38,9 +38,10 @@ def _weight(weights: Mapping[tuple[str, ...], int], path: Sequence[str]) -> Colu
 def share_budgets(leaves: DataFrame, path: Sequence[str], weights: Sequence[Mapping[tuple[str, ...], int]], budget: Column) -> DataFrame:
     """``leaves`` (path columns, tokens, capacity) with ``leaf_budget``.
 
-    Sums are whole numbers throughout: capacity times the weights of a node's siblings must stay below
-    2**63. Windows run over siblings, of which there are as many as a node has children.
+    Sums are whole numbers throughout, products of tokens and weights decimals of 38 digits. Windows run over
+    siblings, of which there are as many as a node has children.
     """
+    wide = lambda c: F.col(c).cast("decimal(19,0)")  # noqa: E731  of which a product has 38 digits
     above = leaves.agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens")).select(F.least("capacity", budget.cast("long")).alias("parent_budget"))
     for depth in range(1, len(path) + 1):
         here, up = list(path[:depth]), list(path[: depth - 1])
@@ -54,9 +55,9 @@ def share_budgets(leaves: DataFrame, path: Sequence[str], weights: Sequence[Mapp
                 "used": F.col("parent_budget") - F.coalesce(F.sum("capacity").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
                 "open": F.sum("weight").over(ordered.rowsBetween(0, Window.unboundedFollowing)),
             }
-        ).withColumn("short", (F.col("weight") > 0) & (F.col("capacity") * F.col("open") <= F.col("used") * F.col("weight")))
+        ).withColumn("short", (F.col("weight") > 0) & (wide("capacity") * wide("open") <= wide("used") * wide("weight")))
         nodes = nodes.withColumns({"rest": F.max(F.when(~F.col("short"), F.col("used"))).over(siblings), "shares": F.max(F.when(~F.col("short"), F.col("open"))).over(siblings)})
-        given = F.when(F.col("short"), F.col("capacity")).when(F.col("shares") > 0, F.expr("(rest * weight) div shares")).otherwise(F.lit(0))
+        given = F.when(F.col("short"), F.col("capacity")).when(F.col("shares") > 0, F.expr("(cast(rest as decimal(19,0)) * cast(weight as decimal(19,0))) div shares")).otherwise(F.lit(0))
         above = nodes.select(*here, given.cast("long").alias("parent_budget"))
     return leaves.join(above.withColumnRenamed("parent_budget", "leaf_budget"), list(path))
 

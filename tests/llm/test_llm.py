@@ -94,6 +94,16 @@ HARD = [
 ]
 
 
+def test_budgets_of_many_tokens_and_weights(spark):
+    """At 10**15 tokens, products with weights of 10**6 pass 64 bits."""
+    rows = [("a", f"s{i}", 10**15 + i, 3 * 10**15) for i in range(40)] + [("b", "t", 10**12, 3 * 10**12)]
+    leaves = spark.createDataFrame(rows, "domain string, source string, tokens long, capacity long")
+    out = mixing.share_budgets(leaves, ["domain", "source"], [{("a",): 10**6, ("b",): 10**6}, {(f"s{i}",): 10**6 + i for i in range(40)}], F.lit(2 * 10**16))
+    budget = {r["source"]: r["leaf_budget"] for r in out.collect()}
+    assert budget["t"] == 3 * 10**12 and 2 * 10**16 - 40 <= sum(budget.values()) <= 2 * 10**16
+    assert all(budget[f"s{i}"] == (2 * 10**16 - 3 * 10**12) * (10**6 + i) // (40 * 10**6 + 780) for i in range(40))
+
+
 def test_pii(spark):
     cases = list(enumerate([*HARD, None, "", *HARD[:2]]))
     docs = spark.createDataFrame(cases, "doc_id long, text string")
