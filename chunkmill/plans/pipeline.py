@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -19,6 +18,7 @@ from ..operators.chunking import Limits, chunk_rows, chunk_units
 from ..operators.embed import EmbeddingProvider, HashEmbedding, embed_chunks
 from ..schema import STATE
 from ..sources import manifest as manifests
+from ..sources.files import read_wanted
 from ..sources.legal_xml import parse_documents
 from ..sources.store import LAYOUTS, open_store, remove
 
@@ -114,27 +114,12 @@ def write_state(state: DataFrame, path: str) -> None:
     state.write.parquet(f"{path}/s{datetime.now(UTC):%Y%m%dT%H%M%S%f}")
 
 
-#: Changed files up to which they are read by name; beyond that the folder is read and joined.
-NAMED_FILES = 10_000
-
-
-def _contents(spark: SparkSession, root: str, todo: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, content) of the files of ``todo`` that are there, and (doc_id, error) of those that aren't.
-
-    The folder is listed without contents, which the scan of a path alone doesn't read.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/extracted")
-    # paths are compared below the data folder: their beginnings differ by file system
-    tail = F.regexp_extract("path", r"/extracted/(.*)$", 1)
-    wanted = todo.select("doc_id", "path", tail.alias("tail"))
-    listed = files.select(tail.alias("tail"), F.col("path").alias("real"))
-    missing = wanted.join(listed, "tail", "left_anti").select("doc_id", F.concat(F.lit("File not found: "), "path").alias("error"))
-    if count <= NAMED_FILES:
-        names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["real"]) for r in wanted.join(listed, "tail").select("real").collect()]  # at most so many
-        if not names:
-            return spark.createDataFrame([], "doc_id string, content binary"), missing
-        files = spark.read.format("binaryFile").load(names)
-    return wanted.join(files.select(tail.alias("tail"), "content"), "tail").select("doc_id", "content"), missing
+def _contents(spark: SparkSession, todo: DataFrame, staged: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, content) of the files of ``todo`` that are there, and (doc_id, error) of those that aren't. No other file is opened or listed."""
+    wanted = todo.select("doc_id", "path")
+    files, missing = read_wanted(spark, wanted, staged)
+    gone = wanted.join(missing, "path").select("doc_id", F.concat(F.lit("File not found: "), "path").alias("error"))
+    return wanted.join(files, "path").select("doc_id", "content"), gone
 
 
 def _packed(files: DataFrame, todo: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -193,7 +178,7 @@ def process(
         processed = failed = 0
         if count:
             progress.start("parse, chunk, embed")
-            contents, missing = _contents(spark, root, todo, count) if corpus is None else _packed(corpus[1], todo)
+            contents, missing = _contents(spark, todo, f"{staged}-wanted") if corpus is None else _packed(corpus[1], todo)
             units = parse_documents(contents.withColumnRenamed("doc_id", "document_id")).cache()
             kept.append(units)
             limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)
@@ -228,6 +213,7 @@ def process(
         for df in kept:
             df.unpersist()
         remove(spark, staged)
+        remove(spark, f"{staged}-wanted")
     result = Result(processed, failed, had)
     progress.summary(result)
     return result
