@@ -14,7 +14,7 @@ class Settings:
 
     data_dir: str = "./data"
     dataset_filter: str = "gjeldende"
-    storage: str = "flat"
+    storage: str = "store"
     api_key: str = ""
     embedding_model: str = "local-hash"
     embedding_dimensions: int = 1024
@@ -38,11 +38,6 @@ class Settings:
             if not low <= getattr(self, name) <= high:
                 raise ValueError(f"{name} is from {low} to {high}, not {getattr(self, name)}")
 
-    @property
-    def store_layout(self) -> str:
-        """The layout that a run writes: flat rows are kept as a log of versions."""
-        return "jsonl" if self.storage == "jsonl" else "store"
-
     @classmethod
     def load(cls, overrides: Mapping[str, object] | None = None, env: Mapping[str, str] | None = None, env_file: str = ".env") -> Settings:
         """Names are taken without regard to case and unknown ones are ignored; None overrides nothing."""

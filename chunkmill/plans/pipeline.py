@@ -157,7 +157,7 @@ def process(
         sync(settings.dataset_filter, settings.force)
     if corpus is None and not manifests.exists(spark, f"{root}/state.json"):
         raise RuntimeError(f"no manifest: {root}/state.json")
-    store, state_path = open_store(spark, root, settings.store_layout), f"{root}/state"
+    store, state_path = open_store(spark, root, settings.storage), f"{root}/state"
     store.read().limit(1).count()  # a store that can't be read fails the run before anything is done
     manifest = manifests.read_manifest(spark, root) if corpus is None else corpus[0]
     state = read_state(spark, state_path)

@@ -203,12 +203,24 @@ def corpus(spark, texts: dict[str, str]):
     return manifest, spark.createDataFrame(files, "path string, content string")
 
 
-@pytest.mark.parametrize("storage", ["store", "jsonl"])
+@pytest.mark.parametrize("storage", ["store", "jsonl", "flat"])
+def test_process_and_validate_mean_the_same_store(spark, tmp_path, storage):
+    root = tmp_path / "d"
+    (root / "extracted" / "x").mkdir(parents=True)
+    (root / "extracted" / "x" / "a.xml").write_text(law(UNIT.format("u", 1, " ".join(["word"] * 80))))
+    (root / "state.json").write_text(json.dumps({"raw_datasets": {"x.tar.bz2": {"files": {"a.xml": {"status": "added", "sha256": "h1"}}}}}))
+    assert pipeline.process(spark, Settings(data_dir=str(root), storage=storage, dataset_filter="x")).processed == 1
+    report, differences = pipeline.validate(spark, str(root), storage)
+    assert report.first()["is_consistent"] and differences.isEmpty()
+    assert main(["validate", "--data-dir", str(root), "--storage", storage], spark) == 0
+
+
+@pytest.mark.parametrize("storage", ["store", "jsonl", "flat"])
 def test_failures_are_documents_own(spark, tmp_path, storage):
     settings = Settings(data_dir=str(tmp_path / "d"), storage=storage, chunk_min_tokens=60)
     provider = flaky(str(tmp_path / "calls"))
     calls = lambda: len((tmp_path / "calls").read_text())
-    store = pipeline.open_store(spark, settings.data_dir, settings.store_layout)
+    store = pipeline.open_store(spark, settings.data_dir, settings.storage)
     result = pipeline.process(spark, settings, provider, corpus=corpus(spark, {"a": "one", "b": "poison", "c": "three", "d": None}))
     assert (result.processed, result.failed) == (2, 2)
     assert {r["document_id"] for r in store.document_ids().collect()} == {"a", "c"} and calls() == store.count() == 6  # every chunk once
