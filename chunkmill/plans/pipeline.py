@@ -143,8 +143,8 @@ def process(
 
     ``sync`` is called first with the dataset filter and whether the run is forced, to bring files and
     manifest up to date. Every chunk is embedded once. A document that is missing, fails to parse or to
-    embed is an outcome of its own: what was stored of it goes, others aren't touched. (A missing file
-    keeps what was stored.) New rows and deletions are one version of the store, and the state is written
+    embed is an outcome of its own, others aren't touched. What was stored of a document that doesn't parse
+    goes; what fails to embed or isn't there keeps it (with ``compat``, what fails to embed loses it, too). New rows and deletions are one version of the store, and the state is written
     after it, so a run that breaks off leaves what was there, and the next one does its work again.
 
     ``corpus`` is (manifest, files as (path, content)): large collections are better kept as a few tables
@@ -193,6 +193,8 @@ def process(
             rows = embedded.join(outcomes.where("error is not null").select(F.col("doc_id").alias("document_id")), "document_id", "left_anti").drop("error")
             # what is replaced goes with the commit, documents that became empty or failed included
             replaced = outcomes.where("error is not null") if compat else outcomes
+            if not compat:
+                replaced = replaced.join(embedded.where("error is not null").select(F.col("document_id").alias("doc_id")).distinct(), "doc_id", "left_anti")
             replaced = replaced.join(missing.select("doc_id"), "doc_id", "left_anti").select(F.col("doc_id").alias("document_id"))
             store.replace(rows, replaced.union(gone), "chunk_id" if compat else "document_id")
             state = states.merge_outcomes(state, outcomes, compat)

@@ -262,3 +262,27 @@ def test_vocabulary(spark, tmp_path):
         units = parse_documents(spark.createDataFrame([("d", content)], "document_id string, content string"))
         chunks = chunk_units(units, Limits(60, 100, 50), words).select("text", "token_count").collect()
         assert chunks and sum(r["token_count"] for r in chunks) > 2 * sum(len(r["text"].split()) for r in chunks)
+
+
+def test_refused_documents_keep_what_they_had(spark, tmp_path):
+    settings, provider = Settings(data_dir=str(tmp_path / "d"), chunk_min_tokens=60), flaky(str(tmp_path / "calls"))
+    stored = lambda: sorted({r["document_id"] for r in pipeline.open_store(spark, settings.data_dir, settings.storage).document_ids().collect()})
+    pipeline.process(spark, settings, provider, corpus=corpus(spark, {"a": "one", "b": "two"}))
+    result = pipeline.process(spark, settings, provider, corpus=corpus(spark, {"a": "other", "b": "poison"}))
+    assert (result.processed, result.failed) == (1, 1) and stored() == ["a", "b"]
+    pipeline.process(spark, settings, provider, compat=True, corpus=corpus(spark, {"a": "other", "b": "poison again"}))
+    assert stored() == ["a"]
+
+
+def test_stream_outcomes(spark, tmp_path):
+    """A document that becomes empty or doesn't parse loses its chunks, one that is refused keeps them; each has its outcome."""
+    store, provider = ChunkStore(spark, str(tmp_path / "s")), flaky(str(tmp_path / "calls"))
+    text = lambda word: law(UNIT.format("u", 1, " ".join([word] * 80)))
+    for k, given in enumerate(({"a": text("x"), "b": text("x"), "c": text("x")}, {"a": text("poison"), "b": "no markup <", "c": "<html><body/></html>"})):
+        (tmp_path / f"in{k}").mkdir()
+        for name, content in given.items():
+            (tmp_path / f"in{k}" / f"{name}.xml").write_text(content)
+        ingest_stream(spark, str(tmp_path / f"in{k}"), store, str(tmp_path / f"check{k}"), provider, Limits(100, 500, 50), outcomes=str(tmp_path / f"out{k}")).awaitTermination(120)
+        seen = {r["doc_id"]: r["error"] is None for r in spark.read.parquet(f"{tmp_path}/out{k}/batch=*").collect()}
+        assert seen == ({"a": True, "b": True, "c": True} if k == 0 else {"a": False, "b": False, "c": True})
+    assert [r["document_id"] for r in store.document_ids().collect()] == ["a"]
