@@ -357,7 +357,7 @@ class JsonlStore(_Reads):
     """Chunks as JSON lines in a folder for each source hash (``unknown`` where it is empty).
 
     A write merges the folders that it touches: what stays and what is new goes to a staged table first,
-    then replaces the folders; folders that are left empty go. Others aren't read.
+    then replaces the folders; folders that are left empty go. To find the documents' folders a write reads all rows.
     """
 
     spark: SparkSession

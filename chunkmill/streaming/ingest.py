@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,8 +48,8 @@ def ingest_stream(spark: SparkSession, files: str, store: ChunkStore, checkpoint
 
 def latest_status(events: DataFrame, key: str = "user_id", at: str = "ts", value: str = "event_type", id_col: str = "event_id") -> DataFrame:
     """The last value of each key. On a batch or inside foreachBatch; ties in time go to the larger id."""
-    newest = Window.partitionBy(key).orderBy(F.col(at).desc(), F.col(id_col).desc())
-    return events.withColumn("_n", F.row_number().over(newest)).where("_n = 1").select(key, at, F.col(value).alias("status"))
+    newest = events.groupBy(key).agg(F.max(F.struct(F.col(at).alias("at"), F.col(id_col).alias("id"), F.col(value).alias("status"))).alias("last"))
+    return newest.select(key, F.col("last.at").alias(at), F.col("last.status").alias("status"))
 
 
 def windowed_counts(events: DataFrame, at: str = "ts", value: str = "event_type", width: str = "1 hour", late: str = "2 hours") -> DataFrame:
