@@ -19,10 +19,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 PART = 500
 #: Names that Spark's own reader gets at a time, where the file system is one that only Spark opens.
 _NAMES = 10_000
-_OPENED = ("", "file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss")
+OPENED = ("", "file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss")
 
 
-def _opened(path: str) -> tuple[fs.FileSystem, str]:
+def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
     scheme, sign, rest = path.partition(":")
     if not sign or "/" in scheme:
@@ -63,7 +63,7 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[Part]:
         """Row groups by the footers of the table's files: what comes to the driver is their number, not the paths."""
-        system, root = _opened(self.table)
+        system, root = opened(self.table)
         found = [f.path for f in system.get_file_info(fs.FileSelector(root)) if f.path.endswith(".parquet")]
         parts = []
         for file in sorted(found):
@@ -72,11 +72,11 @@ class _Reader(DataSourceReader):
         return parts
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
-        system, _ = _opened(self.table)
+        system, _ = opened(self.table)
         with system.open_input_file(partition.file) as source:
             paths = pq.ParquetFile(source).read_row_group(partition.group, ["path"]).column("path").to_pylist()
         for path in paths:
-            of, at = _opened(path)
+            of, at = opened(path)
             there = of.get_file_info(at).type == fs.FileType.File
             content = None
             if there:
@@ -100,7 +100,7 @@ def read_wanted(spark: SparkSession, paths: DataFrame, staged: str) -> tuple[Dat
     if not first:
         return spark.createDataFrame([], "path string, content binary"), table
     scheme = first[0][0].partition(":")[0] if "://" in first[0][0] or first[0][0].startswith("file:") else ""
-    if scheme not in _OPENED:
+    if scheme not in OPENED:
         return _by_names(spark, table)
     spark.dataSource.register(WantedFiles)
     source = spark.read.format("wanted_files")

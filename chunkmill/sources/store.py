@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import ENRICHED, REQUIRED
+from . import jsonl_log
 from .manifest import exists
 
 _ROWS, _KEYS, _CLAIM, _INDEX = "rows", "keys", "claim", "index"
@@ -354,10 +355,11 @@ class ChunkStore(_Reads):
 
 @dataclass(frozen=True)
 class JsonlStore(_Reads):
-    """Chunks as JSON lines in a folder for each source hash (``unknown`` where it is empty).
+    """Chunks as JSON lines in a folder for each source hash (``unknown`` where it is empty), written in transactions.
 
-    A write merges the folders that it touches: what stays and what is new goes to a staged table first,
-    then replaces the folders; folders that are left empty go. To find the documents' folders a write reads all rows.
+    A write merges the folders that it touches, and one commit shows what it rewrote and what it emptied
+    (see ``jsonl_log``); one that breaks off leaves all as it was. Of two at a time the second fails. To find
+    the documents' folders a write reads all rows.
     """
 
     spark: SparkSession
@@ -368,8 +370,7 @@ class JsonlStore(_Reads):
 
     def by_hash(self, source_hash: str) -> DataFrame:
         """Reads that hash's folder only."""
-        folder = f"{self.path}/hash={source_hash or 'unknown'}"
-        return read_jsonl(self.spark, folder).where(F.col("source_hash") == source_hash)
+        return read_jsonl(self.spark, self.path, source_hash or "unknown").where(F.col("source_hash") == source_hash)
 
     def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
         staged = f"{self.path}.staged-{uuid.uuid4().hex}"
@@ -392,15 +393,13 @@ class JsonlStore(_Reads):
             gone = self.spark.read.parquet(f"{staged}/gone")
             touched = gone.select("hash") if new is None else gone.select("hash").union(new.select("hash"))
             touched = touched.distinct()
+            if touched.isEmpty():
+                return 0
             kept = have.join(touched, "hash", "left_semi").join(gone, ["hash", "chunk_id", "document_id"], "left_anti")
-            (kept if new is None else kept.unionByName(new)).write.parquet(f"{staged}/merged")
-            merged = self.spark.read.parquet(f"{staged}/merged")
-            _write_folders(merged, self.path)
-            changed = 0
-            for r in touched.join(merged.select("hash").distinct(), "hash", "left_anti").toLocalIterator():
-                remove(self.spark, f"{self.path}/hash={r['hash']}")
-                changed += 1
-            return int(changed > 0 or not merged.isEmpty())
+            merged = kept if new is None else kept.unionByName(new)
+            lines = merged.select("hash", F.to_json(F.struct(*ENRICHED.names), {"ignoreNullFields": "false"}).alias("line"))
+            jsonl_log.write_lines(self.spark, lines.unionByName(touched.select("hash", F.lit(None).cast("string").alias("line"))), self.path)
+            return 1
         finally:
             remove(self.spark, staged)
 
@@ -417,6 +416,10 @@ class JsonlStore(_Reads):
     def raw_count(self) -> int:
         return raw_line_count(self.spark, self.path)
 
+    def vacuum(self, older_than: float = 7 * 24 * 3600.0) -> int:
+        """Removes files that no longer count, ``older_than`` seconds old; how many. A reader on them loses them."""
+        return jsonl_log.vacuum(self.spark, self.path, older_than)
+
 
 @dataclass(frozen=True)
 class FlatTable(_Reads):
@@ -481,13 +484,21 @@ def write_jsonl(rows: DataFrame, path: str) -> None:
     _write_folders(rows.withColumn("hash", _folder()), path)
 
 
-def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Valid rows; blank lines, bad JSON and rows without required values are skipped. Nothing there: no rows."""
-    if not exists(spark, path):
+def read_jsonl(spark: SparkSession, path: str, only: str | None = None) -> DataFrame:
+    """Valid rows, of the folder of one hash with ``only``; blank lines, bad JSON and rows without required values are skipped. Nothing there: no rows."""
+    at = path if only is None else f"{path}/{jsonl_log.folder(only)}"
+    if not exists(spark, at):
         return spark.createDataFrame([], ENRICHED)
-    return complete(spark.read.schema(ENRICHED).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").json(path))
+    found = jsonl_log.live(spark, path)
+    if found is not None and only is not None:
+        found = found.where(F.col("hash") == only)
+    rows = spark.read.schema(ENRICHED).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").json(at)
+    return complete(jsonl_log.counting(rows, found, "hash", F.coalesce(_folder(), F.lit("unknown"))))
 
 
 def raw_line_count(spark: SparkSession, path: str) -> int:
-    """All lines, valid or not."""
-    return spark.read.option("recursiveFileLookup", "true").text(path).count() if exists(spark, path) else 0
+    """All lines of files that count, valid or not."""
+    if not exists(spark, path):
+        return 0
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return jsonl_log.counting(lines, jsonl_log.live(spark, path), "folder", jsonl_log.folder_of(F.col("_metadata.file_path"))).count()
