@@ -1,13 +1,11 @@
 """The ordered folds of chunking, over arrays of a document's units.
 
-F1 and F2 are ``aggregate`` expressions: the state is a running sum and the list of group ends, so a row
-is folded in place without Python. F3's stride depends on the data; its windows are found in an Arrow
-function that sees token counts only, while texts stay in the JVM.
+They are ``aggregate`` expressions, so a row is folded in place without Python. The state of F1 and F2 is
+a running sum and the list of group ends; that of F3, whose stride depends on the data, a window that moves.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,45 +74,45 @@ def joined(texts: Column, group: Column, between: str) -> Column:
     return F.array_join(F.slice(texts, group["start"] + 1, group["end"] - group["start"]), between)
 
 
-def window_bounds(tokens: list[int], target: int, overlap_ratio: float) -> list[tuple[int, int]]:
-    """F3 in linear time: (start, end) of each sentence window.
+def sentence_windows(tokens: Column, target: int, overlap_ratio: float) -> Column:
+    """F3 as array<struct<start, end>> over a document's sentence token counts.
 
     A window takes sentences while they fit into ``target``. The next starts k before its end, but one
     further on at least; k grows with the number of all sentences. A sentence over the target makes no
     window.
+
+    A step of the fold either takes the next sentence or closes the window, so 2n steps are enough for n
+    sentences. Found windows are appended to blocks of about sqrt(n): an append copies a block, not all.
     """
-    overlap = int(target * overlap_ratio)
-    back = max(1, int(len(tokens) * overlap / target))
-    out, i, j, total = [], 0, 0, 0
-    while i < len(tokens):
-        if j < i:
-            j, total = i, 0
-        while j < len(tokens) and total + tokens[j] <= target:
-            total += tokens[j]
-            j += 1
-        if j > i:
-            out.append((i, j))
-        to = max(i + 1, j - back)
-        total -= sum(tokens[i : min(to, j)])
-        i = to
-    return out
+    n = F.size(tokens)
+    back = F.greatest(F.lit(1), F.floor(n.cast("long") * int(target * overlap_ratio) / target).cast("int"))
+    block = F.ceil(F.sqrt(n)).cast("int")
+    bounds = "array<struct<start: int, end: int>>"
+    start = F.struct(
+        F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).cast("long").alias("sum"),
+        F.array().cast(bounds).alias("block"), F.array().cast(f"array<{bounds}>").alias("blocks"),
+    )
+
+    def state(s: Column, **changed: Column) -> Column:
+        return F.struct(*[changed.get(name, s[name]).alias(name) for name in ("i", "j", "sum", "block", "blocks")])
+
+    def close(s: Column) -> Column:
+        to = F.greatest(s["i"] + 1, s["j"] - back)
+        left = F.aggregate(F.slice(tokens, s["i"] + 1, to - s["i"]), s["sum"], lambda a, t: a - t)
+        found = F.array(F.struct(s["i"].alias("start"), s["j"].alias("end")))
+        makes, full = s["j"] > s["i"], F.size(s["block"]) >= block
+        return state(
+            s,
+            i=to,
+            j=F.greatest(s["j"], to),
+            sum=F.when(to > s["j"], F.lit(0).cast("long")).otherwise(left),
+            block=F.when(~makes, s["block"]).when(full, found).otherwise(F.concat(s["block"], found)),
+            blocks=F.when(makes & full, F.concat(s["blocks"], F.array(s["block"]))).otherwise(s["blocks"]),
+        )
 
+    def step(s: Column, _: Column) -> Column:
+        fits = F.coalesce(s["sum"] + F.get(tokens, s["j"]) <= target, F.lit(False))
+        return F.when(s["i"] >= n, s).when(fits, state(s, j=s["j"] + 1, sum=s["sum"] + F.get(tokens, s["j"]))).otherwise(close(s))
 
-def sentence_windows(tokens: Column, target: int, overlap_ratio: float) -> Column:
-    """F3 as array<struct<start, end>> over a document's sentence token counts."""
-
-    @F.arrow_udf("array<struct<start: int, end: int>>")
-    def windows(counts: pa.Array) -> pa.Array:
-        flat, lengths = counts.flatten().to_numpy(zero_copy_only=False).tolist(), counts.value_lengths().fill_null(0).to_pylist()
-        starts, ends, sizes, at = [], [], [0], 0
-        for n in lengths:
-            bounds = window_bounds(flat[at : at + n], target, overlap_ratio)
-            starts += [a for a, _ in bounds]
-            ends += [b for _, b in bounds]
-            sizes.append(len(starts))
-            at += n
-        found = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["start", "end"])
-        offsets = pa.array([None if missing else x for x, missing in zip(sizes, [*counts.is_null().to_pylist(), False], strict=True)], pa.int32())
-        return pa.ListArray.from_arrays(offsets, found)
-
-    return windows(tokens)
+    windows = F.aggregate(F.sequence(F.lit(1), 2 * n), start, step, lambda s: F.concat(F.flatten(s["blocks"]), s["block"]))
+    return F.when(n > 0, windows).when(n == 0, F.array().cast(bounds))

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chunkmill.operators.folds import merge_groups, target_groups, window_bounds
+from chunkmill.operators.folds import merge_groups, sentence_windows, target_groups
 
 MERGES = [
     ((300, 8191), [100, 250, 50, 400, 20], [(0, 2, 350, 2), (2, 5, 470, 2)]),
@@ -67,12 +67,26 @@ def naive_windows(tokens, target, ratio):
     return out
 
 
-def test_windows():
-    assert window_bounds([10] * 10, 50, 0.2) == [(0, 5), (3, 8), (6, 10), (8, 10), (9, 10)]
-    assert window_bounds([10, 10, 60, 10], 50, 0.2) == [(0, 2), (1, 2), (3, 4)]
-    assert len(window_bounds([8] * 100, 100, 0.15)) == 100
-    assert window_bounds([10] * 6, 20, 0) == [(0, 2), (1, 3), (2, 4), (3, 5), (4, 6), (5, 6)]
+def windows(spark, cases, target, ratio):
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, t array<int>").select("i", sentence_windows(F.col("t"), target, ratio).alias("w")).collect()
+    return [None if r["w"] is None else [tuple(w) for w in r["w"]] for r in sorted(rows)]
+
+
+def test_windows(spark):
+    assert windows(spark, [[10] * 10, [10, 10, 60, 10], [], None], 50, 0.2) == [[(0, 5), (3, 8), (6, 10), (8, 10), (9, 10)], [(0, 2), (1, 2), (3, 4)], [], None]
+    assert len(windows(spark, [[8] * 100], 100, 0.15)[0]) == 100
+    assert windows(spark, [[10] * 6], 20, 0) == [[(0, 2), (1, 3), (2, 4), (3, 5), (4, 6), (5, 6)]]
     rng = random.Random(3)
-    for _ in range(300):
-        tokens = [rng.choice([0, 1, 5, 10, 60]) for _ in range(rng.randint(0, 30))]
-        assert window_bounds(tokens, 50, 0.2) == naive_windows(tokens, 50, 0.2)
+    cases = [[rng.choice([0, 1, 5, 10, 60]) for _ in range(rng.randint(0, 30))] for _ in range(300)] + [[60] * 9, [0] * 9, [50] * 9]
+    assert windows(spark, cases, 50, 0.2) == [naive_windows(tokens, 50, 0.2) for tokens in cases]
+
+
+def test_windows_of_a_long_document(spark):
+    rng = random.Random(4)
+    tokens = [rng.choice([1, 5, 10, 40, 120]) for _ in range(20_000)]
+    assert windows(spark, [tokens], 100, 0.0001) == [naive_windows(tokens, 100, 0.0001)]
+
+
+def test_windows_need_no_python_worker(spark):
+    plan = spark.range(1).select(F.array("id").alias("t")).select(sentence_windows(F.col("t"), 50, 0.2))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
