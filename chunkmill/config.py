@@ -18,6 +18,7 @@ class Settings:
     api_key: str = ""
     embedding_model: str = "local-hash"
     embedding_dimensions: int = 1024
+    embedding_cache: str = ""
     chunk_max_tokens: int = 6800
     chunk_target_tokens: int = 2000
     chunk_min_tokens: int = 300

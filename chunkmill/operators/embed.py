@@ -50,8 +50,8 @@ class HashEmbedding:
         return f"local-hash-{self.dimensions}"
 
 
-def _vectors(provider: EmbeddingProvider, documents: list[str], texts: list[str]) -> tuple[list[list[float] | None], list[str | None]]:
-    """Vectors and errors of a batch. Where a batch of several documents fails, each is tried alone: its failure is its own."""
+def vectors_of(provider: EmbeddingProvider, documents: list[str], texts: list[str]) -> tuple[list[list[float] | None], list[str | None]]:
+    """Vectors and errors of a batch; ``documents`` says whose each text is. Where a batch of several documents fails, each is tried alone: its failure is its own."""
     try:
         found = provider.embed_batch(texts)
         if len(found) != len(texts):
@@ -64,7 +64,7 @@ def _vectors(provider: EmbeddingProvider, documents: list[str], texts: list[str]
     errors: list[str | None] = [None] * len(texts)
     for name in dict.fromkeys(documents):
         at = [i for i, d in enumerate(documents) if d == name]
-        for i, v, e in zip(at, *_vectors(provider, [name] * len(at), [texts[i] for i in at]), strict=True):
+        for i, v, e in zip(at, *vectors_of(provider, [name] * len(at), [texts[i] for i in at]), strict=True):
             vectors[i], errors[i] = v, e
     return vectors, errors
 
@@ -83,7 +83,7 @@ def embed_chunks(chunks: DataFrame, provider: EmbeddingProvider, batch: int = BA
                 texts = [t or "" for t in part.column("content").to_pylist()]
                 failed: list[str | None] = [None] * len(texts)
                 if errors:
-                    vectors, failed = _vectors(provider, part.column("document_id").to_pylist(), texts)
+                    vectors, failed = vectors_of(provider, part.column("document_id").to_pylist(), texts)
                 elif len(vectors := provider.embed_batch(texts)) != len(texts):
                     raise ValueError(f"{len(texts)} texts, {len(vectors)} vectors")
                 now = datetime.now(UTC).isoformat()

@@ -16,6 +16,7 @@ from ..functions.text import TokenCounter, token_count
 from ..operators import state as states
 from ..operators.chunking import Limits, chunk_rows, chunk_units
 from ..operators.embed import EmbeddingProvider, HashEmbedding, embed_chunks
+from ..operators.embed_cache import EmbeddingCache, embed_by_content
 from ..schema import STATE
 from ..sources import manifest as manifests
 from ..sources.files import read_wanted
@@ -142,7 +143,8 @@ def process(
     """Brings the store up to date with the manifest, in one batch and one commit to the store.
 
     ``sync`` is called first with the dataset filter and whether the run is forced, to bring files and
-    manifest up to date. Every chunk is embedded once. A document that is missing, fails to parse or to
+    manifest up to date. Every chunk is embedded once, and with ``embedding_cache`` among the settings, a folder,
+    every text once over all runs. A document that is missing, fails to parse or to
     embed is an outcome of its own, others aren't touched. What was stored of a document that doesn't parse
     goes; what fails to embed or isn't there keeps it (with ``compat``, what fails to embed loses it, too). New rows and deletions are one version of the store, and the state is written
     after it, so a run that breaks off leaves what was there, and the next one does its work again.
@@ -183,7 +185,10 @@ def process(
             kept.append(units)
             limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)
             chunks = chunk_rows(chunk_units(units, limits, count_tokens, compat), todo, compat)
-            embed_chunks(chunks, provider, settings.batch_size, keep_refs=not compat, errors=True).write.parquet(staged)
+            if settings.embedding_cache:
+                embed_by_content(chunks, provider, EmbeddingCache(spark, settings.embedding_cache), f"{staged}-vectors", settings.batch_size, keep_refs=not compat).write.parquet(staged)
+            else:
+                embed_chunks(chunks, provider, settings.batch_size, keep_refs=not compat, errors=True).write.parquet(staged)
             embedded = spark.read.parquet(staged)
             errors = units.where("error is not null").select(F.col("document_id").alias("doc_id"), "error").unionByName(missing)
             errors = errors.unionByName(embedded.where("error is not null").groupBy(F.col("document_id").alias("doc_id")).agg(F.min("error").alias("error")))
@@ -216,6 +221,7 @@ def process(
             df.unpersist()
         remove(spark, staged)
         remove(spark, f"{staged}-wanted")
+        remove(spark, f"{staged}-vectors")
     result = Result(processed, failed, had)
     progress.summary(result)
     return result

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import enrich, text
-from .operators import embed, folds, state, vector_index
+from .operators import embed, embed_cache, folds, state, vector_index
 from .plans import pipeline
 from .sources import html, manifest, store
 from .streaming import changes, ingest
@@ -179,14 +179,14 @@ def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, coalesce(nullif(CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN '' END, ''), nullif(CASE doc_id % 2 WHEN 0 THEN lang ELSE '' END, ''), 'doc' || doc_id) AS section_heading,
-       coalesce(nullif(CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'u' || doc_id END, ''), 'a' || doc_id) AS absolute_address FROM documents
+SELECT doc_id, sha256(coalesce(nullif(CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '' END, ''), nullif(CASE doc_id % 2 WHEN 0 THEN source ELSE '' END, ''), coalesce(text, ''))) AS heading_sha,
+       coalesce(nullif(CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN lang END, ''), 'a' || doc_id) AS absolute_address FROM documents
 """)
 def heading_and_address_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, name = F.col("doc_id"), F.col("doc_id").cast("string")
-    heading = text.first_truthy(F.when(d % 3 == 0, F.col("source")).when(d % 3 == 1, ""), F.when(d % 2 == 0, F.col("lang")).otherwise(""), F.concat(F.lit("doc"), name))
-    address = text.first_truthy(F.when(d % 4 == 0, "").when(d % 4 == 1, F.concat(F.lit("u"), name)), F.concat(F.lit("a"), name))
-    return table(spark, sf_dir, "documents").select("doc_id", heading.alias("section_heading"), address.alias("absolute_address"))
+    heading = text.first_truthy(F.when(d % 3 == 0, F.col("text")).when(d % 3 == 1, ""), F.when(d % 2 == 0, F.col("source")).otherwise(""), F.coalesce("text", F.lit("")))
+    address = text.first_truthy(F.when(d % 4 == 0, "").when(d % 4 == 1, F.col("lang")), F.concat(F.lit("a"), name))
+    return table(spark, sf_dir, "documents").select("doc_id", sha(heading).alias("heading_sha"), address.alias("absolute_address"))
 
 
 # -- stored chunks --------------------------------------------------------------------------------------
@@ -423,6 +423,35 @@ def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "source", embed.batch_ids(F.col("doc_id"), F.col("source")).cast("long").alias("batch"))
 
 
+class LetterCounts:
+    """How often each of a to z is in a text, in either case: a provider whose vectors SQL can state."""
+
+    def embed_batch(self, texts: list[str]) -> list[list[float]]:
+        return [[float(t.count(chr(c)) + t.count(chr(c - 32))) for c in range(ord("a"), ord("z") + 1)] for t in texts]
+
+    def model_name(self) -> str:
+        return "letter-counts"
+
+
+_LETTERS = ", ".join(f"(2 * len(t) - len(replace(t, '{chr(c)}', '')) - len(replace(t, '{chr(c - 32)}', '')))::BIGINT" for c in range(ord("a"), ord("z") + 1))
+
+
+@query(f"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents), l AS (SELECT DISTINCT lang AS t FROM documents WHERE lang IS NOT NULL)
+SELECT chunk_id, 'letter-counts' AS embedding_model, array_to_string([{_LETTERS}], ' ') AS vector, (SELECT count(DISTINCT t) FROM (SELECT t FROM d UNION ALL SELECT t FROM l))::BIGINT AS n_cached
+FROM (SELECT 't' || doc_id AS chunk_id, t FROM d UNION ALL SELECT 'c' || doc_id, t FROM d UNION ALL SELECT 'l' || doc_id, lang FROM d WHERE lang IS NOT NULL)""")
+def embedded_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts embedded in one run; in the next they are there again as copies, with one short text that very many chunks have."""
+    root = store.scratch_path(spark, "vectors")
+    kept, provider = embed_cache.EmbeddingCache(spark, f"{root}/cache"), LetterCounts()
+    docs = table(spark, sf_dir, "documents")
+    chunk = lambda name, content: docs.select(F.concat(F.lit(name), F.col("doc_id").cast("string")).alias("chunk_id"), F.col(content).alias("content"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("document_id"), F.lit(1).alias("token_count"), *[F.lit("").alias(c) for c in ("dataset_name", "section_heading", "absolute_address", "split_reason", "source_hash", "parent_chunk_id")], F.array().cast("array<string>").alias("cross_refs"))
+    first = embed_cache.embed_by_content(chunk("t", "text"), provider, kept, f"{root}/first")
+    copies = embed_cache.embed_by_content(chunk("c", "text").unionByName(chunk("l", "lang").where("content is not null")), provider, kept, f"{root}/second")
+    rows = first.unionByName(copies).where("error is null")
+    size = kept.rows("letter-counts").agg(F.count("*").alias("n_cached"))
+    return rows.select("chunk_id", "embedding_model", F.array_join(F.transform("embedding", lambda x: x.cast("long")), " ").alias("vector")).crossJoin(F.broadcast(size))
+
+
 # -- markup ---------------------------------------------------------------------------------------------
 
 _S = r"[ \t\n\x0b\f\r]+"
@@ -459,46 +488,64 @@ def page_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(html.items(F.col("html")), "\n").alias("items"))
 
 
+_TITLE = "replace(coalesce(text, ''), '<', '(')"
+
+
 def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.col("doc_id").cast("string")
-    header = F.concat(F.lit('<dl><dd class="dokid">LOV/'), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("20"), F.lpad(F.col("doc_id") % 100, 2, "0"), F.lit("-05-17"))).otherwise("none"), F.lit('-3</dd><dd class="ministry"><ul><li>A '), "lang", F.lit("</li><li> B</li></ul></dd>"), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('<dd class="title"> Act '), d, F.lit("</dd>"))).otherwise(""), F.lit("</dl>"))
+    """Headers with the whole text as title, for every second document as short title."""
+    title = F.replace(F.coalesce("text", F.lit("")), F.lit("<"), F.lit("("))
+    kind = F.when(F.col("doc_id") % 2 == 0, "titleShort").otherwise("title")
+    header = F.concat(F.lit('<dl><dd class="dokid">LOV/'), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("20"), F.lpad(F.col("doc_id") % 100, 2, "0"), F.lit("-05-17"))).otherwise("none"), F.lit('-3</dd><dd class="ministry"><ul><li>A '), "lang", F.lit('</li><li> B</li></ul></dd><dd class="'), kind, F.lit('">'), title, F.lit("</dd></dl>"))
     return table(spark, sf_dir, "documents").select("doc_id", header.alias("header"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Act ' || doc_id END AS title, CASE WHEN doc_id % 2 = 0 THEN '20' || lpad((doc_id % 100)::VARCHAR, 2, '0') || '-05-17' END AS document_date, 'A ' || lang || '|B' AS ministries FROM documents")
+@query(f"""SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN sha256(nullif(trim({_TITLE}, ' '), '')) END AS title_sha, CASE WHEN doc_id % 2 = 0 THEN sha256(nullif(trim({_TITLE}, ' '), '')) END AS title_short_sha,
+  CASE WHEN doc_id % 2 = 0 THEN '20' || lpad((doc_id % 100)::VARCHAR, 2, '0') || '-05-17' END AS document_date, 'A ' || lang || '|B' AS ministries FROM documents""")
 def enrich_document_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.document_info(_headers(spark, sf_dir)).select("doc_id", "title", "document_date", F.array_join("ministries", "|").alias("ministries"))
+    return enrich.document_info(_headers(spark, sf_dir)).select("doc_id", sha(F.col("title")).alias("title_sha"), sha(F.col("title_short")).alias("title_short_sha"), "document_date", F.array_join("ministries", "|").alias("ministries"))
 
 
-_CHUNK_ID = "CASE doc_id % 3 WHEN 0 THEN 'kap-1-paragraf-' || doc_id || 'a' WHEN 1 THEN '§ ' || doc_id ELSE 'plain' END"
+_CHUNK_ID = "CASE doc_id % 3 WHEN 0 THEN 'kap-1-paragraf-' || doc_id || 'a ' WHEN 1 THEN '' ELSE '§ ' END || coalesce(text, '')"
+_PARAGRAPH = r"regexp_extract(name, '(?:paragraf-|§\s*)([0-9]+[a-z]?)', 1)"
 
 
-@query(f"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '§ ' || doc_id || 'a' WHEN 1 THEN '§ ' || doc_id END AS paragraph, nullif(CASE WHEN doc_id % 2 = 0 THEN 'u' ELSE '' END, '') AS source_url, CASE WHEN doc_id % 5 = 0 THEN 'a' WHEN doc_id % 2 = 0 THEN 'u' END AS absolute_address, CASE WHEN doc_id % 3 = 0 THEN 3 END AS depth_level FROM documents")
+@query(f"""SELECT doc_id, '§ ' || nullif({_PARAGRAPH}, '') AS paragraph, nullif(source, '') AS source_url, coalesce(nullif(lang, ''), nullif(source, '')) AS absolute_address,
+  nullif(len(name) - len(replace(name, '-', '')), 0) AS depth_level FROM (SELECT doc_id, source, CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS lang, {_CHUNK_ID} AS name FROM documents)""")
 def enrich_location_and_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as ids: marks of paragraphs and dashes wherever they are."""
     d = F.col("doc_id")
-    name = F.when(d % 3 == 0, F.concat(F.lit("kap-1-paragraf-"), d.cast("string"), F.lit("a"))).when(d % 3 == 1, F.concat(F.lit("§ "), d.cast("string"))).otherwise("plain")
-    rows = table(spark, sf_dir, "documents").select("doc_id", name.alias("chunk_id"), F.when(d % 5 == 0, "a").otherwise("").alias("address"), F.when(d % 2 == 0, "u").otherwise("").alias("url"))
+    name = F.concat(F.when(d % 3 == 0, F.concat(F.lit("kap-1-paragraf-"), d.cast("string"), F.lit("a "))).when(d % 3 == 1, "").otherwise("§ "), F.coalesce("text", F.lit("")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", name.alias("chunk_id"), F.when(d % 2 == 0, F.col("lang")).otherwise("").alias("address"), F.col("source").alias("url"))
     return enrich.hierarchy_info(enrich.location_info(rows)).select("doc_id", "paragraph", "source_url", "absolute_address", "depth_level")
 
 
 @query(r"""
-WITH t AS (SELECT doc_id, 'see lov/2005-05-20-28/§1 and lov/1814-05-17-' || doc_id || ' and lov/2005-05-20-28/§1' AS x FROM documents),
-r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN regexp_extract_all(x, 'lov/[0-9]{4}-[0-9]{2}-[0-9]{2}-[0-9]+(?:/[^"\s]+)?') ELSE ['lov/a', 'lov/a'] END AS f FROM t)
-SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'lov/2005-05-20-28/§1 lov/1814-05-17-' || doc_id ELSE array_to_string(f, ' ') END AS outgoing_refs, 2 AS reference_count FROM r
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), ' ') AS w FROM documents),
+r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0
+    THEN list_distinct(regexp_extract_all(array_to_string(list_transform(w, lambda x: 'lov/1999-01-' || lpad((len(x) % 100)::VARCHAR, 2, '0') || '-' || len(x) || '/' || x), ' '), 'lov/[0-9]{4}-[0-9]{2}-[0-9]{2}-[0-9]+(?:/[^"\s]+)?'))
+    ELSE list_transform(list_filter(w, lambda x: len(x) % 3 > 0), lambda x: 'lov/' || x) END AS f FROM t)
+SELECT doc_id, CASE WHEN len(f) > 0 THEN sha256(array_to_string(list_sort(f), ' ')) END AS refs_sha, nullif(len(f), 0)::INT AS reference_count FROM r
 """)
 def enrich_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.col("doc_id")
-    words = F.concat(F.lit("see lov/2005-05-20-28/§1 and lov/1814-05-17-"), d.cast("string"), F.lit(" and lov/2005-05-20-28/§1"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", words.alias("text"), F.when(d % 2 == 1, F.array(F.lit("lov/a"), F.lit("http://x"), F.lit("lov/a"))).alias("hrefs"))
-    return enrich.references(rows).select("doc_id", F.array_join("outgoing_refs", " ").alias("outgoing_refs"), "reference_count")
+    """Every word of a text as a reference in it, or as one of its links, of which every third leads elsewhere."""
+    words = F.split(F.coalesce("text", F.lit("")), " ", -1)
+    number = lambda w: F.length(w).cast("string")
+    referring = F.array_join(F.transform(words, lambda w: F.concat(F.lit("lov/1999-01-"), F.lpad((F.length(w) % 100).cast("string"), 2, "0"), F.lit("-"), number(w), F.lit("/"), w)), " ")
+    links = F.transform(words, lambda w: F.concat(F.when(F.length(w) % 3 > 0, "lov/").otherwise("http://"), w))
+    rows = table(spark, sf_dir, "documents").select("doc_id", referring.alias("text"), F.when(F.col("doc_id") % 2 == 1, links).alias("hrefs"))
+    return enrich.references(rows).select("doc_id", sha(F.array_join(F.array_sort("outgoing_refs"), " ")).alias("refs_sha"), "reference_count")
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'own' WHEN doc_id % 4 < 3 THEN 'outer' END AS section_heading, CASE WHEN doc_id % 5 = 0 THEN true END AS is_amendment FROM documents")
+@query(r"""
+SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN source WHEN doc_id % 4 < 3 THEN sha256(string_split(coalesce(text, ''), chr(10))[1]) END AS section_heading,
+  CASE WHEN doc_id % 5 = 0 OR regexp_matches(coalesce(text, ''), '<article[^>]*class=[''"]changesToParent[''"]') THEN true END AS is_amendment FROM documents
+""")
 def enrich_section_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.col("doc_id")
+    """Lines of a text as its path, and its markup with an article that changes its parent after the whole text of every fifth."""
+    d, words = F.col("doc_id"), F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
-        "doc_id", F.when(d % 4 == 0, "own").alias("section_heading"), F.when(d % 4 < 3, F.array(F.lit("outer"), F.lit("inner"))).otherwise(F.array().cast("array<string>")).alias("chapter_path"),
-        F.when(d % 5 == 0, "<div><article class='changesToParent'/></div>").otherwise("<div/>").alias("markup"),
+        "doc_id", F.when(d % 4 == 0, F.col("source")).alias("section_heading"), F.when(d % 4 < 3, F.transform(F.split(words, "\n", -1), sha)).otherwise(F.array().cast("array<string>")).alias("chapter_path"),
+        F.concat(F.lit("<div>"), words, F.when(d % 5 == 0, "<article class='changesToParent'/></div>").otherwise("</div>")).alias("markup"),
     )
     return enrich.section_context(rows).select("doc_id", "section_heading", "is_amendment")
 
