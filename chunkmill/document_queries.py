@@ -151,17 +151,18 @@ r AS (
   SELECT doc, i, len(list_filter(sums, lambda s: s <= sums[i + 1] + {_LARGE}))::BIGINT - 1, step
   FROM (SELECT r.doc, greatest(r.i + 1, r.j - q.back) AS i, q.sums, q.n, r.step + 1 AS step FROM r JOIN q USING (doc)) WHERE i < n),
 windows AS (SELECT doc, 1 AS tier, '§ 1-ledd1-' || row_number() OVER (PARTITION BY doc ORDER BY i) AS chunk_id, (sums[j + 1] - sums[i + 1])::BIGINT AS tokens, array_to_string(ss[i + 1 : j], ' ') AS s FROM r JOIN q USING (doc) WHERE j > i),
-items AS (SELECT doc, generate_subscripts(ss, 1) AS n, unnest(ss) AS s FROM x WHERE t > {_LARGE} AND doc % 3 > 0),
+items AS (SELECT doc, generate_subscripts(ss, 1) AS n, unnest(ss) AS s FROM x WHERE t + CASE WHEN doc % 3 = 1 THEN len(ss) ELSE 0 END > {_LARGE} AND doc % 3 > 0),
 counted AS (SELECT *, len({_TOKENS.format("s")})::BIGINT AS tokens FROM items),
 cut AS (SELECT doc, 1 AS tier, '§ 1-ledd1-part' || n AS chunk_id, tokens, s FROM (SELECT doc, n, 'i' || n || ' ' || s AS s, tokens + 1 AS tokens FROM counted WHERE doc % 3 = 1) WHERE tokens <= {_LARGE}
   UNION ALL SELECT doc, 3, 'ledd-1-' || row_number() OVER (PARTITION BY doc ORDER BY n), tokens, s FROM counted WHERE doc % 3 = 2 AND tokens <= {_LARGE})
 SELECT 'd' || doc AS document_id, tier, chunk_id, tokens, sha256(s) AS text_sha FROM (
-  SELECT * FROM windows UNION ALL SELECT * FROM cut UNION ALL SELECT doc, CASE WHEN doc % 3 = 2 THEN 3 ELSE 1 END, CASE WHEN doc % 3 = 2 THEN 'ledd-1' ELSE '§ 1-ledd1' END, t, whole FROM x WHERE t <= {_LARGE} AND doc % 3 <> 1)
+  SELECT * FROM windows UNION ALL SELECT * FROM cut UNION ALL SELECT doc, CASE WHEN doc % 3 = 2 THEN 3 ELSE 1 END, CASE WHEN doc % 3 = 2 THEN 'ledd-1' ELSE '§ 1-ledd1' END, t, whole FROM x WHERE t <= {_LARGE} AND doc % 3 <> 1
+  UNION ALL SELECT doc, 1, '§ 1-ledd1', t + len(ss), array_to_string(list_transform(ss, lambda s, i: 'i' || i || ' ' || s), ' ') FROM x WHERE t + len(ss) <= {_LARGE} AND doc % 3 = 1)
 """)
 def xml_large_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as one unit: cut to sentence windows (tier 1), to list items of one sentence each, or to sentences (tier 3)."""
     d = F.col("doc_id")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.trim(_plain("text")).alias("t"), text.token_count(_plain("text")).alias("n")).where("t <> ''").where((d % 3 != 1) | (F.col("n") > _LARGE))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.trim(_plain("text")).alias("t")).where("t <> ''")
     one_each = F.transform(text.sentences(F.col("t")), lambda s, i: F.concat(F.lit("<ol>"), F.lit('<li data-name="i'), _s(i + 1), F.lit('">'), _escaped(s), F.lit("</li></ol>")))
     inner = F.when(d % 3 == 1, F.array_join(one_each, "")).otherwise(_escaped(F.col("t")))
     unit = F.concat(F.lit('<article class="legalP">'), inner, F.lit("</article>"))
@@ -197,10 +198,11 @@ def process_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_XML_UNITS} SELECT 'd' || doc AS document_id, pos, source AS title_short, CASE WHEN doc % 2 = 0 THEN '1999-05-17' END AS document_date, 'A ' || lang || '|B' AS ministries, 'http://x/' || pos AS source_url, 'a/' || pos AS absolute_address,
   CASE WHEN doc % 3 = 0 THEN 'S 0' WHEN doc % 3 = 1 THEN 'S ' || ((pos - 1) // {IN_SECTION}) END AS section_heading, 'lov/1999-01-01-' || pos AS outgoing_refs, 1 AS reference_count, NULL::BOOLEAN AS is_amendment
 FROM xu JOIN documents ON doc_id = doc
+UNION ALL SELECT 'd' || doc, n + pos, source, CASE WHEN doc % 2 = 0 THEN '1999-05-17' END, 'A ' || lang || '|B', 'http://x/' || pos, 'a/' || pos, 'S 0', 'lov/1999-01-01-' || pos, 1, NULL
+FROM (SELECT *, count(*) OVER (PARTITION BY doc) AS n FROM xu WHERE doc % 3 = 0) JOIN documents ON doc_id = doc
 """)
 def xml_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = parse_documents(documents_as_xml(spark, sf_dir), markup=True).where("error is null")
-    units = units.where((F.col("tier") != 2) | (F.size("chapter_path") == 0) & (F.regexp_extract("document_id", "([0-9]+)", 1).cast("long") % 3 == 1))
     rows = enrich.Registry().enrich(units.withColumn("chunk_id", F.concat_ws("-", "document_id", _s(F.col("seq")))))
     return rows.select("document_id", (F.col("seq") + 1).cast("long").alias("pos"), "title_short", "document_date", F.array_join("ministries", "|").alias("ministries"), "source_url", "absolute_address", "section_heading", F.array_join("outgoing_refs", " ").alias("outgoing_refs"), "reference_count", "is_amendment")
 

@@ -492,7 +492,8 @@ def read_jsonl(spark: SparkSession, path: str, only: str | None = None) -> DataF
     found = jsonl_log.live(spark, path)
     if found is not None and only is not None:
         found = found.where(F.col("hash") == only)
-    rows = spark.read.schema(ENRICHED).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").json(at)
+    # the option tells scans of the same folder at different times apart, which Spark else takes for one where it reuses exchanges
+    rows = spark.read.schema(ENRICHED).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("commits", jsonl_log.next_token(path).partition("-")[0]).json(at)
     return complete(jsonl_log.counting(rows, found, "hash", F.coalesce(_folder(), F.lit("unknown"))))
 
 

@@ -33,6 +33,7 @@ def test_rewrites_and_deletions_are_one_commit(spark, tmp_path):
     assert len(list((tmp_path / "j" / "_log").glob("*.done"))) == 2
     assert seen(store) == sorted([("c10", "new")] + [(f"c{i}", "text") for i in range(4, 20) if i not in (10, 11)])
     assert store.raw_count() == 15 and old.count() == 20  # who reads an older commit still has its files
+    assert old.unionByName(store.read()).count() == 35  # also in one query
     assert {r["chunk_id"] for r in store.by_hash("h0").collect()} == {"c5", "c10", "c15"}
 
 
