@@ -17,15 +17,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sub = parser.add_subparsers(dest="command", required=True)
     run = sub.add_parser("process")
     run.add_argument("--force", action="store_true", default=None)
-    for name, kind in (("data-dir", str), ("dataset-filter", str), ("chunk-max-tokens", int), ("embedding-model", str), ("storage", str), ("limit", int)):
+    for name, kind in (("data-dir", str), ("dataset-filter", str), ("chunk-max-tokens", int), ("embedding-model", str), ("embedding-cache", str), ("storage", str), ("limit", int)):
         run.add_argument(f"--{name}", type=kind)
     move = sub.add_parser("migrate")
     move.add_argument("--source", required=True)
     move.add_argument("--target", required=True)
     move.add_argument("--source-path")
     move.add_argument("--target-path")
+    move.add_argument("--batch-size", type=int)
     check = sub.add_parser("validate")
     check.add_argument("--storage", dest="layout", choices=("store", "jsonl", "flat"), default="store")
+    check.add_argument("--store-path")
     for command in (move, sub.add_parser("status"), check):
         command.add_argument("--data-dir", default="./data")
     args = vars(parser.parse_args(argv))
@@ -37,7 +39,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"processed {result.processed}, failed {result.failed}, removed {result.removed}")
             return int(result.failed > 0)
         if command == "migrate":
-            print(f"migrated {pipeline.migrate(spark, **args)}")
+            print(f"migrated {pipeline.migrate(spark, **args, progress=pipeline.Printed())}")
             return 0
         if command == "status":
             row = pipeline.status(spark, **args).first()

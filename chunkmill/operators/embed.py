@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import re
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
@@ -50,6 +51,42 @@ class HashEmbedding:
         return f"local-hash-{self.dimensions}"
 
 
+class _KeyedHash(HashEmbedding):
+    """As ``HashEmbedding``, with words hashed under a key."""
+
+    def __init__(self, dimensions: int, api_key: str) -> None:
+        super().__init__(dimensions)
+        self.key = hashlib.blake2b(api_key.encode(), digest_size=16).hexdigest()
+
+    def embed_batch(self, texts: list[str]) -> list[list[float]]:
+        return super().embed_batch([re.sub(r"\w+", lambda m: m[0] + self.key, t) for t in texts])
+
+    def model_name(self) -> str:
+        return f"local-keyed-hash-{self.dimensions}-{self.key[:8]}"
+
+
+def keyed_hash(dimensions: int, api_key: str = "") -> EmbeddingProvider:
+    """A factory for ``embedding_model``: vectors that only who has the key can make."""
+    return _KeyedHash(dimensions, api_key)
+
+
+def provider_for(model: str, dimensions: int, api_key: str = "") -> EmbeddingProvider:
+    """The provider that settings name: ``local-hash``, or ``module:factory``, which is called with ``dimensions`` and ``api_key``.
+
+    The module must be importable on executors. A key stays in the provider, which is shipped to tasks.
+    """
+    if model == "local-hash":
+        return HashEmbedding(dimensions)
+    module, sign, name = model.partition(":")
+    if not sign or not module or not name:
+        raise ValueError(f"embedding_model is local-hash or module:factory, not {model!r}")
+    try:
+        factory = getattr(importlib.import_module(module), name)
+    except (ImportError, AttributeError) as error:
+        raise ValueError(f"embedding_model {model!r}: {error}") from error
+    return factory(dimensions=dimensions, api_key=api_key)
+
+
 def vectors_of(provider: EmbeddingProvider, documents: list[str], texts: list[str]) -> tuple[list[list[float] | None], list[str | None]]:
     """Vectors and errors of a batch; ``documents`` says whose each text is. Where a batch of several documents fails, each is tried alone: its failure is its own."""
     try:

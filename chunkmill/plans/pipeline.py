@@ -15,7 +15,7 @@ from ..config import Settings
 from ..functions.text import TokenCounter, token_count
 from ..operators import state as states
 from ..operators.chunking import Limits, chunk_rows, chunk_units
-from ..operators.embed import EmbeddingProvider, HashEmbedding, embed_chunks
+from ..operators.embed import EmbeddingProvider, embed_chunks, provider_for
 from ..operators.embed_cache import EmbeddingCache, embed_by_content
 from ..schema import STATE
 from ..sources import manifest as manifests
@@ -152,7 +152,7 @@ def process(
     ``corpus`` is (manifest, files as (path, content)): large collections are better kept as a few tables
     than as many small files. Without it both are read below ``settings.data_dir``.
     """
-    progress, provider = progress or Silent(), provider or HashEmbedding(settings.embedding_dimensions)
+    progress, provider = progress or Silent(), provider or provider_for(settings.embedding_model, settings.embedding_dimensions, settings.api_key)
     root = settings.data_dir.rstrip("/")
     progress.start("sync")
     if sync is not None:
@@ -241,22 +241,39 @@ def _report(progress: Progress, outcomes: DataFrame, rows: DataFrame) -> None:
             progress.warning(f"{r['doc_id']} has no chunks")
 
 
-def migrate(spark: SparkSession, source: str, target: str, data_dir: str, source_path: str | None = None, target_path: str | None = None) -> int:
+def migrate(
+    spark: SparkSession, source: str, target: str, data_dir: str, source_path: str | None = None, target_path: str | None = None, batch_size: int | None = None, progress: Progress | None = None
+) -> int:
     """Copies all chunks between layouts, ``jsonl`` (by hash), ``flat`` (a Parquet table) and ``store``; how many.
 
-    Rows of the target with other ids stay, rows with equal ids are replaced.
+    Rows of the target with other ids stay, rows with equal ids are replaced. Without ``batch_size`` all is one
+    commit; with it each commit has about so many rows, and a migration that breaks off keeps its commits. A
+    batch reads the source again, so it is for targets that can't take all at once. Rows that aren't valid are
+    warnings.
     """
     if source == target or {source, target} - set(LAYOUTS):
         raise ValueError(f"source and target are two of {', '.join(LAYOUTS)}")
-    rows = open_store(spark, data_dir, source, source_path).read()
-    open_store(spark, data_dir, target, target_path).upsert(rows, "chunk_id")
-    return rows.count()
-
-
-def validate(spark: SparkSession, data_dir: str, layout: str = "store") -> tuple[DataFrame, DataFrame]:
-    """(report of one row, differences) between state and store."""
+    if batch_size is not None and batch_size < 1:
+        raise ValueError(f"batch_size is 1 or more, not {batch_size}")
+    progress, have, into = progress or Silent(), open_store(spark, data_dir, source, source_path), open_store(spark, data_dir, target, target_path)
+    rows = have.read()
+    count = rows.count()
+    lost = have.raw_count() - count
+    if lost > 0:
+        progress.warning(f"{lost} rows of the source aren't valid and are left out")
+    batches = 1 if batch_size is None else max(1, -(-count // batch_size))
+    progress.start("migrate")
+    for k in range(batches):
+        into.upsert(rows if batches == 1 else rows.where(F.pmod(F.xxhash64("chunk_id"), F.lit(batches)) == k), "chunk_id")
+        progress.counts(batch=k + 1, batches=batches)
+    progress.end("migrate")
+    return count
+
+
+def validate(spark: SparkSession, data_dir: str, layout: str = "store", store_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(report of one row, differences) between state and store, which is below ``data_dir`` if no path of its own is given."""
     root = data_dir.rstrip("/")
-    state, ids = read_state(spark, f"{root}/state"), open_store(spark, root, layout).document_ids()
+    state, ids = read_state(spark, f"{root}/state"), open_store(spark, root, layout, store_path).document_ids()
     return states.validation_report(state, ids), states.differences(state, ids)
 
 

@@ -36,6 +36,8 @@ INDEXED = ("document_id", "source_hash")
 _BLOCK_BITS, _BLOCK_KEYS, _KEY_BITS = 32_768, 2_500, 6
 #: A marker: rows or not, document keys or not, chunk keys or not, and the version up to which it holds all, or 0.
 _MARK = re.compile(r"done-r([01])-d([01])-c([01])-w([0-9]+)")
+#: A folder of a flat table: its number, and a name of its own.
+_FLAT = re.compile(r"v([0-9]+)-[0-9a-f]{32}")
 #: Versions beyond the last whole one after which a write compacts the log.
 COMPACT_AFTER = 32
 
@@ -100,6 +102,10 @@ class _Reads:
     def count(self) -> int:
         return self.read().count()
 
+    def raw_count(self) -> int:
+        """All rows, valid or not."""
+        return self.count()
+
     def page(self, limit: int, offset: int) -> DataFrame:
         """Rows ``offset`` to ``offset + limit`` by chunk_id."""
         return self.read().orderBy("chunk_id").offset(offset).limit(limit)
@@ -423,23 +429,42 @@ class JsonlStore(_Reads):
 
 @dataclass(frozen=True)
 class FlatTable(_Reads):
-    """Chunks in their flat form, as one Parquet table that a write replaces by renaming."""
+    """Chunks in their flat form, as a Parquet table: a write makes a new folder of it, and the last whole one counts.
+
+    A plain Parquet table at the path is read as what was there before the first write. The folder before the
+    last stays for who reads it, older ones are removed by the next write.
+    """
 
     spark: SparkSession
     path: str
 
+    def _versions(self) -> list[str]:
+        """Folders that are whole, in their order."""
+        fs, _ = _file_system(self.spark, self.path)
+        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/_SUCCESS")) or []
+        return sorted((n for s in found if _FLAT.fullmatch(n := s.getPath().getParent().getName())), key=lambda n: (int(_FLAT.fullmatch(n)[1]), n))
+
     def read(self) -> DataFrame:
-        return from_flat(self.spark.read.parquet(self.path)) if exists(self.spark, self.path) else self.spark.createDataFrame([], ENRICHED)
+        whole = self._versions()
+        if whole:
+            return from_flat(self.spark.read.parquet(f"{self.path}/{whole[-1]}"))
+        return from_flat(self.spark.read.parquet(self.path)) if self._plain() else self.spark.createDataFrame([], ENRICHED)
+
+    def raw_count(self) -> int:
+        whole = self._versions()
+        return self.spark.read.parquet(f"{self.path}/{whole[-1]}" if whole else self.path).count() if whole or self._plain() else 0
+
+    def _plain(self) -> bool:
+        """Whether there is more than folders of writes that broke off."""
+        fs, root = _file_system(self.spark, self.path)
+        return fs.exists(root) and any(not _FLAT.fullmatch(s.getPath().getName()) for s in fs.listStatus(root))
 
     def _swap(self, rows: DataFrame) -> None:
-        new, old = (f"{self.path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-        flat_metadata(rows).write.parquet(new)
-        fs, at = _file_system(self.spark, self.path)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        if fs.exists(at):
-            fs.rename(at, path(old))
-        fs.rename(path(new), at)
-        remove(self.spark, old)
+        whole = self._versions()
+        number = int(_FLAT.fullmatch(whole[-1])[1]) + 1 if whole else 1
+        flat_metadata(rows).write.parquet(f"{self.path}/v{number}-{uuid.uuid4().hex}")
+        for name in whole[:-1]:
+            remove(self.spark, f"{self.path}/{name}")
 
     def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
         have = without(self.read(), documents.where("document_id <> ''"), "document_id")
