@@ -17,6 +17,7 @@ from .plans import pipeline
 from .queries import merge_ctes, query, sha, table
 from .sources import store
 from .sources.legal_xml import parse_documents
+from .sources.pull_xml import parse_needed
 
 UNIT, IN_ARTICLE, IN_SECTION = 40, 4, 6
 LIMITS = Limits(target=120, maximum=500, minimum=60, overlap_ratio=0.15)
@@ -127,13 +128,13 @@ def _shown(chunks: DataFrame) -> DataFrame:
 
 @query(_chunks_sql())
 def xml_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = parse_documents(documents_as_xml(spark, sf_dir))
+    units = parse_needed(documents_as_xml(spark, sf_dir))
     return _shown(chunk_rows(chunk_units(units, LIMITS), _manifest(spark, sf_dir)))
 
 
 @query(_chunks_sql(compat=True))
 def xml_chunks_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = parse_documents(documents_as_xml(spark, sf_dir))
+    units = parse_needed(documents_as_xml(spark, sf_dir))
     return _shown(chunk_rows(chunk_units(units, LIMITS, compat=True), _manifest(spark, sf_dir), compat=True))
 
 

@@ -20,7 +20,7 @@ from ..operators.embed_cache import EmbeddingCache, embed_by_content
 from ..schema import STATE
 from ..sources import manifest as manifests
 from ..sources.files import read_wanted
-from ..sources.legal_xml import parse_documents
+from ..sources.pull_xml import parse_needed
 from ..sources.store import LAYOUTS, open_store, remove
 
 
@@ -181,7 +181,7 @@ def process(
         if count:
             progress.start("parse, chunk, embed")
             contents, missing = _contents(spark, todo, f"{staged}-wanted") if corpus is None else _packed(corpus[1], todo)
-            units = parse_documents(contents.withColumnRenamed("doc_id", "document_id")).cache()
+            units = parse_needed(contents.withColumnRenamed("doc_id", "document_id")).cache()
             kept.append(units)
             limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)
             chunks = chunk_rows(chunk_units(units, limits, count_tokens, compat), todo, compat)

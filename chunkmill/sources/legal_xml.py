@@ -1,12 +1,13 @@
 """Legal documents in XML to unit rows: the one step that leaves the JVM, once per document.
 
-A parser failure is a row with ``error``, never a failed task.
+A parser failure is a row with ``error``, never a failed task. ``parse_units`` makes all rows of a
+document's tree; ``pull_xml`` those that its chunks need, without a tree of the whole document.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ from ..functions.text import stem
 from ..schema import MARKED_UNITS, UNITS
 
 # Fixed values of the document format.
-_ARTICLE, _UNIT, _SECTION, _BODY = "legalArticle", "legalP", "section", "documentBody"
+ARTICLE, UNIT, SECTION, BODY = "legalArticle", "legalP", "section", "documentBody"
 _REF, _TITLE, _CONTINUED = "legalArticleValue", "legalArticleTitle", "leddfortsettelse"
 _ADDRESS, _URL = "data-absoluteaddress", re.compile(r"data-\w+-URL")
 
@@ -27,7 +28,7 @@ def _text(e: ElementTree.Element) -> str:
     return "".join(e.itertext()).strip()
 
 
-def _of_class(e: ElementTree.Element, tag: str, name: str) -> Iterator[ElementTree.Element]:
+def of_class(e: ElementTree.Element, tag: str, name: str) -> Iterator[ElementTree.Element]:
     """Descendants in document order with exactly this class."""
     return (x for x in e.iter(tag) if x is not e and x.get("class") == name)
 
@@ -64,11 +65,51 @@ def list_parts(e: ElementTree.Element) -> list[str] | None:
     return parts + ([" ".join(run)] if run else [])
 
 
-def _heading(section: ElementTree.Element) -> str:
+def heading_of(section: ElementTree.Element) -> str:
     """The first h2 below, else the first h3, else the first h4."""
     return next((_text(h) for tag in ("h2", "h3", "h4") for h in section.iter(tag)), "")
 
 
+def context(e: ElementTree.Element, parent: Mapping[ElementTree.Element, ElementTree.Element], title: str, outside: Sequence[str] = ()) -> dict:
+    """The sections around an element; ``outside`` are headings of those beyond what ``parent`` knows."""
+    path, at = [], parent.get(e)
+    while at is not None:
+        if at.get("class") == SECTION and (name := heading_of(at)):
+            path.insert(0, name)
+        at = parent.get(at)
+    path = [*outside, *path]
+    return {"document_title": title, "chapter_path": path, "section_heading": path[-1] if path else ""}
+
+
+def _place(e: ElementTree.Element, markup: bool) -> dict:
+    url = next((v for k, v in e.attrib.items() if _URL.fullmatch(k)), "")
+    links = [a.get("href") for a in e.iter("a") if a.get("href") is not None]
+    more = {"hrefs": links, "markup": ElementTree.tostring(e, encoding="unicode")} if markup else {}
+    return {"address": e.get(_ADDRESS, ""), "url": url, "cross_refs": links} | more
+
+
+def article_rows(article: ElementTree.Element, around: dict, markup: bool = False) -> Iterator[dict]:
+    """Tier 1: the units below an article."""
+    spans = list(article.iter("span"))
+    first = lambda name: next((_text(s) for s in spans if s.get("class") == name), None)
+    around = around | {"paragraph_ref": first(_REF) or "", "paragraph_title": first(_TITLE)}
+    for n, e in enumerate(of_class(article, "article", UNIT), 1):
+        # what is cut out of a list has neither address nor references of its own
+        yield {"tier": 1, "unit_id": e.get("id"), "ledd_number": n, "text": unit_text(e), "parts": list_parts(e)} | around | _place(e, markup)
+
+
+def section_rows(section: ElementTree.Element, number: int, around: dict, markup: bool = False) -> Iterator[dict]:
+    """Tier 2: the units below a section."""
+    around = around | {"section_heading": heading_of(section)}
+    for e in of_class(section, "article", UNIT):
+        yield {"tier": 2, "section": number, "unit_id": e.get("id"), "text": _text(e)} | around | _place(e, markup)
+
+
+def simple_row(e: ElementTree.Element, n: int, title: str, markup: bool = False) -> dict:
+    """Tier 3: a unit right below the main element."""
+    return {"tier": 3, "unit_id": e.get("id"), "ledd_number": n, "text": _text(e), "document_title": title} | _place(e, markup)
+
+
 def parse_units(document_id: str, content: bytes, markup: bool = False) -> list[dict]:
     """Unit rows of all three tiers of one document; one row with ``error`` if it isn't well-formed.
 
@@ -84,39 +125,21 @@ def parse_units(document_id: str, content: bytes, markup: bool = False) -> list[
     if markup:
         blank["header"] = next((ElementTree.tostring(h, encoding="unicode") for h in root.iter("header")), None)
 
-    def context(e: ElementTree.Element) -> dict:
-        path, at = [], parent.get(e)
-        while at is not None:
-            if at.get("class") == "section" and (name := _heading(at)):
-                path.insert(0, name)
-            at = parent.get(at)
-        return {"document_title": title, "chapter_path": path, "section_heading": path[-1] if path else ""}
-
-    def place(e: ElementTree.Element) -> dict:
-        url = next((v for k, v in e.attrib.items() if _URL.fullmatch(k)), "")
-        links = [a.get("href") for a in e.iter("a") if a.get("href") is not None]
-        more = {"hrefs": links, "markup": ElementTree.tostring(e, encoding="unicode")} if markup else {}
-        return {"address": e.get(_ADDRESS, ""), "url": url, "cross_refs": links} | more
+    def around(e: ElementTree.Element) -> dict:
+        return context(e, parent, title)
 
     rows: list[dict] = []
-    add = lambda **x: rows.append(blank | {"seq": len(rows)} | x)
-    for article in _of_class(root, "article", _ARTICLE):
-        spans = list(article.iter("span"))
-        first = lambda name, spans=spans: next((_text(s) for s in spans if s.get("class") == name), None)
-        around = context(article) | {"paragraph_ref": first(_REF) or "", "paragraph_title": first(_TITLE)}
-        for n, e in enumerate(_of_class(article, "article", _UNIT), 1):
-            parts = list_parts(e)
-            # what is cut out of a list has neither address nor references of its own
-            add(tier=1, unit_id=e.get("id"), ledd_number=n, text=unit_text(e), parts=parts, **around, **place(e))
-    for number, section in enumerate(_of_class(root, "section", _SECTION)):
-        around = context(section)
-        around |= {"section_heading": _heading(section)}
-        for e in _of_class(section, "article", _UNIT):
-            add(tier=2, section=number, unit_id=e.get("id"), text=_text(e), **around, **place(e))
-    main = next((m for m in root.iter("main") if m is not root and m.get("class") == _BODY), None)
+    add = lambda x: rows.append(blank | {"seq": len(rows)} | x)
+    for article in of_class(root, "article", ARTICLE):
+        for x in article_rows(article, around(article), markup):
+            add(x)
+    for number, section in enumerate(of_class(root, "section", SECTION)):
+        for x in section_rows(section, number, around(section), markup):
+            add(x)
+    main = next((m for m in root.iter("main") if m is not root and m.get("class") == BODY), None)
     if main is not None:
-        for n, e in enumerate((x for x in main if x.tag == "article" and x.get("class") == _UNIT), 1):
-            add(tier=3, unit_id=e.get("id"), ledd_number=n, text=_text(e), document_title=title, **place(e))
+        for n, e in enumerate((x for x in main if x.tag == "article" and x.get("class") == UNIT), 1):
+            add(simple_row(e, n, title, markup))
     return rows
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import stem
 from ..operators.chunking import Limits, chunk_rows, chunk_units
 from ..operators.embed import EmbeddingProvider, embed_chunks
-from ..sources.legal_xml import parse_documents
+from ..sources.pull_xml import parse_needed
 from ..sources.store import ChunkStore, remove, scratch_path
 
 _BINARY = "path string, modificationTime timestamp, length long, content binary"
@@ -27,7 +27,7 @@ def ingest_stream(spark: SparkSession, files: str, store: ChunkStore, checkpoint
 
     def write(batch: DataFrame, number: int) -> None:
         named = batch.withColumn("doc_id", stem(F.col("path"))).withColumn("dataset", F.lit("")).withColumn("hash", F.sha2("content", 256))
-        units = parse_documents(named.select(F.col("doc_id").alias("document_id"), "content")).cache()
+        units = parse_needed(named.select(F.col("doc_id").alias("document_id"), "content")).cache()
         staged = scratch_path(spark, "ingest")
         try:
             embed_chunks(chunk_rows(chunk_units(units, limits), named), provider, errors=True).write.parquet(staged)
