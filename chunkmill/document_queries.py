@@ -128,13 +128,13 @@ def _shown(chunks: DataFrame) -> DataFrame:
 
 @query(_chunks_sql())
 def xml_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = parse_needed(documents_as_xml(spark, sf_dir))
+    units = parse_needed(documents_as_xml(spark, sf_dir), LIMITS.maximum)
     return _shown(chunk_rows(chunk_units(units, LIMITS), _manifest(spark, sf_dir)))
 
 
 @query(_chunks_sql(compat=True))
 def xml_chunks_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = parse_needed(documents_as_xml(spark, sf_dir))
+    units = parse_needed(documents_as_xml(spark, sf_dir), LIMITS.maximum)
     return _shown(chunk_rows(chunk_units(units, LIMITS, compat=True), _manifest(spark, sf_dir), compat=True))
 
 

@@ -181,9 +181,9 @@ def process(
         if count:
             progress.start("parse, chunk, embed")
             contents, missing = _contents(spark, todo, f"{staged}-wanted") if corpus is None else _packed(corpus[1], todo)
-            units = parse_needed(contents.withColumnRenamed("doc_id", "document_id")).cache()
-            kept.append(units)
             limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)
+            units = parse_needed(contents.withColumnRenamed("doc_id", "document_id"), limits.maximum).cache()
+            kept.append(units)
             chunks = chunk_rows(chunk_units(units, limits, count_tokens, compat), todo, compat)
             if settings.embedding_cache:
                 embed_by_content(chunks, provider, EmbeddingCache(spark, settings.embedding_cache), f"{staged}-vectors", settings.batch_size, keep_refs=not compat).write.parquet(staged)

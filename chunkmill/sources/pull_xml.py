@@ -1,8 +1,10 @@
 """Unit rows of the tiers that a document's chunks need, parsed in memory bounded by one article or section.
 
-Chunks are made of a document's lowest tier that gives any. A unit of tier 1 without a list always gives
-some, and so does every unit of tier 2, so what comes after them is neither built nor counted nor
-shuffled. Units of tier 1 that all have lists may lose every part as too large; then tier 2 is given as well.
+Chunks are made of a document's lowest tier that gives any. A unit of tier 1 that is within the maximum
+always gives one, and so does every unit of tier 2, so what comes after them is neither built nor counted
+nor shuffled. That a unit is within the maximum is known without counting tokens if it has no list and no
+more bytes than the maximum has tokens. Larger ones and lists may lose all their parts as too large, so
+where no unit is known to fit, tier 2 is given as well.
 
 A document is read twice or more and never held as a tree: the first pass surveys what later ones need from
 places that they haven't reached (the title, headings of sections, whether it is well-formed), each of the
@@ -30,15 +32,16 @@ _LISTS, _HEADINGS = ("ol", "ul"), ("h2", "h3", "h4")
 class Survey:
     """A parser target: the first h1, the heading of each section in order, and which tiers are needed."""
 
-    def __init__(self) -> None:
+    def __init__(self, maximum: int) -> None:
+        self._maximum = maximum
         self.first, self.second = False, False  # whether tiers 1 and 2 have rows
-        self.settled = False  # a unit of tier 1 that gives a chunk whatever the limits
+        self.settled = False  # a unit of tier 1 that is within the maximum for sure
         self._title: list[str] | None = None
         self._headings: list[dict[str, list[str]]] = []
-        self._open: list[tuple[str, list[str] | None, list[bool] | None]] = []
+        self._open: list[tuple[str, list[str] | None, list[int] | None]] = []
         self._sections: list[int] = []
         self._texts: list[list[str]] = []
-        self._units: list[list[bool]] = []
+        self._units: list[list[int]] = []  # of open units: bytes that their text has at most, and whether there is a list
         self._articles = self._grouping = 0
 
     def start(self, tag: str, attributes: dict[str, str]) -> None:
@@ -55,13 +58,13 @@ class Survey:
                 self._headings[n].setdefault(tag, text)
         if text is not None:
             self._texts.append(text)
-        if tag in _LISTS:
-            for listed in self._units:
-                listed[0] = True
+        for u in self._units:
+            u[0] += 2  # blanks around what is in it
+            u[1] |= tag in _LISTS
         if tag == "article" and kind == UNIT:
             self.second |= self._grouping > 0
             if self._articles:
-                self.first, unit = True, [False]
+                self.first, unit = True, [0, False]
                 self._units.append(unit)
         what = "article" if inner and tag == "article" and kind == ARTICLE else "grouping" if inner and tag == "section" and kind == SECTION else "section" if kind == SECTION else ""
         self._articles += what == "article"
@@ -71,6 +74,10 @@ class Survey:
     def data(self, characters: str) -> None:
         for text in self._texts:
             text.append(characters)
+        if self._units:
+            size = len(characters.encode())
+            for u in self._units:
+                u[0] += size
 
     def end(self, tag: str) -> None:
         what, text, unit = self._open.pop()
@@ -82,7 +89,7 @@ class Survey:
             self._texts.pop()
         if unit is not None:
             self._units.pop()
-            self.settled |= not unit[0]
+            self.settled |= not unit[1] and unit[0] <= self._maximum
 
     def close(self) -> None:
         pass
@@ -159,10 +166,13 @@ def _tier(content: memoryview, seen: Survey, tier: int) -> Iterator[dict]:
             yield simple_row(e, n, seen.title)
 
 
-def pull_units(document_id: str, content: bytes | memoryview | pa.Buffer) -> Iterator[dict]:
-    """Unit rows of the tiers that are needed, as ``parse_units`` has them; one row with ``error`` if it isn't well-formed."""
+def pull_units(document_id: str, content: bytes | memoryview | pa.Buffer, maximum: int) -> Iterator[dict]:
+    """Unit rows of the tiers that are needed, as ``parse_units`` has them; one row with ``error`` if it isn't well-formed.
+
+    ``maximum`` is that of a chunk in tokens, of which each has one byte at least.
+    """
     blank = {f.name: None for f in UNITS} | {"document_id": document_id}
-    content, seen = memoryview(content), Survey()
+    content, seen = memoryview(content), Survey(maximum)
     parser = ElementTree.XMLParser(target=seen)
     try:
         for step in _steps(content):
@@ -179,22 +189,25 @@ def pull_units(document_id: str, content: bytes | memoryview | pa.Buffer) -> Ite
             seq += 1
 
 
-def _pull_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = to_arrow_schema(UNITS)
-    rows: list[dict] = []
-    held = 0
-    for batch in batches:
-        for document_id, content in zip(batch.column("document_id"), batch.column("content"), strict=True):
-            for row in pull_units(document_id.as_py(), content.as_buffer() if content.is_valid else b""):
-                rows.append(row)
-                held += len(row["text"] or "") + 256
-                if held >= FULL:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows, held = [], 0
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-
-def parse_needed(documents: DataFrame) -> DataFrame:
-    """Unit rows of (document_id, content): per document, of the tiers that its chunks are made of."""
-    return documents.select("document_id", F.col("content").cast("binary").alias("content")).mapInArrow(_pull_batches, UNITS)
+def _pull_batches(maximum: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(UNITS)
+        rows: list[dict] = []
+        held = 0
+        for batch in batches:
+            for document_id, content in zip(batch.column("document_id"), batch.column("content"), strict=True):
+                for row in pull_units(document_id.as_py(), content.as_buffer() if content.is_valid else b"", maximum):
+                    rows.append(row)
+                    held += len(row["text"] or "") + 256
+                    if held >= FULL:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return run
+
+
+def parse_needed(documents: DataFrame, maximum: int) -> DataFrame:
+    """Unit rows of (document_id, content): per document, of the tiers that its chunks of ``maximum`` tokens are made of."""
+    return documents.select("document_id", F.col("content").cast("binary").alias("content")).mapInArrow(_pull_batches(maximum), UNITS)

@@ -27,7 +27,7 @@ def ingest_stream(spark: SparkSession, files: str, store: ChunkStore, checkpoint
 
     def write(batch: DataFrame, number: int) -> None:
         named = batch.withColumn("doc_id", stem(F.col("path"))).withColumn("dataset", F.lit("")).withColumn("hash", F.sha2("content", 256))
-        units = parse_needed(named.select(F.col("doc_id").alias("document_id"), "content")).cache()
+        units = parse_needed(named.select(F.col("doc_id").alias("document_id"), "content"), limits.maximum).cache()
         staged = scratch_path(spark, "ingest")
         try:
             embed_chunks(chunk_rows(chunk_units(units, limits), named), provider, errors=True).write.parquet(staged)

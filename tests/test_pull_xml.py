@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chunkmill.document_queries import LIMITS, documents_as_xml
-from chunkmill.operators.chunking import chunk_units
+from chunkmill.operators.chunking import Limits, chunk_units
 from chunkmill.sources import pull_xml
 from chunkmill.sources.legal_xml import parse_documents, parse_units
 from chunkmill.sources.pull_xml import parse_needed, pull_units
@@ -30,28 +30,40 @@ NODES = st.recursive(
 )
 
 
-def needed(rows: list[dict]) -> list[dict]:
+def needed(rows: list[dict], maximum: int) -> list[dict]:
     """Of all rows, those of tiers that can be the lowest one with chunks."""
-    if any(r["tier"] == 1 and r["parts"] is None for r in rows):
+    if any(r["tier"] == 1 and r["parts"] is None and len(r["text"].encode()) <= maximum for r in rows):
         return [r for r in rows if r["tier"] == 1]
     return [r for r in rows if r["tier"] < 3] if any(r["tier"] == 2 for r in rows) else rows
 
 
-@given(NODES, st.integers(1, 40))
+@given(NODES, st.integers(1, 40), st.sampled_from([0, 4, 1000]))
 @settings(max_examples=600, deadline=None)
-def test_same_rows_as_a_tree(node, step):
+def test_same_rows_as_a_tree(node, step, maximum):
     content = written(node[:3] + ("",)).encode()
     kept, pull_xml.STEP = pull_xml.STEP, step
     try:
-        got = list(pull_units("d", content))
+        got = list(pull_units("d", content, maximum))
     finally:
         pull_xml.STEP = kept
-    assert got == needed(parse_units("d", content))
+    all_rows = parse_units("d", content)
+    tiers, must = {r["tier"] for r in got}, needed(all_rows, maximum)
+    assert got == [r for r in all_rows if r["tier"] in tiers] and [r for r in got if r in must] == must
+    assert maximum < 1000 or got == must
+
+
+def test_units_that_lose_all_their_sentences(spark):
+    """Without an end of a sentence a large unit gives nothing in tier 1, so the section gives its text."""
+    unit = f'<article class="legalP" id="u">{"word " * 300}</article>'
+    page = f'<html><body><section class="section"><h2>S</h2><article class="legalArticle"><span class="legalArticleValue">1</span>{unit}</article></section></body></html>'
+    rows, limits = spark.createDataFrame([("d", page)], "document_id string, content string"), Limits(50, 100, 10, 0.2)
+    got, want = (chunk_units(x, limits).select("tier", "chunk_id", "text").collect() for x in (parse_needed(rows, 100), parse_documents(rows)))
+    assert got == want and [(r["tier"], r["chunk_id"]) for r in got] == [(2, "section-u")]
 
 
 @pytest.mark.parametrize("content", [b"", b"not xml", b"<a><b></a>", b"<a>&undefined;</a>", b"<a/><b/>", b"<a>" + b"x" * 200_000 + b"</b>", b"\xff\xfe"])
 def test_same_errors_as_a_tree(content):
-    assert list(pull_units("d", content)) == parse_units("d", content)
+    assert list(pull_units("d", content, 500)) == parse_units("d", content)
 
 
 def test_memory_is_that_of_one_article():
@@ -60,7 +72,7 @@ def test_memory_is_that_of_one_article():
     content = f'<html><section class="section">{article * 1000}<h2>Late heading</h2></section></html>'.encode()
     assert len(content) > 10_000_000
     tracemalloc.start()
-    rows = sum(r["section_heading"] == "Late heading" for r in pull_units("d", content))
+    rows = sum(r["section_heading"] == "Late heading" for r in pull_units("d", content, 8191))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == 5000 and peak < 2_000_000
@@ -68,7 +80,7 @@ def test_memory_is_that_of_one_article():
 
 def test_same_chunks_from_fewer_rows(spark):
     pages = documents_as_xml(spark, SF).select("document_id", "content").cache()
-    all_rows, fewer = parse_documents(pages), parse_needed(pages).cache()
+    all_rows, fewer = parse_documents(pages), parse_needed(pages, LIMITS.maximum).cache()
     assert fewer.count() < all_rows.count()
     assert fewer.groupBy("document_id").agg(F.countDistinct("tier").alias("n")).where("n > 1").isEmpty()
     want, got = chunk_units(all_rows, LIMITS), chunk_units(fewer, LIMITS)
@@ -78,6 +90,6 @@ def test_same_chunks_from_fewer_rows(spark):
 def test_null_and_repeated_documents(spark):
     good = '<html><main class="documentBody"><article class="legalP">a</article></main></html>'
     rows = spark.createDataFrame([("a", None), ("b", good), ("b", good), (None, good), ("c", "<html/>")], "document_id string, content string")
-    got = sorted((str(r["document_id"]), r["text"], (r["error"] or "")[:15]) for r in parse_needed(rows).collect())
+    got = sorted((str(r["document_id"]), r["text"], (r["error"] or "")[:15]) for r in parse_needed(rows, 500).collect())
     assert got == [("None", "a", ""), ("a", None, "not well-formed"), ("b", "a", ""), ("b", "a", "")]
-    assert parse_needed(rows.limit(0)).count() == 0
+    assert parse_needed(rows.limit(0), 500).count() == 0
