@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,10 @@ from .folds import joined, merge_groups, sentence_windows, target_groups
 _PLACE = ("paragraph_ref", "paragraph_title", "section_heading", "document_title", "chapter_path", "address", "url", "cross_refs", "ledd_number")
 
 
+#: Takes rows and named aggregates of them, and gives the rows back; the aggregates are taken as they pass.
+Observe = Callable[..., DataFrame]
+
+
 @dataclass(frozen=True)
 class Limits:
     target: int = 768
@@ -49,16 +54,25 @@ def _numbered(parts: Column, limits: Limits, count: TokenCounter, renumber: bool
     return let(F.struct(parts.alias("parts"), count_each(parts, count, "long").alias("tokens")), numbered)
 
 
-def unit_pieces(units: DataFrame, limits: Limits, count: TokenCounter = token_count) -> DataFrame:
-    """Rows of tiers 1 and 3, cut where a unit is over the maximum: one row per piece, before merging."""
+def unit_pieces(units: DataFrame, limits: Limits, count: TokenCounter = token_count, observe: Observe | None = None) -> DataFrame:
+    """Rows of tiers 1 and 3, cut where a unit is over the maximum: one row per piece, before merging.
+
+    ``observe`` is given the rows that are cut with the sum ``dropped_parts``: list parts and sentences of
+    tier 3 over the maximum, and sentences of windows over the target, none of which is in any piece.
+    """
+    seen = observe or (lambda rows, **_: rows)
     counted = units.where("tier in (1, 3) and error is null").withColumn("tokens", count(F.col("text")).cast("long"))
     fits = counted.where(F.col("tokens") <= limits.maximum).withColumn("piece", F.struct(F.col("text"), F.col("tokens"), F.lit(None).cast("int").alias("n")))
     large = counted.where(F.col("tokens") > limits.maximum)
-    listed = large.where("tier = 1 and parts is not null").withColumn("piece", F.explode(_numbered(F.col("parts"), limits, count, renumber=False)))
+    lost = F.sum(F.size("_all") - F.size("_kept"))
+    listed = large.where("tier = 1 and parts is not null").withColumn("_all", F.col("parts")).withColumn("_kept", _numbered(F.col("parts"), limits, count, renumber=False))
+    listed = seen(listed, dropped_parts=lost).withColumn("piece", F.explode("_kept"))
     windowed = large.where("tier = 1 and parts is null").withColumn("_parts", sentences(F.col("text"))).withColumn("_counted", _sentence_counts(F.col("_parts"), count))
+    windowed = seen(windowed, dropped_parts=F.sum(F.size(F.filter("_counted.tokens", lambda t: t > limits.target))))
     windowed = windowed.withColumn("piece", F.explode(_windows(F.col("text"), limits, count))).drop("_counted", "_parts")
-    simple = large.where("tier = 3").withColumn("_parts", sentences(F.col("text")))
-    simple = simple.withColumn("piece", F.explode(_numbered(F.col("_parts"), limits, count, renumber=True))).drop("_parts")
+    simple = large.where("tier = 3").withColumn("_all", sentences(F.col("text")))
+    simple = simple.withColumn("_kept", _numbered(F.col("_all"), limits, count, renumber=True))
+    simple = seen(simple, dropped_parts=lost).withColumn("piece", F.explode("_kept"))
     own = F.coalesce("unit_id", F.concat("paragraph_ref", F.lit("-ledd"), "ledd_number"))
     base = F.concat("paragraph_ref", F.lit("-ledd"), F.col("ledd_number").cast("string"))
     number = F.col("piece.n").cast("string")
@@ -119,9 +133,9 @@ def merge_pieces(pieces: DataFrame, limits: Limits) -> DataFrame:
     )
 
 
-def chunk_units(units: DataFrame, limits: Limits, count: TokenCounter = token_count, compat: bool = False) -> DataFrame:
+def chunk_units(units: DataFrame, limits: Limits, count: TokenCounter = token_count, compat: bool = False, observe: Observe | None = None) -> DataFrame:
     """Chunks of parsed documents, with what was dropped of the place kept as extra columns."""
-    return merge_pieces(unit_pieces(units, limits, count).unionByName(section_groups(units, limits, count, compat)), limits)
+    return merge_pieces(unit_pieces(units, limits, count, observe).unionByName(section_groups(units, limits, count, compat)), limits)
 
 
 def chunk_rows(chunks: DataFrame, files: DataFrame, compat: bool = False) -> DataFrame:

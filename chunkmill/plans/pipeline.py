@@ -22,10 +22,11 @@ from ..sources import manifest as manifests
 from ..sources.files import read_wanted
 from ..sources.pull_xml import parse_needed
 from ..sources.store import LAYOUTS, open_store, remove
+from .metrics import Metrics, counted, watched
 
 
 class Progress(Protocol):
-    """What a run reports, on the driver."""
+    """What a run reports, on the driver. ``embedded`` is called from a thread of its own while the job runs."""
 
     def start(self, stage: str) -> None: ...
 
@@ -33,6 +34,19 @@ class Progress(Protocol):
 
     def counts(self, **values: int) -> None: ...
 
+    def files(self, total: int) -> None: ...
+
+    def file(self, doc_id: str, current: int, total: int) -> None: ...
+
+    def files_done(self) -> None: ...
+
+    def embedding(self) -> None: ...
+
+    def embedded(self, done: int, total: int) -> None:
+        """Tasks, of those known so far: how many chunks there are is known when they have been made."""
+
+    def embedding_done(self, chunks: int) -> None: ...
+
     def succeeded(self, doc_id: str, chunks: int) -> None: ...
 
     def failed(self, doc_id: str, error: str) -> None: ...
@@ -57,6 +71,24 @@ class Silent:
     def counts(self, **values: int) -> None:
         pass
 
+    def files(self, total: int) -> None:
+        pass
+
+    def file(self, doc_id: str, current: int, total: int) -> None:
+        pass
+
+    def files_done(self) -> None:
+        pass
+
+    def embedding(self) -> None:
+        pass
+
+    def embedded(self, done: int, total: int) -> None:
+        pass
+
+    def embedding_done(self, chunks: int) -> None:
+        pass
+
     def succeeded(self, doc_id: str, chunks: int) -> None:
         pass
 
@@ -79,6 +111,15 @@ class Printed(Silent):
     def counts(self, **values: int) -> None:
         print("   " + ", ".join(f"{k}: {v}" for k, v in values.items()))
 
+    def files(self, total: int) -> None:
+        print(f"   {total} files to process")
+
+    def embedded(self, done: int, total: int) -> None:
+        print(f"   {done} of {total} tasks")
+
+    def embedding_done(self, chunks: int) -> None:
+        print(f"   {chunks} chunks embedded")
+
     def succeeded(self, doc_id: str, chunks: int) -> None:
         print(f"   {doc_id}: {chunks} chunks")
 
@@ -97,6 +138,12 @@ class Result:
     processed: int = 0
     failed: int = 0
     removed: int = 0
+    #: Figures taken in passing: units parsed, chunks, their tokens, chunks refused by the provider, and parts dropped as too large.
+    units: int = 0
+    chunks: int = 0
+    tokens: int = 0
+    refused: int = 0
+    dropped_parts: int = 0
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -178,17 +225,27 @@ def process(
         gone = removed.select(F.col("doc_id").alias("document_id"))
         had = store.read().join(gone, "document_id", "left_semi").select("document_id").distinct().count()
         processed = failed = 0
+        taken: dict[str, int] = {}
         if count:
             progress.start("parse, chunk, embed")
+            progress.files(count)
+            metrics, parsed = Metrics(), F.count_if(F.col("error").isNull())
             contents, missing = _contents(spark, todo, f"{staged}-wanted") if corpus is None else _packed(corpus[1], todo)
             limits = Limits(settings.chunk_target_tokens, settings.chunk_max_tokens, settings.chunk_min_tokens, settings.chunk_overlap_ratio)
-            units = parse_needed(contents.withColumnRenamed("doc_id", "document_id"), limits.maximum).cache()
+            units = metrics.of(parse_needed(contents.withColumnRenamed("doc_id", "document_id"), limits.maximum), units=parsed).cache()
             kept.append(units)
-            chunks = chunk_rows(chunk_units(units, limits, count_tokens, compat), todo, compat)
-            if settings.embedding_cache:
-                embed_by_content(chunks, provider, EmbeddingCache(spark, settings.embedding_cache), f"{staged}-vectors", settings.batch_size, keep_refs=not compat).write.parquet(staged)
-            else:
-                embed_chunks(chunks, provider, settings.batch_size, keep_refs=not compat, errors=True).write.parquet(staged)
+            chunks = chunk_rows(chunk_units(units, limits, count_tokens, compat, metrics.of), todo, compat)
+            progress.embedding()
+            with watched(spark, progress.embedded):
+                if settings.embedding_cache:
+                    made = embed_by_content(chunks, provider, EmbeddingCache(spark, settings.embedding_cache), f"{staged}-vectors", settings.batch_size, keep_refs=not compat)
+                else:
+                    made = embed_chunks(chunks, provider, settings.batch_size, keep_refs=not compat, errors=True)
+                metrics.of(made, chunks=F.count("*"), tokens=F.sum("token_count"), refused=F.count("error")).write.parquet(staged)
+            taken = metrics.read()
+            if not taken["chunks"]:
+                taken |= counted(lambda observe: chunk_units(observe(units, units=parsed), limits, count_tokens, compat, observe))
+            progress.embedding_done(taken["chunks"] - taken["refused"])
             embedded = spark.read.parquet(staged)
             errors = units.where("error is not null").select(F.col("document_id").alias("doc_id"), "error").unionByName(missing)
             errors = errors.unionByName(embedded.where("error is not null").groupBy(F.col("document_id").alias("doc_id")).agg(F.min("error").alias("error")))
@@ -205,8 +262,9 @@ def process(
             state = states.merge_outcomes(state, outcomes, compat)
             sums = outcomes.agg(F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("bad")).first()
             processed, failed = sums["ok"], sums["bad"]
-            _report(progress, outcomes, rows)
-            progress.counts(processed=processed, failed=failed)
+            _report(progress, outcomes, rows, processed + failed)
+            progress.files_done()
+            progress.counts(processed=processed, failed=failed, **taken)
             progress.end("parse, chunk, embed")
         elif had:
             store.replace(None, gone)
@@ -222,19 +280,22 @@ def process(
         remove(spark, staged)
         remove(spark, f"{staged}-wanted")
         remove(spark, f"{staged}-vectors")
-    result = Result(processed, failed, had)
+    result = Result(processed, failed, had, **taken)
     progress.summary(result)
     return result
 
 
-def _report(progress: Progress, outcomes: DataFrame, rows: DataFrame) -> None:
+def _report(progress: Progress, outcomes: DataFrame, rows: DataFrame, total: int) -> None:
     """The first documents of either outcome, as many as ``progress`` takes."""
     if not progress.documents:
         return
+    numbers = iter(range(1, total + 1))
     for r in outcomes.where("error is not null").orderBy("doc_id").limit(progress.documents).collect():
+        progress.file(r["doc_id"], next(numbers), total)
         progress.failed(r["doc_id"], r["error"])
     counts = rows.groupBy(F.col("document_id").alias("doc_id")).agg(F.count("*").alias("n"))
     for r in outcomes.where("error is null").join(counts, "doc_id", "left").orderBy("doc_id").limit(progress.documents).collect():
+        progress.file(r["doc_id"], next(numbers), total)
         if r["n"]:
             progress.succeeded(r["doc_id"], r["n"])
         else:
