@@ -21,7 +21,7 @@ from .sources.pull_xml import parse_needed
 
 UNIT, IN_ARTICLE, IN_SECTION = 40, 4, 6
 LIMITS = Limits(target=120, maximum=500, minimum=60, overlap_ratio=0.15)
-_SPACES = r"[\x00-\x20\x7f-\xa0\p{Z}]+"
+_SPACES, _WORD = r"[\x00-\x20\x7f-\xa0\p{Z}]+", r"[^\x00-\x20\x7f-\xa0\p{Z}]"
 
 
 def _s(c: Column) -> Column:
@@ -60,7 +60,8 @@ def documents_as_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = grouped(IN_ARTICLE, lambda g, x: F.concat(F.lit('<article class="legalArticle"><span class="legalArticleValue">§ '), _s(g + 1), F.lit("</span>"), x, F.lit("</article>")))
     sections = grouped(IN_SECTION, lambda g, x: F.concat(F.lit('<section class="section"><h2>S '), _s(g), F.lit("</h2>"), x, F.lit("</section>")))
     body = F.when(d % 3 == 0, F.concat(F.lit('<section class="section"><h2>S 0</h2>'), articles, F.lit("</section>"))).when(d % 3 == 1, sections).otherwise(F.array_join("p", ""))
-    units = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", text.hard_split(_plain("text"), UNIT).alias("u")).where(F.size("u") > 0)
+    # a condition on the units would be pushed below the split and do it twice
+    units = table(spark, sf_dir, "documents").where(F.col("text").rlike(_WORD)).select("doc_id", "lang", "source", text.hard_split(_plain("text"), UNIT).alias("u"))
     paged = units.select("doc_id", "lang", "source", F.transform("u", paragraph).alias("p")).select("doc_id", "lang", "source", "p", body.alias("body"))
     return paged.select("doc_id", F.concat(F.lit("d"), _s(d)).alias("document_id"), _page(F.col("body"), d).alias("content"))
 

@@ -1,5 +1,7 @@
 import tracemalloc
+from xml.etree import ElementTree
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,8 +9,9 @@ from pyspark.sql import functions as F
 
 from chunkmill.document_queries import LIMITS, documents_as_xml
 from chunkmill.operators.chunking import Limits, chunk_units
+from chunkmill.schema import UNITS
 from chunkmill.sources import pull_xml
-from chunkmill.sources.legal_xml import parse_documents, parse_units
+from chunkmill.sources.legal_xml import in_batches, markup_of, parse_documents, parse_units
 from chunkmill.sources.pull_xml import parse_needed, pull_units
 from oracle import SF
 
@@ -93,3 +96,29 @@ def test_null_and_repeated_documents(spark):
     got = sorted((str(r["document_id"]), r["text"], (r["error"] or "")[:15]) for r in parse_needed(rows, 500).collect())
     assert got == [("None", "a", ""), ("a", None, "not well-formed"), ("b", "a", ""), ("b", "a", "")]
     assert parse_needed(rows.limit(0), 500).count() == 0
+
+
+@given(NODES, st.sampled_from([0, 4, 1000]))
+@settings(max_examples=300, deadline=None)
+def test_small_documents_from_a_tree(node, maximum):
+    """One reading to a tree gives what the pull parser gives, with tiers that are needed and no others than it gives."""
+    content = written(node[:3] + ("",)).encode()
+    got, pulled, all_rows = list(pull_xml.needed_units("d", content, maximum)), list(pull_units("d", content, maximum)), parse_units("d", content)
+    assert got == needed(all_rows, maximum) and [r for r in pulled if r in got] == got
+    kept, pull_xml.WHOLE = pull_xml.WHOLE, 0
+    try:
+        assert list(pull_xml.needed_units("d", content, maximum)) == pulled
+    finally:
+        pull_xml.WHOLE = kept
+
+
+def test_batches_hold_many_documents():
+    rows = pa.RecordBatch.from_pylist([{"document_id": f"d{i}", "content": b'<m><main class="documentBody"><article class="legalP">a</article></main></m>'} for i in range(500)])
+    for run in (in_batches(parse_units, UNITS), in_batches(lambda name, content: pull_xml.needed_units(name, content, 500), UNITS)):
+        assert [len(b) for b in run(iter([rows]))] == [500]
+
+
+@pytest.mark.parametrize("inner", ["", "a&amp;b", '<p x="&lt;&quot;&#10;&#9;&#13;\'&gt;"/>tail&gt;', "<p>x<q/>y</p> z", '<p xmlns="http://n" xmlns:a="http://a" a:b="c">t</p>', "<p><!-- gone -->é</p>"])
+def test_markup_is_what_elementtree_writes(inner):
+    e = ElementTree.fromstring(f'<r><s k="v">{inner}</s>end&amp;</r>')[0]
+    assert markup_of(e) == ElementTree.tostring(e, encoding="unicode")
