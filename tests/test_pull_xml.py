@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chunkmill.document_queries import LIMITS, documents_as_xml
-from chunkmill.operators.chunking import Limits, chunk_units
+from chunkmill.operators.chunking import Limits, chunk_units, unit_pieces
 from chunkmill.schema import UNITS
 from chunkmill.sources import pull_xml
 from chunkmill.sources.legal_xml import in_batches, markup_of, parse_documents, parse_units
@@ -122,3 +122,12 @@ def test_batches_hold_many_documents():
 def test_markup_is_what_elementtree_writes(inner):
     e = ElementTree.fromstring(f'<r><s k="v">{inner}</s>end&amp;</r>')[0]
     assert markup_of(e) == ElementTree.tostring(e, encoding="unicode")
+
+
+def test_units_are_parsed_and_shuffled_once(spark):
+    """Pieces of all tiers come from one reading of the units, which are split and counted once, and meet in one shuffle."""
+    units = parse_needed(documents_as_xml(spark, SF), LIMITS.maximum)
+    for rows, shuffles in ((chunk_units(units, LIMITS), 1), (unit_pieces(units, LIMITS), 0)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        plan = plan[: plan.find("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        assert plan.count("MapInArrow") == 1 and plan.count("Exchange ") == shuffles and plan.count("regexp_extract_all") == 3  # the split to units, and one count each of units and of parts
