@@ -252,13 +252,17 @@ def process(
             now = datetime.now(UTC).isoformat()
             outcomes = todo.join(errors, "doc_id", "left").select("doc_id", "hash", "error", F.lit(now).alias("at")).cache()
             kept.append(outcomes)
-            rows = embedded.join(outcomes.where("error is not null").select(F.col("doc_id").alias("document_id")), "document_id", "left_anti").drop("error")
+            # as a rule no chunk is of a document that failed: names alone tell, so that whole rows aren't shuffled for it
+            bad = outcomes.where("error is not null").select(F.col("doc_id").alias("document_id"))
+            left_out = not bad.isEmpty() and not embedded.select("document_id").join(bad, "document_id", "left_semi").isEmpty()
+            rows = (embedded.join(bad, "document_id", "left_anti") if left_out else embedded).drop("error")
             # what is replaced goes with the commit, documents that became empty or failed included
             replaced = outcomes.where("error is not null") if compat else outcomes
             if not compat:
                 replaced = replaced.join(embedded.where("error is not null").select(F.col("document_id").alias("doc_id")).distinct(), "doc_id", "left_anti")
             replaced = replaced.join(missing.select("doc_id"), "doc_id", "left_anti").select(F.col("doc_id").alias("document_id"))
-            store.replace(rows, replaced.union(gone), "chunk_id" if compat else "document_id")
+            # chunks are made where a document's units met, and were staged as they were made; vectors by content are joined to them
+            store.replace(rows, replaced.union(gone), "chunk_id" if compat else "document_id", together=not settings.embedding_cache)
             state = states.merge_outcomes(state, outcomes, compat)
             sums = outcomes.agg(F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("bad")).first()
             processed, failed = sums["ok"], sums["bad"]

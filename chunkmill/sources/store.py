@@ -77,7 +77,7 @@ class Store(Protocol):
 
     def read(self) -> DataFrame: ...
 
-    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int: ...
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id", together: bool = False) -> int: ...
 
     def upsert(self, chunks: DataFrame, by: str = "document_id") -> None: ...
 
@@ -280,10 +280,11 @@ class ChunkStore(_Reads):
         file_index(written).write.parquet(f"{at}/{_INDEX}")
         return written
 
-    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id", together: bool = False) -> int:
         """One commit: stores ``rows`` and drops all else of their keys and of ``documents`` (document_id); the version, or 0 if nothing changes.
 
-        ``rows`` are computed once, when they are written; their keys are read from what was written.
+        ``rows`` are computed once, when they are written; their keys are read from what was written. Those of a
+        document are shuffled together first, unless they already are (``together``).
         """
         version = self._claim()
         at, none = f"{self.path}/v{version}", F.lit(None).cast("string")
@@ -294,7 +295,7 @@ class ChunkStore(_Reads):
             if by == "chunk_id":
                 rows = upserted(self.spark.createDataFrame([], ENRICHED), rows)
             # by document, and balanced by size: a document with very many chunks is several files
-            written = self._write_rows(rows.hint("rebalance", F.col("document_id")), at)
+            written = self._write_rows(rows if together and by == "document_id" else rows.hint("rebalance", F.col("document_id")), at)
             keys = keys.unionByName(written.select(*[(F.col(n) if n == by else none).alias(n) for n in ("document_id", "chunk_id")]))
             has_rows = not written.isEmpty()
         keys.distinct().write.parquet(f"{at}/{_KEYS}")
@@ -378,7 +379,7 @@ class JsonlStore(_Reads):
         """Reads that hash's folder only."""
         return read_jsonl(self.spark, self.path, source_hash or "unknown").where(F.col("source_hash") == source_hash)
 
-    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id", together: bool = False) -> int:
         staged = f"{self.path}.staged-{uuid.uuid4().hex}"
         try:
             new = None
@@ -466,7 +467,7 @@ class FlatTable(_Reads):
         for name in whole[:-1]:
             remove(self.spark, f"{self.path}/{name}")
 
-    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id") -> int:
+    def replace(self, rows: DataFrame | None, documents: DataFrame, by: str = "document_id", together: bool = False) -> int:
         have = without(self.read(), documents.where("document_id <> ''"), "document_id")
         if rows is not None:
             rows = complete(rows)

@@ -80,3 +80,16 @@ def test_vacuum_keeps_what_counts(spark, tmp_path):
     assert sorted(map(tuple, store.read().select("chunk_id", "content").collect())) == before and store.by_document("doc5").count() == 5
     assert sorted(p.name for p in (tmp_path / "s").iterdir() if p.is_dir()) == ["v4", "v5"]
     assert ChunkStore(spark, str(tmp_path / "none")).vacuum(0) == 0
+
+
+def test_rows_that_are_together_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Rows staged document by document go to the store as they are, and it holds the same."""
+    rows = spark.range(0, 200, 1, 2).selectExpr("concat('d', id div 10) AS document_id", "concat('c', id) AS chunk_id", "repeat('x', 10) AS content", "1 AS token_count", "array(1F) AS embedding", "'m' AS embedding_model", "'t' AS embedded_at")
+    none, plans = spark.createDataFrame([], "document_id string"), []
+    written = ChunkStore._write_rows
+    monkeypatch.setattr(ChunkStore, "_write_rows", lambda self, df, at: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(self, df, at))
+    for together in (False, True):
+        store = ChunkStore(spark, str(tmp_path / str(together)))
+        store.replace(rows, none, together=together)
+        assert store.read().count() == 200 and store.by_document("d3").count() == 10
+    assert ["Rebalance" in p for p in plans] == [True, False]
