@@ -33,6 +33,8 @@ BLOCK_IDS = 1 << 18
 RANGE_BYTES = 128 << 20
 #: Words, and parts of words, whose ids a worker remembers: some 200 bytes each.
 CACHE_WORDS, CACHE_PARTS = 1_200_000, 600_000
+#: Parts that go to the tokenizer's model as one text: in longer ones each costs more.
+PARTS_AT_ONCE = 100
 
 
 def bits_for(vocabulary: int) -> int:
@@ -130,8 +132,8 @@ class WordCachedEncoder:
         self.words: dict[bytes, bytes] = {}
 
     def _learn_parts(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 2_000):
-            some = parts[at : at + 2_000]
+        for at in range(0, len(parts), PARTS_AT_ONCE):
+            some = parts[at : at + PARTS_AT_ONCE]
             found = self.model.encode_batch_fast([" ".join(some).translate(self.bytes_of)], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
             raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.is_end[ids]) + 4).tolist()  # the merges mark the end of each part

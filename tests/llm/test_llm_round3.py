@@ -141,3 +141,17 @@ def test_forms_in_a_circle_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(spelling, "MAX_ROUNDS", 3)
     with pytest.raises(RuntimeError):
         spelling.follow(spark.createDataFrame([("a", "b"), ("b", "a")], "word string, form string"))
+
+
+def test_parts_go_to_the_model_a_few_at_a_time(monkeypatch):
+    """The ids are those of whole texts, however many parts are sent at once."""
+    import public_tokenizers
+
+    from chunkmill.llm import binary_tokens
+
+    text, found = " ".join(f"Wort{chr(97 + i % 26)}{chr(97 + i // 26)}x{i}" for i in range(400)), []
+    for size in (binary_tokens.PARTS_AT_ONCE, 1, 7, 5_000):
+        monkeypatch.setattr(binary_tokens, "PARTS_AT_ONCE", size)
+        encoder = binary_tokens.WordCachedEncoder(public_tokenizers.path("word_bpe_49k.json"))
+        found.append([x.tolist() for x in encoder.encode([text.encode(), b""])])
+    assert found == [[encoder.tokenizer.encode(text, add_special_tokens=False).ids, []]] * 4
